@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nextpick.defaults import SEED
+from nextpick.sources.stage import stage
 
 
 def _with_zero(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -67,27 +68,30 @@ def predict_class(frame: DataFrame, model: PipelineModel, inputs: Sequence[str])
 
 
 def fit_chain(train: DataFrame, inputs: Sequence[str], codes: Sequence[int], iterations: int = 5,
-              depth: int = 3, seed: int = SEED) -> PipelineModel:
+              depth: int = 3, seed: int = SEED) -> list[PipelineModel]:
     """Second stage as a chain: the model of each label also sees the labels before it."""
-    steps = []
+    train = _with_zero(train, [*inputs, *[f"label_{code}" for code in codes]])
+    chain = []
     for place, code in enumerate(codes):
         earlier = [f"label_{before}" for before in codes[:place]]
-        steps += [VectorAssembler(inputCols=[*inputs, *earlier], outputCol=f"features_{code}"),
-                  GBTClassifier(featuresCol=f"features_{code}", labelCol=f"label_{code}",
-                                predictionCol=f"pred_{code}", rawPredictionCol=f"raw_{code}",
-                                probabilityCol=f"probability_{code}", maxIter=iterations,
-                                maxDepth=depth, seed=seed)]
-    return Pipeline(stages=steps).fit(_with_zero(train, [*inputs, *[f"label_{c}" for c in codes]]))
+        steps = [VectorAssembler(inputCols=[*inputs, *earlier], outputCol="features"),
+                 GBTClassifier(labelCol=f"label_{code}", maxIter=iterations, maxDepth=depth, seed=seed)]
+        chain.append(Pipeline(stages=steps).fit(train))
+    return chain
 
 
-def predict_chain(frame: DataFrame, model: PipelineModel, inputs: Sequence[str], codes: Sequence[int]) -> DataFrame:
-    """(customer_id, prob_<code> ...): each step sees the predictions made before it."""
+def predict_chain(frame: DataFrame, chain: Sequence[PipelineModel], inputs: Sequence[str], codes: Sequence[int],
+                  links_per_stage: int = 4) -> DataFrame:
+    """(customer_id, prob_<code> ...): each link sees the predictions made before it.
+
+    Every few links the result is staged, since the plan of a link holds all plans before it.
+    """
     result = _with_zero(frame.select("customer_id", *inputs), inputs)
-    steps = iter(model.stages)
-    for code in codes:
-        assembled = next(steps).transform(result)
-        predicted = next(steps).transform(assembled)
-        result = (predicted.withColumn(f"prob_{code}", vector_to_array(f"probability_{code}")[1])
-                  .withColumn(f"label_{code}", F.col(f"pred_{code}"))
-                  .drop(f"features_{code}", f"raw_{code}", f"probability_{code}", f"pred_{code}"))
+    for place, (code, model) in enumerate(zip(codes, chain), 1):
+        result = (model.transform(result)
+                  .withColumn(f"prob_{code}", vector_to_array("probability")[1])
+                  .withColumn(f"label_{code}", F.col("prediction"))
+                  .drop("features", "rawPrediction", "probability", "prediction"))
+        if place % links_per_stage == 0:
+            result = stage(result, "chain")
     return result.select("customer_id", *[f"prob_{code}" for code in codes])
