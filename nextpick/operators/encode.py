@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from nextpick.defaults import UNKNOWN
 from nextpick.operators.joins import lookup_join
 from nextpick.operators.numbering import number_rows
+from nextpick.sources.stage import stage
 
 
 def null_columns(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -26,21 +27,23 @@ def fit_category_codes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
                       for c in columns])
     seen = frame.select(F.inline(pairs)).filter("value IS NOT NULL")
     unknown = frame.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "feature string, value string")
-    values = seen.unionByName(unknown).distinct()
+    values = stage(seen.unionByName(unknown).distinct(), "values")
     numbered = number_rows(values, ["value"], "_position", group=["feature"])
     return numbered.select("feature", "value", (F.col("_position") - 1).cast("int").alias("code"))
 
 
 def apply_category_codes(frame: DataFrame, encoder: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each column by its code; null and unseen values get the code of 'unknown'."""
-    fallback = {row.feature: row.code for row in
-                encoder.filter((F.col("value") == UNKNOWN) & F.col("feature").isin(list(columns))).collect()}
+    fitted = {row.feature: row for row in encoder.filter(F.col("feature").isin(list(columns))).groupBy("feature").agg(
+        F.count(F.lit(1)).alias("rows"), F.max(F.when(F.col("value") == UNKNOWN, F.col("code"))).alias("unknown"))
+        .collect()}
     kept = frame.columns
     for c in columns:
         codes = encoder.filter(F.col("feature") == c).select(F.col("value").alias("_value"),
                                                              F.col("code").alias("_code"))
-        frame = (lookup_join(frame.withColumn("_value", F.col(c).cast("string")), codes, "_value", "left")
-                 .withColumn(c, F.coalesce("_code", F.lit(fallback[c]))).drop("_value", "_code"))
+        frame = (lookup_join(frame.withColumn("_value", F.col(c).cast("string")), codes, "_value", "left",
+                             lookup_rows=fitted[c].rows)
+                 .withColumn(c, F.coalesce("_code", F.lit(fitted[c].unknown))).drop("_value", "_code"))
     return frame.select(*kept)
 
 

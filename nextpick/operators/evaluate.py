@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from nextpick.defaults import NO_PICK
 from nextpick.functions.values import item_hit, percent
 from nextpick.operators.numbering import running_total
+from nextpick.sources.stage import stage
 
 
 def mark_hits(picks: DataFrame, truth: DataFrame) -> DataFrame:
@@ -169,7 +170,7 @@ def auc(scored: DataFrame, label: str = "target", score: str = "score") -> DataF
     """
     counts = scored.groupBy(F.col(score).alias("_score")).agg(
         F.count_if(F.col(label) == 1).alias("_pos"), F.count_if(F.col(label) == 0).alias("_neg"))
-    ranked = running_total(counts, ["_score"], F.col("_neg"), "_through")
+    ranked = running_total(stage(counts, "scores"), ["_score"], F.col("_neg"), "_through")
     wins = F.sum(F.col("_pos") * (F.col("_through") - F.col("_neg") / 2))
     totals = ranked.agg(wins.alias("_wins"), F.sum("_pos").alias("positives"), F.sum("_neg").alias("negatives"))
     return totals.select(

@@ -15,6 +15,7 @@ from nextpick.functions.values import not_blank
 from nextpick.operators.joins import lookup_join
 from nextpick.operators.numbering import number_rows
 from nextpick.operators.split import contracts_after, contracts_until
+from nextpick.sources.stage import stage
 
 IDENTITY = ["customer_id", "identity_code"]
 
@@ -47,7 +48,7 @@ def base_population(customers: DataFrame, contracts: DataFrame, ref_month: str,
     """Snapshot customers that buy in the `months` months after, numbered 1..n in ``id``."""
     buyers = contracts_after(contracts, ref_month, months).select(*IDENTITY).distinct()
     found = customers.join(buyers, IDENTITY, "left_semi").distinct()
-    return number_rows(found, IDENTITY, "id")
+    return number_rows(stage(found, "population"), IDENTITY, "id")
 
 
 def identity_map(population: DataFrame) -> DataFrame:

@@ -53,14 +53,15 @@ def salted_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], ho
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], how: str = "inner",
                 probe: DataFrame | None = None, broadcast_rows: int = BROADCAST_ROWS,
-                hot_share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
+                hot_share: float = HOT_SHARE, salts: int = SALTS, lookup_rows: int | None = None) -> DataFrame:
     """Join `fact` to `lookup`, which holds each key at most once.
 
-    A lookup of at most `broadcast_rows` rows (counted) is broadcast, so `fact` is not
+    A lookup of at most `broadcast_rows` rows (counted, unless the caller knows) is broadcast, so `fact` is not
     shuffled. A larger one is joined by shuffle, with the keys that are frequent in `probe`
     (by default `fact`; pass the base table when `fact` is the result of other joins) salted.
     """
-    if lookup.count() <= broadcast_rows:
+    rows = lookup.count() if lookup_rows is None else lookup_rows
+    if rows <= broadcast_rows:
         return fact.join(F.broadcast(lookup), key, how)
     lead = key if isinstance(key, str) else key[0]
     hot = hot_keys(fact if probe is None else probe, lead, hot_share)

@@ -18,18 +18,20 @@ def value_counts(frame: DataFrame, column: str, weight: Column | None = None) ->
 
 
 def assign_codes(history: DataFrame, target: DataFrame) -> DataFrame:
-    """Label dictionary (category, code, in_target) learned from contract days.
+    """Label dictionary (category, code, in_target) learned from contracts.
 
     Target categories get 1..k by falling number of distinct contracts, then the categories
     that only the history has get k+1.. by falling number of contracts; ties by name. 0 stays
     free for "none".
     """
-    bought = target.groupBy("category").agg(F.sum("products").alias("_rows")).withColumn("in_target", F.lit(True))
-    held = (history.groupBy("category").agg(F.sum("contracts").alias("_rows"))
-            .join(bought, "category", "left_anti").withColumn("in_target", F.lit(False)))
-    order = Window.orderBy(F.desc("in_target"), F.desc("_rows"), "category")
-    return bought.unionByName(held).select(
-        "category", F.row_number().over(order).alias("code"), "in_target")
+    bought = target.distinct().groupBy("category").agg(F.count(F.lit(1)).alias("_bought"))
+    held = history.groupBy("category").agg(F.count(F.lit(1)).alias("_held"))
+    counts = (bought.unionByName(held, allowMissingColumns=True).groupBy("category")
+              .agg(F.max("_bought").alias("_bought"), F.max("_held").alias("_held")))
+    # One row per category is left for the window.
+    in_target = F.col("_bought").isNotNull()
+    order = Window.orderBy(F.desc_nulls_last("_bought"), F.desc(F.when(~in_target, F.col("_held"))), "category")
+    return counts.select("category", F.row_number().over(order).alias("code"), in_target.alias("in_target"))
 
 
 def code_list(labels: DataFrame, target_only: bool = False) -> list[int]:

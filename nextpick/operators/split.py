@@ -1,16 +1,15 @@
 """Point-in-time split of contracts, exclusions, common population, customer split.
 
-Contracts are handled as *contract days*: one row per customer, class, category and date with
-the number of contracts. The rollup is a map-side combined aggregation, so however many rows one
-customer holds, it leaves at most one per class, category and day.
+Every step over all contracts is an aggregation that combines rows before the shuffle, so a
+customer, category or group of copies that holds a large part of the rows sends only its distinct
+rows from each task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import date
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nextpick.defaults import SEED, TARGET_MONTHS, TEST_SHARE
@@ -18,7 +17,8 @@ from nextpick.functions.dates import month_start
 from nextpick.functions.values import not_in, sample_hash
 from nextpick.operators.numbering import mark_lowest
 
-DAY_KEYS = ["customer_id", "product_class", "category", "contract_date"]
+CONTRACT_COLUMNS = ["customer_id", "product_code", "product_class", "category", "contract_date"]
+ITEM_COLUMNS = ["customer_id", "category", "contract_date"]
 
 
 def contracts_until(contracts: DataFrame, ref_month: str, months: int = TARGET_MONTHS) -> DataFrame:
@@ -32,66 +32,65 @@ def contracts_after(contracts: DataFrame, ref_month: str, months: int = TARGET_M
         F.col("contract_date") >= F.lit(month_start(ref_month, 1)))
 
 
-def contract_days(contracts: DataFrame) -> DataFrame:
-    """Complete contracts per customer, class, category and date.
+def complete_contracts(contracts: DataFrame) -> DataFrame:
+    """Contract columns, rows with a missing value left out."""
+    return contracts.select(*CONTRACT_COLUMNS).na.drop("any")
 
-    ``contracts`` counts the rows, ``products`` the distinct ones (rows that differ in their
-    product code).
-    """
-    complete = contracts.select(*DAY_KEYS, "product_code").na.drop("any")
-    return (complete.groupBy(*DAY_KEYS, "product_code").agg(F.count(F.lit(1)).alias("contracts"))
-            .groupBy(*DAY_KEYS)
-            .agg(F.sum("contracts").alias("contracts"), F.count(F.lit(1)).alias("products")))
 
-
-def temporal_split(days: DataFrame, ref_month: str) -> tuple[DataFrame, DataFrame]:
+def temporal_split(contracts: DataFrame, ref_month: str) -> tuple[DataFrame, DataFrame]:
     """(history, target): before the first day after the reference month, and from it on."""
-    split_day = F.lit(month_start(ref_month, 1))
-    return days.filter(F.col("contract_date") < split_day), days.filter(F.col("contract_date") >= split_day)
+    day, split_day = F.col("contract_date"), F.lit(month_start(ref_month, 1))
+    return contracts.filter(day < split_day), contracts.filter(day >= split_day)
+
+
+def eligible(classes: Sequence[str] = (), categories: Sequence[str] = ()) -> Column:
+    """True unless class or category is excluded; a missing one is not."""
+    return not_in(F.col("product_class"), classes) & not_in(F.col("category"), categories)
 
 
 def exclude(frame: DataFrame, classes: Sequence[str] = (), categories: Sequence[str] = ()) -> DataFrame:
-    return frame.filter(not_in(F.col("product_class"), classes) & not_in(F.col("category"), categories))
+    return frame.filter(eligible(classes, categories))
 
 
-def split_audit(days: DataFrame, ref_month: str, classes: Sequence[str], categories: Sequence[str],
+def split_audit(contracts: DataFrame, ref_month: str, classes: Sequence[str], categories: Sequence[str],
                 variant: Sequence[str]) -> DataFrame:
     """Row count, first and last date of history and target after each step of the split."""
-    in_target = F.col("contract_date") >= F.lit(month_start(ref_month, 1))
-    by_class = in_target & not_in(F.col("product_class"), classes)
+    history, target = temporal_split(contracts, ref_month)
+    by_class = not_in(F.col("product_class"), classes)
     by_category = by_class & not_in(F.col("category"), categories)
     by_variant = by_category & not_in(F.col("category"), variant)
-    steps = [("history", "loaded", ~in_target, "contracts"),
-             ("target", "loaded", in_target, "contracts"),
-             ("target", "class_excluded", by_class, "contracts"),
-             ("target", "category_excluded", by_category, "contracts"),
-             ("target", "variant_excluded", by_variant, "contracts"),
-             ("target", "rows_distinct", by_variant, "products")]
-    final = [("history", "projected_distinct", ~in_target), ("target", "projected_distinct", by_variant)]
-    # Per customer, category and date first: the last step counts these groups.
-    measures = [F.sum(F.when(kept, F.col(rows)).otherwise(0)).alias(f"n{i}")
-                for i, (_, _, kept, rows) in enumerate(steps)]
-    measures += [F.max(kept.cast("bigint")).alias(f"n{len(steps) + i}") for i, (_, _, kept) in enumerate(final)]
-    grouped = days.groupBy("customer_id", "category", "contract_date").agg(*measures)
-    names = [step[:2] for step in steps + final]
+    # Distinct rows, then distinct items (customer, category, date) made of them.
+    rows = F.count(F.lit(1)).alias("_rows")
+    history_items = history.groupBy(*ITEM_COLUMNS).agg(rows)
+    target_rows = target.groupBy(*CONTRACT_COLUMNS).agg(rows)
+    target_items = target_rows.groupBy(*ITEM_COLUMNS).agg(*[
+        F.sum(F.when(kept, counted)).alias(name) for name, kept, counted in (
+            ("loaded", F.lit(True), F.col("_rows")), ("class_excluded", by_class, F.col("_rows")),
+            ("category_excluded", by_category, F.col("_rows")), ("variant_excluded", by_variant, F.col("_rows")),
+            ("rows_distinct", by_variant, F.lit(1)))])
+    return (_steps(history_items, "history", {"loaded": F.col("_rows"), "projected_distinct": F.lit(1)})
+            .unionByName(_steps(target_items, "target", {
+                **{c: F.col(c) for c in target_items.columns if c not in ITEM_COLUMNS},
+                "projected_distinct": F.when(F.col("rows_distinct").isNotNull(), 1)})))
+
+
+def _steps(items: DataFrame, side: str, steps: Mapping[str, Column]) -> DataFrame:
+    """One row per step; a step counts the items for which its column is not null."""
     totals = []
-    for i in range(len(names)):
-        day = F.when(F.col(f"n{i}") > 0, F.col("contract_date"))
-        totals += [F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}"),
-                   F.min(day).alias(f"first{i}"), F.max(day).alias(f"last{i}")]
-    rows = [F.struct(F.lit(split).alias("split"), F.lit(step).alias("step"), F.col(f"n{i}").alias("row_count"),
-                     F.col(f"first{i}").alias("first_date"), F.col(f"last{i}").alias("last_date"))
-            for i, (split, step) in enumerate(names)]
-    return grouped.agg(*totals).select(F.inline(F.array(*rows)))
+    for step, counted in steps.items():
+        day = F.when(counted.isNotNull(), F.col("contract_date"))
+        totals.append(F.struct(F.lit(side).alias("split"), F.lit(step).alias("step"),
+                               F.coalesce(F.sum(counted), F.lit(0)).alias("row_count"),
+                               F.min(day).alias("first_date"), F.max(day).alias("last_date")))
+    return items.agg(F.array(*totals).alias("_steps")).select(F.inline("_steps"))
 
 
-def common_population(customers: DataFrame, days: DataFrame, ref_month: str, classes: Sequence[str],
+def common_population(customers: DataFrame, contracts: DataFrame, ref_month: str, classes: Sequence[str],
                       categories: Sequence[str]) -> DataFrame:
     """IDs of customers in the snapshot, in the history and in the target."""
-    split_day: date = month_start(ref_month, 1)
-    in_target = ((F.col("contract_date") >= F.lit(split_day)) & not_in(F.col("product_class"), classes)
-                 & not_in(F.col("category"), categories))
-    both = (days.groupBy("customer_id")
+    split_day = month_start(ref_month, 1)
+    in_target = (F.col("contract_date") >= F.lit(split_day)) & eligible(classes, categories)
+    both = (contracts.groupBy("customer_id")
             .agg(F.max(F.col("contract_date") < F.lit(split_day)).alias("_history"),
                  F.max(in_target).alias("_target"))
             .filter("_history AND _target").select("customer_id"))

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from nextpick.defaults import LAST_PRODUCTS, NEGATIVE_RATIO, SEED
 from nextpick.operators import encode, features, labels, split, targets
-from nextpick.sources.stage import stage
+from nextpick.operators.joins import lookup_join
+from nextpick.sources.stage import keep, stage
 
 
 @dataclass(frozen=True)
@@ -18,6 +19,7 @@ class Snapshot:
     """Customers, encoded history and encoded target of one month, on their common IDs."""
 
     ref_month: str
+    ids: DataFrame
     customers: DataFrame
     history: DataFrame
     target: DataFrame
@@ -39,36 +41,38 @@ class ModelInput:
     table: DataFrame
 
 
-def stage_days(contracts: DataFrame) -> DataFrame:
-    """Contract days, computed once for everything that follows."""
-    return stage(split.contract_days(contracts), "contract-days")
+def stage_contracts(contracts: DataFrame) -> DataFrame:
+    """Complete contracts, extracted once for everything that follows."""
+    return stage(split.complete_contracts(contracts), "contracts")
 
 
-def learn_labels(days: DataFrame, ref_month: str, classes: Sequence[str], categories: Sequence[str]) -> DataFrame:
+def learn_labels(contracts: DataFrame, ref_month: str, classes: Sequence[str], categories: Sequence[str]) -> DataFrame:
     """Label dictionary of the development month, kept as a small table."""
-    history, target = split.temporal_split(split.contracts_until(days, ref_month), ref_month)
-    return stage(labels.assign_codes(history, split.exclude(target, classes, categories)).coalesce(1), "labels")
+    history, target = split.temporal_split(split.contracts_until(contracts, ref_month), ref_month)
+    return keep(labels.assign_codes(history, split.exclude(target, classes, categories)), "labels")
 
 
-def encoded_parts(days: DataFrame, ref_month: str, label_table: DataFrame, classes: Sequence[str],
+def encoded_parts(contracts: DataFrame, ref_month: str, label_table: DataFrame, classes: Sequence[str],
                   categories: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(history, target) with codes, one row per customer, category and date."""
-    history, target = split.temporal_split(split.contracts_until(days, ref_month), ref_month)
-    columns = ["customer_id", "category", "contract_date"]
-    history = labels.encode_category(history.select(*columns).distinct(), label_table)
-    target = labels.encode_category(
-        split.exclude(target, classes, categories).select(*columns).distinct(), label_table, target_only=True)
+    history, target = split.temporal_split(split.contracts_until(contracts, ref_month), ref_month)
+    bought = split.exclude(target, classes, categories)
+    history = labels.encode_category(history.select(*split.ITEM_COLUMNS).distinct(), label_table)
+    target = labels.encode_category(bought.select(*split.ITEM_COLUMNS).distinct(), label_table, target_only=True)
     return history, target
 
 
-def build_snapshot(customers: DataFrame, days: DataFrame, ref_month: str, label_table: DataFrame,
+def build_snapshot(customers: DataFrame, contracts: DataFrame, ref_month: str, label_table: DataFrame,
                    classes: Sequence[str], categories: Sequence[str]) -> Snapshot:
-    """One month restricted to the customers found in snapshot, history and target."""
-    until = split.contracts_until(days, ref_month)
+    """One month restricted to the customers found in snapshot, history and target.
+
+    Contracts of other customers are dropped before rows are made distinct.
+    """
+    until = split.contracts_until(contracts, ref_month)
     ids = stage(split.common_population(customers, until, ref_month, classes, categories), "population")
-    history, target = encoded_parts(days, ref_month, label_table, classes, categories)
-    return Snapshot(ref_month, split.restrict_to(customers, ids), split.restrict_to(history, ids),
-                    split.restrict_to(target, ids))
+    kept = lookup_join(until, ids, "customer_id", "left_semi")
+    history, target = encoded_parts(kept, ref_month, label_table, classes, categories)
+    return Snapshot(ref_month, ids, split.restrict_to(customers, ids), history, target)
 
 
 def raw_features(snapshot: Snapshot, last_products: int = LAST_PRODUCTS) -> DataFrame:
@@ -83,8 +87,8 @@ SUMMARY_COLUMNS = ["pre_contract_count", "pre_contract_month_min", "pre_contract
 
 
 def fit_encoders(raw: DataFrame, categorical: Sequence[str], numeric: Sequence[str]) -> Encoders:
-    return Encoders(stage(encode.fit_category_codes(raw, categorical), "categories"),
-                    stage(encode.fit_min_max(raw, numeric), "ranges"))
+    return Encoders(keep(encode.fit_category_codes(raw, categorical), "categories"),
+                    keep(encode.fit_min_max(raw, numeric), "ranges"))
 
 
 def encode_features(raw: DataFrame, encoders: Encoders, categorical: Sequence[str],
@@ -121,11 +125,11 @@ def make_input(snapshot: Snapshot, label_table: DataFrame, categorical: Sequence
 
 def split_table(model_input: ModelInput, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Modelling table with ``split``; all rows of a customer are on one side."""
-    sides = split.group_split(model_input.features, "customer_id", test_share, seed)
+    sides = split.group_split(model_input.snapshot.ids, "customer_id", test_share, seed)
     return model_input.table.join(sides, "customer_id")
 
 
-def unseen_categories(days: DataFrame, label_table: DataFrame) -> DataFrame:
+def unseen_categories(contracts: DataFrame, label_table: DataFrame) -> DataFrame:
     """Categories without a code, with their number of contracts."""
-    return (days.groupBy("category").agg(F.sum("contracts").alias("contracts"))
+    return (contracts.groupBy("category").agg(F.count(F.lit(1)).alias("contracts"))
             .join(label_table, "category", "left_anti"))

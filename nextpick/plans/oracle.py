@@ -436,8 +436,7 @@ _add("serving_input", f"""
 _add("baseline_picks", """
     SELECT id, category AS old_item FROM (
         SELECT customer_id, category, row_number() OVER (PARTITION BY customer_id ORDER BY count(*) DESC, category) AS place
-        FROM (SELECT DISTINCT customer_id, product_class, category, contract_date FROM dev_history_raw)
-        GROUP BY customer_id, category)
+        FROM dev_history_raw GROUP BY customer_id, category)
     JOIN population USING (customer_id) WHERE place = 1""")
 
 
@@ -449,7 +448,7 @@ def _audit(name: str, source: str, keys: str) -> str:
 
 _add("duplicate_audit", " UNION ALL ".join([
     _audit("contracts", "contracts", _ROW),
-    _audit("contract_days", "contracts", "customer_id, product_class, category, contract_date"),
+    _audit("items", "contracts", "customer_id, category, contract_date"),
     _audit("buyers", "contracts", "customer_id"),
     _audit("customers", "dev_customers", "customer_id")]))
 

@@ -44,19 +44,19 @@ def _day(column: str):
 
 @dataclass(frozen=True)
 class Base:
-    """Staged contract days and the label dictionary of the development month."""
+    """Staged contracts and the label dictionary of the development month."""
 
-    days: DataFrame
+    contracts: DataFrame
     labels: DataFrame
 
     def snapshot(self, spark: SparkSession, sf_dir: str, ref_month: str = DEVELOPMENT) -> dataset.Snapshot:
-        return dataset.build_snapshot(tables.customers(spark, sf_dir, ref_month), self.days, ref_month,
+        return dataset.build_snapshot(tables.customers(spark, sf_dir, ref_month), self.contracts, ref_month,
                                       self.labels, EXCLUDED_CLASSES, ALL_EXCLUDED)
 
 
 def _base(spark: SparkSession, sf_dir: str, until: str = DEVELOPMENT) -> Base:
-    days = dataset.stage_days(tables.contracts(spark, sf_dir, LAST[until]))
-    return Base(days, dataset.learn_labels(days, DEVELOPMENT, EXCLUDED_CLASSES, ALL_EXCLUDED))
+    contracts = dataset.stage_contracts(tables.contracts(spark, sf_dir, LAST[until]))
+    return Base(contracts, dataset.learn_labels(contracts, DEVELOPMENT, EXCLUDED_CLASSES, ALL_EXCLUDED))
 
 
 def _history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -104,7 +104,7 @@ def _held_out(spark: SparkSession, sf_dir: str) -> HeldOut:
     base = _base(spark, sf_dir)
     snapshot = base.snapshot(spark, sf_dir)
     pairs = targets.target_pairs(targets.positive_pairs(snapshot.target)).drop("target")
-    positives = stage(pairs.join(split.group_split(snapshot.customers), "customer_id"), "positives")
+    positives = stage(pairs.join(split.group_split(snapshot.ids), "customer_id"), "positives")
     codes = labels.code_list(base.labels, target_only=True)
     test = positives.filter("split = 'test'").select("customer_id").distinct()
     scored = evaluation.scored_candidates(test, snapshot.history, positives.filter("split = 'train'"), codes)
@@ -115,8 +115,8 @@ def _held_out(spark: SparkSession, sf_dir: str) -> HeldOut:
 
 @query
 def temporal_split_counts(spark, sf_dir):
-    days = split.contract_days(tables.contracts(spark, sf_dir, LAST[DEVELOPMENT]))
-    audit = split.split_audit(days, DEVELOPMENT, EXCLUDED_CLASSES, tables.EXCLUDED_CATEGORIES, tables.VARIANT)
+    contracts = split.complete_contracts(tables.contracts(spark, sf_dir, LAST[DEVELOPMENT]))
+    audit = split.split_audit(contracts, DEVELOPMENT, EXCLUDED_CLASSES, tables.EXCLUDED_CATEGORIES, tables.VARIANT)
     return audit.select("split", "step", "row_count", _day("first_date"), _day("last_date"))
 
 
@@ -128,21 +128,21 @@ def category_codes(spark, sf_dir):
 @query
 def encoded_history(spark, sf_dir):
     base = _base(spark, sf_dir)
-    history, _ = dataset.encoded_parts(base.days, DEVELOPMENT, base.labels, EXCLUDED_CLASSES, ALL_EXCLUDED)
+    history, _ = dataset.encoded_parts(base.contracts, DEVELOPMENT, base.labels, EXCLUDED_CLASSES, ALL_EXCLUDED)
     return history.select("customer_id", "category", "category_code", _day("contract_date"))
 
 
 @query
 def encoded_target(spark, sf_dir):
     base = _base(spark, sf_dir, LATER)
-    _, target = dataset.encoded_parts(base.days, LATER, base.labels, EXCLUDED_CLASSES, ALL_EXCLUDED)
+    _, target = dataset.encoded_parts(base.contracts, LATER, base.labels, EXCLUDED_CLASSES, ALL_EXCLUDED)
     return target.select("customer_id", "category", "category_code", _day("contract_date"))
 
 
 @query
 def common_population(spark, sf_dir):
-    days = split.contract_days(tables.contracts(spark, sf_dir, LAST[DEVELOPMENT]))
-    return split.common_population(tables.customers(spark, sf_dir, DEVELOPMENT), days, DEVELOPMENT,
+    contracts = split.complete_contracts(tables.contracts(spark, sf_dir, LAST[DEVELOPMENT]))
+    return split.common_population(tables.customers(spark, sf_dir, DEVELOPMENT), contracts, DEVELOPMENT,
                                    EXCLUDED_CLASSES, ALL_EXCLUDED)
 
 
@@ -238,7 +238,7 @@ def modelling_table_later(spark, sf_dir):
 
 @query
 def group_split(spark, sf_dir):
-    return split.group_split(_base(spark, sf_dir).snapshot(spark, sf_dir).customers)
+    return split.group_split(_base(spark, sf_dir).snapshot(spark, sf_dir).ids)
 
 
 # Scoring and evaluation
@@ -285,10 +285,10 @@ def hit_accuracy(spark, sf_dir):
 def hit_accuracy_later(spark, sf_dir):
     base = _base(spark, sf_dir, LATER)
     development, later = base.snapshot(spark, sf_dir), base.snapshot(spark, sf_dir, LATER)
-    sides = split.group_split(development.customers).filter("split = 'train'")
+    sides = split.group_split(development.ids).filter("split = 'train'")
     pairs = targets.target_pairs(targets.positive_pairs(development.target))
     train = pairs.join(sides.select("customer_id"), "customer_id", "left_semi")
-    scored = evaluation.scored_candidates(later.customers.select("customer_id"), later.history, train,
+    scored = evaluation.scored_candidates(later.ids, later.history, train,
                                           labels.code_list(base.labels, target_only=True))
     return evaluate.accuracy(evaluation.evaluate_picks(scored, later.target, base.labels))
 
@@ -399,7 +399,7 @@ def _scored_test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     snapshot = base.snapshot(spark, sf_dir)
     positives = stage(targets.positive_pairs(snapshot.target), "positives")
     negatives = targets.sample_negatives(positives, labels.code_list(base.labels, target_only=True))
-    pairs = targets.target_pairs(positives, negatives).join(split.group_split(snapshot.customers), "customer_id")
+    pairs = targets.target_pairs(positives, negatives).join(split.group_split(snapshot.ids), "customer_id")
     pairs = stage(pairs, "pairs")
     shares = cand.category_shares(pairs.filter("split = 'train' AND target = 1"))
     test = pairs.filter("split = 'test'").join(cand.holdings(snapshot.history), "customer_id", "left")
@@ -575,9 +575,9 @@ def serving_input(spark, sf_dir):
 
 @query
 def baseline_picks(spark, sf_dir):
-    days = split.contract_days(tables.contracts(spark, sf_dir, DEVELOPMENT))
+    contracts = split.complete_contracts(tables.contracts(spark, sf_dir, DEVELOPMENT))
     identities = extract.identity_map(_population(spark, sf_dir))
-    return extract.baseline_picks(identities, evaluation.most_frequent_category(days))
+    return extract.baseline_picks(identities, evaluation.most_frequent_category(contracts))
 
 
 # Checks and profiles
@@ -588,7 +588,7 @@ def duplicate_audit(spark, sf_dir):
     customers = tables.customers(spark, sf_dir, DEVELOPMENT)
     return checks.combine([
         checks.duplicate_audit(contracts, "contracts", contracts.columns),
-        checks.duplicate_audit(contracts, "contract_days", split.DAY_KEYS),
+        checks.duplicate_audit(contracts, "items", split.ITEM_COLUMNS),
         checks.duplicate_audit(contracts, "buyers", ["customer_id"]),
         checks.duplicate_audit(customers, "customers", ["customer_id"])])
 
@@ -597,7 +597,7 @@ def duplicate_audit(spark, sf_dir):
 def dataset_checks(spark, sf_dir):
     base, model_input = _inputs(spark, sf_dir)
     snapshot, table, encoded = model_input.snapshot, stage(model_input.table, "table"), model_input.features
-    sides = stage(split.group_split(snapshot.customers), "sides")
+    sides = stage(split.group_split(snapshot.ids), "sides")
     codes = labels.code_list(base.labels, target_only=True)
     test = sides.filter("split = 'test'").select("customer_id")
     positives = table.filter("target = 1")

@@ -25,6 +25,14 @@ def stage_root(spark: SparkSession) -> str:
     return stage_root(spark)
 
 
+def keep(frame: DataFrame, name: str, local_rows: int = 5_000) -> DataFrame:
+    """Fix a fitted table: a local relation if it has at most `local_rows` rows, else staged."""
+    table = frame.limit(local_rows + 1).toArrow()
+    if table.num_rows <= local_rows:
+        return frame.sparkSession.createDataFrame(table, schema=frame.schema)
+    return stage(frame, name)
+
+
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """Write `frame` as parquet under the shared folder and return a scan of it."""
     spark = frame.sparkSession

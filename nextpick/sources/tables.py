@@ -25,6 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle a scan that has fewer splits than the cluster has cores; leave others alone."""
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores, *keys) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def identity_code(customer_key) -> F.Column:
     """Second identity column of a customer, as the customer table spells it."""
     return F.concat(F.lit("Customer#"), F.lpad(customer_key.cast("string"), 9, "0"))
@@ -54,7 +60,8 @@ def contracts(spark: SparkSession, sf_dir: str, until: str | None = None, since:
     Parts and orders are lookups of the line items: broadcast if small, else joined by
     shuffle with hot parts and orders salted.
     """
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *line_columns)
+    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *line_columns),
+                   "l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product_class"),
         F.col("p_brand").alias("category"))
