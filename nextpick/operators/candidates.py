@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from nextpick.defaults import SEED
+from nextpick.functions.values import sample_hash
+
 PAIR_COLUMNS = ["target_category", "target", "has_item"]
 
 
@@ -49,7 +52,10 @@ def has_item(pairs: DataFrame) -> DataFrame:
 
 
 def affinity_score(pairs: DataFrame, shares: DataFrame) -> DataFrame:
-    """Add ``score = (contracts of the code + share of the code) / (contracts + 1)``."""
+    """Add ``score = (contracts of the code + share of the code) / (contracts + 1)``.
+
+    `shares` has one row per code of the dictionary and is broadcast.
+    """
     joined = pairs.join(F.broadcast(shares), "target_category", "left")
     own = F.coalesce(F.element_at("held", F.col("target_category")), F.lit(0))
     total = F.coalesce(F.col("held_total"), F.lit(0))
@@ -62,12 +68,12 @@ def rank_candidates(scored: DataFrame) -> DataFrame:
     return scored.withColumn("result_rank", F.row_number().over(order))
 
 
-def recommend(scored: DataFrame, customer_id=None, seed: int = 42) -> DataFrame:
-    """Ranked list for one customer; without an ID, for the one with the lowest seeded hash."""
+def one_customer(customers: DataFrame, customer_id=None, seed: int = SEED) -> DataFrame:
+    """Rows of one customer; without an ID, of the one with the lowest seeded hash."""
     if customer_id is None:
-        lowest = scored.agg(F.min_by("customer_id", F.struct(F.xxhash64(F.lit(seed), "customer_id"), "customer_id")))
-        return rank_candidates(scored.filter(F.col("customer_id") == lowest.scalar()))
-    return rank_candidates(scored.filter(F.col("customer_id") == customer_id))
+        order = F.struct(sample_hash(seed, "customer_id"), "customer_id")
+        customer_id = customers.agg(F.min_by("customer_id", order)).scalar()
+    return customers.filter(F.col("customer_id") == customer_id)
 
 
 def best_candidate(scored: DataFrame) -> DataFrame:

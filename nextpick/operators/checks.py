@@ -88,7 +88,7 @@ def expect_same_ids(left: DataFrame, right: DataFrame, key: str, name: str) -> D
 
 def expect_disjoint(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFrame:
     """IDs that both tables have."""
-    return expect_no_rows(left.select(key).distinct().join(right.select(key), key, "left_semi"), name)
+    return expect_no_rows(left.select(key).distinct().join(right.select(key).distinct(), key, "left_semi"), name)
 
 
 def expect_contiguous(frame: DataFrame, column: str, name: str) -> DataFrame:

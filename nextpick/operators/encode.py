@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nextpick.defaults import UNKNOWN
-from nextpick.operators.joins import lookup_join
+from nextpick.operators.joins import fits_broadcast, lookup_join
 from nextpick.operators.numbering import number_rows
 from nextpick.sources.stage import stage
 
@@ -34,16 +34,17 @@ def fit_category_codes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def apply_category_codes(frame: DataFrame, encoder: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Replace each column by its code; null and unseen values get the code of 'unknown'."""
-    fitted = {row.feature: row for row in encoder.filter(F.col("feature").isin(list(columns))).groupBy("feature").agg(
-        F.count(F.lit(1)).alias("rows"), F.max(F.when(F.col("value") == UNKNOWN, F.col("code"))).alias("unknown"))
-        .collect()}
+    fallback = {row.feature: row.code for row in
+                encoder.filter((F.col("value") == UNKNOWN) & F.col("feature").isin(list(columns))).collect()}
+    small = fits_broadcast(encoder)
     kept = frame.columns
     for c in columns:
         codes = encoder.filter(F.col("feature") == c).select(F.col("value").alias("_value"),
                                                              F.col("code").alias("_code"))
-        frame = (lookup_join(frame.withColumn("_value", F.col(c).cast("string")), codes, "_value", "left",
-                             lookup_rows=fitted[c].rows)
-                 .withColumn(c, F.coalesce("_code", F.lit(fitted[c].unknown))).drop("_value", "_code"))
+        valued = frame.withColumn("_value", F.col(c).cast("string"))
+        coded = (valued.join(F.broadcast(codes), "_value", "left") if small
+                 else lookup_join(valued, codes, "_value", "left"))
+        frame = coded.withColumn(c, F.coalesce("_code", F.lit(fallback[c]))).drop("_value", "_code")
     return frame.select(*kept)
 
 

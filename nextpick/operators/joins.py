@@ -6,12 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 250_000
+BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.001
 SALTS = 64
 
 
+def fits_broadcast(lookup: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Measure a lookup in one pass: at most `rows` rows and `size` bytes of text."""
+    text = [F.octet_length(f.name) for f in lookup.schema.fields if f.dataType in (T.StringType(), T.BinaryType())]
+    width = sum((F.coalesce(length, F.lit(0)) for length in text), F.lit(0))
+    found = lookup.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    return found["rows"] <= rows and found["size"] <= size
+
+
 def hot_keys(frame: DataFrame, key: str, share: float = HOT_SHARE) -> list:
     """Values of `key` that hold more than `share` of the rows; at most ``1 / share`` values.
 
@@ -53,15 +63,14 @@ def salted_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], ho
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], how: str = "inner",
                 probe: DataFrame | None = None, broadcast_rows: int = BROADCAST_ROWS,
-                hot_share: float = HOT_SHARE, salts: int = SALTS, lookup_rows: int | None = None) -> DataFrame:
+                hot_share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
     """Join `fact` to `lookup`, which holds each key at most once.
 
-    A lookup of at most `broadcast_rows` rows (counted, unless the caller knows) is broadcast, so `fact` is not
-    shuffled. A larger one is joined by shuffle, with the keys that are frequent in `probe`
-    (by default `fact`; pass the base table when `fact` is the result of other joins) salted.
+    A lookup measured to fit is broadcast, so `fact` is not shuffled. A larger one is joined
+    by shuffle, with the keys that are frequent in `probe` salted (by default `fact`; pass the
+    base table when `fact` is the result of other joins).
     """
-    rows = lookup.count() if lookup_rows is None else lookup_rows
-    if rows <= broadcast_rows:
+    if fits_broadcast(lookup, broadcast_rows):
         return fact.join(F.broadcast(lookup), key, how)
     lead = key if isinstance(key, str) else key[0]
     hot = hot_keys(fact if probe is None else probe, lead, hot_share)

@@ -12,10 +12,12 @@ from pyspark.sql import types as T
 from nextpick.defaults import SEED
 from nextpick.functions.dates import epoch_seconds, from_epoch_seconds, month_start
 from nextpick.functions.values import normal, uniform
+from nextpick.operators.numbering import running_total
 
 MAX_DISTINCT = 20
 PROFILE_SCHEMA = "column_name string, kind string, value string, share double, mean double, std double"
 _BUCKETS = 1024
+_UNITS = 10 ** 15
 
 
 def column_profile(frame: DataFrame, drop: Sequence[str] = ("customer_id",)) -> DataFrame:
@@ -72,29 +74,28 @@ def column_profile(frame: DataFrame, drop: Sequence[str] = ("customer_id",)) ->
 def _draw_value(rows: DataFrame, shares: DataFrame, column: str, key: str, seed: int) -> DataFrame:
     """Add `column`, drawn by share: an equi-join on share buckets, then an interval test.
 
-    A value is listed once per bucket its interval touches, so the lookup has no more than
-    values + buckets rows, and a value with a large share is spread over many buckets.
+    Shares are whole units, so the intervals leave no gap and do not overlap. A value is
+    listed once per bucket its interval touches: the lookup has no more than values + buckets
+    rows, and a value with a large share is spread over many buckets.
     """
-    draws = rows.withColumn("_u", uniform(seed, column, key)).withColumn(
-        "_bucket", F.floor(F.col("_u") * _BUCKETS).cast("int"))
-    slots = F.sequence(F.floor(F.col("low") * _BUCKETS).cast("int"),
-                       F.least(F.floor(F.col("high") * _BUCKETS), F.lit(_BUCKETS - 1)).cast("int"))
+    total = shares.agg(F.max("high")).first()[0]
+    width = -(-total // _BUCKETS)
+    draws = (rows.withColumn("_unit", F.floor(uniform(seed, column, key) * F.lit(float(total))).cast("bigint"))
+             .withColumn("_bucket", F.floor(F.col("_unit") / width)))
+    slots = F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))
     intervals = shares.select(F.col("value").alias(column), "low", "high", F.explode(slots).alias("_bucket"))
     return (draws.join(intervals, "_bucket")
-            .filter((F.col("_u") >= F.col("low")) & (F.col("_u") < F.col("high")))
-            .drop("_u", "_bucket", "low", "high"))
+            .filter((F.col("_unit") >= F.col("low")) & (F.col("_unit") < F.col("high")))
+            .drop("_unit", "_bucket", "low", "high"))
 
 
 def _intervals(profile: DataFrame, column: str) -> DataFrame:
-    """Values of a column with the interval of (0, 1) that stands for each."""
-    from nextpick.operators.numbering import running_total
-
-    shares = profile.filter((F.col("column_name") == column) & (F.col("kind") == "share")).select("value", "share")
-    through = running_total(shares, ["value"], F.col("share"), "high")
-    total = through.agg(F.max("high")).scalar()
-    # The last interval is stretched to 1 so that rounding leaves no gap.
-    return through.select("value", (F.col("high") - F.col("share")).alias("low"),
-                          F.when(F.col("high") >= total, F.lit(1.0)).otherwise(F.col("high")).alias("high"))
+    """Values of a column, each with the interval of units that stands for it."""
+    units = F.round(F.col("share") * _UNITS).cast("bigint").alias("units")
+    shares = (profile.filter((F.col("column_name") == column) & (F.col("kind") == "share"))
+              .select("value", units).filter("units > 0"))
+    through = running_total(shares, ["value"], F.col("units"), "high")
+    return through.select("value", (F.col("high") - F.col("units")).alias("low"), "high")
 
 
 def synthesize(spark: SparkSession, profile: DataFrame, columns: Mapping[str, str], rows: int,

@@ -12,16 +12,21 @@ from nextpick.functions.values import not_in, round_to_fifth
 from nextpick.operators.split import restrict_to
 
 
+def with_month(contracts: DataFrame) -> DataFrame:
+    return contracts.select(month_of(F.col("contract_date")).alias("month"),
+                            "customer_id", "product_class", "category")
+
+
 def monthly_purchases(contracts: DataFrame) -> DataFrame:
     """Distinct (month, customer, class, category)."""
-    return contracts.select(month_of(F.col("contract_date")).alias("month"),
-                            "customer_id", "product_class", "category").distinct()
+    return with_month(contracts).distinct()
 
 
 def monthly_customers(purchases: DataFrame, excluded_classes: Sequence[str],
                       cohort: DataFrame | None = None) -> DataFrame:
     """Distinct customers per month and category, optionally of a cohort only.
 
+    `purchases` need not be distinct.
     Customers are reduced to one row per month and category before they are counted, so a
     cell that holds most rows is spread over all tasks.
     """

@@ -24,6 +24,14 @@ def scored_candidates(customers: DataFrame, history: DataFrame, train_positives:
     return scored.drop("held", "held_total")
 
 
+def recommend(customers: DataFrame, history: DataFrame, train_positives: DataFrame, codes: Sequence[int],
+              label_table: DataFrame) -> DataFrame:
+    """Ranked list of all target categories by name for each of the customers."""
+    ranked = cand.rank_candidates(scored_candidates(customers, history, train_positives, codes))
+    named = labels.decode_category(ranked, label_table, "target_category", "prdct")
+    return named.select("customer_id", "result_rank", "prdct", "score")
+
+
 def evaluate_picks(scored: DataFrame, bought: DataFrame, label_table: DataFrame) -> DataFrame:
     """Best pick per customer by name, with the true items and the hit."""
     best = labels.decode_category(cand.best_candidate(scored), label_table, "target_category", "pred_item")

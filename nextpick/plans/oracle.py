@@ -328,7 +328,9 @@ _RANKED = """
            AS INTEGER) AS result_rank, category AS prdct, score
     FROM scored JOIN label_codes ON code = target_category"""
 _add("ranked_candidates", _RANKED)
-_add("recommend_one", f"SELECT * FROM ({_RANKED}) WHERE customer_id = (SELECT max(customer_id) FROM scored)")
+_add("recommend_one", f"""
+    SELECT * FROM ({_RANKED}) WHERE customer_id = (
+        SELECT customer_id FROM scored ORDER BY md5(concat_ws('|', '42', customer_id)), customer_id LIMIT 1)""")
 _add("best_candidate", "SELECT customer_id, pred_item, score FROM picks")
 _add("true_items", "SELECT customer_id, string_agg(category, ',' ORDER BY category) AS true_item FROM test GROUP BY ALL")
 _add("hit_accuracy", _accuracy("evaluated"))

@@ -81,7 +81,14 @@ class HeldOut:
     codes: list[int]
     history: DataFrame
     positives: DataFrame
-    scored: DataFrame
+
+    @property
+    def customers(self) -> DataFrame:
+        return self.test.select("customer_id").distinct()
+
+    @property
+    def scored(self) -> DataFrame:
+        return evaluation.scored_candidates(self.customers, self.history, self.train, self.codes)
 
     @property
     def train(self) -> DataFrame:
@@ -105,10 +112,7 @@ def _held_out(spark: SparkSession, sf_dir: str) -> HeldOut:
     snapshot = base.snapshot(spark, sf_dir)
     pairs = targets.target_pairs(targets.positive_pairs(snapshot.target)).drop("target")
     positives = stage(pairs.join(split.group_split(snapshot.ids), "customer_id"), "positives")
-    codes = labels.code_list(base.labels, target_only=True)
-    test = positives.filter("split = 'test'").select("customer_id").distinct()
-    scored = evaluation.scored_candidates(test, snapshot.history, positives.filter("split = 'train'"), codes)
-    return HeldOut(base.labels, codes, snapshot.history, positives, scored)
+    return HeldOut(base.labels, labels.code_list(base.labels, target_only=True), snapshot.history, positives)
 
 
 # Dataset building
@@ -251,18 +255,14 @@ def candidate_scores(spark, sf_dir):
 @query
 def ranked_candidates(spark, sf_dir):
     held_out = _held_out(spark, sf_dir)
-    ranked = cand.rank_candidates(held_out.scored)
-    named = labels.decode_category(ranked, held_out.labels, "target_category", "prdct")
-    return named.select("customer_id", "result_rank", "prdct", "score")
+    return evaluation.recommend(held_out.customers, held_out.history, held_out.train, held_out.codes, held_out.labels)
 
 
 @query
 def recommend_one(spark, sf_dir):
     held_out = _held_out(spark, sf_dir)
-    scored = stage(held_out.scored, "scored")
-    ranked = cand.recommend(scored, scored.agg(F.max("customer_id")).scalar())
-    named = labels.decode_category(ranked, held_out.labels, "target_category", "prdct")
-    return named.select("customer_id", "result_rank", "prdct", "score")
+    return evaluation.recommend(cand.one_customer(held_out.customers), held_out.history, held_out.train,
+                                held_out.codes, held_out.labels)
 
 
 @query
@@ -418,16 +418,17 @@ def auc(spark, sf_dir):
 
 # Trend
 
-def _eligible(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+def _eligible(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None,
+              part_columns: tuple[str, ...] = ()) -> DataFrame:
     contracts = tables.contracts(spark, sf_dir, until, since, ("o_orderpriority", "o_orderstatus"),
-                                 ("l_returnflag", "l_linestatus"))
+                                 ("l_returnflag", "l_linestatus"), part_columns)
     condition = ((F.col("o_orderpriority") != "5-LOW")
                  & ((F.col("l_returnflag") == "N") | F.col("o_orderstatus").isin("F"))
                  & (F.col("l_linestatus") == "O"))
     masters = tables.table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "customer_id")
     eligible = extract.eligible_contracts(contracts, masters, condition, F.col("c_mktsegment") == "BUILDING",
                                           probe=tables.order_keys(spark, sf_dir))
-    return eligible.select("customer_id", "product_code", "product_class", "category", "contract_date")
+    return eligible.select(*split.CONTRACT_COLUMNS, *part_columns)
 
 
 @query
@@ -444,29 +445,26 @@ def monthly_purchases(spark, sf_dir):
 @query
 def monthly_product_names(spark, sf_dir):
     month = TREND_MONTHS[-1]
-    contracts = _eligible(spark, sf_dir, since=month, until=month)
-    names = tables.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("product_code"),
-                                                       F.col("p_name").alias("product_name"))
-    found = contracts.join(names, "product_code")
-    return found.select(month_of(F.col("contract_date")).alias("month"), "customer_id", "product_name",
-                        "product_class", "category").distinct()
+    found = _eligible(spark, sf_dir, since=month, until=month, part_columns=("p_name",))
+    return found.select(month_of(F.col("contract_date")).alias("month"), "customer_id",
+                        F.col("p_name").alias("product_name"), "product_class", "category").distinct()
 
 
 @query
 def monthly_customers(spark, sf_dir):
-    purchases = trend.monthly_purchases(_eligible(spark, sf_dir, since=TREND_SINCE))
+    purchases = trend.with_month(_eligible(spark, sf_dir, since=TREND_SINCE))
     return trend.monthly_customers(purchases, EXCLUDED_CLASSES)
 
 
 @query
 def monthly_trend(spark, sf_dir):
-    purchases = trend.monthly_purchases(_eligible(spark, sf_dir, TREND_SINCE, TREND_MONTHS[-1]))
+    purchases = trend.with_month(_eligible(spark, sf_dir, TREND_SINCE, TREND_MONTHS[-1]))
     return trend.monthly_trend(purchases, TREND_MONTHS, "200005", EXCLUDED_CLASSES)
 
 
 @query
 def monthly_trend_cohort(spark, sf_dir):
-    purchases = trend.monthly_purchases(_eligible(spark, sf_dir, TREND_SINCE, TREND_MONTHS[-1]))
+    purchases = trend.with_month(_eligible(spark, sf_dir, TREND_SINCE, TREND_MONTHS[-1]))
     snapshot = tables.customers(spark, sf_dir, DEVELOPMENT).filter("balance IS NOT NULL")
     return trend.monthly_trend(purchases, TREND_MONTHS, "200005", EXCLUDED_CLASSES, snapshot)
 
@@ -524,7 +522,7 @@ def coverage_risk_pairs(spark, sf_dir):
 
 @query
 def product_reference(spark, sf_dir):
-    pairs = _coverage_pairs(spark, sf_dir)
+    pairs = stage(_coverage_pairs(spark, sf_dir), "pairs")
     products = _products(spark, sf_dir).withColumn("product_code", F.col("product_code").cast("string"))
     coverages = _coverages(spark, sf_dir).withColumn("coverage_code", F.col("coverage_code").cast("string"))
     return extract.product_reference(products, coverages, pairs).select(
@@ -542,9 +540,10 @@ def _source_contracts(spark: SparkSession, sf_dir: str, ref_month: str) -> DataF
     return contracts.withColumn("identity_code", tables.identity_code(F.col("customer_id")))
 
 
-def _population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract.base_population(tables.customers(spark, sf_dir, DEVELOPMENT),
-                                   _source_contracts(spark, sf_dir, DEVELOPMENT), DEVELOPMENT)
+def _population(spark: SparkSession, sf_dir: str, contracts: DataFrame | None = None) -> DataFrame:
+    if contracts is None:
+        contracts = _source_contracts(spark, sf_dir, DEVELOPMENT)
+    return extract.base_population(tables.customers(spark, sf_dir, DEVELOPMENT), contracts, DEVELOPMENT)
 
 
 @query
@@ -559,10 +558,10 @@ def identity_map(spark, sf_dir):
 
 @query
 def training_extract(spark, sf_dir):
-    population = stage(_population(spark, sf_dir), "population")
-    found = extract.training_extract(population, _source_contracts(spark, sf_dir, DEVELOPMENT), DEVELOPMENT,
-                                     ["product_code", "product_class", "category", "contract_date"],
-                                     probe=tables.order_keys(spark, sf_dir))
+    contracts = stage(_source_contracts(spark, sf_dir, DEVELOPMENT), "contracts")
+    population = _population(spark, sf_dir, contracts)
+    found = extract.training_extract(population, contracts, DEVELOPMENT,
+                                     ["product_code", "product_class", "category", "contract_date"])
     return found.select("id", "product_code", "product_class", "category", _day("contract_date"))
 
 
@@ -575,16 +574,17 @@ def serving_input(spark, sf_dir):
 
 @query
 def baseline_picks(spark, sf_dir):
-    contracts = split.complete_contracts(tables.contracts(spark, sf_dir, DEVELOPMENT))
-    identities = extract.identity_map(_population(spark, sf_dir))
-    return extract.baseline_picks(identities, evaluation.most_frequent_category(contracts))
+    contracts = stage(_source_contracts(spark, sf_dir, DEVELOPMENT), "contracts")
+    identities = extract.identity_map(_population(spark, sf_dir, contracts))
+    history, _ = split.temporal_split(contracts, DEVELOPMENT)
+    return extract.baseline_picks(identities, evaluation.most_frequent_category(history))
 
 
 # Checks and profiles
 
 @query
 def duplicate_audit(spark, sf_dir):
-    contracts = tables.contracts(spark, sf_dir)
+    contracts = dataset.stage_contracts(tables.contracts(spark, sf_dir))
     customers = tables.customers(spark, sf_dir, DEVELOPMENT)
     return checks.combine([
         checks.duplicate_audit(contracts, "contracts", contracts.columns),
@@ -596,7 +596,9 @@ def duplicate_audit(spark, sf_dir):
 @query
 def dataset_checks(spark, sf_dir):
     base, model_input = _inputs(spark, sf_dir)
-    snapshot, table, encoded = model_input.snapshot, stage(model_input.table, "table"), model_input.features
+    table, encoded = stage(model_input.table, "table"), stage(model_input.features, "encoded")
+    snapshot = model_input.snapshot
+    history, target = stage(snapshot.history, "history"), stage(snapshot.target, "target")
     sides = stage(split.group_split(snapshot.ids), "sides")
     codes = labels.code_list(base.labels, target_only=True)
     test = sides.filter("split = 'test'").select("customer_id")
@@ -606,8 +608,8 @@ def dataset_checks(spark, sf_dir):
         positives.select(F.col("target_category").alias("code")), "code", "left_anti")
     nulls = F.greatest(*[F.col(c).isNull().cast("int") for c in [*CATEGORICAL, *dataset.SUMMARY_COLUMNS]]) == 1
     return checks.combine([
-        checks.expect_history_before_target(snapshot.history, snapshot.target, "history before target"),
-        checks.expect_periods(snapshot.target, 6, "target spans six periods"),
+        checks.expect_history_before_target(history, target, "history before target"),
+        checks.expect_periods(target, 6, "target spans six periods"),
         checks.expect_single_value(snapshot.customers, "ref_month", "one reference month"),
         checks.expect_unique(snapshot.customers, ["customer_id"], "customers unique"),
         checks.expect_row_count(encoded, checks.row_count(snapshot.customers), "features keep rows"),
@@ -620,8 +622,8 @@ def dataset_checks(spark, sf_dir):
                                 "candidates complete"),
         checks.expect_row_count(sides, checks.row_count(snapshot.customers), "split covers all"),
         checks.expect_contiguous(second, "label", "classes contiguous"),
-        checks.expect_same_ids(snapshot.customers, snapshot.target, "customer_id", "target has all customers"),
-        checks.expect_same_ids(snapshot.customers, snapshot.history, "customer_id", "history has all customers"),
+        checks.expect_same_ids(snapshot.customers, target, "customer_id", "target has all customers"),
+        checks.expect_same_ids(snapshot.customers, history, "customer_id", "history has all customers"),
         checks.expect_no_rows(missing, "every label occurs")])
 
 

@@ -2,7 +2,8 @@
 
 A staged table cuts lineage, so it is read by several consumers without running its
 plan again, and it survives the loss of executors because it lives in the folder all nodes
-share. That folder is the session's ``spark.checkpoint.dir``.
+share. That folder is the session's ``spark.checkpoint.dir``; each application has one folder
+in it, which can be deleted when the application has ended.
 """
 
 from __future__ import annotations
@@ -36,6 +37,6 @@ def keep(frame: DataFrame, name: str, local_rows: int = 5_000) -> DataFrame:
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """Write `frame` as parquet under the shared folder and return a scan of it."""
     spark = frame.sparkSession
-    path = f"{stage_root(spark)}/stage/{name}-{uuid4().hex}"
+    path = f"{stage_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

@@ -54,7 +54,8 @@ def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contracts(spark: SparkSession, sf_dir: str, until: str | None = None, since: str | None = None,
-              order_columns: tuple[str, ...] = (), line_columns: tuple[str, ...] = ()) -> DataFrame:
+              order_columns: tuple[str, ...] = (), line_columns: tuple[str, ...] = (),
+              part_columns: tuple[str, ...] = ()) -> DataFrame:
     """Contracts of the months `since` to `until` (``yyyyMM``, both included).
 
     Parts and orders are lookups of the line items: broadcast if small, else joined by
@@ -64,7 +65,7 @@ def contracts(spark: SparkSession, sf_dir: str, until: str | None = None, since:
                    "l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product_class"),
-        F.col("p_brand").alias("category"))
+        F.col("p_brand").alias("category"), *part_columns)
     orders = table(spark, sf_dir, "orders")
     if until:
         orders = orders.filter(F.col("o_orderdate") < F.lit(month_start(until, 1)).cast("timestamp_ntz"))
@@ -75,4 +76,4 @@ def contracts(spark: SparkSession, sf_dir: str, until: str | None = None, since:
     joined = lookup_join(lookup_join(lines, parts, "l_partkey"), orders, "l_orderkey", probe=lines)
     return joined.select(
         "customer_id", F.col("l_partkey").alias("product_code"), "product_class", "category", "contract_date",
-        *order_columns, *line_columns)
+        *order_columns, *line_columns, *part_columns)

@@ -161,9 +161,9 @@ def test_equal_scores_go_to_the_lower_code(spark):
     scored = spark.createDataFrame([(1, 2, 0.5), (1, 1, 0.5), (1, 3, 0.1), (2, 3, 0.2)],
                                    "customer_id int, target_category int, score double")
     assert rows(cand.best_candidate(scored)) == [(1, 1, 0.5), (2, 3, 0.2)]
-    assert [(r.target_category, r.result_rank) for r in cand.recommend(scored, 1).orderBy("result_rank").collect()] == [
-        (1, 1), (2, 2), (3, 3)]
-    assert cand.recommend(scored).select("customer_id").distinct().count() == 1
+    ranked = cand.rank_candidates(cand.one_customer(scored, 1)).orderBy("result_rank").collect()
+    assert [(r.target_category, r.result_rank) for r in ranked] == [(1, 1), (2, 2), (3, 3)]
+    assert cand.one_customer(scored).select("customer_id").distinct().count() == 1
 
 
 def test_entity_rows(spark):
