@@ -14,20 +14,21 @@ HOT_SHARE = 0.001
 SALTS = 64
 
 
-def fits_broadcast(lookup: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure a lookup in one pass: at most `rows` rows and `size` bytes of text."""
+def fits_broadcast(lookup: DataFrame) -> bool:
+    """Measure a lookup in one pass: at most BROADCAST_ROWS rows and BROADCAST_BYTES of text."""
     text = [F.octet_length(f.name) for f in lookup.schema.fields if f.dataType in (T.StringType(), T.BinaryType())]
     width = sum((F.coalesce(length, F.lit(0)) for length in text), F.lit(0))
     found = lookup.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
-    return found["rows"] <= rows and found["size"] <= size
+    return found["rows"] <= BROADCAST_ROWS and found["size"] <= BROADCAST_BYTES
 
 
-def hot_keys(frame: DataFrame, key: str, share: float = HOT_SHARE) -> list:
-    """Values of `key` that hold more than `share` of the rows; at most ``1 / share`` values.
+def hot_keys(frame: DataFrame, key: str, share: float | None = None) -> list:
+    """Values of `key` that hold more than `share` (HOT_SHARE) of the rows; at most ``1 / share``.
 
     A frequent-item sketch names the suspects in one pass without a shuffle (it never
     misses one), a second pass counts only the suspects.
     """
+    share = share or HOT_SHARE
     suspects = frame.select(key).stat.freqItems([key], share).first()[0] or []
     suspects = [value for value in suspects if value is not None]
     if not suspects:
@@ -62,16 +63,14 @@ def salted_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], ho
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], how: str = "inner",
-                probe: DataFrame | None = None, broadcast_rows: int = BROADCAST_ROWS,
-                hot_share: float = HOT_SHARE, salts: int = SALTS) -> DataFrame:
+                probe: DataFrame | None = None) -> DataFrame:
     """Join `fact` to `lookup`, which holds each key at most once.
 
     A lookup measured to fit is broadcast, so `fact` is not shuffled. A larger one is joined
     by shuffle, with the keys that are frequent in `probe` salted (by default `fact`; pass the
     base table when `fact` is the result of other joins).
     """
-    if fits_broadcast(lookup, broadcast_rows):
+    if fits_broadcast(lookup):
         return fact.join(F.broadcast(lookup), key, how)
     lead = key if isinstance(key, str) else key[0]
-    hot = hot_keys(fact if probe is None else probe, lead, hot_share)
-    return salted_join(fact, lookup, key, hot, how, salts)
+    return salted_join(fact, lookup, key, hot_keys(fact if probe is None else probe, lead), how)

@@ -13,16 +13,16 @@ ONE_TASK_ROWS = 100_000
 
 
 def running_total(frame: DataFrame, order: Sequence[str], value: Column, name: str,
-                  group: Sequence[str] = (), one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+                  group: Sequence[str] = ()) -> DataFrame:
     """Running total of `value` along `order`, restarting per `group`.
 
-    A frame of at most `one_task_rows` rows (counted; stage it first if it is costly) takes
+    A frame of at most ONE_TASK_ROWS rows (counted; stage it first if it is costly) takes
     one window. A larger one is range-partitioned and staged, and each range adds the totals of
     the ranges before it, a table of at most one row per range and group. (`group`, `order`)
     must be unique.
     """
     group, order = list(group), list(order)
-    if frame.count() <= one_task_rows:
+    if frame.count() <= ONE_TASK_ROWS:
         whole = (Window.partitionBy(*group).orderBy(*order)
                  .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return frame.withColumn(name, F.sum(value).over(whole))
@@ -40,10 +40,9 @@ def running_total(frame: DataFrame, order: Sequence[str], value: Column, name: s
             .drop("_value", "_range", "_before"))
 
 
-def number_rows(frame: DataFrame, order: Sequence[str], name: str, group: Sequence[str] = (),
-                one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def number_rows(frame: DataFrame, order: Sequence[str], name: str, group: Sequence[str] = ()) -> DataFrame:
     """Dense position 1..n along `order`, restarting per `group`."""
-    return running_total(frame, order, F.lit(1).cast("bigint"), name, group, one_task_rows)
+    return running_total(frame, order, F.lit(1).cast("bigint"), name, group)
 
 
 def mark_lowest(rows: DataFrame, quotas: DataFrame, group: str, hash_column: str, tie: str,

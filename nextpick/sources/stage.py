@@ -13,6 +13,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+LOCAL_ROWS = 5_000
+
 
 def stage_root(spark: SparkSession) -> str:
     """Folder for staged tables; a local session without a setting gets a temporary one."""
@@ -26,10 +28,10 @@ def stage_root(spark: SparkSession) -> str:
     return stage_root(spark)
 
 
-def keep(frame: DataFrame, name: str, local_rows: int = 5_000) -> DataFrame:
-    """Fix a fitted table: a local relation if it has at most `local_rows` rows, else staged."""
-    table = frame.limit(local_rows + 1).toArrow()
-    if table.num_rows <= local_rows:
+def keep(frame: DataFrame, name: str) -> DataFrame:
+    """Fix a fitted table: a local relation if it has at most LOCAL_ROWS rows, else staged."""
+    table = frame.limit(LOCAL_ROWS + 1).toArrow()
+    if table.num_rows <= LOCAL_ROWS:
         return frame.sparkSession.createDataFrame(table, schema=frame.schema)
     return stage(frame, name)
 

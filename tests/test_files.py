@@ -94,8 +94,9 @@ def test_stage_uses_the_shared_folder(spark):
     assert stage.stage(spark.range(5).filter("id > 9"), "none").count() == 0
 
 
-def test_keep_stages_larger_tables(spark):
+def test_keep_stages_larger_tables(spark, monkeypatch):
     kept = stage.keep(spark.range(10).withColumn("name", F.lit("x")), "small")
     assert kept.inputFiles() == [] and kept.count() == 10
-    staged = stage.keep(spark.range(10), "large", local_rows=3)
+    monkeypatch.setattr(stage, "LOCAL_ROWS", 3)
+    staged = stage.keep(spark.range(10), "large")
     assert staged.inputFiles() and staged.count() == 10

@@ -4,10 +4,27 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
+import compare
 from nextpick.operators import candidates as cand
-from nextpick.operators import encode, evaluate, extract, split, targets
+from nextpick.operators import encode, evaluate, extract, joins, numbering, split, targets
 from nextpick.operators.joins import hot_keys, lookup_join, salted_join
 from nextpick.operators.numbering import mark_lowest, number_rows, running_total
+from nextpick.sources import stage
+
+
+@pytest.fixture
+def beyond(spark, monkeypatch):
+    """Every table counts as too large for one task, one node or the driver."""
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(joins, "HOT_SHARE", 0.01)
+    monkeypatch.setattr(numbering, "ONE_TASK_ROWS", -1)
+    monkeypatch.setattr(stage, "LOCAL_ROWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
 def rows(frame):
@@ -33,19 +50,26 @@ def test_hot_keys_are_exact(skewed):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(skewed, lookup, how):
+def test_salted_join_equals_plain_join(skewed, lookup, how, beyond):
     expected = rows(skewed.join(lookup, "key", how))
     assert rows(lookup_join(skewed, lookup, "key", how)) == expected
-    assert rows(lookup_join(skewed, lookup, "key", how, broadcast_rows=0, hot_share=0.05)) == expected
-    assert rows(lookup_join(skewed, lookup, "key", how, broadcast_rows=0, hot_share=0.05,
-                            probe=skewed.select("key"))) == expected
+    assert rows(lookup_join(skewed, lookup, "key", how, probe=skewed.select("key"))) == expected
 
 
-def test_salted_join_on_two_keys(skewed, lookup):
+def test_salted_join_on_two_keys(skewed, lookup, beyond):
     left = skewed.withColumn("other", F.col("key") + 1)
     right = lookup.withColumn("other", F.col("key") + 1)
     expected = rows(left.join(right, ["key", "other"]))
-    assert rows(lookup_join(left, right, ["key", "other"], broadcast_rows=0, hot_share=0.05)) == expected
+    assert rows(lookup_join(left, right, ["key", "other"])) == expected
+
+
+def test_lookup_is_measured(lookup, monkeypatch):
+    assert joins.fits_broadcast(lookup)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 100)
+    assert not joins.fits_broadcast(lookup)
+    assert joins.fits_broadcast(lookup.select("key"))
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 299)
+    assert not joins.fits_broadcast(lookup.select("key"))
 
 
 def test_salts_spread_a_hot_key_and_its_copies(spark, skewed, lookup):
@@ -62,12 +86,13 @@ def test_salts_spread_a_hot_key_and_its_copies(spark, skewed, lookup):
     assert len(sizes) >= 6 and max(sizes) < sum(sizes) / 2
 
 
-def test_running_total_over_ranges(spark):
+def test_running_total_over_ranges(spark, monkeypatch):
     frame = spark.range(0, 500).select((F.col("id") % 3).cast("string").alias("group"),
                                        F.md5(F.col("id").cast("string")).alias("place"), (F.col("id") % 7).alias("n"))
     expected = rows(running_total(frame, ["place"], F.col("n"), "total", ["group"]))
-    assert rows(running_total(frame, ["place"], F.col("n"), "total", ["group"], one_task_rows=0)) == expected
-    numbered = number_rows(frame, ["place"], "number", one_task_rows=0)
+    monkeypatch.setattr(numbering, "ONE_TASK_ROWS", -1)
+    assert rows(running_total(frame, ["place"], F.col("n"), "total", ["group"])) == expected
+    numbered = number_rows(frame, ["place"], "number")
     assert [row.number for row in numbered.orderBy("place").collect()] == list(range(1, 501))
 
 
@@ -90,26 +115,37 @@ def test_sample_does_not_depend_on_prefix_or_partitioning(spark):
     assert rows(split.group_split(positives.repartition(5), digits=1)) == sides
 
 
-def test_category_codes_over_ranges(spark, monkeypatch):
+def test_category_codes_beyond_one_task(spark, request):
     frame = spark.createDataFrame([("b", "x"), ("a", None), ("가", "Z"), ("b", "x")], "one string, two string")
-    expected = rows(encode.fit_category_codes(frame, ["one", "two"]))
-    original = encode.number_rows
-    monkeypatch.setattr(encode, "number_rows", lambda *a, **k: original(*a, **k, one_task_rows=0))
-    assert rows(encode.fit_category_codes(frame, ["one", "two"])) == expected
+    codes = encode.fit_category_codes(frame, ["one", "two"])
+    expected = rows(codes), rows(encode.apply_category_codes(frame, codes, ["one", "two"]))
+    request.getfixturevalue("beyond")
+    codes = encode.fit_category_codes(frame, ["one", "two"])
+    assert (rows(codes), rows(encode.apply_category_codes(frame, codes, ["one", "two"]))) == expected
 
 
-def test_training_extract_beyond_broadcast(spark, monkeypatch):
-    population = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, 30, "c")], "id long, customer_id long, identity_code string")
+def test_training_extract_beyond_broadcast(spark, request):
+    population = spark.createDataFrame([(1, 10, "a"), (2, 20, "b"), (3, 30, "c")],
+                                       "id long, customer_id long, identity_code string")
     contracts = spark.range(0, 300).select(
         F.when(F.col("id") % 3 == 0, 20).when(F.col("id") % 10 == 1, 10).otherwise(99).cast("long").alias("customer_id"),
         F.when(F.col("id") % 3 == 0, "b").otherwise("a").alias("identity_code"),
         F.col("id").alias("product_code"), F.to_date(F.lit("2000-01-05")).alias("contract_date"))
     expected = rows(extract.training_extract(population, contracts, "199912", ["product_code"]))
-    original = extract.lookup_join
-    monkeypatch.setattr(extract, "lookup_join", lambda *a, **k: original(*a, **k, broadcast_rows=0, hot_share=0.05))
+    assert (3, None) in expected
+    request.getfixturevalue("beyond")
     assert rows(extract.training_extract(population, contracts, "199912", ["product_code"])) == expected
-    assert (3, None) in [(row.id, row.product_code) for row in
-                         extract.training_extract(population, contracts, "199912", ["product_code"]).collect()]
+
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", ["category_codes", "encoded_features", "modelling_table", "group_split", "hit_accuracy",
+                                  "auc", "eligible_contracts", "product_reference", "training_extract", "serving_input",
+                                  "baseline_picks", "monthly_product_names"])
+def test_queries_beyond_broadcast(spark, beyond, name):
+    found = compare.spark_rows(contract.queries()[name](spark, SF_DIR))
+    assert found == compare.duckdb_rows(compare.connect(SF_DIR), contract.oracle_sql()[name])
 
 
 def plan(frame):
@@ -131,12 +167,3 @@ def test_rank_limit_runs_before_the_shuffle(spark):
     history = spark.createDataFrame([(1, "2000-01-01", 1)], "customer_id long, contract_date string, category_code int")
     from nextpick.operators import features
     assert plan(features.last_n_products(history)).count("WindowGroupLimit") == 2
-
-
-def test_auc_over_ranges(spark, monkeypatch):
-    scored = spark.range(0, 300).select((F.col("id") % 2).cast("int").alias("target"),
-                                        ((F.col("id") * 7 % 31) / 31).alias("score"))
-    expected = rows(evaluate.auc(scored))
-    original = evaluate.running_total
-    monkeypatch.setattr(evaluate, "running_total", lambda *a, **k: original(*a, **k, one_task_rows=0))
-    assert rows(evaluate.auc(scored)) == expected
