@@ -8,6 +8,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nextpick.operators.joins import lookup_join
+
 MAX_CODES = 5_000
 
 
@@ -46,12 +48,12 @@ def code_list(labels: DataFrame, target_only: bool = False) -> list[int]:
 def encode_category(frame: DataFrame, labels: DataFrame, target_only: bool = False) -> DataFrame:
     """Add ``category_code``; null where the dictionary does not have the category."""
     chosen = labels.filter("in_target") if target_only else labels
-    return frame.join(chosen.select("category", F.col("code").alias("category_code")), "category", "left")
+    return lookup_join(frame, chosen.select("category", F.col("code").alias("category_code")), "category", "left")
 
 
 def decode_category(frame: DataFrame, labels: DataFrame, code: str, name: str) -> DataFrame:
     """Add the category name of the code in `code` under `name`."""
-    return frame.join(labels.select(F.col("code").alias(code), F.col("category").alias(name)), code, "left")
+    return lookup_join(frame, labels.select(F.col("code").alias(code), F.col("category").alias(name)), code, "left")
 
 
 @dataclass(frozen=True)
