@@ -83,6 +83,11 @@ def best_candidate(scored: DataFrame) -> DataFrame:
         "customer_id", (-F.col("_best._code")).alias("target_category"), F.col("_best.score").alias("score"))
 
 
-def true_items(bought: DataFrame, item: str = "category") -> DataFrame:
-    """Sorted list of the distinct items each customer bought (no longer than the dictionary)."""
+def true_items(bought: DataFrame, item: str = "category", allowed: Sequence[str] | None = None) -> DataFrame:
+    """Sorted list of the distinct items each customer bought (no longer than the dictionary).
+
+    With `allowed`, other items do not count and a customer without an allowed one has no row.
+    """
+    if allowed is not None:
+        bought = bought.filter(F.col(item).isin(list(allowed)))
     return bought.groupBy("customer_id").agg(F.sort_array(F.collect_set(item)).alias("true_item"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nextpick.operators import candidates as cand
 from nextpick.operators import evaluate, labels
+from nextpick.sources.stage import stage
 
 
 def scored_candidates(customers: DataFrame, history: DataFrame, train_positives: DataFrame,
@@ -38,6 +39,32 @@ def evaluate_picks(scored: DataFrame, bought: DataFrame, label_table: DataFrame)
     return evaluate.mark_hits(best.select("customer_id", "pred_item", "score"), cand.true_items(bought))
 
 
+def evaluate_split(test: DataFrame, train: DataFrame, label_table: DataFrame,
+                   score: Callable[[DataFrame], DataFrame], baseline: DataFrame | None = None,
+                   allowed: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Reports of a model on modelling-table rows of held-out customers.
+
+    `score` adds a ``score`` column to candidates. Only customers that bought something are
+    evaluated. `baseline` holds the older recommender's picks; `allowed` limits its truth.
+    """
+    positives = cand.positives(test)
+    codes = labels.code_list(label_table, target_only=True)
+    bought = labels.decode_category(positives.select("customer_id", "target_category"), label_table,
+                                    "target_category", "category")
+    scored = score(cand.candidates(cand.entity_rows(positives), codes))
+    evaluated = stage(evaluate_picks(scored, bought, label_table), "evaluated")
+    trained = labels.decode_category(cand.positives(train).select("target_category"), label_table,
+                                     "target_category", "category")
+    reports = {"evaluated": evaluated, "accuracy": evaluate.accuracy(evaluated),
+               "by_category": evaluate.accuracy_by_category(evaluated),
+               "train_test_mix": evaluate.train_test_mix(trained, evaluated)}
+    if baseline is not None:
+        old = evaluate.evaluate_baseline(cand.true_items(bought, allowed=allowed), baseline)
+        reports["baseline_accuracy"] = evaluate.accuracy(old)
+        reports["baseline_by_category"] = evaluate.accuracy_by_category(old)
+    return reports
+
+
 def most_frequent_category(history: DataFrame) -> DataFrame:
     """Stand-in for the older recommender: the category held most often, ties by name."""
     counts = history.groupBy("customer_id", "category").agg(F.count(F.lit(1)).alias("_n"))

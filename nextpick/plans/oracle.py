@@ -196,6 +196,9 @@ _CTES = {
     "picks": """
         SELECT customer_id, category AS pred_item, score FROM best JOIN label_codes ON code = target_category""",
     "evaluated": _hits("picks", "test"),
+    "test_allowed": """
+        SELECT * FROM test WHERE category IN ('Brand#4', 'Brand#7', 'Brand#11', 'Brand#15', 'Brand#19', 'Brand#21',
+                                              'Brand#25')""",
     "old_picks": """
         SELECT customer_id, category AS old_item FROM (
             SELECT customer_id, category, row_number() OVER (
@@ -336,6 +339,9 @@ _add("true_items", "SELECT customer_id, string_agg(category, ',' ORDER BY catego
 _add("hit_accuracy", _accuracy("evaluated"))
 _add("hit_accuracy_later", _accuracy("later_evaluated"))
 _add("baseline_accuracy", _accuracy("old_evaluated"))
+_add("baseline_accuracy_allowed", _accuracy("(" + _hits("""
+    (SELECT customer_id, old_item AS pred_item FROM (SELECT DISTINCT customer_id FROM test_allowed)
+     LEFT JOIN old_picks USING (customer_id))""", "test_allowed") + ")"))
 _add("accuracy_by_category", _report("evaluated", "test"))
 _add("baseline_accuracy_by_category", _report("old_evaluated", "test"))
 _add("hybrid_accuracy_by_category", _report("hybrid", "test"))

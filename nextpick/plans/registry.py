@@ -23,6 +23,8 @@ SECOND_STAGE_MINIMUM = 0.08
 TREND_SINCE = "199909"
 TREND_MONTHS = month_list(TREND_SINCE, 15)
 FEATURES = [*CATEGORICAL, *NUMERIC, *dataset.SUMMARY_COLUMNS, *features.product_columns()]
+# Categories the older recommender could pick on the test tables.
+BASELINE_CATEGORIES = ["Brand#4", "Brand#7", "Brand#11", "Brand#15", "Brand#19", "Brand#21", "Brand#25"]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 # Rules of the product classification on the test tables, first match wins.
@@ -293,9 +295,9 @@ def hit_accuracy_later(spark, sf_dir):
     return evaluate.accuracy(evaluation.evaluate_picks(scored, later.target, base.labels))
 
 
-def _baseline(held_out: HeldOut) -> DataFrame:
+def _baseline(held_out: HeldOut, allowed: list[str] | None = None) -> DataFrame:
     picks = evaluation.most_frequent_category(held_out.history)
-    return evaluate.evaluate_baseline(cand.true_items(held_out.bought), picks)
+    return evaluate.evaluate_baseline(cand.true_items(held_out.bought, allowed=allowed), picks)
 
 
 @query
@@ -303,6 +305,11 @@ def baseline_accuracy(spark, sf_dir):
     return evaluate.accuracy(_baseline(_held_out(spark, sf_dir)))
 
 
+@query
+def baseline_accuracy_allowed(spark, sf_dir):
+    return evaluate.accuracy(_baseline(_held_out(spark, sf_dir), BASELINE_CATEGORIES))
+
+
 @query
 def accuracy_by_category(spark, sf_dir):
     return evaluate.accuracy_by_category(_held_out(spark, sf_dir).evaluated)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from nextpick import defaults
-from nextpick.plans import jobs
+from nextpick.operators import models
+from nextpick.plans import evaluation, jobs
 from nextpick.sources import files
 
 
@@ -60,3 +61,21 @@ def test_make_input(spark, extracts):
 def test_violated_check_stops_the_run(spark, extracts):
     with pytest.raises(ValueError, match="expected periods"):
         jobs.make_input(spark, str(extracts), str(extracts / "out"), periods=9)
+
+
+def test_evaluate_saved_splits(spark, extracts):
+    output = str(extracts / "out")
+    jobs.make_input(spark, str(extracts), output, periods=4)
+    train, test = files.read_split(spark, output + "/splits", "train"), files.read_split(spark, output + "/splits", "test")
+    sparse = ["계약자성별", "product_1", "product_2", "target_category"]
+    model = models.fit_first_stage(train, sparse, ["계약자연령"], iterations=30)
+    picks = test.select("customer_id").distinct().withColumn("old_item", F.lit("38.건강"))
+    reports = evaluation.evaluate_split(test, train, jobs.read_labels(spark, output),
+                                        lambda pairs: models.score(pairs, model, [*sparse, "계약자연령"]),
+                                        picks, ["38.건강"])
+    customers = test.select("customer_id").distinct().count()
+    assert reports["accuracy"].first().customers == customers == reports["evaluated"].count()
+    assert reports["baseline_accuracy"].first().accuracy == 100.0
+    assert reports["by_category"].agg(F.sum("pred_cnt")).first()[0] == customers
+    assert reports["train_test_mix"].count() == 3
+    assert reports["baseline_by_category"].first().accuracy_pred == 100.0
