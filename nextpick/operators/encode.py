@@ -36,7 +36,7 @@ def apply_category_codes(frame: DataFrame, encoder: DataFrame, columns: Sequence
     """Replace each column by its code; null and unseen values get the code of 'unknown'."""
     fallback = {row.feature: row.code for row in
                 encoder.filter((F.col("value") == UNKNOWN) & F.col("feature").isin(list(columns))).collect()}
-    small = fits_broadcast(encoder)
+    small = encoder.isLocal() or fits_broadcast(encoder)
     kept = frame.columns
     for c in columns:
         codes = encoder.filter(F.col("feature") == c).select(F.col("value").alias("_value"),

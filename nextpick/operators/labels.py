@@ -45,15 +45,22 @@ def code_list(labels: DataFrame, target_only: bool = False) -> list[int]:
     return codes
 
 
+def _look_up(frame: DataFrame, labels: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    # A dictionary kept as a local relation is small by construction, so it is not measured again.
+    if labels.isLocal():
+        return frame.join(F.broadcast(chosen), key, "left")
+    return lookup_join(frame, chosen, key, "left")
+
+
 def encode_category(frame: DataFrame, labels: DataFrame, target_only: bool = False) -> DataFrame:
     """Add ``category_code``; null where the dictionary does not have the category."""
     chosen = labels.filter("in_target") if target_only else labels
-    return lookup_join(frame, chosen.select("category", F.col("code").alias("category_code")), "category", "left")
+    return _look_up(frame, labels, chosen.select("category", F.col("code").alias("category_code")), "category")
 
 
 def decode_category(frame: DataFrame, labels: DataFrame, code: str, name: str) -> DataFrame:
     """Add the category name of the code in `code` under `name`."""
-    return lookup_join(frame, labels.select(F.col("code").alias(code), F.col("category").alias(name)), code, "left")
+    return _look_up(frame, labels, labels.select(F.col("code").alias(code), F.col("category").alias(name)), code)
 
 
 @dataclass(frozen=True)

@@ -97,29 +97,36 @@ def encode_features(raw: DataFrame, encoders: Encoders, categorical: Sequence[st
     return encode.apply_min_max(coded, encoders.ranges, numeric)
 
 
-def make_input(snapshot: Snapshot, label_table: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
-               encoders: Encoders | None = None, last_products: int = LAST_PRODUCTS,
-               ratio: int = NEGATIVE_RATIO, seed: int = SEED) -> tuple[ModelInput, Encoders]:
-    """Modelling table of one month.
-
-    Without `encoders` it is the development month: encoders are fitted and negatives
-    sampled. With `encoders` they are applied and the pairs are positives only.
-    """
+def make_features(snapshot: Snapshot, categorical: Sequence[str], numeric: Sequence[str],
+                  encoders: Encoders | None = None, last_products: int = LAST_PRODUCTS) -> tuple[DataFrame, Encoders]:
+    """Encoded features of one month; without `encoders` they are fitted on it."""
     raw = raw_features(snapshot, last_products)
     numeric = [*numeric, *SUMMARY_COLUMNS]
-    development = encoders is None
-    if development:
+    if encoders is None:
         raw = stage(raw, "features")
         encoders = fit_encoders(raw, categorical, numeric)
     kept = ["customer_id", "ref_month", *categorical, *numeric, *features.product_columns(last_products)]
-    encoded = encode_features(raw, encoders, categorical, numeric).select(*kept)
+    return encode_features(raw, encoders, categorical, numeric).select(*kept), encoders
+
+
+def make_pairs(snapshot: Snapshot, label_table: DataFrame, development: bool, ratio: int = NEGATIVE_RATIO,
+               seed: int = SEED) -> DataFrame:
+    """Target pairs of one month: with sampled negatives in development, else positives only."""
     positives = targets.positive_pairs(snapshot.target)
-    negatives = None
-    if development:
-        positives = stage(positives, "positives")
-        codes = labels.code_list(label_table, target_only=True)
-        negatives = targets.sample_negatives(positives, codes, ratio, seed)
-    pairs = targets.target_pairs(positives, negatives)
+    if not development:
+        return targets.target_pairs(positives)
+    positives = stage(positives, "positives")
+    codes = labels.code_list(label_table, target_only=True)
+    return targets.target_pairs(positives, targets.sample_negatives(positives, codes, ratio, seed))
+
+
+def make_input(snapshot: Snapshot, label_table: DataFrame, categorical: Sequence[str], numeric: Sequence[str],
+               encoders: Encoders | None = None, last_products: int = LAST_PRODUCTS,
+               ratio: int = NEGATIVE_RATIO, seed: int = SEED) -> tuple[ModelInput, Encoders]:
+    """Modelling table of one month; without `encoders` it is the development month."""
+    development = encoders is None
+    encoded, encoders = make_features(snapshot, categorical, numeric, encoders, last_products)
+    pairs = make_pairs(snapshot, label_table, development, ratio, seed)
     return ModelInput(snapshot, encoded, pairs, targets.modelling_table(encoded, pairs)), encoders
 
 

@@ -68,9 +68,10 @@ def _history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def _inputs(spark: SparkSession, sf_dir: str, later: bool = False) -> tuple[Base, dataset.ModelInput]:
     base = _base(spark, sf_dir, LATER if later else DEVELOPMENT)
-    development, encoders = dataset.make_input(base.snapshot(spark, sf_dir), base.labels, CATEGORICAL, NUMERIC)
+    development = base.snapshot(spark, sf_dir)
     if not later:
-        return base, development
+        return base, dataset.make_input(development, base.labels, CATEGORICAL, NUMERIC)[0]
+    _, encoders = dataset.make_features(development, CATEGORICAL, NUMERIC)
     applied, _ = dataset.make_input(base.snapshot(spark, sf_dir, LATER), base.labels, CATEGORICAL, NUMERIC, encoders)
     return base, applied
 
@@ -211,18 +212,14 @@ def negative_samples(spark, sf_dir):
 @query
 def target_pairs(spark, sf_dir):
     base = _base(spark, sf_dir)
-    positives = stage(targets.positive_pairs(base.snapshot(spark, sf_dir).target), "positives")
-    codes = labels.code_list(base.labels, target_only=True)
-    return targets.target_pairs(positives, targets.sample_negatives(positives, codes))
+    return dataset.make_pairs(base.snapshot(spark, sf_dir), base.labels, development=True)
 
 
 @query
 def target_summary(spark, sf_dir):
     base = _base(spark, sf_dir)
     snapshot = base.snapshot(spark, sf_dir)
-    positives = stage(targets.positive_pairs(snapshot.target), "positives")
-    codes = labels.code_list(base.labels, target_only=True)
-    pairs = targets.target_pairs(positives, targets.sample_negatives(positives, codes))
+    pairs = stage(dataset.make_pairs(snapshot, base.labels, development=True), "pairs")
     return targets.target_summary(snapshot.customers, pairs).drop("target_mix")
 
 
@@ -404,10 +401,8 @@ def hybrid_accuracy_by_category(spark, sf_dir):
 def _scored_test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _base(spark, sf_dir)
     snapshot = base.snapshot(spark, sf_dir)
-    positives = stage(targets.positive_pairs(snapshot.target), "positives")
-    negatives = targets.sample_negatives(positives, labels.code_list(base.labels, target_only=True))
-    pairs = targets.target_pairs(positives, negatives).join(split.group_split(snapshot.ids), "customer_id")
-    pairs = stage(pairs, "pairs")
+    pairs = dataset.make_pairs(snapshot, base.labels, development=True)
+    pairs = stage(pairs.join(split.group_split(snapshot.ids), "customer_id"), "pairs")
     shares = cand.category_shares(pairs.filter("split = 'train' AND target = 1"))
     test = pairs.filter("split = 'test'").join(cand.holdings(snapshot.history), "customer_id", "left")
     return cand.affinity_score(test, shares).select("customer_id", "target_category", "target", "score")
