@@ -7,6 +7,8 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+DAY_SECONDS = 86_400
+
 
 def month_start(ref_month: str, shift: int = 0) -> date:
     """First day of a ``yyyyMM`` month, moved by `shift` months."""
@@ -36,7 +38,7 @@ def elapsed_months(day: Column, ref_month: str) -> Column:
     """
     end = month_start(ref_month)
     difference = (F.lit(end.year) - F.year(day)) * 12 + F.lit(end.month) - F.month(day)
-    started = (day <= F.lit(end)) & (day > F.date_trunc("month", day))
+    started = (day <= F.lit(end)) & (day > F.trunc(day, "month"))
     return (difference - F.when(started, 1).otherwise(0)).cast("int")
 
 
@@ -45,8 +47,9 @@ def whole_periods(first: Column, last: Column, days: int = 30) -> Column:
 
 
 def epoch_seconds(day: Column) -> Column:
-    return F.unix_timestamp(day.cast("timestamp"))
+    """Seconds from 1970-01-01 to the start of a date, whatever the session's time zone."""
+    return F.unix_date(day).cast("bigint") * DAY_SECONDS
 
 
 def from_epoch_seconds(seconds: Column) -> Column:
-    return F.timestamp_seconds(seconds).cast("date")
+    return F.date_from_unix_date(F.floor(seconds / DAY_SECONDS).cast("int"))

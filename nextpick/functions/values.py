@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_UNIT_INTERVAL = 1 << 52
+_HASH_DIGITS = 12
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
@@ -45,8 +45,9 @@ def sample_hash(seed: int, *columns: str) -> Column:
 
 def uniform(seed: int, salt: str, *columns: str) -> Column:
     """Repeatable number in (0, 1) per row key."""
-    bits = F.xxhash64(F.lit(seed), F.lit(salt), *[F.col(c) for c in columns])
-    return (F.pmod(bits, F.lit(_UNIT_INTERVAL)) + F.lit(0.5)) / F.lit(float(_UNIT_INTERVAL))
+    text = F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(salt), *[F.col(c).cast("string") for c in columns]))
+    number = F.conv(F.substring(text, 1, _HASH_DIGITS), 16, 10).cast("double")
+    return (number + 0.5) / float(16 ** _HASH_DIGITS)
 
 
 def normal(seed: int, salt: str, *columns: str) -> Column:

@@ -21,6 +21,13 @@ def null_columns(frame: DataFrame, columns: Sequence[str] | None = None) -> Data
     return counts.select(F.inline(F.array(*rows)))
 
 
+def select_inputs(frame: DataFrame, features: Sequence[str], dropped: Sequence[str] = (),
+                  label: str = "target", key: str = "customer_id") -> DataFrame:
+    """Key, model inputs without the dropped ones, and the label where the table has it."""
+    names = [c for c in features if c not in set(dropped)]
+    return frame.select(key, *names, *([label] if label in frame.columns else []))
+
+
 def fit_category_codes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(feature, value, code): the values seen plus 'unknown', in text order from 0."""
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))

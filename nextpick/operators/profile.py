@@ -23,13 +23,13 @@ _UNITS = 10 ** 15
 def column_profile(frame: DataFrame, drop: Sequence[str] = ("customer_id",)) -> DataFrame:
     """Share per value for text and for columns with few distinct values, else mean and std.
 
-    Dates are profiled as epoch seconds. One pass finds which numeric columns can have fewer
+    Dates are profiled as epoch seconds (times of day do not count). One pass finds which numeric columns can have fewer
     than 20 distinct values (a sketch rules out the others), one counts values, one averages.
     """
     frame = frame.drop(*drop)
     for f in frame.schema.fields:
-        if isinstance(f.dataType, (T.DateType, T.TimestampType)):
-            frame = frame.withColumn(f.name, epoch_seconds(F.col(f.name)))
+        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            frame = frame.withColumn(f.name, epoch_seconds(F.col(f.name).cast("date")))
     text = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.StringType)]
     numeric = [c for c in frame.columns if c not in text]
 
@@ -124,8 +124,8 @@ def synthesize(spark: SparkSession, profile: DataFrame, columns: Mapping[str, st
 def clamp_dates(rows: DataFrame, ref_month: str, history: bool, months: int = 6, seed: int = SEED) -> DataFrame:
     """Redraw dates on the wrong side of the reference date.
 
-    History dates after it are drawn from the days up to it, one day per misplaced row in a
-    window of their number; target dates before it from the following `months` months.
+    History dates after it are drawn from as many days up to it as there are such rows (a
+    century at most); target dates before it from the following `months` months.
     """
     start = month_start(ref_month)
     if history:

@@ -248,7 +248,12 @@ _CTES = {
         GROUP BY month, category""",
     "coverage_pairs": """
         SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS product_code, CAST(l_suppkey AS VARCHAR) AS coverage_code
-        FROM lineitem WHERE l_returnflag <> 'R'""",
+        FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag <> 'R'""",
+    "draw_intervals": """
+        SELECT category, CAST(sum(units) OVER (ORDER BY category) - units AS BIGINT) AS low,
+               CAST(sum(units) OVER (ORDER BY category) AS BIGINT) AS high
+        FROM (SELECT category, CAST(round(count(*) / (SELECT count(*) FROM dev_target) * 1e15) AS BIGINT) AS units
+              FROM dev_target GROUP BY category)""",
     "population": """
         SELECT *, row_number() OVER (ORDER BY customer_id, identity_code) AS id FROM dev_customers
         WHERE customer_id IN (SELECT customer_id FROM dev_target_all)""",
@@ -495,6 +500,30 @@ _add("dataset_checks", " UNION ALL ".join([
            AND code NOT IN (SELECT category_code FROM dev_positives)""")]))
 
 
+def _uniform(salt: str) -> str:
+    text = f"md5(concat_ws('|', '42', '{salt}', row_id))"
+    return f"((CAST('0x' || substr({text}, 1, 12) AS BIGINT) + 0.5) / CAST(281474976710656 AS DOUBLE))"
+
+
+_add("synthesize", f"""
+    SELECT customer_id, category, code AS category_code, strftime(contract_date, '%Y-%m-%d') AS contract_date FROM (
+        SELECT customer_id, category, arg_min(contract_date, row_id) AS contract_date FROM (
+            SELECT customer_id, row_id, category,
+                   CASE WHEN day < DATE '1999-12-01'
+                        THEN DATE '1999-12-01' + CAST(floor({_uniform('redraw')} * 184.0) AS INTEGER)
+                        ELSE day END AS contract_date
+            FROM (SELECT d.customer_id, d.row_id, i.category,
+                         DATE '1970-01-01' + CAST(floor((m.mean + m.std * (sqrt(-2.0 * ln({_uniform('contract_date/r')}))
+                             * cos(2.0 * pi() * {_uniform('contract_date/a')}))) / 86400) AS INTEGER) AS day
+                  FROM (SELECT row_id, row_id % (SELECT count(*) FROM dev_ids) + 1 AS customer_id,
+                               CAST(floor({_uniform('category')} * (SELECT max(high) FROM draw_intervals)) AS BIGINT) AS unit
+                        FROM (SELECT unnest(range(5 * (SELECT count(*) FROM dev_ids))) AS row_id)) d
+                  JOIN draw_intervals i ON d.unit >= i.low AND d.unit < i.high
+                  CROSS JOIN (SELECT avg(epoch(contract_date)) AS mean, stddev_samp(epoch(contract_date)) AS std
+                              FROM dev_target) m))
+        GROUP BY customer_id, category) JOIN label_codes USING (category)""")
+
+
 def _shares(column: str, source: str) -> str:
     return f"""SELECT '{column}' AS column_name, 'share' AS kind, CAST({column} AS VARCHAR) AS value,
                       round(count(*) / sum(count(*)) OVER (), 9) AS share, CAST(NULL AS DOUBLE) AS mean,

@@ -12,6 +12,7 @@ from nextpick.functions.dates import month_list, month_of
 from nextpick.operators import candidates as cand
 from nextpick.operators import (checks, encode, evaluate, extract, features, labels, models, profile, split,
                                 targets, trend)
+from nextpick.operators.joins import lookup_join
 from nextpick.plans import dataset, evaluation
 from nextpick.sources import tables
 from nextpick.sources.stage import stage
@@ -146,11 +147,15 @@ def encoded_target(spark, sf_dir):
     return target.select("customer_id", "category", "category_code", _day("contract_date"))
 
 
+def _population_ids(spark: SparkSession, sf_dir: str, contracts: DataFrame) -> DataFrame:
+    return split.common_population(tables.customers(spark, sf_dir, DEVELOPMENT), contracts, DEVELOPMENT,
+                                   EXCLUDED_CLASSES, ALL_EXCLUDED)
+
+
 @query
 def common_population(spark, sf_dir):
     contracts = split.complete_contracts(tables.contracts(spark, sf_dir, LAST[DEVELOPMENT]))
-    return split.common_population(tables.customers(spark, sf_dir, DEVELOPMENT), contracts, DEVELOPMENT,
-                                   EXCLUDED_CLASSES, ALL_EXCLUDED)
+    return _population_ids(spark, sf_dir, contracts)
 
 
 @query
@@ -160,7 +165,10 @@ def last_n_products(spark, sf_dir):
 
 @query
 def history_summary(spark, sf_dir):
-    return features.history_summary(_history(spark, sf_dir)[0], DEVELOPMENT)
+    contracts = dataset.stage_contracts(tables.contracts(spark, sf_dir, LAST[DEVELOPMENT]))
+    ids = stage(_population_ids(spark, sf_dir, contracts), "population")
+    history, _ = split.temporal_split(lookup_join(contracts, ids, "customer_id", "left_semi"), DEVELOPMENT)
+    return features.history_summary(history.select(*split.ITEM_COLUMNS).distinct(), DEVELOPMENT)
 
 
 @query
@@ -241,7 +249,8 @@ def modelling_table_later(spark, sf_dir):
 
 @query
 def group_split(spark, sf_dir):
-    return split.group_split(_base(spark, sf_dir).snapshot(spark, sf_dir).ids)
+    contracts = split.complete_contracts(tables.contracts(spark, sf_dir, LAST[DEVELOPMENT]))
+    return split.group_split(stage(_population_ids(spark, sf_dir, contracts), "population"))
 
 
 # Scoring and evaluation
@@ -488,7 +497,7 @@ def _coverages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _coverage_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Text keys, some of them empty, as in the source's pair table.
     lines = tables.table(spark, sf_dir, "lineitem")
-    keys = lines.select(F.col("l_partkey").cast("string").alias("product_code"),
+    keys = lines.filter(F.col("l_linestatus") == "F").select(F.col("l_partkey").cast("string").alias("product_code"),
                         F.when(F.col("l_returnflag") == "R", "").otherwise(F.col("l_suppkey").cast("string"))
                         .alias("coverage_code"))
     return extract.distinct_pairs(keys, "product_code", "coverage_code")
@@ -647,7 +656,8 @@ def synthesize(spark, sf_dir):
     drawn = profile.synthesize(spark, shares, {"category": "string", "contract_date": "date"},
                                snapshot.customers.count(), per_customer=5)
     dated = profile.clamp_dates(drawn, DEVELOPMENT, history=False)
-    return labels.encode_category(profile.one_row_per_pair(dated), base.labels, target_only=True).drop("_row")
+    coded = labels.encode_category(profile.one_row_per_pair(dated), base.labels, target_only=True)
+    return coded.select("customer_id", "category", "category_code", _day("contract_date"))
 
 
 # Models

@@ -134,6 +134,12 @@ def test_encoders(spark):
     assert rows(encode.null_columns(frame)) == [("constant", 0), ("customer_id", 0), ("empty", 3), ("kind", 1), ("n", 1)]
 
 
+def test_model_inputs(spark):
+    frame = spark.createDataFrame([(1, 2, 3, 1)], "customer_id int, a int, b int, target int")
+    assert encode.select_inputs(frame, ["a", "b"], ["b"]).columns == ["customer_id", "a", "target"]
+    assert encode.select_inputs(frame.drop("target"), ["a", "b"]).columns == ["customer_id", "a", "b"]
+
+
 def test_negatives(spark):
     # Code 1 is held by all, code 2 by most (the cap holds), code 3 by one.
     pairs = [(i, 1) for i in range(10)] + [(i, 2) for i in range(6)] + [(9, 3)]
