@@ -33,7 +33,8 @@ def fit_category_codes(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"))
                       for c in columns])
     seen = frame.select(F.inline(pairs)).filter("value IS NOT NULL")
-    unknown = frame.sparkSession.createDataFrame([(c, UNKNOWN) for c in columns], "feature string, value string")
+    added = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(UNKNOWN).alias("value")) for c in columns])
+    unknown = frame.sparkSession.range(1).select(F.inline(added))
     values = stage(seen.unionByName(unknown).distinct(), "values")
     numbered = number_rows(values, ["value"], "_position", group=["feature"])
     return numbered.select("feature", "value", (F.col("_position") - 1).cast("int").alias("code"))

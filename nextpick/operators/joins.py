@@ -53,6 +53,8 @@ def salted_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], ho
     Only the lookup rows of hot keys are repeated, once per salt. Fact rows without a key
     never match; they are spread too, since an outer join still has to carry them.
     """
+    if not hot and how in ("inner", "left_semi"):
+        return fact.join(lookup, key, how)
     keys = [key] if isinstance(key, str) else list(key)
     lead = F.col(keys[0])
     is_hot = lead.isin(hot) if hot else F.lit(False)
@@ -63,14 +65,15 @@ def salted_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], ho
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, key: str | Sequence[str], how: str = "inner",
-                probe: DataFrame | None = None) -> DataFrame:
+                probe: DataFrame | None = None, small: bool | None = None) -> DataFrame:
     """Join `fact` to `lookup`, which holds each key at most once.
 
     A lookup measured to fit is broadcast, so `fact` is not shuffled. A larger one is joined
     by shuffle, with the keys that are frequent in `probe` salted (by default `fact`; pass the
-    base table when `fact` is the result of other joins).
+    base table when `fact` is the result of other joins). `small` is the measurement, if
+    the caller has made it already.
     """
-    if fits_broadcast(lookup):
+    if fits_broadcast(lookup) if small is None else small:
         return fact.join(F.broadcast(lookup), key, how)
     lead = key if isinstance(key, str) else key[0]
     return salted_join(fact, lookup, key, hot_keys(fact if probe is None else probe, lead), how)

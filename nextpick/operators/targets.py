@@ -13,8 +13,11 @@ from nextpick.operators.numbering import mark_lowest
 
 
 def positive_pairs(target: DataFrame) -> DataFrame:
-    """Distinct (customer_id, category_code) bought in the target window."""
-    return target.select("customer_id", "category_code").distinct()
+    """Distinct (customer_id, category_code) bought in the target window.
+
+    A category without a code cannot be a target; `unseen_categories` reports them.
+    """
+    return target.select("customer_id", "category_code").filter("category_code IS NOT NULL").distinct()
 
 
 def sample_negatives(positives: DataFrame, codes: Sequence[int], ratio: int = NEGATIVE_RATIO,

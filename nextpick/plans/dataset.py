@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nextpick.defaults import LAST_PRODUCTS, NEGATIVE_RATIO, SEED
 from nextpick.operators import encode, features, labels, split, targets
-from nextpick.operators.joins import lookup_join
+from nextpick.operators.joins import fits_broadcast, lookup_join
 from nextpick.sources.stage import keep, stage
 
 
@@ -53,25 +53,28 @@ def learn_labels(contracts: DataFrame, ref_month: str, classes: Sequence[str], c
 
 
 def encoded_parts(contracts: DataFrame, ref_month: str, label_table: DataFrame, classes: Sequence[str],
-                  categories: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(history, target) with codes, one row per customer, category and date."""
+                  categories: Sequence[str], ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(history, target) with codes, one row per customer, category and date.
+
+    With `ids`, contracts of other customers are dropped before rows are made distinct.
+    """
     history, target = split.temporal_split(split.contracts_until(contracts, ref_month), ref_month)
-    bought = split.exclude(target, classes, categories)
-    history = labels.encode_category(history.select(*split.ITEM_COLUMNS).distinct(), label_table)
-    target = labels.encode_category(bought.select(*split.ITEM_COLUMNS).distinct(), label_table, target_only=True)
-    return history, target
+    history = history.select(*split.ITEM_COLUMNS)
+    target = split.exclude(target, classes, categories).select(*split.ITEM_COLUMNS)
+    if ids is not None:
+        small = fits_broadcast(ids)
+        history = lookup_join(history, ids, "customer_id", "left_semi", small=small)
+        target = lookup_join(target, ids, "customer_id", "left_semi", small=small)
+    return (labels.encode_category(history.distinct(), label_table),
+            labels.encode_category(target.distinct(), label_table, target_only=True))
 
 
 def build_snapshot(customers: DataFrame, contracts: DataFrame, ref_month: str, label_table: DataFrame,
                    classes: Sequence[str], categories: Sequence[str]) -> Snapshot:
-    """One month restricted to the customers found in snapshot, history and target.
-
-    Contracts of other customers are dropped before rows are made distinct.
-    """
+    """One month restricted to the customers found in snapshot, history and target."""
     until = split.contracts_until(contracts, ref_month)
     ids = stage(split.common_population(customers, until, ref_month, classes, categories), "population")
-    kept = lookup_join(until, ids, "customer_id", "left_semi")
-    history, target = encoded_parts(kept, ref_month, label_table, classes, categories)
+    history, target = encoded_parts(contracts, ref_month, label_table, classes, categories, ids)
     return Snapshot(ref_month, ids, split.restrict_to(customers, ids), history, target)
 
 

@@ -23,16 +23,16 @@ def load_month(spark: SparkSession, folder: str, ref_month: str, numeric: Sequen
 
 
 def month_checks(model_input: dataset.ModelInput, periods: int | None) -> DataFrame:
-    """Checks a month has to pass before it is saved."""
+    """Checks a month has to pass before it is saved; with `periods` also those of development."""
     snapshot = model_input.snapshot
     found = [checks.expect_history_before_target(snapshot.history, snapshot.target, "history before target"),
              checks.expect_single_value(snapshot.customers, "ref_month", "one reference month"),
              checks.expect_unique(snapshot.customers, ["customer_id"], "customers unique"),
              checks.expect_row_count(model_input.features, checks.row_count(snapshot.customers), "features keep rows"),
-             checks.expect_no_match(snapshot.target, F.col("category_code").isNull(), "target categories have codes"),
              checks.expect_unique(model_input.pairs, ["customer_id", "target_category"], "pairs unique")]
     if periods is not None:
-        found.append(checks.expect_periods(snapshot.target, periods, "target spans the expected periods"))
+        found += [checks.expect_periods(snapshot.target, periods, "target spans the expected periods"),
+                  checks.expect_no_match(snapshot.target, F.col("category_code").isNull(), "categories have codes")]
     return checks.combine(found)
 
 
@@ -43,7 +43,8 @@ def make_input(spark: SparkSession, folder: str, output: str, development: str =
     """Extract files of two months to modelling tables, codes, encoders, splits and summaries.
 
     Codes and encoders are learned on the development month and applied to the later one.
-    Raises before anything of a month is saved if one of its checks is violated.
+    Raises before the tables of a month are saved if one of its checks is violated. Categories that
+    appear only later are reported under ``unseen``.
     """
     classes = defaults.EXCLUDED_CLASSES
     categories = [*defaults.EXCLUDED_CATEGORIES, *defaults.variant_categories(data_name)]
@@ -62,6 +63,7 @@ def make_input(spark: SparkSession, folder: str, output: str, development: str =
         audit = split.split_audit(split.contracts_until(contracts, ref_month), ref_month, classes,
                                   defaults.EXCLUDED_CATEGORIES, defaults.variant_categories(data_name))
         files.write_table(audit, f"{output}/audit/{ref_month}")
+        files.write_table(dataset.unseen_categories(contracts, label_table), f"{output}/unseen/{ref_month}")
         files.write_table(targets.target_summary(snapshot.customers, model_input.pairs), f"{output}/summary/{ref_month}")
         if first:
             files.write_table(encoders.categories, f"{output}/encoders/categories")

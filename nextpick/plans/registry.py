@@ -167,8 +167,9 @@ def last_n_products(spark, sf_dir):
 def history_summary(spark, sf_dir):
     contracts = dataset.stage_contracts(tables.contracts(spark, sf_dir, LAST[DEVELOPMENT]))
     ids = stage(_population_ids(spark, sf_dir, contracts), "population")
-    history, _ = split.temporal_split(lookup_join(contracts, ids, "customer_id", "left_semi"), DEVELOPMENT)
-    return features.history_summary(history.select(*split.ITEM_COLUMNS).distinct(), DEVELOPMENT)
+    history = split.temporal_split(contracts, DEVELOPMENT)[0].select(*split.ITEM_COLUMNS)
+    history = lookup_join(history, ids, "customer_id", "left_semi")
+    return features.history_summary(history.distinct(), DEVELOPMENT)
 
 
 @query
@@ -431,11 +432,10 @@ def auc(spark, sf_dir):
 
 def _eligible(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None,
               part_columns: tuple[str, ...] = ()) -> DataFrame:
-    contracts = tables.contracts(spark, sf_dir, until, since, ("o_orderpriority", "o_orderstatus"),
-                                 ("l_returnflag", "l_linestatus"), part_columns)
-    condition = ((F.col("o_orderpriority") != "5-LOW")
-                 & ((F.col("l_returnflag") == "N") | F.col("o_orderstatus").isin("F"))
-                 & (F.col("l_linestatus") == "O"))
+    condition = (F.col("l_returnflag") == "N") | F.col("o_orderstatus").isin("F")
+    contracts = tables.contracts(spark, sf_dir, until, since, ("o_orderstatus",), ("l_returnflag",), part_columns,
+                                 orders_where=F.col("o_orderpriority") != "5-LOW",
+                                 lines_where=F.col("l_linestatus") == "O")
     masters = tables.table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "customer_id")
     eligible = extract.eligible_contracts(contracts, masters, condition, F.col("c_mktsegment") == "BUILDING",
                                           probe=tables.order_keys(spark, sf_dir))

@@ -5,7 +5,7 @@ A contract is one line item: its order gives customer and date, its part categor
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nextpick.functions.dates import month_start
@@ -31,7 +31,7 @@ def spread(frame: DataFrame, *keys: str) -> DataFrame:
     return frame.repartition(cores, *keys) if frame.rdd.getNumPartitions() < cores else frame
 
 
-def identity_code(customer_key) -> F.Column:
+def identity_code(customer_key: Column) -> Column:
     """Second identity column of a customer, as the customer table spells it."""
     return F.concat(F.lit("Customer#"), F.lpad(customer_key.cast("string"), 9, "0"))
 
@@ -55,14 +55,19 @@ def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def contracts(spark: SparkSession, sf_dir: str, until: str | None = None, since: str | None = None,
               order_columns: tuple[str, ...] = (), line_columns: tuple[str, ...] = (),
-              part_columns: tuple[str, ...] = ()) -> DataFrame:
+              part_columns: tuple[str, ...] = (), orders_where: Column | None = None,
+              lines_where: Column | None = None) -> DataFrame:
     """Contracts of the months `since` to `until` (``yyyyMM``, both included).
 
+    Conditions on orders or line items alone are applied before the joins.
+
     Parts and orders are lookups of the line items: broadcast if small, else joined by
     shuffle with hot parts and orders salted.
     """
-    lines = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", *line_columns),
-                   "l_orderkey", "l_partkey")
+    lines = table(spark, sf_dir, "lineitem")
+    if lines_where is not None:
+        lines = lines.filter(lines_where)
+    lines = spread(lines.select("l_orderkey", "l_partkey", *line_columns), "l_orderkey", "l_partkey")
     parts = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("product_class"),
         F.col("p_brand").alias("category"), *part_columns)
@@ -71,9 +76,12 @@ def contracts(spark: SparkSession, sf_dir: str, until: str | None = None, since:
         orders = orders.filter(F.col("o_orderdate") < F.lit(month_start(until, 1)).cast("timestamp_ntz"))
     if since:
         orders = orders.filter(F.col("o_orderdate") >= F.lit(month_start(since)).cast("timestamp_ntz"))
+    if orders_where is not None:
+        orders = orders.filter(orders_where)
     orders = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"),
                            F.col("o_orderdate").cast("date").alias("contract_date"), *order_columns)
-    joined = lookup_join(lookup_join(lines, parts, "l_partkey"), orders, "l_orderkey", probe=lines)
+    # Orders first: they carry the filters.
+    joined = lookup_join(lookup_join(lines, orders, "l_orderkey"), parts, "l_partkey", probe=lines)
     return joined.select(
         "customer_id", F.col("l_partkey").alias("product_code"), "product_class", "category", "contract_date",
         *order_columns, *line_columns, *part_columns)

@@ -27,9 +27,11 @@ def extracts(spark, tmp_path):
         write_csv(ids.select("ID", F.lit(month).alias("마감년월"), *text, *numbers).orderBy("ID"),
                   tmp_path / f"CUST_BASE_{month}.csv")
         days = F.when(F.col("n") < 4, -F.col("n") * 97 - F.col("id") % 40 - 1).otherwise((F.col("n") - 4) * 40 + F.col("id") % 20)
+        new = F.lit(month == "202308") & (F.col("id") == 60) & (F.col("n") > 3)
         contracts = ids.select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("n")).select(
             "ID", F.concat(F.lit("P"), "n").alias("상품코드"), F.lit("10.종신").alias("상품분류"),
-            F.element_at(categories, ((F.col("id") + F.col("n")) % 5 + 1).cast("int")).alias("상품중분류2"),
+            F.when(new, "99.신규").otherwise(F.element_at(categories, ((F.col("id") + F.col("n")) % 5 + 1).cast("int")))
+            .alias("상품중분류2"),
             F.lit("S").alias("판매상품코드"),
             F.date_format(F.date_add(F.lit(first).cast("date"), days.cast("int")), "yyyyMMdd").alias("계약일자"))
         write_csv(contracts, tmp_path / f"PROD_BASE_{month}.csv")
@@ -46,7 +48,11 @@ def test_make_input(spark, extracts):
     development = files.read_dataset(spark, output + "/dataset", "202305")
     later = files.read_dataset(spark, output + "/dataset", "202308")
     assert {row.target for row in development.select("target").distinct().collect()} == {0, 1}
-    assert {row.target for row in later.select("target").distinct().collect()} == {1}
+    assert {row.target for row in later.select("target").distinct().collect()} == {1, None}
+    # The customer that bought only a new category stays without a pair.
+    assert [row.customer_id for row in later.filter("target IS NULL AND target_category IS NULL").collect()] == ["0060"]
+    assert [tuple(row) for row in spark.read.parquet(output + "/unseen/202308").collect()] == [("99.신규", 4)]
+    assert spark.read.parquet(output + "/unseen/202305").count() == 0
     assert development.agg(F.max("계약자연령"), F.min("계약자연령")).first() == (1.0, 0.0)
     assert set(jobs.target_codes(spark, output)) == {1, 2, 3}
     train, test = files.read_split(spark, output + "/splits", "train"), files.read_split(spark, output + "/splits", "test")
