@@ -1,0 +1,76 @@
+"""Base secrets against Python's matcher; guess costs; redaction; edges."""
+
+from collections import Counter
+
+import pytest
+from llm import helpers
+from pyspark.sql import functions as F
+
+from nextpick.llm import secret_scan
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def check(rows, texts):
+    for row in rows:
+        spans = helpers.base_spans(texts[row["doc_id"]], helpers.SECRETS)
+        joined, sha = helpers.digest(spans, helpers.SECRETS)
+        assert row["base_sha256"] == sha, texts[row["doc_id"]]
+        counts = Counter(k for _, k, _ in spans)
+        assert [row["n_assign"], row["n_access"], row["n_hex"]] == [counts[i] for i in range(3)]
+        assert set(joined.split(",")) - {""} <= set(row["spans"].split(","))
+
+
+def test_query_matches_python(spark):
+    rows = secret_scan.op5_secrets(spark, SF_DIR).collect()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    assert len(rows) == len(texts)
+    check(rows, texts)
+
+
+@pytest.fixture(scope="module")
+def edges(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("edges")
+    helpers.documents(spark, extra=True).write.parquet(f"{path}/documents.parquet")
+    return secret_scan.op5_secrets(spark, str(path)).collect()
+
+
+def test_edges(edges):
+    check([r for r in edges if r["doc_id"] is not None], dict(enumerate(helpers.EDGE_TEXTS)))
+    assert len(edges) == len(helpers.EDGE_TEXTS) + 3
+
+
+def test_costly_value_is_added_and_a_plain_word_is_not(edges):
+    added = {r["doc_id"]: r["n_added"] for r in edges}
+    assert added[helpers.EDGE_TEXTS.index("pwd is Xk9$vQ2m!tR7")] == 1
+    assert added[helpers.EDGE_TEXTS.index("the password is password")] == 0
+
+
+def test_empty_table(spark, tmp_path):
+    helpers.documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    assert secret_scan.op5_secrets(spark, str(tmp_path)).count() == 0
+
+
+def _brute(value):
+    """Cheapest segmentation without the matchers' shortcuts: brute force and dictionary words only."""
+    return len(value) * secret_scan.math.log10(secret_scan._symbols(value))
+
+
+@pytest.mark.parametrize(("weak", "strong"), [
+    ("password", "pxzqwvkj"), ("aaaaaaaaaaaa", "akdlqpwmzxnv"), ("qwertyuiop", "qzmwpxnvbk"), ("20240131", "83920175"),
+    ("P@ssw0rd", "Xv9#qLz2"), ("dragonmaster", "dqzgxnmwskvr")])
+def test_patterns_cost_less_than_noise(weak, strong):
+    assert secret_scan.guess_cost(weak) < secret_scan.guess_cost(strong) <= _brute(strong) + 1e-9
+
+
+def test_cost_of_nothing_and_of_a_long_value():
+    assert secret_scan.guess_cost("") == 0
+    assert secret_scan.guess_cost("a" * 20_000) < 8
+    assert secret_scan.guess_cost("Zq" * 500) > 20
+
+
+def test_redaction(spark):
+    rows = [("abc secret xyz", [(4, 10)]), ("😀 aabb", [(2, 4), (3, 6)]), (None, []), ("none", [])]
+    frame = spark.createDataFrame(rows, "text string, spans array<struct<s:bigint,e:bigint>>")
+    out = [r[0] for r in frame.select(secret_scan.redact(F.col("text"), F.col("spans"))).collect()]
+    assert out == ["abc [SECRET] xyz", "😀 [SECRET]", None, "none"]
