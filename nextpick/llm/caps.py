@@ -1,10 +1,10 @@
 """Embedding near-duplicates by spherical-cap filters.
 
-Filters are directions made of a product code: the (rotated) space is cut into BLOCKS blocks, each
-with its own random codewords, and a filter is one codeword per block. A vector belongs to every
-filter whose direction it exceeds the cap's threshold for; list decoding finds these by pruning
-partial sums that the best remaining codeword can't lift over the threshold. Vectors of one label
-meet in filters, are compared there by cosine in double precision, and a pair counts in the first
+Filters are directions made of CODES random product codes: each rotates the space, cuts it into
+BLOCKS blocks with random codewords of their own, and a filter is one codeword per block. A vector
+belongs to every filter whose direction it exceeds the cap's threshold for; list decoding finds
+these by pruning codewords that the best remaining one can't lift over the threshold. Several
+codes keep filters that share codewords from being missed together. Vectors of one label meet in filters, are compared there by cosine in double precision, and a pair counts in the first
 filter it shares only.
 
 Parameters follow the number of vectors: the threshold keeps a random vector's filters at about
@@ -32,6 +32,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nextpick.llm.common import once, table
 from nextpick.llm.components import components
@@ -39,8 +40,9 @@ from nextpick.llm.simhash import forest
 from nextpick.sources.stage import stage
 
 THRESHOLD = 0.93
-BLOCKS = 3
-EXPECTED = 8.0
+BLOCKS = 2
+CODES = 16
+EXPECTED = 12.0
 BUCKET = 40
 BLOCK_ROWS = 2048
 LEAST_DIM = 12
@@ -65,7 +67,7 @@ def parameters(count: int, dim: int, threshold: float = THRESHOLD) -> tuple[floa
     inside = t >= cap
     need = (cap - threshold * t[inside]) / (math.sqrt(1 - threshold ** 2) * np.sqrt(1 - t[inside] ** 2))
     both = float((mass[inside] * above[np.minimum(np.searchsorted(u, need), len(u) - 1)] * (need < 1)).sum())
-    return cap, max(2, math.ceil((EXPECTED / both) ** (1 / BLOCKS)))
+    return cap, max(2, math.ceil((EXPECTED / CODES / both) ** (1 / BLOCKS)))
 
 
 class Code:
@@ -84,19 +86,15 @@ class Code:
     def decode(self, units: np.ndarray, cap: float) -> tuple[np.ndarray, np.ndarray]:
         """(row, filter) for every filter that a row's direction exceeds, in order of both."""
         turned = units @ self.rotation
-        one, two, three = (turned[:, p] @ w.T for p, w in zip(self.parts, self.words, strict=True))
+        one, two = (turned[:, p] @ w.T for p, w in zip(self.parts, self.words, strict=True))
         rows, filters = [], []
-        n = one.shape[1]
         for at in range(0, len(units), _ROWS):
             s = slice(at, at + _ROWS)
-            pairs = (one[s, :, None] + two[s, None, :]).reshape(-1, n * n)
-            # A pair of codewords stays if the best third codeword can lift it over the cap.
-            row, pair = np.nonzero(pairs >= cap - three[s].max(axis=1, keepdims=True))
-            for k in range(0, len(row), 1 << 16):
-                r, p = row[k:k + (1 << 16)], pair[k:k + (1 << 16)]
-                i, third = np.nonzero(pairs[r, p][:, None] + three[s][r] >= cap)
-                rows.append(r[i] + at)
-                filters.append(p[i] * n + third)
+            # A first codeword stays if the best second one can lift it over the cap.
+            row, first = np.nonzero(one[s] >= cap - two[s].max(axis=1, keepdims=True))
+            i, second = np.nonzero(one[s][row, first][:, None] + two[s][row] >= cap)
+            rows.append(row[i] + at)
+            filters.append(first[i] * one.shape[1] + second)
         if not rows:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         rows, filters = np.concatenate(rows), np.concatenate(filters)
@@ -104,7 +102,20 @@ class Code:
         return rows[order], filters[order]
 
 
-def _decoder(settings: dict[int, tuple[float, int]], label_type):
+def decode(units: np.ndarray, cap: float, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, filter) over all codes, in order of both; a filter's number tells its code too."""
+    rows, filters = [], []
+    for seed in range(CODES):
+        code = once(f"caps-{units.shape[1]}-{words}-{seed}", lambda k=seed: Code(units.shape[1], words, k))
+        row, own = code.decode(units, cap)
+        rows.append(row)
+        filters.append(own * CODES + seed)
+    rows, filters = np.concatenate(rows), np.concatenate(filters)
+    order = np.lexsort((filters, rows))
+    return rows[order], filters[order]
+
+
+def _decoder(settings: dict[int, tuple[float, int]]):
     """Arrow function: each class once per filter it belongs to, with all its filters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,19 +124,18 @@ def _decoder(settings: dict[int, tuple[float, int]], label_type):
             for dim in np.unique(dims):
                 own = np.flatnonzero(dims == dim)
                 cap, words = settings[int(dim)]
-                code = once(f"caps-{dim}-{words}", lambda d=int(dim), w=words: Code(d, w))
                 units = np.array([vectors[i] for i in own])
                 units /= np.abs(units).max(axis=1, keepdims=True)
                 units /= np.linalg.norm(units, axis=1, keepdims=True)
-                row, filters = code.decode(units, cap)
+                row, filters = decode(units, cap, words)
                 starts = np.searchsorted(row, np.arange(len(own) + 1))
-                lists = [filters[starts[i]:starts[i + 1]] for i in range(len(own))]
+                lists = [filters[starts[i]:starts[i + 1]].astype(np.int32) for i in range(len(own))]
                 for k in range(0, len(row), 4096):
                     part = row[k:k + 4096]
                     place = pa.array(own[part])
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(n).take(place) for n in ("key", "label", "dim", "copies", "embedding")]
-                        + [pa.array(filters[k:k + 4096]), pa.array([lists[i] for i in part], pa.list_(pa.int64()))],
+                        + [pa.array(filters[k:k + 4096].astype(np.int32)), pa.array([lists[i] for i in part], pa.list_(pa.int32()))],
                         names=["key", "label", "dim", "copies", "embedding", "filter", "filters"])
     return run
 
@@ -183,9 +193,9 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Counts by length of vector and label size the filters; lengths are few.
     counts = classes.groupBy("dim", "label").count().groupBy("dim").agg(F.max("count").alias("n")).collect()
     settings = {r["dim"]: parameters(r["n"], max(r["dim"], LEAST_DIM), threshold) for r in counts}
-    label = classes.schema["label"].dataType
-    schema = classes.select("key", "label", "dim", "copies", "embedding").schema.add("filter", "bigint").add("filters", "array<bigint>")
-    members = classes.select("key", "label", "dim", "copies", "embedding").mapInArrow(_decoder(settings, label), schema)
+    schema = classes.select("key", "label", "dim", "copies", "embedding").schema
+    schema = T.StructType([*schema.fields, T.StructField("filter", T.IntegerType()), T.StructField("filters", T.ArrayType(T.IntegerType()))])
+    members = classes.select("key", "label", "dim", "copies", "embedding").mapInArrow(_decoder(settings), schema)
     at = ["label", "dim", "filter"]
     crowded = members.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks")).filter("blocks > 1")
     crowded = stage(crowded, "crowded-filters")
