@@ -47,8 +47,12 @@ def _head(net: Network, pooled: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def train(windows: np.ndarray, labels: np.ndarray, classes: int, n_filters: int = 16, dim: int = 8, n_hidden: int = 24,
-          epochs: int = 5, batch: int = 64, rate: float = 0.004, seed: int = 7) -> Network:
-    """Fit by Adam on `windows` (n, window) of bytes. Repeatable: same rows in the same order, same weights."""
+          epochs: int = 5, batch: int = 64, rate: float = 0.004, seed: int = 7, least_steps: int = 400) -> Network:
+    """Fit by Adam on `windows` (n, window) of bytes. Repeatable: same rows in the same order, same weights.
+
+    A small sample is gone through more often, for `least_steps` steps in all.
+    """
+    epochs = max(epochs, -(-least_steps // max(1, -(-len(windows) // batch))))
     rng = np.random.default_rng(seed)
     window = windows.shape[1]
     normal = lambda *shape: rng.standard_normal(shape).astype(np.float32)
