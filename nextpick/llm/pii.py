@@ -16,10 +16,13 @@ Null text is empty text. Repeated rows and null ids give one result row each.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nextpick.llm.spans import digits, find, joined, luhn
+from nextpick.llm.spans import digits, find, joined, luhn, touches
 from nextpick.sources.stage import stage
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -194,6 +197,10 @@ def train(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return posts, stage(weights, "pii-classifier")
 
 
+def _base_of(kind: int) -> Column:
+    return F.filter("found", lambda x: x["base"] & (x["k"] == kind))
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, base (structs s, k, e), added (the same, with a score), for every row of `docs`."""
     found = stage(candidates(docs), "pii-candidates")
@@ -206,11 +213,11 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
         odds = F.aggregate(keys, F.lit(0.0), lambda a, k: a + F.coalesce(F.col("_model")[k], F.lit(0.0)))
         return 1.0 / (1.0 + F.exp(-odds))
 
-    base = F.filter("found", lambda x: x["base"])
-    with_base = with_model.withColumn("base", base)
+    sure = {f"_base_{k}": _base_of(i) for i, k in enumerate(KINDS)}
+    with_base = with_model.withColumns({"base": F.filter("found", lambda x: x["base"])} | sure)
     # Scores only for candidates that could be added; most texts have none.
-    open_ones = F.filter("found", lambda x: ~x["base"] & x["checked"] & ~F.exists(
-        "base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
+    loose = F.filter("found", lambda x: ~x["base"] & x["checked"])
+    open_ones = F.filter(loose, lambda x: ~reduce(or_, [touches(F.col(b), x["s"], x["e"]) for b in sure]))
     added = F.filter(F.transform(open_ones, lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"), score(x).alias("score"))),
                      lambda x: x["score"] >= ACCEPT)
     return with_base.select("doc_id", F.transform("base", lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"))).alias("base"),

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MATCH = "array<struct<s:bigint,e:bigint,v:string,left:string,right:string>>"
+STEP = 64  # lengths are summed in runs of so many, so that many matches in a text stay cheap
 
 
 def find(frame: DataFrame, text: str, patterns: dict[str, str], context: int = 0) -> DataFrame:
@@ -21,32 +21,46 @@ def find(frame: DataFrame, text: str, patterns: dict[str, str], context: int = 0
     s and e are code points, e exclusive; left and right hold up to `context` characters
     between this match and the neighbouring ones. Text must not be null.
     """
-    gaps = {name: f"_gaps_{name}" for name in patterns}
-    frame = frame.withColumns({gaps[name]: F.split(text, pattern, -1) for name, pattern in patterns.items()})
+    hits, gaps, lengths, runs = ({name: f"_{part}_{name}" for name in patterns} for part in ("hits", "gaps", "lengths", "runs"))
+    frame = frame.withColumns({gaps[name]: F.split(text, pattern, -1) for name, pattern in patterns.items()} | {
+        hits[name]: F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)) for name, pattern in patterns.items()})
+    frame = frame.withColumns({lengths[name]: F.zip_with(hits[name], gaps[name], lambda v, g: (
+        F.coalesce(F.char_length(v), F.lit(0)) + F.char_length(g)).cast("bigint")) for name in patterns})
+    frame = frame.withColumns({runs[name]: _run_starts(F.col(lengths[name])) for name in patterns})
     return frame.withColumns({
-        name: _placed(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), F.col(gaps[name]), context)
-        for name, pattern in patterns.items()}).drop(*gaps.values())
+        name: _placed(*[F.col(part[name]) for part in (hits, gaps, lengths, runs)], context)
+        for name in patterns}).drop(*[part[name] for part in (hits, gaps, lengths, runs) for name in patterns])
 
 
-def _placed(found: Column, gaps: Column, context: int) -> Column:
+def _total(lengths: Column) -> Column:
+    return F.aggregate(lengths, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def _run_starts(lengths: Column) -> Column:
+    """Sum of all lengths before each run of STEP."""
+    nothing = F.array(F.lit(0).cast("bigint"))
+    later = F.sequence(F.lit(1), F.floor(F.size(lengths) / STEP).cast("int"))
+    return F.when(F.size(lengths) < STEP, nothing).otherwise(F.aggregate(later, nothing, lambda done, i: F.concat(
+        done, F.array(F.element_at(done, -1) + _total(F.slice(lengths, (i - 1) * STEP + 1, F.lit(STEP)))))))
+
+
+def _placed(hits: Column, gaps: Column, lengths: Column, runs: Column, context: int) -> Column:
     """Matches with offsets: a match starts where the gaps and matches before it end."""
-    parts = F.arrays_zip(found.alias("v"), gaps.alias("g"), F.slice(gaps, 2, F.greatest(F.size(gaps), F.lit(1))).alias("n"))
-    parts = parts.cast("array<struct<v:string,g:string,n:string>>")
-    nothing = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(MATCH).alias("out"))
-
-    def add(done: Column, part: Column) -> Column:
-        start = done["at"] + F.char_length(part["g"])
-        end = start + F.coalesce(F.char_length(part["v"]), F.lit(0))
-        left = F.substring(part["g"], -context, context) if context else F.lit("")
-        right = F.substring(F.coalesce(part["n"], F.lit("")), 1, context) if context else F.lit("")
-        match = F.struct(start.cast("bigint").alias("s"), end.cast("bigint").alias("e"), part["v"].alias("v"),
-                         left.alias("left"), right.alias("right"))
-        return F.struct(end.cast("bigint").alias("at"),
-                        F.when(part["v"].isNull(), done["out"])
-                        .otherwise(F.concat(done["out"], F.array(match).cast(MATCH))).alias("out"))
-
-    return F.when(F.size(gaps) > 1, F.aggregate(parts, nothing, add, lambda done: done["out"])).otherwise(
-        F.array().cast(MATCH))
+    def match(v: Column, i: Column) -> Column:
+        run, gap = F.floor(i / STEP).cast("int"), F.get(gaps, i)
+        start = F.get(runs, run) + _total(F.slice(lengths, run * STEP + 1, i % STEP)) + F.char_length(gap)
+        left = F.substring(gap, -context, context) if context else F.lit("")
+        right = F.substring(F.get(gaps, i + 1), 1, context) if context else F.lit("")
+        return F.struct(start.alias("s"), (start + F.char_length(v)).alias("e"), v.alias("v"), left.alias("left"), right.alias("right"))
+
+    return F.transform(hits, match)
+
+
+def touches(spans: Column, s: Column, e: Column) -> Column:
+    """Whether one of `spans` (sorted, not overlapping each other) overlaps s:e, by binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(26))])
+    before = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(spans, at + step - 1)["s"] < e, at + step).otherwise(at))
+    return F.coalesce(F.get(spans, before - 1)["e"] > s, F.lit(False))
 
 
 def digits(text: Column) -> Column:

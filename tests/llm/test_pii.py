@@ -60,3 +60,13 @@ def test_empty_table(spark, tmp_path):
 def test_plan_runs_no_python(spark):
     plan = pii.op1_pii(spark, SF_DIR)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_many_matches_in_a_text(spark):
+    text = "é a@b.co 10.0.0.1 call +1 509 555 6973 4111 1111 1111 1111; 509-555-6973 " * 300
+    frame = spark.createDataFrame([(0, text), (1, text[:-74 * 236])], "doc_id long, text string")
+    for row in pii.find_personal_data(frame).collect():
+        spans = helpers.base_spans(frame.filter(f"doc_id = {row.doc_id}").first().text, helpers.PII)
+        assert sorted((x.s, x.k, x.e) for x in row.base) == spans
+        sure = sorted((s, e) for s, _, e in spans)
+        assert all(not any(a < x.e and x.s < b for a, b in sure) for x in row.added)
