@@ -15,15 +15,18 @@ row each.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from functools import reduce
+from operator import or_
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nextpick.llm.common import table
-from nextpick.llm.spans import find, joined
+from nextpick.llm.spans import find, joined, touches
 
 KINDS = ["assign", "access", "hex"]
 PATTERNS = {
@@ -156,13 +159,12 @@ def find_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFram
     found = found.withColumns({
         "assign": F.filter("assign", lambda m: F.length(_value(m["v"])) >= 6),
         "access": F.filter("access", lambda m: F.length(m["v"]) >= 20)})
-    base = F.concat(*[_pairs(F.col(k)) for k in KINDS])
     open_ones = F.transform("context", lambda m: F.struct(
         m["s"].alias("s"), m["e"].alias("e"), F.rtrim(F.regexp_replace(m["v"], PREFIX, ""), F.lit(".)]}")).alias("v")))
-    judged = (found.withColumn("_base", base).withColumn("_open", open_ones)
+    judged = (found.withColumn("_open", open_ones)
               .select(*keep, *[_pairs(F.col(k)).alias(k) for k in KINDS],
-                      F.filter("_open", lambda x: (F.length(x["v"]) >= 6) & ~F.exists(
-                          "_base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))).alias("open"),
+                      F.filter("_open", lambda x: (F.length(x["v"]) >= 6) & ~reduce(or_, [
+                          touches(F.col(k), x["s"], x["e"]) for k in KINDS])).alias("open"),
                       F.transform("assign", lambda m: _value(m["v"])).alias("values")))
     schema = T.StructType([*docs.select(*keep).schema.fields, *T.StructType.fromDDL(RESULT).fields])
     return judged.mapInArrow(_score, schema)
@@ -173,18 +175,26 @@ def _structs(name: str, kind: int) -> Column:
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """Text with every span (structs s, e; they may overlap) replaced by `mark`."""
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def cut(done: Column, x: Column) -> Column:
-        gap = F.substring(text, (done["at"] + 1).cast("int"), F.greatest(x["s"] - done["at"], F.lit(0)).cast("int"))
-        fresh = x["s"] >= done["at"]
-        return F.struct(F.greatest(done["at"], x["e"]).alias("at"),
-                        F.when(fresh, F.concat(done["out"], gap, F.lit(mark))).otherwise(done["out"]).alias("out"))
-
-    rest = F.aggregate(F.array_sort(spans), state, cut, lambda done: F.concat(
-        done["out"], F.substring(text, (done["at"] + 1).cast("int"), F.greatest(F.char_length(text) - done["at"], F.lit(0)).cast("int"))))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    """Text with every span (structs s, e; they may overlap) replaced by `mark`. Texts without a
+    span do not reach Python."""
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else without(t, zip(a, b, strict=True), mark)
+                          for t, a, b in zip(texts, starts, ends, strict=True)], dtype=object)
+
+    ordered, found = F.array_sort(spans), F.coalesce(F.size(spans) > 0, F.lit(False))
+    bounds = [F.when(found, F.transform(ordered, lambda x: x["s"])), F.when(found, F.transform(ordered, lambda x: x["e"]))]
+    return F.when(found, cut(F.when(found, text), *bounds)).otherwise(text)
+
+
+def without(text: str, spans: Iterable[tuple[int, int]], mark: str) -> str:
+    """Text with every span, in order of their starts, replaced by `mark`; what overlaps the one before shares its mark."""
+    parts, at = [], 0
+    for start, end in spans:
+        if start >= at:
+            parts += [text[at:start], mark]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
 
 
 def op5_secrets(spark, sf_dir: str) -> DataFrame:
