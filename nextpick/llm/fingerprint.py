@@ -13,8 +13,10 @@ comes before them only, so an edit of a text's end leaves the earlier paragraphs
 
 Neighbours: documents are dealt to buckets of consecutive ids by sampled quantiles, and each
 bucket also gets the first document of the bucket after it, so that one shuffle of the texts
-brings every document beside its successor; no task holds more than a bucket. Only the buckets'
-smallest ids go through the driver, BUCKETS_PER_PARTITION per shuffle partition.
+brings every document beside its successor. Spark sorts a partition by bucket and id, spilling where
+it must, and the sorted rows are read through one by one: a task holds an Arrow batch and one row,
+however large a bucket or an id's share of the rows is. Only the buckets' smallest ids go through the
+driver, BUCKETS_PER_PARTITION per shuffle partition and MOST_BUCKETS at most.
 
 Edges: null text is empty text, whose fingerprint is zero; two empty texts are alike 1.0, an
 empty and another one 0.0. The only document is its own successor. Rows that repeat an id are
@@ -25,9 +27,10 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +42,11 @@ STRONG = 4
 LONGEST = 100
 PARAGRAPH = re.compile(r"[^\n.]{0,%d}[\n.]+|[^\n.]{1,%d}" % (LONGEST, LONGEST))
 BUCKETS_PER_PARTITION = 16
+MOST_BUCKETS = 8192  # bounds the plan's literals; a bucket's size is not bounded, and need not be
+
+RESULT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
+         "near_edited double, near_next double"
+NAMES = [field.split()[0] for field in RESULT.split(", ")]
 
 
 def vectors(paragraphs: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -111,24 +119,33 @@ def _edited_fingerprint(text: str, new: str, own: Fingerprint) -> Fingerprint:
     return made
 
 
-def _bucket(group: pd.DataFrame) -> pd.DataFrame:
-    """Results of the rows of one bucket; the row marked `tail` only serves as a successor."""
-    group = group.sort_values(["tail", "doc_id", "text"], kind="stable", na_position="first")
-    texts, ids, tails = group["text"].tolist(), group["doc_id"].tolist(), group["tail"].tolist()
-    own = [Fingerprint.of(t) for t in texts]
-    empty, out = Fingerprint(), []
-    for i, (doc_id, text, tail) in enumerate(zip(ids, texts, tails, strict=True)):
-        if tail:
-            continue
-        known = not pd.isna(doc_id)
-        after = i + 1 if known and i + 1 < len(texts) else None
-        following = texts[after] if after is not None else ""
-        new = edited(text, following)
-        changed = _edited_fingerprint(text, new, own[i])
-        out.append((doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), own[i].text(), changed.text(),
-                    likeness(own[i], changed), likeness(own[i], own[after] if after is not None else empty)))
-    made = pd.DataFrame(out, columns=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
-    return made.astype({"doc_id": "Int64", "n_chars": "int64", "near_edited": "float64", "near_next": "float64"})
+def _rows(out: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    return pa.RecordBatch.from_arrays([pa.array([row[i] for row in out], kind) for i, kind in enumerate(types)], names=NAMES)
+
+
+def _result(doc_id: int | None, text: str, own: Fingerprint, following: str, next_: Fingerprint) -> tuple:
+    new = edited(text, following)
+    changed = _edited_fingerprint(text, new, own)
+    return (doc_id, len(text), hashlib.sha256(new.encode("utf-8", "surrogatepass")).hexdigest(), own.text(), changed.text(),
+            likeness(own, changed), likeness(own, next_))
+
+
+def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Results of sorted rows, one row held until its successor comes; rows marked `tail` only serve as successors."""
+    held, bucket = None, None
+    for batch in batches:
+        out = []
+        for place, doc_id, text, tail in zip(*(batch.column(n) for n in ("bucket", "doc_id", "text", "tail")), strict=True):
+            place, doc_id, text = place.as_py(), doc_id.as_py(), text.as_py()
+            made = Fingerprint.of(text)
+            if held is not None:
+                follows = place == bucket and held[0] is not None
+                out.append(_result(*held, *((text, made) if follows else ("", Fingerprint()))))
+            held, bucket = None if tail.as_py() else (doc_id, text, made), place
+        yield _rows(out)
+    if held is not None:
+        yield _rows([_result(*held, "", Fingerprint())])
 
 
 def _place(doc_id: Column, cuts: list[int]) -> Column:
@@ -141,7 +158,7 @@ def _place(doc_id: Column, cuts: list[int]) -> Column:
 
 def with_successors(docs: DataFrame) -> DataFrame:
     """(bucket, doc_id, text, tail): rows by bucket of consecutive ids, and each bucket's successor."""
-    wanted = BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(MOST_BUCKETS, BUCKETS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ids = rows.select("doc_id").filter(F.col("doc_id").isNotNull())
     cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", [i / wanted for i in range(1, wanted)], 0.2 / wanted)})
@@ -159,13 +176,10 @@ def with_successors(docs: DataFrame) -> DataFrame:
     return rows.withColumn("goes", goes).select("goes.bucket", "doc_id", "text", "goes.tail")
 
 
-RESULT = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, " \
-         "near_edited double, near_next double"
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """Fingerprints of every row's text and edited text, and their likeness."""
-    return with_successors(docs).groupBy("bucket").applyInPandas(_bucket, RESULT)
+    dealt = with_successors(docs).repartition("bucket")
+    return dealt.sortWithinPartitions("bucket", "tail", "doc_id", "text").mapInArrow(_neighbours, RESULT)
 
 
 def op7_fingerprints(spark, sf_dir: str) -> DataFrame:

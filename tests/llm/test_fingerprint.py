@@ -82,3 +82,13 @@ def test_many_rows_over_many_buckets(spark):
     rows = {r.doc_id: r for r in fingerprint.fingerprints(frame).collect()}
     for doc_id, n, sha, _ in plain([(r.doc_id, r.text) for r in frame.collect()]):
         assert (rows[doc_id].n_chars, rows[doc_id].edited_sha256) == (n, sha)
+
+
+def test_rows_that_repeat_an_id_over_batches(spark):
+    frame = spark.range(300).selectExpr("cast(if(id < 200, 7, id) as long) doc_id", "concat('text ', id, '. and more of it') text")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    try:
+        rows = fingerprint.fingerprints(frame).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted((r.doc_id, r.n_chars, r.edited_sha256) for r in rows) == sorted(x[:3] for x in plain([(r.doc_id, r.text) for r in frame.collect()]))
