@@ -126,8 +126,9 @@ def _fit(groups: pd.DataFrame) -> pd.DataFrame:
                          "source_size": whole, "target": target})
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target and taken, one row per row of `docs`."""
+def _takes(docs: DataFrame, weights: Sequence[float], seed: int) -> DataFrame:
+    """One row per doc_id, source and size: its copies, the rounds all of them are taken and how
+    many of them are taken once more (extra)."""
     sized = docs.select("doc_id", "source", words(F.col("text")).alias("size"))
     rows = stage(sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("copies")).withColumn(
         "hash", F.xxhash64(F.lit(seed), "doc_id", "source")), "mix-sizes")
@@ -153,30 +154,37 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = SEED) -
     ranked = ranked.alias("r").join(offsets.alias("o"), (F.col("r.source").eqNullSafe(F.col("o.source"))) & (F.col("r.size") == F.col("o.size")) & (
         F.col("r.bucket") == F.col("o.bucket"))).select("r.*", "o.offset")
     ranked = ranked.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("copies"), F.col("more") - F.col("offset") - F.col("earlier"))).cast("bigint")).drop("earlier", "offset")
-    every = settled.unionByName(ranked)
-    each = every.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return settled.unionByName(ranked)
+
+
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = SEED) -> DataFrame:
+    """doc_id, source, size, source_size, target and taken, one row per row of `docs`."""
+    each = _takes(docs, weights, seed).withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     times = F.when(F.col("size") > 0, F.col("rounds") + (F.col("nth") <= F.col("extra")).cast("bigint")).otherwise(F.lit(0))
     return each.select("doc_id", "source", "size", "source_size", "target", (times * F.col("size")).cast("bigint").alias("taken"))
 
 
 def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """The rows of `docs` as often as the mix takes them, with their own columns only."""
+    """The rows of `docs` as often as the mix takes them, with their own columns only.
+
+    Rows that repeat a key (id, source and size) share its takes. Only where some of them are taken
+    once more than others are they numbered; that is one key at most of a source and size.
+    """
     names = docs.columns
     key = ["_m_id", "_m_source", "_m_size"]
-    times = mix(docs, weights, seed).select(
-        F.col("doc_id").alias("_m_id"), F.col("source").alias("_m_source"), F.col("size").alias("_m_size"),
-        F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int").alias("_times"))
-    # Repeated rows share a key: their takes are paired with them in order.
-    times = times.groupBy(*key).agg(F.sort_array(F.collect_list("_times"), asc=False).alias("_all"))
+    takes = _takes(docs, weights, seed).filter((F.col("size") > 0) & (F.col("rounds") + F.col("extra") > 0)).select(
+        *[F.col(c).alias(k) for c, k in zip(("doc_id", "source", "size"), key, strict=True)],
+        *[F.col(c).alias(f"_m_{c}") for c in ("copies", "rounds", "extra")])
     rows = docs.withColumns({"_m_id": F.col("doc_id"), "_m_source": F.col("source"), "_m_size": words(F.col("text"))})
-    on = [rows[k].eqNullSafe(times[k]) for k in key]
-    paired = rows.join(times, on[0] & on[1] & on[2]).drop(*[times[k] for k in key])
-    alone = F.size("_all") == 1
-    several = Window.partitionBy(*key).orderBy(F.xxhash64("text"))
-    counted = (paired.filter(alone).withColumn("_times", F.get("_all", F.lit(0)))
-               .unionByName(paired.filter(~alone).withColumn("_nth", F.row_number().over(several))
-                            .withColumn("_times", F.get("_all", F.col("_nth") - 1)).drop("_nth")))
-    return counted.filter(F.col("_times") > 0).withColumn("_each", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*names)
+    on = [rows[k].eqNullSafe(takes[k]) for k in key]
+    paired = rows.join(takes, on[0] & on[1] & on[2]).drop(*[takes[k] for k in key])
+    partly = (F.col("_m_extra") > 0) & (F.col("_m_extra") < F.col("_m_copies"))
+    inside = Window.partitionBy(*key).orderBy(F.xxhash64(*names))
+    alike = paired.filter(~partly).withColumn("_m_more", F.col("_m_extra") > 0)
+    unlike = paired.filter(partly).withColumn("_m_more", F.row_number().over(inside) <= F.col("_m_extra"))
+    counted = alike.unionByName(unlike).withColumn("_m_times", F.col("_m_rounds") + F.col("_m_more").cast("bigint"))
+    return counted.filter(F.col("_m_times") > 0).withColumn(
+        "_m_each", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_m_times")))).select(*names)
 
 
 def op6_mixing(spark, sf_dir: str) -> DataFrame:

@@ -107,6 +107,16 @@ def test_mixed_rows_repeat_as_taken(spark, edges):
     assert sum(words(r.text) for r in out.collect()) == want
 
 
+def test_mixed_rows_of_one_key(spark):
+    frame = spark.range(30).selectExpr("cast(null as long) doc_id", "concat('two ', id % 3) text", "if(id < 10, 'a', 'b') source")
+    taken = [r.taken for r in mixing.mix(frame).collect()]
+    out = mixing.mixed(frame).groupBy("source").count().collect()
+    assert len(taken) == 30 and max(taken) <= 6
+    assert {r.source: r["count"] for r in out} == {"a": 10, "b": 20}
+    uneven = frame.filter("source = 'b' or text = 'two 0'")  # 4 and 20 rows; targets 8 and 16
+    assert {r.source: r["count"] for r in mixing.mixed(uneven).groupBy("source").count().collect()} == {"a": 8, "b": 16}
+
+
 def test_one_length_over_many_buckets(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
     frame = spark.range(300).selectExpr("id doc_id", "'one two three' text", "if(id < 100, 'a', 'b') source")
