@@ -43,6 +43,8 @@ SPECIAL = "<|endoftext|>"
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 PLAIN_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"""
 _SPACES = re.compile(r"\s\s")
+#: A run of white space so long that the look-ahead's backtracking could exhaust the matcher's stack.
+LONG_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 DOCUMENT = "doc_id bigint, doc_tokens bigint, full array<bigint>, tail binary, tail_crc bigint"
 
@@ -66,14 +68,26 @@ class Tokens:
         letters = _byte_letters()
         special = {t["content"]: t["id"] for t in model["added_tokens"]}
         ranks = {bytes(letters[c] for c in word): i for word, i in model["model"]["vocab"].items() if word not in special}
-        self.special = set(special)
-        self.plain = tiktoken.Encoding("plain", pat_str=PLAIN_WORDS, mergeable_ranks=ranks, special_tokens=special)
-        self.whole = tiktoken.Encoding("whole", pat_str=WORDS, mergeable_ranks=ranks, special_tokens=special)
+        self.special = special
+        self.marks = re.compile("(" + "|".join(map(re.escape, special)) + ")")
+        self.plain, self.whole, self.run = (tiktoken.Encoding(name, pat_str=words, mergeable_ranks=ranks, special_tokens=special)
+                                            for name, words in (("plain", PLAIN_WORDS), ("whole", WORDS), ("run", r"\s+")))
 
     def ids(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
-            return self.whole.encode(text, allowed_special=self.special)
-        return (self.whole if _SPACES.search(text) else self.plain).encode_ordinary(text)
+        if not any(s in text for s in self.special):
+            return self._ordinary(text)
+        return [i for part in self.marks.split(text) for i in ([self.special[part]] if part in self.special else self._ordinary(part))]
+
+    def _ordinary(self, text: str) -> list[int]:
+        if not _SPACES.search(text):
+            return self.plain.encode_ordinary(text)
+        out, at = [], 0
+        for m in LONG_RUN.finditer(text):
+            # The split ends a run before its last character, which belongs to what follows.
+            end = m.end() - (m.end() < len(text))
+            out += self.whole.encode_ordinary(text[at:m.start()]) + self.run.encode_ordinary(text[m.start():end])
+            at = end
+        return out + self.whole.encode_ordinary(text[at:])
 
 
 def default_path() -> str:

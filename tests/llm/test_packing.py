@@ -1,5 +1,6 @@
 """Exact round trip: pieces give back every document's ids; padding; tokens as the library gives them."""
 
+import re
 import zlib
 from collections import defaultdict
 
@@ -32,6 +33,23 @@ def test_tokens_of_odd_texts(text):
     assert [*OWN.ids(text), 0] == ids(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*"ab1 \n\t é.　\x1c\x85\xa0", "<|endoftext|>"]), max_size=30).map("".join))
+def test_runs_of_white_space_cut_out(text):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(packing, "LONG_RUN", re.compile(packing.LONG_RUN.pattern.replace("10000", "2")))
+        assert [*OWN.ids(text), 0] == ids(text)
+
+
+@pytest.mark.parametrize("text", [" " * 20_000 + "a", "x" + "\n" * 20_001 + " <|endoftext|> " + "\t " * 10_000, "\u2003" * 10_000])
+def test_long_runs_of_white_space(text):
+    assert [*OWN.ids(text), 0] == ids(text)
+
+
+def test_a_run_of_millions():
+    assert len(OWN.ids(" " * 2_000_000 + "a")) == 2_000_000
+
+
 def check(rows, texts):
     """Every document's ids lie in exactly one piece each; sequences have no gaps. Share of padding."""
     want = {i: ids(t) for i, t in texts.items()}
