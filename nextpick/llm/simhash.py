@@ -9,11 +9,12 @@ radius plus `bits` are also given to the near side. By the triangle inequality a
 `bits` or fewer bits then meet in a shard: nothing is lost. The tree is built on the driver from
 a bounded sample of points (SAMPLE); its size follows the number of points, so shards keep about
 SHARD points. In a shard the same partition goes on down to LEAF points, whose pairs are compared
-exactly, blockwise. A shard emits a spanning forest of its links, one row per point at most,
+exactly, blockwise. A shard of more than CROWD points, which the tree could not split, is dealt to
+blocks, and every pair of blocks is a group of its own. A group emits a spanning forest of its links, one row per point at most,
 never all pairs; components of the forests are those of all links.
 
-A vantage point whose sample lies at one distance can't split; such a node ends in a shard, and
-the shard's own tree, with other vantage points, or the blockwise comparison handles it.
+A vantage point splits only if that saves pairs (a sample at one distance doesn't); otherwise the
+node ends in a shard, and the shard's own tree, with other vantage points, or the blocks handle it.
 
 Edges: a text without words (null, empty, white space) has fingerprint zero and links like any
 other. Rows that repeat an id get the same component. A null id is never a component's id; where
@@ -42,6 +43,7 @@ SEED = 42
 SHARD = 4096
 LEAF = 512
 SAMPLE = 1 << 17
+CROWD = 1 << 16
 _CHUNK = 1 << 17
 
 
@@ -88,16 +90,14 @@ def _distances(points: np.ndarray, one) -> np.ndarray:
 
 
 def _radius(distances: np.ndarray, bits: int) -> int | None:
-    """Radius that splits best: the larger side with its copies, and the copies, small. None if nothing splits."""
-    counts = np.bincount(distances, minlength=66).astype(np.int64)
-    whole, best, found = len(distances), None, None
-    inside = np.cumsum(counts)
+    """Radius that leaves the fewest pairs to compare on both sides. None unless it saves a tenth of
+    them, so that splitting again and again never costs more than comparing all pairs."""
+    inside = np.cumsum(np.bincount(distances, minlength=66)).astype(np.float64)
+    best, found = 0.9 * len(distances) ** 2, None
     for r in range(64):
-        near, copies = inside[r], inside[min(r + bits, 65)] - inside[r]
-        far = whole - near
-        cost = max(near + copies, far) + copies
-        if near and far and max(near + copies, far) < 0.95 * whole and (best is None or cost < best):
-            best, found = cost, r
+        near, far = inside[min(r + bits, 65)], len(distances) - inside[r]
+        if inside[r] and far and near ** 2 + far ** 2 < best:
+            best, found = near ** 2 + far ** 2, r
     return found
 
 
@@ -200,7 +200,14 @@ def links(points: DataFrame) -> DataFrame:
             row, shard = shards_of(tree, own.view(np.uint64))
             yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int64)), pa.array(own[row])], names=["shard", "fp"])
 
-    return points.mapInArrow(deal, "shard bigint, fp bigint").groupBy("shard").applyInPandas(_shard_links, "a bigint, b bigint")
+    dealt = stage(points.mapInArrow(deal, "shard bigint, fp bigint"), "simhash-shards")
+    # One row at most per leaf of the tree, which the bounded sample limits.
+    crowded = dealt.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / CROWD).alias("blocks")).filter("blocks > 1")
+    sided = dealt.join(F.broadcast(crowded), "shard", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    sided = sided.withColumn("side", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    paired = sided.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    groups = paired.select("shard", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "fp")
+    return groups.groupBy("shard", "low", "high").applyInPandas(_shard_links, "a bigint, b bigint")
 
 
 def classes(prints: DataFrame, first: Column) -> DataFrame:

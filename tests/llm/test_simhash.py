@@ -107,8 +107,21 @@ def test_pairs_meet_in_a_shard():
             assert held[i] & held[j]
 
 
-def test_shards_over_spark(spark, monkeypatch):
+def test_near_copies_are_compared_seldom():
+    """A ball of near copies, which no vantage point splits well, costs little more than all its pairs once."""
+    rng = np.random.default_rng(3)
+    flips = np.uint64(1) << rng.integers(0, 64, (8000, 6)).astype(np.uint64)
+    points = np.unique(np.bitwise_xor.reduce(np.where(np.arange(6) < rng.integers(0, 7, (8000, 1)), flips, np.uint64(0)), axis=1))
+    pairs = [(a, b) for a, b in simhash.linked_pairs(points)]
+    got = np.unique(np.concatenate([np.minimum(a, b) * len(points) + np.maximum(a, b) for a, b in pairs]))
+    want = sum(int((np.bitwise_count(points[i + 1:] ^ points[i]) <= 2).sum()) for i in range(len(points)))
+    assert len(got) == want and sum(len(a) for a, _ in pairs) < 4 * want
+
+
+@pytest.mark.parametrize("crowd", [simhash.CROWD, 40])
+def test_shards_over_spark(spark, monkeypatch, crowd):
     monkeypatch.setattr(simhash, "SHARD", 100)
+    monkeypatch.setattr(simhash, "CROWD", crowd)
     points = clustered(1000, np.random.default_rng(9))
     frame = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
     roots = {r.node: r.root for r in components(simhash.links(frame)).collect()}
