@@ -32,10 +32,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark and their length counted again."""
-    found = secret_scan.find_secrets(docs, COLUMNS)
-    marked = found.withColumn("spans", F.concat("assign", "access", "hex", "added"))
-    clean = marked.withColumn("text", secret_scan.redact(F.col("text"), F.col("spans")))
-    counted = F.when(F.size("spans") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
+    clean = secret_scan.redact(docs, COLUMNS)
+    counted = F.when(F.col("n_secrets") > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return clean.withColumn("n_chars", counted).select(*COLUMNS)
 
 

@@ -19,8 +19,8 @@ from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from operator import or_
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,8 +152,8 @@ def _pairs(spans: Column) -> Column:
     return F.transform(spans, lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e")))
 
 
-def find_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """`keep` columns, assign, access, hex, added (arrays of s, e) and the highest guess cost, per row of `docs`."""
+def _candidates(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """`keep` columns, the base spans, and what Python scores: open candidates and assigned values."""
     rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
     found = find(rows, "_text", PATTERNS | {"context": CONTEXT}).drop("_text")
     found = found.withColumns({
@@ -161,30 +161,40 @@ def find_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFram
         "access": F.filter("access", lambda m: F.length(m["v"]) >= 20)})
     open_ones = F.transform("context", lambda m: F.struct(
         m["s"].alias("s"), m["e"].alias("e"), F.rtrim(F.regexp_replace(m["v"], PREFIX, ""), F.lit(".)]}")).alias("v")))
-    judged = (found.withColumn("_open", open_ones)
-              .select(*keep, *[_pairs(F.col(k)).alias(k) for k in KINDS],
-                      F.filter("_open", lambda x: (F.length(x["v"]) >= 6) & ~reduce(or_, [
-                          touches(F.col(k), x["s"], x["e"]) for k in KINDS])).alias("open"),
-                      F.transform("assign", lambda m: _value(m["v"])).alias("values")))
+    return (found.withColumn("_open", open_ones)
+            .select(*keep, *[_pairs(F.col(k)).alias(k) for k in KINDS],
+                    F.filter("_open", lambda x: (F.length(x["v"]) >= 6) & ~reduce(or_, [
+                        touches(F.col(k), x["s"], x["e"]) for k in KINDS])).alias("open"),
+                    F.transform("assign", lambda m: _value(m["v"])).alias("values")))
+
+
+def find_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """`keep` columns, assign, access, hex, added (arrays of s, e) and the highest guess cost, per row of `docs`."""
     schema = T.StructType([*docs.select(*keep).schema.fields, *T.StructType.fromDDL(RESULT).fields])
-    return judged.mapInArrow(_score, schema)
+    return _candidates(docs, keep).mapInArrow(_score, schema)
 
 
 def _structs(name: str, kind: int) -> Column:
     return F.transform(name, lambda m: F.struct(m["s"].alias("s"), F.lit(kind).alias("k"), m["e"].alias("e")))
 
 
-def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """Text with every span (structs s, e; they may overlap) replaced by `mark`. Texts without a
-    span do not reach Python."""
-    @F.pandas_udf("string")
-    def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else without(t, zip(a, b, strict=True), mark)
-                          for t, a, b in zip(texts, starts, ends, strict=True)], dtype=object)
+def redact(docs: DataFrame, keep: Sequence[str], mark: str = "[SECRET]") -> DataFrame:
+    """`keep` columns (with text) and n_secrets, per row of `docs`: every secret in text is replaced by `mark`.
+
+    The text is cut in the batch that scores it, so that a task needs one Python worker only.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _score(batches):
+            spans = [sorted((x["s"], x["e"]) for own in row for x in own)
+                     for row in zip(*(batch.column(k).to_pylist() for k in (*KINDS, "added")), strict=True)]
+            texts, hit = batch.column("text"), pa.array([bool(own) for own in spans], pa.bool_())
+            clean = pa.array([without(t.as_py(), own, mark) for t, own in zip(texts, spans, strict=True) if own], texts.type)
+            texts = pc.replace_with_mask(texts, hit, clean)
+            yield pa.RecordBatch.from_arrays(
+                [texts if n == "text" else batch.column(n) for n in keep] + [pa.array([len(own) for own in spans], pa.int64())],
+                names=[*keep, "n_secrets"])
 
-    ordered, found = F.array_sort(spans), F.coalesce(F.size(spans) > 0, F.lit(False))
-    bounds = [F.when(found, F.transform(ordered, lambda x: x["s"])), F.when(found, F.transform(ordered, lambda x: x["e"]))]
-    return F.when(found, cut(F.when(found, text), *bounds)).otherwise(text)
+    return _candidates(docs, keep).mapInArrow(run, docs.select(*keep).schema.add("n_secrets", T.LongType()))
 
 
 def without(text: str, spans: Iterable[tuple[int, int]], mark: str) -> str:

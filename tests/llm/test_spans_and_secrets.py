@@ -71,11 +71,23 @@ def test_cost_of_nothing_and_of_a_long_value():
     assert secret_scan.guess_cost("Zq" * 500) > 20
 
 
+def test_cutting_spans_out():
+    assert secret_scan.without("abc secret xyz", [(4, 10)], "[SECRET]") == "abc [SECRET] xyz"
+    assert secret_scan.without("😀 aabb", [(2, 4), (3, 6)], "*") == "😀 *"
+    assert secret_scan.without("none", [], "*") == "none"
+
+
 def test_redaction(spark):
-    rows = [("abc secret xyz", [(4, 10)]), ("😀 aabb", [(2, 4), (3, 6)]), (None, []), ("none", [])]
-    frame = spark.createDataFrame(rows, "text string, spans array<struct<s:bigint,e:bigint>>")
-    out = [r[0] for r in frame.select(secret_scan.redact(F.col("text"), F.col("spans"))).collect()]
-    assert out == ["abc [SECRET] xyz", "😀 [SECRET]", None, "none"]
+    frame = helpers.documents(spark, extra=True)
+    found = secret_scan.find_secrets(frame, ("doc_id", "text")).collect()
+    want = []
+    for r in found:
+        spans = sorted((x.s, x.e) for kind in (*secret_scan.KINDS, "added") for x in r[kind])
+        want.append((r.doc_id, secret_scan.without(r.text, spans, "[SECRET]") if spans else r.text, len(spans)))
+    got = [tuple(r) for r in secret_scan.redact(frame, ("doc_id", "text")).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert any("[SECRET]" in (t or "") for _, t, _ in got) and any(t is None for _, t, _ in got)
+    assert secret_scan.redact(helpers.documents(spark, []), ("doc_id", "text")).count() == 0
 
 
 def test_touches_agrees_with_a_plain_search(spark):
