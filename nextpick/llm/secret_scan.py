@@ -1,10 +1,11 @@
 """Secrets by password guess cost.
 
 Base patterns (assignments, access keys, hex runs) are found in DataFrame functions. Values in a
-credential context that no base pattern takes (``pwd is ...``, ``Bearer ...``, ``user:value@``)
-are scored by dynamic programming: the cheapest way to cut the value into dictionary words,
+credential context that no base pattern takes (``pwd is ...``, ``Bearer ...``,
+``scheme://user:value@``) are scored by dynamic programming: the cheapest way to cut the value into dictionary words,
 dates, repeats, keyboard walks and brute-force spans, in log10 guesses. Values that cost at
-least MIN_GUESSES are secrets too and are reported as kind ``assign``. Assigned values get the
+least MIN_GUESSES are secrets too and are reported as kind ``assign``; in a URL the span is the value
+alone, up to the last @ before the host. Assigned values get the
 same score, which never removes a base span.
 
 Only offsets and candidate values reach Python, one Arrow batch at a time; the segmentation is
@@ -37,6 +38,8 @@ PATTERNS = {
 #: Contexts that the base patterns miss; the value is what follows.
 CONTEXT = r"""(?i:\b(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?(?: *[:=] *| is | )["']?)[^\s"'<>,;]{6,}+"""
 PREFIX = r"""^(?i:(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?(?: *[:=] *| is | )["']?)"""
+#: The user and password of a URL; a number at the value's start that ends the authority is a port.
+URL = r"""://[^\s:/@\["<>]*+:(?![0-9]{1,5}[/?#'])(?:[^\s/@"<>]|/(?!/)|@(?=[^\s/@"<>]*+@))++(?=@)"""
 MIN_GUESSES = 8.0  # log10
 #: Fixed value: common words and passwords, most common first.
 WORDS = """password the and you that for are with this have not from they will what about which when make can like time
@@ -131,11 +134,14 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for open_ones, assigned in zip(batch.column("open").to_pylist(), batch.column("values").to_pylist(), strict=True):
             costs = [guess_cost(v) for v in assigned or ()]
             taken = []
-            for x in open_ones or ():
+            for x in sorted(open_ones or (), key=lambda x: x["s"]):
                 cost = guess_cost(x["v"])
                 if cost >= MIN_GUESSES:
                     costs.append(cost)
-                    taken.append({"s": x["s"], "e": x["e"]})
+                    if taken and x["s"] < taken[-1]["e"]:  # a URL in an assigned value
+                        taken[-1]["e"] = max(taken[-1]["e"], x["e"])
+                    else:
+                        taken.append({"s": x["s"], "e": x["e"]})
             added.append(taken)
             most.append(max(costs, default=0.0))
         names = [n for n in batch.schema.names if n not in ("open", "values")]
@@ -148,6 +154,11 @@ def _value(match: Column) -> Column:
     return F.regexp_extract(match, r"""^(?i:[a-z_]+)["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)$""", 1)
 
 
+def _after_user(match: Column) -> Column:
+    """The password of a URL's ``://user:password``."""
+    return F.regexp_replace(match, "^://[^:]*+:", "")
+
+
 def _pairs(spans: Column) -> Column:
     return F.transform(spans, lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e")))
 
@@ -155,15 +166,17 @@ def _pairs(spans: Column) -> Column:
 def _candidates(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """`keep` columns, the base spans, and what Python scores: open candidates and assigned values."""
     rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
-    found = find(rows, "_text", PATTERNS | {"context": CONTEXT}).drop("_text")
+    found = find(rows, "_text", PATTERNS | {"context": CONTEXT, "url": URL}).drop("_text")
     found = found.withColumns({
         "assign": F.filter("assign", lambda m: F.length(_value(m["v"])) >= 6),
         "access": F.filter("access", lambda m: F.length(m["v"]) >= 20)})
     open_ones = F.transform("context", lambda m: F.struct(
         m["s"].alias("s"), m["e"].alias("e"), F.rtrim(F.regexp_replace(m["v"], PREFIX, ""), F.lit(".)]}")).alias("v")))
-    return (found.withColumn("_open", open_ones)
+    in_urls = F.transform("url", lambda m: F.struct(
+        (m["s"] + F.char_length(m["v"]) - F.char_length(_after_user(m["v"]))).alias("s"), m["e"].alias("e"), _after_user(m["v"]).alias("v")))
+    return (found.withColumn("_open", F.concat(F.filter(open_ones, lambda x: F.length(x["v"]) >= 6), in_urls))
             .select(*keep, *[_pairs(F.col(k)).alias(k) for k in KINDS],
-                    F.filter("_open", lambda x: (F.length(x["v"]) >= 6) & ~reduce(or_, [
+                    F.filter("_open", lambda x: ~reduce(or_, [
                         touches(F.col(k), x["s"], x["e"]) for k in KINDS])).alias("open"),
                     F.transform("assign", lambda m: _value(m["v"])).alias("values")))
 

@@ -105,3 +105,22 @@ def test_many_matches_in_a_text(spark):
     found = [(x.s, k, x.e) for k, kind in enumerate(secret_scan.KINDS) for x in row[kind]]
     assert sorted(found) == helpers.base_spans(text, helpers.SECRETS)
     assert [(x.s, x.e) for x in row.added] == [m.span() for m in re.finditer(r"pwd is \S+", text)]
+
+
+def _scanned(spark, texts):
+    """For each text, the added spans' text and the redacted text."""
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    added = {r.doc_id: [texts[r.doc_id][x.s:x.e] for x in r.added] for r in secret_scan.find_secrets(frame).collect()}
+    clean = {r.doc_id: r.text for r in secret_scan.redact(frame, ("doc_id", "text")).collect()}
+    return [(added[i], clean[i]) for i in range(len(texts))]
+
+
+def test_password_in_a_url(spark):
+    got = _scanned(spark, [
+        "😀 use postgres://app:Xk9vQ2mtR7zz@db/x now", "redis://:p/4s@Zq81!x@cache:6379/0", "https://user:pw@host/x",
+        "http://host:8080/people/@someone http://example.com/a:b@c http://[::1]:8080/long/@path", "://a:" * 3000,
+        "pwd=https://u:Xk9vQ2mtR7zz@db/x"])
+    assert got[0] == (["Xk9vQ2mtR7zz"], "😀 use postgres://app:[SECRET]@db/x now")
+    assert got[1] == (["p/4s@Zq81!x"], "redis://:[SECRET]@cache:6379/0")
+    assert [a for a, _ in got[2:5]] == [[], [], []]
+    assert got[5] == (["pwd=https://u:Xk9vQ2mtR7zz@db/x"], "[SECRET]")
