@@ -8,6 +8,11 @@ least MIN_GUESSES are secrets too and are reported as kind ``assign``; in a URL
 alone, up to the last @ before the host. Assigned values get the
 same score, which never removes a base span.
 
+The dictionary is WORDS, then words.COMMON, a fixed list of English; a word outside it costs its letters.
+So that prose in any language isn't taken for a secret, what follows a key word after a mere space is a
+candidate only if it isn't made of words alone (PROSE; ``secret garden``), except after ``Bearer``; and after
+``is`` or ``Bearer``, one or two listed words (``is case-sensitive``) are none.
+
 Only offsets and candidate values reach Python, one Arrow batch at a time; the segmentation is
 linear in the value's length. Null text is empty text. Repeated rows and null ids give one result
 row each.
@@ -16,6 +21,7 @@ row each.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from operator import or_
@@ -28,6 +34,7 @@ from pyspark.sql import types as T
 
 from nextpick.llm.common import table
 from nextpick.llm.spans import find, joined, touches
+from nextpick.llm.words import COMMON
 
 KINDS = ["assign", "access", "hex"]
 PATTERNS = {
@@ -36,8 +43,13 @@ PATTERNS = {
     "hex": r"(?<![0-9a-f])[0-9a-f]{24,}+",
 }
 #: Contexts that the base patterns miss; the value is what follows.
-CONTEXT = r"""(?i:\b(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?(?: *[:=] *| is | )["']?)[^\s"'<>,;]{6,}+"""
+_WORD = r"(?:(?:\p{Lu}[\p{Ll}\p{M}]++){1,3}+|[\p{Ll}\p{M}]++(?:\p{Lu}[\p{Ll}\p{M}]++)?+|\p{Lu}++s?+|[\p{Lo}\p{Lm}\p{M}]++|[0-9]{1,4}+(?:st|nd|rd|th)?+)"
+#: A value made of words (or ordinals) in the usual case, joined and surrounded by punctuation.
+PROSE = rf"""["']?+(?=[^\s"'<>,;]*\p{{L}})[(“‘\[*_]*+{_WORD}(?:[-–—/’.:&+_…|·()、，。]++{_WORD})*+[\p{{P}}*|&&[^"',;]]*+(?=[\s"'<>,;]|$)"""
+CONTEXT = r"""(?i:\b(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?)(?:(?i: *[:=] *| is )| (?!""" + PROSE + r""")|(?<=(?i:bearer)) )["']?[^\s"'<>,;]{6,}+"""
 PREFIX = r"""^(?i:(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?(?: *[:=] *| is | )["']?)"""
+#: Contexts in which prose may follow.
+TOLD = r"""^(?i:[a-z _-]+["']? is |bearer["']? )"""
 #: The user and password of a URL; a number at the value's start that ends the authority is a port.
 URL = r"""://[^\s:/@\["<>]*+:(?![0-9]{1,5}[/?#'])(?:[^\s/@"<>]|/(?!/)|@(?=[^\s/@"<>]*+@))++(?=@)"""
 MIN_GUESSES = 8.0  # log10
@@ -52,7 +64,7 @@ strong weak hint policy field manager""".split()
 #: Fixed value: keyboard rows and digit order.
 ROWS = ["qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "qwertzuiop", "azertyuiop"]
 LEET = str.maketrans("4@310$5!7", "aaeiossit")
-LONGEST_WORD = max(map(len, WORDS))
+LONGEST_WORD = max(map(len, [*WORDS, *COMMON]))
 
 RESULT = "assign array<struct<s:bigint,e:bigint>>, access array<struct<s:bigint,e:bigint>>, " \
          "hex array<struct<s:bigint,e:bigint>>, added array<struct<s:bigint,e:bigint>>, max_guesses double"
@@ -64,7 +76,7 @@ def _neighbours() -> set[str]:
 
 
 _NEXT = _neighbours()
-_RANK = {w: i + 1 for i, w in enumerate(WORDS)}
+_RANK = {w: i + 1 for i, w in enumerate([*WORDS, *COMMON])}
 
 
 def _symbols(value: str) -> int:
@@ -104,6 +116,7 @@ def guess_cost(value: str) -> float:
     per_symbol = math.log10(_symbols(value))
     repeats = _runs(low, lambda a, b: a == b)
     walks = _runs(low, lambda a, b: a + b in _NEXT)
+    letters = _runs(plain, lambda a, b: "a" <= a <= "z" and "a" <= b <= "z")
     best = [0.0] + [math.inf] * len(value)
     for end in range(1, len(value) + 1):
         cost = best[end - 1] + per_symbol
@@ -115,18 +128,25 @@ def guess_cost(value: str) -> float:
             cost = min(cost, best[first] + math.log10(94) + math.log10(2 * (end - first)))
         for start, extra in _dates(value, end):
             cost = min(cost, best[start] + extra)
-        for size in range(2, min(LONGEST_WORD, end) + 1):
+        for size in range(2, min(LONGEST_WORD, end - letters[end - 1]) + 1):
             start = end - size
-            for text, factor in ((low, 1), (plain, 2)):
-                rank = _RANK.get(text[start:end])
-                if rank:
-                    upper = sum(c.isupper() for c in value[start:end])
-                    cased = 1 if not upper else 2 if upper in (1, size) else 2 ** min(upper, size - upper)
-                    cost = min(cost, best[start] + math.log10(rank * factor * cased) + 0.3)
+            rank = _RANK.get(plain[start:end])
+            if rank:
+                factor = 1 if low[start:end] == plain[start:end] else 2
+                upper = sum(c.isupper() for c in value[start:end])
+                cased = 1 if not upper else 2 if upper in (1, size) else 2 ** min(upper, size - upper)
+                cost = min(cost, best[start] + math.log10(rank * factor * cased) + 0.3)
         best[end] = cost
     return best[-1]
 
 
+def _listed(value: str) -> bool:
+    """Whether `value` is a word of the dictionary, or two with - or / between; any word of up to three letters will do."""
+    words = re.split("[-/]", value.strip(".:!?*_…”’"))
+    return len(words) <= 2 and all(w.isalpha() and (w.islower() or w.istitle() or w.isupper()) and (
+        len(w) <= 3 or w.lower() in _RANK) for w in words)
+
+
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pair = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
     for batch in batches:
@@ -135,7 +155,7 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             costs = [guess_cost(v) for v in assigned or ()]
             taken = []
             for x in sorted(open_ones or (), key=lambda x: x["s"]):
-                cost = guess_cost(x["v"])
+                cost = 0.0 if x["told"] and _listed(x["v"]) else guess_cost(x["v"])
                 if cost >= MIN_GUESSES:
                     costs.append(cost)
                     if taken and x["s"] < taken[-1]["e"]:  # a URL in an assigned value
@@ -171,9 +191,10 @@ def _candidates(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
         "assign": F.filter("assign", lambda m: F.length(_value(m["v"])) >= 6),
         "access": F.filter("access", lambda m: F.length(m["v"]) >= 20)})
     open_ones = F.transform("context", lambda m: F.struct(
-        m["s"].alias("s"), m["e"].alias("e"), F.rtrim(F.regexp_replace(m["v"], PREFIX, ""), F.lit(".)]}")).alias("v")))
+        m["s"].alias("s"), m["e"].alias("e"), F.rtrim(F.regexp_replace(m["v"], PREFIX, ""), F.lit(".)]}")).alias("v"),
+        m["v"].rlike(TOLD).alias("told")))
     in_urls = F.transform("url", lambda m: F.struct(
-        (m["s"] + F.char_length(m["v"]) - F.char_length(_after_user(m["v"]))).alias("s"), m["e"].alias("e"), _after_user(m["v"]).alias("v")))
+        (m["s"] + F.char_length(m["v"]) - F.char_length(_after_user(m["v"]))).alias("s"), m["e"].alias("e"), _after_user(m["v"]).alias("v"), F.lit(False).alias("told")))
     return (found.withColumn("_open", F.concat(F.filter(open_ones, lambda x: F.length(x["v"]) >= 6), in_urls))
             .select(*keep, *[_pairs(F.col(k)).alias(k) for k in KINDS],
                     F.filter("_open", lambda x: ~reduce(or_, [

@@ -124,3 +124,20 @@ def test_password_in_a_url(spark):
     assert got[1] == (["p/4s@Zq81!x"], "redis://:[SECRET]@cache:6379/0")
     assert [a for a, _ in got[2:5]] == [[], [], []]
     assert got[5] == (["pwd=https://u:Xk9vQ2mtR7zz@db/x"], "[SECRET]")
+
+
+def test_clean_prose_has_no_secrets(spark):
+    prose = ["a secret garden", "the token economy.", "pass through (pass judgement!)", "password policies", "Secret Service", "API key rotation",
+             "token-based login; secret re-election, secret 19th-century", "le secret professionnel’s défense", "token 経済学の原理について書く", "the bearer certificates",
+             "the password is incorrect", "My password is case-sensitive.", "the secret is Patience", "private key encryption/decryption", "ACCESS KEY HOLDERS"]
+    assert _scanned(spark, prose) == [([], t) for t in prose]
+
+
+def test_values_that_are_no_prose_are_still_secrets(spark):
+    values = ["Bearer qzmwpxnvbkdl", "password Xk9$vQ2m!tR7", "pin 8392017564", "pwd is pxzqwvkj", "secret xq7-zzkw-93fa", "pwd: qzvkxwpmjf"]
+    assert _scanned(spark, values) == [([t], "[SECRET]") for t in values]
+
+
+def test_listed_words_are_cheap_and_ranks_do_not_repeat():
+    assert all(secret_scan.guess_cost(w) < secret_scan.MIN_GUESSES for w in ("policies", "incorrect", "managers", "Optional"))
+    assert len(secret_scan._RANK) == len(secret_scan.COMMON) + len(set(secret_scan.WORDS))
