@@ -5,7 +5,8 @@ credential context that no base pattern takes (``pwd is ...``, ``Bearer ...``,
 ``scheme://user:value@``) are scored by dynamic programming: the cheapest way to cut the value into dictionary words,
 dates, repeats, keyboard walks and brute-force spans, in log10 guesses. Values that cost at
 least MIN_GUESSES are secrets too and are reported as kind ``assign``; in a URL the span is the value
-alone, up to the last @ before the host. Assigned values get the
+alone, up to the last @ before the host. Where a base span takes part of such a value, what it leaves
+(``&3xyz`` of ``password=Tr0ub4dor&3xyz``) is a span of its own, unless it is punctuation that ends a phrase. Assigned values get the
 same score, which never removes a base span.
 
 The dictionary is WORDS, then words.COMMON, a fixed list of English; a word outside it costs its letters.
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from operator import or_
@@ -46,13 +48,14 @@ PATTERNS = {
 _WORD = r"(?:(?:\p{Lu}[\p{Ll}\p{M}]++){1,3}+|[\p{Ll}\p{M}]++(?:\p{Lu}[\p{Ll}\p{M}]++)?+|\p{Lu}++s?+|[\p{Lo}\p{Lm}\p{M}]++|[0-9]{1,4}+(?:st|nd|rd|th)?+)"
 #: A value made of words (or ordinals) in the usual case, joined and surrounded by punctuation.
 PROSE = rf"""["']?+(?=[^\s"'<>,;]*\p{{L}})[(“‘\[*_]*+{_WORD}(?:[-–—/’.:&+_…|·()、，。]++{_WORD})*+[\p{{P}}*|&&[^"',;]]*+(?=[\s"'<>,;]|$)"""
-CONTEXT = r"""(?i:\b(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?)(?:(?i: *[:=] *| is )| (?!""" + PROSE + r""")|(?<=(?i:bearer)) )["']?[^\s"'<>,;]{6,}+"""
+CONTEXT = r"""(?i:(?<![A-Za-z0-9])(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?)(?:(?i: *[:=] *| is )| (?!""" + PROSE + r""")|(?<=(?i:bearer)) )["']?[^\s"'<>,;]{6,}+"""
 PREFIX = r"""^(?i:(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?(?: *[:=] *| is | )["']?)"""
 #: Contexts in which prose may follow.
 TOLD = r"""^(?i:[a-z _-]+["']? is |bearer["']? )"""
 #: The user and password of a URL; a number at the value's start that ends the authority is a port.
 URL = r"""://[^\s:/@\["<>]*+:(?![0-9]{1,5}[/?#'])(?:[^\s/@"<>]|/(?!/)|@(?=[^\s/@"<>]*+@))++(?=@)"""
 MIN_GUESSES = 8.0  # log10
+CLOSING = ".,:;!?)]}([{*`|\\…_"
 #: Fixed value: common words and passwords, most common first.
 WORDS = """password the and you that for are with this have not from they will what about which when make can like time
 just him know take people into year your good some could them see other than then now look only come over think also back
@@ -147,21 +150,45 @@ def _listed(value: str) -> bool:
         len(w) <= 3 or w.lower() in _RANK) for w in words)
 
 
+def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order of their starts, overlapping ones as one."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], e))
+        else:
+            out.append((s, e))
+    return out
+
+
+def _left(x: dict, base: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What the base spans, in order of their starts, leave of a candidate's value."""
+    at, stop = x["e"] - x["after"] - len(x["v"]), x["e"] - x["after"]
+    for s, e in [*base[max(0, bisect_left(base, (at, 0)) - 1):bisect_left(base, (stop, 0))], (stop, stop)]:
+        if s > at and x["v"][at - stop:][:s - at].strip(CLOSING):
+            yield at, s
+        at = max(at, e)
+
+
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pair = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
     for batch in batches:
         added, most = [], []
-        for open_ones, assigned in zip(batch.column("open").to_pylist(), batch.column("values").to_pylist(), strict=True):
+        for i, (open_ones, assigned) in enumerate(zip(batch.column("open").to_pylist(), batch.column("values").to_pylist(), strict=True)):
             costs = [guess_cost(v) for v in assigned or ()]
-            taken = []
+            taken, base = [], None
             for x in sorted(open_ones or (), key=lambda x: x["s"]):
-                cost = 0.0 if x["told"] and _listed(x["v"]) else guess_cost(x["v"])
+                if x["hit"] and base is None:
+                    base = _merged((y["s"], y["e"]) for k in KINDS for y in batch.column(k)[i].as_py() or ())
+                parts = list(_left(x, base)) if x["hit"] else [(x["s"], x["e"])]
+                cost = 0.0 if not parts or (x["told"] and _listed(x["v"])) else guess_cost(x["v"])
                 if cost >= MIN_GUESSES:
                     costs.append(cost)
-                    if taken and x["s"] < taken[-1]["e"]:  # a URL in an assigned value
-                        taken[-1]["e"] = max(taken[-1]["e"], x["e"])
-                    else:
-                        taken.append({"s": x["s"], "e": x["e"]})
+                    for s, e in parts:
+                        if taken and s < taken[-1]["e"]:  # a URL in an assigned value
+                            taken[-1]["e"] = max(taken[-1]["e"], e)
+                        else:
+                            taken.append({"s": s, "e": e})
             added.append(taken)
             most.append(max(costs, default=0.0))
         names = [n for n in batch.schema.names if n not in ("open", "values")]
@@ -190,16 +217,24 @@ def _candidates(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     found = found.withColumns({
         "assign": F.filter("assign", lambda m: F.length(_value(m["v"])) >= 6),
         "access": F.filter("access", lambda m: F.length(m["v"]) >= 20)})
-    open_ones = F.transform("context", lambda m: F.struct(
-        m["s"].alias("s"), m["e"].alias("e"), F.rtrim(F.regexp_replace(m["v"], PREFIX, ""), F.lit(".)]}")).alias("v"),
-        m["v"].rlike(TOLD).alias("told")))
-    in_urls = F.transform("url", lambda m: F.struct(
-        (m["s"] + F.char_length(m["v"]) - F.char_length(_after_user(m["v"]))).alias("s"), m["e"].alias("e"), _after_user(m["v"]).alias("v"), F.lit(False).alias("told")))
-    return (found.withColumn("_open", F.concat(F.filter(open_ones, lambda x: F.length(x["v"]) >= 6), in_urls))
-            .select(*keep, *[_pairs(F.col(k)).alias(k) for k in KINDS],
-                    F.filter("_open", lambda x: ~reduce(or_, [
-                        touches(F.col(k), x["s"], x["e"]) for k in KINDS])).alias("open"),
-                    F.transform("assign", lambda m: _value(m["v"])).alias("values")))
+
+    def candidate(s: Column, e: Column, whole: Column, v: Column, told: Column) -> Column:
+        hit = reduce(or_, [touches(F.col(k), s, e) for k in KINDS])
+        return F.struct(s.alias("s"), e.alias("e"), (F.char_length(whole) - F.char_length(v)).alias("after"), v.alias("v"),
+                        told.alias("told"), hit.alias("hit"))
+
+    def in_context(m: Column) -> Column:
+        value = F.regexp_replace(m["v"], PREFIX, "")
+        return candidate(m["s"], m["e"], value, F.rtrim(value, F.lit(".)]}")), m["v"].rlike(TOLD))
+
+    def in_url(m: Column) -> Column:
+        value = _after_user(m["v"])
+        return candidate(m["e"] - F.char_length(value), m["e"], value, value, F.lit(False))
+
+    open_ones = F.filter(F.transform("context", in_context), lambda x: F.length(x["v"]) >= 6)
+    return found.select(*keep, *[_pairs(F.col(k)).alias(k) for k in KINDS],
+                        F.concat(open_ones, F.transform("url", in_url)).alias("open"),
+                        F.transform("assign", lambda m: _value(m["v"])).alias("values"))
 
 
 def find_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
