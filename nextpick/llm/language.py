@@ -1,8 +1,8 @@
 """Language ID by a byte convolutional network over fixed-length windows of the whole text.
 
-The network learns from a bounded sample: up to PER_LANG documents of each of the MAX_LANGS most
-frequent languages, chosen by a hash of text alone among the rows the caller allows, and SNIPPET
-characters of each. Prediction averages the windows' log probabilities, weighted by their bytes,
+The network learns every language from a bounded sample: up to PER_LANG documents of each, fewer
+where that would make more than MOST_ROWS in all but never none, chosen by a hash of text alone
+among the rows the caller allows, and SNIPPET characters of each. Prediction averages the windows' log probabilities, weighted by their bytes,
 over all windows of a text.
 
 Text that is null or has no letter is ``und`` with score 0. Without any learnable row all rows
@@ -22,32 +22,41 @@ from nextpick.llm.bytecnn import Network, Scorer, cut, train, windows_of
 from nextpick.llm.common import crc_of_id, table, utf8
 
 PER_LANG = 600
-MAX_LANGS = 64
+MOST_ROWS = 64 * PER_LANG
 SNIPPET = 1024
 WINDOW = 128
 UNKNOWN = "und"
 _SPAN = 1 << 31
 
 
-def sample(rows: DataFrame, label: str, per_label: int, max_labels: int, snippet: int) -> list[tuple[str, str]]:
-    """(label, snippet) of about `per_label` rows of each frequent label, in a repeatable order.
+def sample(rows: DataFrame, label: str, per_label: int, most: int, snippet: int) -> list[tuple[str, str]]:
+    """(label, snippet) of about `per_label` rows of every label, in a repeatable order.
 
-    Counts come first, then one pass keeps the rows whose text hash is under the label's share; at
-    most 2 x `per_label` snippets per label reach the driver. The snippet starts at a hashed place.
+    With many labels there are fewer of each, so that they are `most` in all, or one of each. Counts
+    come first, then one pass keeps the rows whose text hash is under the label's share; about twice
+    as many snippets as wanted reach the driver at most. Labels that this pass misses (their rows are
+    copies of a few texts) get a pass of their own. The snippet starts at a hashed place.
     """
     rows = rows.filter(F.col(label).isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col(label).cast("string").alias("label"), "text")
-    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()
+    counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").collect()
     if not counts:
         return []
-    share = F.lit(0)
-    for r in counts:
-        share = F.when(F.col("label") == r["label"], min(_SPAN, int(_SPAN * 1.2 * per_label / r["count"]) + 1)).otherwise(share)
+    per_label = max(1, min(per_label, most // len(counts)))
+    wanted = max(1.2 * per_label, per_label + 16)  # by chance, a share holds fewer or more than it should
+    shares = rows.sparkSession.createDataFrame(
+        [(r["label"], min(_SPAN, int(_SPAN * wanted / r["count"]) + 1)) for r in counts], "label string, share bigint")
     hashed = F.pmod(F.xxhash64("text"), F.lit(_SPAN))
     place = (F.pmod(F.xxhash64("text", F.lit(1)), F.greatest(F.length("text") - snippet, F.lit(0)) + 1) + 1).cast("int")
-    chosen = rows.filter(hashed < share).select("label", hashed.alias("h"), F.substring("text", place, F.lit(snippet)).alias("part"))
+    parts = ["label", hashed.alias("h"), F.substring("text", place, F.lit(snippet)).alias("part")]
+    chosen = rows.join(F.broadcast(shares), "label").filter(hashed < F.col("share")).select(*parts)
     # Copies of one text count once, so that a group of copies cannot fill the sample.
-    chosen = chosen.distinct().orderBy("h", "label", "part").limit(2 * per_label * len(counts)).collect()
+    chosen = chosen.distinct().orderBy("h", "label", "part").limit(2 * (per_label + 16) * len(counts)).collect()
+    found = {r["label"] for r in chosen}
+    if len(found) < len(counts):
+        missed = rows.sparkSession.createDataFrame([(r["label"],) for r in counts if r["label"] not in found], "label string")
+        first = rows.join(F.broadcast(missed), "label").select(*parts).groupBy("label").agg(F.min(F.struct("h", "part")).alias("one"))
+        chosen += first.select("label", "one.*").orderBy("h", "label").collect()
     taken: dict[str, int] = {}
     out = []
     for r in chosen:
@@ -59,12 +68,13 @@ def sample(rows: DataFrame, label: str, per_label: int, max_labels: int, snippet
 
 def fit(rows: DataFrame, per_lang: int = PER_LANG) -> tuple[Network | None, list[str]]:
     """Network and its languages, learned from (text, lang) of `rows`."""
-    learned = sample(rows, "lang", per_lang, MAX_LANGS, SNIPPET)
+    learned = sample(rows, "lang", per_lang, MOST_ROWS, SNIPPET)
     langs = sorted({lang for lang, _ in learned})
     if not learned:
         return None, langs
     windows, origin = windows_of([text.encode() for _, text in learned], WINDOW, WINDOW, 3)
-    labels = np.array([langs.index(learned[i][0]) for i in origin])
+    number = {lang: i for i, lang in enumerate(langs)}
+    labels = np.array([number[learned[i][0]] for i in origin])
     return train(windows, labels, len(langs), n_filters=8, epochs=4), langs
 
 

@@ -32,7 +32,7 @@ THRESHOLD = 0.3
 
 def fit(rows: DataFrame, per_class: int = PER_CLASS) -> Network | None:
     """Network learned from (text, quality) of `rows`; null if both classes don't occur."""
-    learned = sample(rows.filter(F.col("quality").isin(0, 1)), "quality", per_class, 2, SNIPPET)
+    learned = sample(rows.filter(F.col("quality").isin(0, 1)), "quality", per_class, 2 * per_class, SNIPPET)
     if len({label for label, _ in learned}) < 2:
         return None
     windows, origin = windows_of([text.encode() for _, text in learned], CHUNK, STRIDE, 4)

@@ -104,3 +104,21 @@ def test_quality_edges(spark, tmp_path):
     rows = quality.op3_quality(spark, str(tmp_path)).collect()
     assert len(rows) == len(helpers.EDGE_TEXTS) + 3
     assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(80):
+        own = ["".join(chr(0x4E00 + 40 * i + c) for c in rng.integers(0, 40, 6)) for _ in range(12)]
+        rows += [(" ".join(rng.choice(own, 8)), f"l{i:02}") for _ in range(20 if i < 64 else 6)]
+    rows += [("one text only", "zz")] * 300
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    monkeypatch.setattr(language, "MOST_ROWS", 400)
+    learned = language.sample(frame, "lang", 600, 400, 1024)
+    assert {lang for lang, _ in learned} == {lang for _, lang in rows} and len(learned) <= 400
+    net, langs = language.fit(frame)
+    assert langs == sorted({lang for _, lang in rows})
+    # A share that no row of a label falls into.
+    one = spark.createDataFrame([("copy", "x")] * 100_000 + [("other words", "y")], "text string, lang string")
+    assert {lang for lang, _ in language.sample(one, "lang", 1, 2, 64)} == {"x", "y"}
