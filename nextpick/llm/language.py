@@ -29,16 +29,17 @@ UNKNOWN = "und"
 _SPAN = 1 << 31
 
 
-def sample(rows: DataFrame, label: str, per_label: int, most: int, snippet: int) -> list[tuple[str, str]]:
-    """(label, snippet) of about `per_label` rows of every label, in a repeatable order.
+def sample(rows: DataFrame, label: str, per_label: int, most: int, snippet: int, spoken: bool = False) -> list[tuple[str, str]]:
+    """(label, snippet) of about `per_label` rows of every label, in a repeatable order; `spoken`: of those with a letter.
 
-    With many labels there are fewer of each, so that they are `most` in all, or one of each. Counts
-    come first, then one pass keeps the rows whose text hash is under the label's share; about twice
+    Null text is empty text. With many labels there are fewer of each, so that they are `most` in all,
+    or one of each. Counts come first, then one pass keeps the rows whose text hash is under the label's share; about twice
     as many snippets as wanted reach the driver at most. Labels that this pass misses (their rows are
     copies of a few texts) get a pass of their own. The snippet starts at a hashed place.
     """
-    rows = rows.filter(F.col(label).isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        F.col(label).cast("string").alias("label"), "text")
+    rows = rows.filter(F.col(label).isNotNull()).select(F.col(label).cast("string").alias("label"), F.coalesce("text", F.lit("")).alias("text"))
+    if spoken:
+        rows = rows.filter(F.col("text").rlike(r"\p{L}"))
     counts = rows.groupBy("label").count().orderBy(F.desc("count"), "label").collect()
     if not counts:
         return []
@@ -68,7 +69,7 @@ def sample(rows: DataFrame, label: str, per_label: int, most: int, snippet: int)
 
 def fit(rows: DataFrame, per_lang: int = PER_LANG) -> tuple[Network | None, list[str]]:
     """Network and its languages, learned from (text, lang) of `rows`."""
-    learned = sample(rows, "lang", per_lang, MOST_ROWS, SNIPPET)
+    learned = sample(rows, "lang", per_lang, MOST_ROWS, SNIPPET, spoken=True)
     langs = sorted({lang for lang, _ in learned})
     if not learned:
         return None, langs

@@ -3,7 +3,7 @@
 Every chunk's filters are max-pooled into a logit; a document's probability is the logistic of
 its chunks' mean logit, weighted by their bytes. The network learns from a bounded sample: up to
 PER_CLASS labelled documents of each class, SNIPPET characters of each, chosen by a hash of the
-text among the rows the caller allows.
+text among the rows the caller allows; null, empty or letterless texts are among them.
 
 Null text is empty text, which scores as one chunk of padding. Without any labelled row the
 score is 0.5. A document with several labels counts once per label. Repeated rows and null ids

@@ -122,3 +122,13 @@ def test_every_language_is_learned(spark, monkeypatch):
     # A share that no row of a label falls into.
     one = spark.createDataFrame([("copy", "x")] * 100_000 + [("other words", "y")], "text string, lang string")
     assert {lang for lang, _ in language.sample(one, "lang", 1, 2, 64)} == {"x", "y"}
+
+
+def test_quality_learns_from_texts_without_letters(spark):
+    rows = [(f"good words number {i} of many", 1) for i in range(20)] + [(None, 0), ("", 0), ("1234 567", 0), ("$$ -- !!", 0)]
+    frame = spark.createDataFrame(rows, "text string, quality int")
+    learned = language.sample(frame, "quality", 100, 200, 64)
+    assert {t for q, t in learned if q == "0"} == {"", "1234 567", "$$ -- !!"}
+    assert {q for q, _ in language.sample(frame, "quality", 100, 200, 64, spoken=True)} == {"1"}
+    got = {r.text: r.score for r in quality.score(frame, quality.fit(frame), ("text",)).collect()}
+    assert got["1234 567"] < 0.5 and got[None] < 0.5 < got["good words number 3 of many"]
