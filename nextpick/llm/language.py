@@ -2,8 +2,9 @@
 
 The network learns every language from a bounded sample: up to PER_LANG documents of each, fewer
 where that would make more than MOST_ROWS in all but never none, chosen by a hash of text alone
-among the rows the caller allows, and SNIPPET characters of each. Prediction averages the windows' log probabilities, weighted by their bytes,
-over all windows of a text.
+among the rows the caller allows, and SNIPPET characters of each, of which it sees up to
+SNIPPET_WINDOWS windows at even steps. Prediction averages the windows' log probabilities, weighted
+by their bytes, over all windows of a text.
 
 Text that is null or has no letter is ``und`` with score 0. Without any learnable row all rows
 are ``und``. Repeated rows and null ids give one result row each.
@@ -24,6 +25,7 @@ from nextpick.llm.common import crc_of_id, table, utf8
 PER_LANG = 600
 MOST_ROWS = 64 * PER_LANG
 SNIPPET = 1024
+SNIPPET_WINDOWS = 3
 WINDOW = 128
 UNKNOWN = "und"
 _SPAN = 1 << 31
@@ -73,7 +75,7 @@ def fit(rows: DataFrame, per_lang: int = PER_LANG) -> tuple[Network | None, list
     langs = sorted({lang for lang, _ in learned})
     if not learned:
         return None, langs
-    windows, origin = windows_of([text.encode() for _, text in learned], WINDOW, WINDOW, 3)
+    windows, origin = windows_of([text.encode() for _, text in learned], WINDOW, WINDOW, SNIPPET_WINDOWS)
     number = {lang: i for i, lang in enumerate(langs)}
     labels = np.array([number[learned[i][0]] for i in origin])
     return train(windows, labels, len(langs), n_filters=8, epochs=4), langs

@@ -2,8 +2,9 @@
 
 Every chunk's filters are max-pooled into a logit; a document's probability is the logistic of
 its chunks' mean logit, weighted by their bytes. The network learns from a bounded sample: up to
-PER_CLASS labelled documents of each class, SNIPPET characters of each, chosen by a hash of the
-text among the rows the caller allows; null, empty or letterless texts are among them.
+PER_CLASS labelled documents of each class, SNIPPET characters of each and of these up to
+SNIPPET_WINDOWS chunks at even steps, chosen by a hash of the text among the rows the caller
+allows; null, empty or letterless texts are among them.
 
 Null text is empty text, which scores as one chunk of padding. Without any labelled row the
 score is 0.5. A document with several labels counts once per label. Repeated rows and null ids
@@ -25,6 +26,7 @@ from nextpick.llm.language import sample
 
 PER_CLASS = 1500
 SNIPPET = 1536
+SNIPPET_WINDOWS = 4
 CHUNK = 256
 STRIDE = 192
 THRESHOLD = 0.3
@@ -35,7 +37,7 @@ def fit(rows: DataFrame, per_class: int = PER_CLASS) -> Network | None:
     learned = sample(rows.filter(F.col("quality").isin(0, 1)), "quality", per_class, 2 * per_class, SNIPPET)
     if len({label for label, _ in learned}) < 2:
         return None
-    windows, origin = windows_of([text.encode() for _, text in learned], CHUNK, STRIDE, 4)
+    windows, origin = windows_of([text.encode() for _, text in learned], CHUNK, STRIDE, SNIPPET_WINDOWS)
     labels = np.array([int(learned[i][0]) for i in origin])
     # The rarer class is repeated, so that both weigh the same.
     rare = np.flatnonzero(labels == (0 if (labels == 0).sum() < (labels == 1).sum() else 1))

@@ -132,3 +132,13 @@ def test_quality_learns_from_texts_without_letters(spark):
     assert {q for q, _ in language.sample(frame, "quality", 100, 200, 64, spoken=True)} == {"1"}
     got = {r.text: r.score for r in quality.score(frame, quality.fit(frame), ("text",)).collect()}
     assert got["1234 567"] < 0.5 and got[None] < 0.5 < got["good words number 3 of many"]
+
+
+@pytest.mark.parametrize("module", [language, quality])
+def test_windows_of_a_snippet_are_a_parameter(spark, monkeypatch, module):
+    seen = []
+    monkeypatch.setattr(module, "train", lambda windows, *rest, **more: seen.append(len(windows)))
+    monkeypatch.setattr(module, "SNIPPET_WINDOWS", 6)
+    rows = [("many words of one text " * 100, "a", 0), ("viele Worte eines Textes " * 100, "b", 1)]
+    module.fit(spark.createDataFrame(rows, "text string, lang string, quality int"))
+    assert seen == [12]
