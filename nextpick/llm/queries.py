@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from nextpick.llm import caps, fingerprint, language, mixing, packing, pii, quality, secret_scan, simhash, urls
+from nextpick.llm import (caps, decontaminate, fingerprint, language, manifest, mixing, packing, pii, quality, search,
+                          secret_scan, simhash, urls)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,9 +17,13 @@ QUERIES = {
     "op8_simhash": simhash.op8_simhash,
     "op9_caps": caps.op9_caps,
     "op10_packing": packing.op10_packing,
+    "op11_manifest": manifest.op11_manifest,
+    "op12_decontamination": decontaminate.op12_decontamination,
+    "op13_search": search.op13_search,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE = {"op4_urls": urls.ORACLE}
+ORACLE = {"op4_urls": urls.ORACLE, "op11_manifest": manifest.ORACLE, "op12_decontamination": decontaminate.ORACLE,
+          "op13_search": search.ORACLE}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
