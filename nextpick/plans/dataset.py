@@ -133,6 +133,15 @@ def make_input(snapshot: Snapshot, label_table: DataFrame, categorical: Sequence
     return ModelInput(snapshot, encoded, pairs, targets.modelling_table(encoded, pairs)), encoders
 
 
+def staged(model_input: ModelInput) -> ModelInput:
+    """The same month with history, target, features, pairs and table computed once and kept."""
+    snapshot = model_input.snapshot
+    snapshot = Snapshot(snapshot.ref_month, snapshot.ids, stage(snapshot.customers, "customers"),
+                        stage(snapshot.history, "history"), stage(snapshot.target, "target"))
+    encoded, pairs = stage(model_input.features, "encoded"), stage(model_input.pairs, "pairs")
+    return ModelInput(snapshot, encoded, pairs, stage(targets.modelling_table(encoded, pairs), "table"))
+
+
 def split_table(model_input: ModelInput, test_share: float = 0.2, seed: int = SEED) -> DataFrame:
     """Modelling table with ``split``; all rows of a customer are on one side."""
     sides = split.group_split(model_input.snapshot.ids, "customer_id", test_share, seed)

@@ -44,7 +44,8 @@ def evaluate_split(test: DataFrame, train: DataFrame, label_table: DataFrame,
                    allowed: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """Reports of a model on modelling-table rows of held-out customers.
 
-    `score` adds a ``score`` column to candidates. Only customers that bought something are
+    `score` adds a ``score`` column to candidates: a function, or a saved model
+    (`artefact.load`). Only customers that bought something are
     evaluated. `baseline` holds the older recommender's picks; `allowed` limits its truth.
     """
     positives = cand.positives(test)

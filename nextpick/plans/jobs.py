@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from nextpick import defaults
 from nextpick.operators import checks, labels, split, targets
-from nextpick.plans import dataset
+from nextpick.plans import artefact, dataset, evaluation
 from nextpick.sources import files
-from nextpick.sources.stage import stage
 
 
 def load_month(spark: SparkSession, folder: str, ref_month: str, numeric: Sequence[str],
@@ -57,8 +56,10 @@ def make_input(spark: SparkSession, folder: str, output: str, development: str =
         snapshot = dataset.build_snapshot(customers, contracts, ref_month, label_table, classes, categories)
         first = encoders is None
         model_input, encoders = dataset.make_input(snapshot, label_table, categorical, numeric, encoders)
+        # Checks, tables and summary all read what was computed once.
+        model_input = dataset.staged(model_input)
         checks.raise_on_violation(month_checks(model_input, periods if first else None))
-        table = stage(model_input.table, "table")
+        table = model_input.table
         files.write_dataset(table, f"{output}/dataset")
         audit = split.split_audit(split.contracts_until(contracts, ref_month), ref_month, classes,
                                   defaults.EXCLUDED_CATEGORIES, defaults.variant_categories(data_name))
@@ -80,3 +81,42 @@ def read_labels(spark: SparkSession, output: str) -> DataFrame:
 
 def target_codes(spark: SparkSession, output: str) -> list[int]:
     return labels.code_list(read_labels(spark, output), target_only=True)
+
+
+def train(spark: SparkSession, output: str, ref_month: str = "202305",
+          categorical: Sequence[str] = tuple(defaults.CUSTOMER_CATEGORICAL),
+          numeric: Sequence[str] = tuple(defaults.CUSTOMER_NUMERIC), second_after: int | None = None,
+          chain: bool = False, **first_stage) -> int:
+    """Fit the models on the saved training split and save them under ``models``; the version.
+
+    With `second_after` a forest is fitted for the codes above it, with `chain` also a chain of trees.
+    """
+    rows = files.read_split(spark, f"{output}/splits", "train")
+    codes = [c for c in target_codes(spark, output) if second_after is not None and c > second_after]
+    settings = artefact.Settings(ref_month, list(categorical), list(numeric), second_after=second_after,
+                                 chain_codes=codes if chain else [])
+    encoders = dataset.Encoders(files.read_table(spark, f"{output}/encoders/categories"),
+                                files.read_table(spark, f"{output}/encoders/ranges"))
+    made = artefact.fit(rows, settings, read_labels(spark, output), encoders, second_after is not None, chain,
+                        **first_stage)
+    return artefact.save(spark, made, f"{output}/models", rows.count())
+
+
+def evaluate(spark: SparkSession, output: str, side: str = "test", version: int | None = None,
+             baseline: DataFrame | None = None, allowed: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Reports of a saved model on a saved split, ``test`` or ``later``, saved under ``reports``."""
+    made = artefact.load(spark, f"{output}/models", version)
+    found = evaluation.evaluate_split(files.read_split(spark, f"{output}/splits", side),
+                                      files.read_split(spark, f"{output}/splits", "train"), made.labels, made,
+                                      baseline, allowed)
+    for name, report in found.items():
+        files.write_table(report, f"{output}/reports/{side}/{name}")
+    return {name: files.read_table(spark, f"{output}/reports/{side}/{name}") for name in found}
+
+
+def recommend(spark: SparkSession, folder: str, output: str, ref_month: str, version: int | None = None,
+              encoding: str = files.CHARSET) -> DataFrame:
+    """Ranked categories of all customers in a later month's extract files, by a saved model."""
+    made = artefact.load(spark, f"{output}/models", version)
+    customers, contracts = load_month(spark, folder, ref_month, made.settings.numeric, encoding)
+    return made.recommend(customers, contracts, ref_month)

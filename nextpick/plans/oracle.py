@@ -259,6 +259,16 @@ _CTES = {
         WHERE customer_id IN (SELECT customer_id FROM dev_target_all)""",
 }
 
+# All customers of the later month, as a saved model encodes them: without history no products and a null summary.
+_CTES |= {
+    "serve_history": "SELECT * FROM later_history_all",
+    **{f"serve_{part}": _CTES[f"later_{part}"].replace("later_", "serve_") for part in ("newest", "last", "summary")},
+    "serve_raw": f"""
+        SELECT * REPLACE ({", ".join(f"coalesce({c}, 0) AS {c}" for c in _PRODUCTS)})
+        FROM later_customers LEFT JOIN serve_last USING (customer_id) LEFT JOIN serve_summary USING (customer_id)""",
+    "serve_encoded": _encoded("serve"),
+}
+
 _WITH = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in _CTES.items())
 
 
@@ -541,3 +551,9 @@ _add("column_profile", " UNION ALL ".join([
     _moments("balance", "balance", "dev_customers"), _shares("o_orderstatus", "orders"),
     _shares("o_orderpriority", "orders"), _moments("o_totalprice", "o_totalprice", "orders"),
     _moments("contract_date", "epoch(o_orderdate)", "orders")]))
+
+_add("saved_model_scores", """
+    SELECT customer_id, code AS target_category, true AS equal
+    FROM later_customers CROSS JOIN label_codes WHERE in_target = 1""")
+_add("saved_model_features", "SELECT * FROM serve_encoded")
+_add("saved_model_second_stage", "SELECT DISTINCT customer_id, true AS equal FROM sides WHERE split = 'test'")

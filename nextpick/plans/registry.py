@@ -13,9 +13,9 @@ from nextpick.operators import candidates as cand
 from nextpick.operators import (checks, encode, evaluate, extract, features, labels, models, profile, split,
                                 targets, trend)
 from nextpick.operators.joins import lookup_join
-from nextpick.plans import dataset, evaluation
+from nextpick.plans import artefact, dataset, evaluation
 from nextpick.sources import tables
-from nextpick.sources.stage import stage
+from nextpick.sources.stage import stage, stage_path
 from nextpick.sources.tables import ALL_EXCLUDED, CATEGORICAL, DEVELOPMENT, EXCLUDED_CLASSES, LATER, NUMERIC
 
 LAST = {DEVELOPMENT: "200006", LATER: "200106"}
@@ -702,3 +702,60 @@ def second_stage_chain(spark, sf_dir):
     picked = evaluate.highest_label(scores, codes).select("customer_id", F.col("pred_code").alias("target_category"))
     return labels.decode_category(picked, base.labels, "target_category", "second_item").select(
         "customer_id", "second_item")
+
+
+@dataclass(frozen=True)
+class Reloaded:
+    """A model as it was fitted, the same one saved and loaded again, and the table it was trained on."""
+
+    fitted: artefact.Artefact
+    loaded: artefact.Artefact
+    base: Base
+    table: DataFrame
+
+
+def _reloaded(spark: SparkSession, sf_dir: str, forest: bool = False) -> Reloaded:
+    base = _base(spark, sf_dir, LATER)
+    model_input, encoders = dataset.make_input(base.snapshot(spark, sf_dir), base.labels, CATEGORICAL, NUMERIC)
+    table = stage(dataset.split_table(model_input), "table")
+    settings = artefact.Settings(DEVELOPMENT, CATEGORICAL, NUMERIC, second_after=FIRST_STAGE_CODES)
+    fitted = artefact.fit(table.filter("split = 'train'"), settings, base.labels, encoders, forest)
+    path = stage_path(spark, "models")
+    artefact.save(spark, fitted, path)
+    return Reloaded(fitted, artefact.load(spark, path), base, table)
+
+
+@query
+def saved_model_scores(spark, sf_dir):
+    """Scores of the later month by the fitted and by the reloaded model: one row a candidate, equal or not."""
+    models_ = _reloaded(spark, sf_dir)
+    customers, contracts = tables.customers(spark, sf_dir, LATER), models_.base.contracts
+    one = models_.fitted.candidates(customers, contracts, LATER).select("customer_id", "target_category", "score")
+    two = models_.loaded.candidates(customers, contracts, LATER).select(
+        "customer_id", "target_category", F.col("score").alias("again"))
+    return one.join(two, ["customer_id", "target_category"], "full").select(
+        "customer_id", "target_category", F.coalesce(F.col("score") == F.col("again"), F.lit(False)).alias("equal"))
+
+
+@query
+def saved_model_features(spark, sf_dir):
+    """Features of all customers of the later month by the reloaded encoders and label table."""
+    models_ = _reloaded(spark, sf_dir)
+    return models_.loaded.encode(tables.customers(spark, sf_dir, LATER), models_.base.contracts, LATER)
+
+
+@query
+def saved_model_recommend(spark, sf_dir):
+    """Ranked categories of all customers of the later month by the reloaded model."""
+    models_ = _reloaded(spark, sf_dir)
+    return models_.loaded.recommend(tables.customers(spark, sf_dir, LATER), models_.base.contracts, LATER)
+
+
+@query
+def saved_model_second_stage(spark, sf_dir):
+    """Second-stage picks of the test customers, by the fitted and by the reloaded forest: equal or not."""
+    models_ = _reloaded(spark, sf_dir, forest=True)
+    test = cand.entity_rows(models_.table.filter("split = 'test'")).drop("split")
+    again = models_.loaded.second_picks(test).withColumnRenamed("second_item", "again")
+    return models_.fitted.second_picks(test).join(again, "customer_id", "full").select(
+        "customer_id", F.coalesce(F.col("second_item") == F.col("again"), F.lit(False)).alias("equal"))

@@ -36,9 +36,14 @@ def keep(frame: DataFrame, name: str) -> DataFrame:
     return stage(frame, name)
 
 
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A new path under the application's folder in the shared folder."""
+    return f"{stage_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+
+
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """Write `frame` as parquet under the shared folder and return a scan of it."""
     spark = frame.sparkSession
-    path = f"{stage_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+    path = stage_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
