@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -97,6 +98,58 @@ def expect_contiguous(frame: DataFrame, column: str, name: str) -> DataFrame:
     return _result(frame, name, (~good).cast("int"))
 
 
+# Many checks in one pass: every table adds measures per key, and the checks are sums over the merged rows.
+
+_MERGES = {"sum": F.sum, "min": F.min, "max": F.max, "set": lambda c: F.array_distinct(F.flatten(F.collect_list(c)))}
+
+
+@dataclass(frozen=True)
+class Measure:
+    """`value` of a table's rows, put together per key: ``sum``, ``min``, ``max`` or ``set`` (keep sets small)."""
+
+    name: str
+    how: str
+    value: Column
+
+    def of_rows(self) -> Column:
+        return (F.collect_set if self.how == "set" else _MERGES[self.how])(self.value).alias(self.name)
+
+    def merged(self) -> Column:
+        found = _MERGES[self.how](F.col(self.name))
+        return (F.coalesce(found, F.lit(0)) if self.how == "sum" else found).alias(self.name)
+
+
+def rows_of(name: str) -> Measure:
+    return Measure(name, "sum", F.lit(1).cast("bigint"))
+
+
+def ledger(key: str, parts: Sequence[tuple[DataFrame, Sequence[Measure]]]) -> DataFrame:
+    """One row per key of any of the tables with the measures of all; each table is scanned once.
+
+    A table partitioned by the key is put together where it lies; what meets then is one row per key and table.
+    """
+    each = [frame.groupBy(key).agg(*[m.of_rows() for m in measures]) for frame, measures in parts]
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), each)
+    return rows.groupBy(key).agg(*[m.merged() for _, measures in parts for m in measures])
+
+
+def verdicts(rows: DataFrame, violations: Mapping[str, Column]) -> DataFrame:
+    """(check_name, violations) of aggregates over a ledger, in one pass over it."""
+    found = F.array(*[F.struct(F.lit(name).alias("check_name"), F.coalesce(count, F.lit(0)).cast("bigint").alias("violations"))
+                      for name, count in violations.items()])
+    return rows.agg(found.alias("_found")).select(F.inline("_found"))
+
+
+def values_of(sets: str) -> Column:
+    """All values of a ledger's sets; for sets of few different values."""
+    return F.array_distinct(F.flatten(F.collect_set(sets)))
+
+
+def unless(good: Column) -> Column:
+    """1 unless `good`."""
+    return F.when(good, 0).otherwise(1)
+
+
 def combine(checks: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, checks)
 

@@ -28,6 +28,16 @@ def assign_codes(history: DataFrame, target: DataFrame) -> DataFrame:
     """
     bought = target.distinct().groupBy("category").agg(F.count(F.lit(1)).alias("_bought"))
     held = history.groupBy("category").agg(F.count(F.lit(1)).alias("_held"))
+    return _numbered(bought, held)
+
+
+def assign_item_codes(history: DataFrame, target: DataFrame) -> DataFrame:
+    """As `assign_codes`, from items with their numbers of contracts."""
+    return _numbered(target.groupBy("category").agg(F.sum("bought").alias("_bought")),
+                     history.groupBy("category").agg(F.sum("contracts").alias("_held")))
+
+
+def _numbered(bought: DataFrame, held: DataFrame) -> DataFrame:
     counts = (bought.unionByName(held, allowMissingColumns=True).groupBy("category")
               .agg(F.max("_bought").alias("_bought"), F.max("_held").alias("_held")))
     # One row per category is left for the window.

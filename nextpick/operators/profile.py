@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +18,7 @@ from nextpick.operators.numbering import running_total
 
 MAX_DISTINCT = 20
 PROFILE_SCHEMA = "column_name string, kind string, value string, share double, mean double, std double"
+GUIDED_VALUES = 1_000
 _BUCKETS = 1024
 _UNITS = 10 ** 15
 
@@ -72,16 +75,35 @@ def column_profile(frame: DataFrame, drop: Sequence[str] = ("customer_id",)) ->
 
 
 def _draw_value(rows: DataFrame, shares: DataFrame, column: str, key: str, seed: int) -> DataFrame:
-    """Add `column`, drawn by share: an equi-join on share buckets, then an interval test.
+    """Add `column`, drawn by share.
 
-    Shares are whole units, so the intervals leave no gap and do not overlap. A value is
-    listed once per bucket its interval touches: the lookup has no more than values + buckets
-    rows, and a value with a large share is spread over many buckets.
+    Shares are whole units, so the intervals leave no gap and do not overlap. Up to GUIDED_VALUES values go
+    into the expression itself with a guide: the first interval of each of _BUCKETS equal parts of the units. A draw
+    goes to its part's interval and on through those that end in the same part, about one step: no join, no shuffle.
     """
     total = shares.agg(F.max("high")).first()[0]
     width = -(-total // _BUCKETS)
-    draws = (rows.withColumn("_unit", F.floor(uniform(seed, column, key) * F.lit(float(total))).cast("bigint"))
-             .withColumn("_bucket", F.floor(F.col("_unit") / width)))
+    unit = F.floor(uniform(seed, column, key) * F.lit(float(total))).cast("bigint")
+    listed = shares.select("value", "high").limit(GUIDED_VALUES + 1).collect()
+    if len(listed) > GUIDED_VALUES:
+        return _draw_by_join(rows, shares, column, unit, width)
+    listed.sort(key=lambda row: row.high)
+    highs = [row.high for row in listed]
+    guide = [bisect_right(highs, part * width) for part in range(_BUCKETS + 1)]
+    texts, ends, starts = (F.lit(x) for x in ([row.value for row in listed], highs, guide))
+    part = F.floor(F.col("_unit") / width).cast("int")
+    first, last = F.get(starts, part), F.get(starts, part + 1)
+    passed = F.size(F.filter(F.slice(ends, first + 1, last - first), lambda end: end <= F.col("_unit")))
+    return rows.withColumn("_unit", unit).withColumn(column, F.get(texts, first + passed)).drop("_unit")
+
+
+def _draw_by_join(rows: DataFrame, shares: DataFrame, column: str, unit: Column, width: int) -> DataFrame:
+    """`_draw_value` for many values: an equi-join on buckets of units, then an interval test.
+
+    A value is listed once per bucket its interval touches: the lookup has no more than values + buckets
+    rows, and a value with a large share is spread over many buckets.
+    """
+    draws = rows.withColumn("_unit", unit).withColumn("_bucket", F.floor(F.col("_unit") / width))
     slots = F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))
     intervals = shares.select(F.col("value").alias(column), "low", "high", F.explode(slots).alias("_bucket"))
     return (draws.join(intervals, "_bucket")
@@ -145,3 +167,26 @@ def one_row_per_pair(rows: DataFrame, keys: Sequence[str] = ("customer_id", "cat
     kept = [c for c in rows.columns if c not in keys]
     return rows.groupBy(*keys).agg(F.min(F.struct(*kept)).alias("_first")).select(
         *keys, *[F.col(f"_first.{c}").alias(c) for c in kept])
+
+
+@dataclass(frozen=True)
+class Sample:
+    """Synthetic customers, history and target of one month, with the same IDs 1..n in all three."""
+
+    customers: DataFrame
+    history: DataFrame
+    target: DataFrame
+
+
+def sample_month(spark: SparkSession, profiles: Mapping[str, DataFrame], columns: Mapping[str, Mapping[str, str]],
+                 rows: int, ref_month: str, history_rows: int = 10, target_rows: int = 5, seed: int = SEED) -> Sample:
+    """Three tables drawn from the profiles of ``customers``, ``history`` and ``target``.
+
+    `columns` names the columns of each and their types. A customer has `history_rows` contracts up to the first day of
+    the reference month and `target_rows` after it, of which one per category stays. The tables use seeds
+    of their own, so a customer's history and target are drawn independently.
+    """
+    drawn = {name: synthesize(spark, profiles[name], columns[name], rows, count, seed + place)
+             for place, (name, count) in enumerate((("target", target_rows), ("history", history_rows), ("customers", 1)))}
+    return Sample(drawn["customers"].drop("_row"), clamp_dates(drawn["history"], ref_month, history=True, seed=seed + 1).drop("_row"),
+                  one_row_per_pair(clamp_dates(drawn["target"], ref_month, history=False, seed=seed)).drop("_row"))

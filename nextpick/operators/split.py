@@ -52,6 +52,23 @@ def exclude(frame: DataFrame, classes: Sequence[str] = (), categories: Sequence[
     return frame.filter(eligible(classes, categories))
 
 
+def items(contracts: DataFrame, classes: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """One row per customer, category and day, made of complete contracts.
+
+    ``contracts`` counts its rows, ``bought`` the distinct ones that can be a target. Rows are
+    made distinct before customers meet, so a customer has no more rows than categories and days.
+    """
+    rows = contracts.groupBy(*CONTRACT_COLUMNS).agg(F.count(F.lit(1)).alias("_rows"))
+    return rows.groupBy(*ITEM_COLUMNS).agg(F.sum("_rows").alias("contracts"),
+                                           F.count_if(eligible(classes, categories)).alias("bought"))
+
+
+def item_split(items: DataFrame, ref_month: str) -> tuple[DataFrame, DataFrame]:
+    """(history, target) of items up to the end of the target window."""
+    history, target = temporal_split(contracts_until(items, ref_month), ref_month)
+    return history, target.filter("bought > 0")
+
+
 def split_audit(contracts: DataFrame, ref_month: str, classes: Sequence[str], categories: Sequence[str],
                 variant: Sequence[str]) -> DataFrame:
     """Row count, first and last date of history and target after each step of the split."""
@@ -97,6 +114,33 @@ def common_population(customers: DataFrame, contracts: DataFrame, ref_month: str
     return both.join(customers.select("customer_id"), "customer_id", "left_semi")
 
 
+def common_item_population(customers: DataFrame, items: DataFrame, ref_month: str) -> DataFrame:
+    """As `common_population`, from items."""
+    history = F.col("contract_date") < F.lit(month_start(ref_month, 1))
+    both = (contracts_until(items, ref_month).groupBy("customer_id")
+            .agg(F.max(history).alias("_history"), F.max(~history & (F.col("bought") > 0)).alias("_target"))
+            .filter("_history AND _target").select("customer_id"))
+    return both.join(customers.select("customer_id"), "customer_id", "left_semi")
+
+
+def population_audit(customers: DataFrame, items: DataFrame, ref_month: str) -> DataFrame:
+    """Rows of customers, history and target before and after they are restricted to the common population.
+
+    Both tables are scanned once: every customer's counts tell whether it is in the population, and are
+    added up with and without that condition.
+    """
+    history, count = F.col("contract_date") < F.lit(month_start(ref_month, 1)), F.count(F.lit(1))
+    parts = [customers.groupBy("customer_id").agg(count.alias("customers")),
+             contracts_until(items, ref_month).groupBy("customer_id").agg(
+                 F.count_if(history).alias("history"), F.count_if(~history & (F.col("bought") > 0)).alias("target"))]
+    names = ["customers", "history", "target"]
+    rows = parts[0].join(parts[1], "customer_id", "full").na.fill(0, names)
+    common = F.least(*names) > 0
+    counts = [F.struct(F.lit(name).alias("split"), F.lit(step).alias("step"), F.coalesce(F.sum(F.when(kept, F.col(name))), F.lit(0)).alias("row_count"))
+              for name in names for step, kept in (("population_before", F.lit(True)), ("population_after", common))]
+    return rows.agg(F.array(*counts).alias("_steps")).select(F.inline("_steps"))
+
+
 def restrict_to(frame: DataFrame, ids: DataFrame) -> DataFrame:
     return frame.join(ids.select("customer_id"), "customer_id", "left_semi")
 

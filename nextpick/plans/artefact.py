@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from nextpick.defaults import LAST_PRODUCTS
 from nextpick.operators import candidates as cand
 from nextpick.operators import evaluate, features, labels, models, split
-from nextpick.plans import dataset
+from nextpick.plans import dataset, evaluation
 from nextpick.plans.dataset import Encoders
 from nextpick.sources import files
 from nextpick.sources.stage import keep
@@ -99,6 +99,10 @@ class Artefact:
         named = labels.decode_category(ranked, self.labels, "target_category", "prdct")
         return named.select("customer_id", "result_rank", "prdct", "score")
 
+    def recommend_one(self, customer_id, customers: DataFrame, items: DataFrame, ref_month: str) -> DataFrame:
+        """`recommend` for one customer by point look-ups: its row of `customers`, its items of bucketed `items`."""
+        return self.recommend(evaluation.items_of(customers, customer_id), evaluation.items_of(items, customer_id), ref_month)
+
     def second_picks(self, encoded: DataFrame, chain: bool = False) -> DataFrame:
         """(customer_id, second_item): the second stage's pick by name, from the forest or the chain."""
         if chain:

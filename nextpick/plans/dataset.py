@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from nextpick.defaults import LAST_PRODUCTS, NEGATIVE_RATIO, SEED
 from nextpick.operators import encode, features, labels, split, targets
 from nextpick.operators.joins import fits_broadcast, lookup_join
-from nextpick.sources.stage import keep, stage
+from nextpick.sources.stage import keep, stage, stage_bucketed
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,29 @@ def learn_labels(contracts: DataFrame, ref_month: str, classes: Sequence[str], c
     return keep(labels.assign_codes(history, split.exclude(target, classes, categories)), "labels")
 
 
+def stage_items(contracts: DataFrame, classes: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """Items of complete contracts, in buckets by customer.
+
+    Population, history, target and the features of every month are then made without a
+    shuffle by customer, and one customer's items are read without the others'.
+    """
+    return stage_bucketed(split.items(split.complete_contracts(contracts), classes, categories), "items", "customer_id")
+
+
+def learn_item_labels(items: DataFrame, ref_month: str) -> DataFrame:
+    """As `learn_labels`, from items."""
+    return keep(labels.assign_item_codes(*split.item_split(items, ref_month)), "labels")
+
+
+def item_snapshot(customers: DataFrame, items: DataFrame, ref_month: str, label_table: DataFrame) -> Snapshot:
+    """As `build_snapshot`, from bucketed items; all its tables are partitioned by customer."""
+    ids = stage_bucketed(split.common_item_population(customers, items, ref_month), "population", "customer_id")
+    history, target = [part.select(*split.ITEM_COLUMNS).join(ids, "customer_id", "left_semi")
+                       for part in split.item_split(items, ref_month)]
+    return Snapshot(ref_month, ids, split.restrict_to(customers, ids), labels.encode_category(history, label_table),
+                    labels.encode_category(target, label_table, target_only=True))
+
+
 def encoded_parts(contracts: DataFrame, ref_month: str, label_table: DataFrame, classes: Sequence[str],
                   categories: Sequence[str], ids: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(history, target) with codes, one row per customer, category and date.

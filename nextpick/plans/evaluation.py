@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nextpick.operators import candidates as cand
-from nextpick.operators import evaluate, labels
+from nextpick.operators import evaluate, labels, split
 from nextpick.sources.stage import stage
 
 
@@ -33,6 +33,22 @@ def recommend(customers: DataFrame, history: DataFrame, train_positives: DataFra
     return named.select("customer_id", "result_rank", "prdct", "score")
 
 
+def items_of(items: DataFrame, customer_id) -> DataFrame:
+    """Items of one customer. The ID is a value in the plan, so of bucketed items only the pages are read
+    that can hold it."""
+    return items.filter(F.col("customer_id") == F.lit(customer_id))
+
+
+def recommend_one(customer_id, items: DataFrame, ref_month: str, train_positives: DataFrame, codes: Sequence[int],
+                  label_table: DataFrame) -> DataFrame:
+    """`recommend` for one customer, from a point look-up of its items; no other customer's are read."""
+    spark = items.sparkSession
+    history, _ = split.item_split(items_of(items, customer_id), ref_month)
+    history = labels.encode_category(history.select(*split.ITEM_COLUMNS), label_table)
+    customer = spark.range(1).select(F.lit(customer_id).alias("customer_id"))
+    return recommend(customer, history, train_positives, codes, label_table)
+
+
 def evaluate_picks(scored: DataFrame, bought: DataFrame, label_table: DataFrame) -> DataFrame:
     """Best pick per customer by name, with the true items and the hit."""
     best = labels.decode_category(cand.best_candidate(scored), label_table, "target_category", "pred_item")

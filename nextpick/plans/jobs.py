@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nextpick import defaults
+from nextpick.functions.dates import whole_periods
 from nextpick.operators import checks, labels, split, targets
 from nextpick.plans import artefact, dataset, evaluation
 from nextpick.sources import files
@@ -22,17 +23,30 @@ def load_month(spark: SparkSession, folder: str, ref_month: str, numeric: Sequen
 
 
 def month_checks(model_input: dataset.ModelInput, periods: int | None) -> DataFrame:
-    """Checks a month has to pass before it is saved; with `periods` also those of development."""
-    snapshot = model_input.snapshot
-    found = [checks.expect_history_before_target(snapshot.history, snapshot.target, "history before target"),
-             checks.expect_single_value(snapshot.customers, "ref_month", "one reference month"),
-             checks.expect_unique(snapshot.customers, ["customer_id"], "customers unique"),
-             checks.expect_row_count(model_input.features, checks.row_count(snapshot.customers), "features keep rows"),
-             checks.expect_unique(model_input.pairs, ["customer_id", "target_category"], "pairs unique")]
+    """Checks a month has to pass before it is saved; with `periods` also those of development.
+
+    All of them in one pass: each table is scanned once.
+    """
+    snapshot, measure = model_input.snapshot, checks.Measure
+    pairs = model_input.pairs.groupBy("customer_id", "target_category").agg(F.count(F.lit(1)).alias("_n"))
+    count = lambda condition: F.when(condition, 1).otherwise(0)
+    ledger = checks.ledger("customer_id", [
+        (snapshot.customers, [checks.rows_of("customers"), measure("months", "set", F.col("ref_month"))]),
+        (snapshot.history, [measure("last", "max", F.col("contract_date"))]),
+        (snapshot.target, [measure("first", "min", F.col("contract_date")), measure("latest", "max", F.col("contract_date")),
+                           measure("no_code", "sum", count(F.col("category_code").isNull()))]),
+        (model_input.features, [checks.rows_of("features")]),
+        (pairs, [measure("repeated", "sum", count(F.col("_n") > 1))])])
+    found = {
+        "history before target": checks.unless(F.max("last") < F.min("first")),
+        "one reference month": F.abs(F.size(checks.values_of("months")) - 1),
+        "customers unique": F.count_if(F.col("customers") > 1),
+        "features keep rows": F.abs(F.sum("features") - F.sum("customers")),
+        "pairs unique": F.sum("repeated")}
     if periods is not None:
-        found += [checks.expect_periods(snapshot.target, periods, "target spans the expected periods"),
-                  checks.expect_no_match(snapshot.target, F.col("category_code").isNull(), "categories have codes")]
-    return checks.combine(found)
+        found |= {"target spans the expected periods": checks.unless(whole_periods(F.min("first"), F.max("latest")) == periods),
+                  "categories have codes": F.sum("no_code")}
+    return checks.verdicts(ledger, found)
 
 
 def make_input(spark: SparkSession, folder: str, output: str, development: str = "202305", later: str = "202308",
@@ -50,10 +64,11 @@ def make_input(spark: SparkSession, folder: str, output: str, development: str =
     label_table = encoders = None
     for ref_month in (development, later):
         customers, contracts = load_month(spark, folder, ref_month, numeric, encoding)
+        items = dataset.stage_items(contracts, classes, categories)
         if label_table is None:
-            label_table = dataset.learn_labels(contracts, ref_month, classes, categories)
+            label_table = dataset.learn_item_labels(items, ref_month)
             files.write_table(label_table, f"{output}/labels")
-        snapshot = dataset.build_snapshot(customers, contracts, ref_month, label_table, classes, categories)
+        snapshot = dataset.item_snapshot(customers, items, ref_month, label_table)
         first = encoders is None
         model_input, encoders = dataset.make_input(snapshot, label_table, categorical, numeric, encoders)
         # Checks, tables and summary all read what was computed once.
@@ -63,7 +78,8 @@ def make_input(spark: SparkSession, folder: str, output: str, development: str =
         files.write_dataset(table, f"{output}/dataset")
         audit = split.split_audit(split.contracts_until(contracts, ref_month), ref_month, classes,
                                   defaults.EXCLUDED_CATEGORIES, defaults.variant_categories(data_name))
-        files.write_table(audit, f"{output}/audit/{ref_month}")
+        population = split.population_audit(customers, items, ref_month)
+        files.write_table(audit.unionByName(population, allowMissingColumns=True), f"{output}/audit/{ref_month}")
         files.write_table(dataset.unseen_categories(contracts, label_table), f"{output}/unseen/{ref_month}")
         files.write_table(targets.target_summary(snapshot.customers, model_input.pairs), f"{output}/summary/{ref_month}")
         if first:

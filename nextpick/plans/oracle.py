@@ -249,11 +249,6 @@ _CTES = {
     "coverage_pairs": """
         SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS product_code, CAST(l_suppkey AS VARCHAR) AS coverage_code
         FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag <> 'R'""",
-    "draw_intervals": """
-        SELECT category, CAST(sum(units) OVER (ORDER BY category) - units AS BIGINT) AS low,
-               CAST(sum(units) OVER (ORDER BY category) AS BIGINT) AS high
-        FROM (SELECT category, CAST(round(count(*) / (SELECT count(*) FROM dev_target) * 1e15) AS BIGINT) AS units
-              FROM dev_target GROUP BY category)""",
     "population": """
         SELECT *, row_number() OVER (ORDER BY customer_id, identity_code) AS id FROM dev_customers
         WHERE customer_id IN (SELECT customer_id FROM dev_target_all)""",
@@ -296,6 +291,11 @@ _add("temporal_split_counts", " UNION ALL ".join([
     _step("target", "rows_distinct", f"SELECT DISTINCT {_ROW} FROM dev_target_raw"),
     _step("history", "projected_distinct", "SELECT DISTINCT customer_id, category, contract_date FROM dev_history_raw"),
     _step("target", "projected_distinct", "SELECT DISTINCT customer_id, category, contract_date FROM dev_target_raw")]))
+_add("population_audit", " UNION ALL ".join(
+    f"SELECT '{name}' AS split, 'population_{step}' AS step, count(*) AS row_count FROM {source} WHERE {where}"
+    for name, source in (("customers", "dev_customers"), ("history", "(SELECT DISTINCT customer_id, category, contract_date FROM dev_history_raw)"),
+                         ("target", "(SELECT DISTINCT customer_id, category, contract_date FROM dev_target_raw)"))
+    for step, where in (("before", "true"), ("after", "customer_id IN (SELECT customer_id FROM dev_ids)"))))
 _add("category_codes", "SELECT category, code, in_target FROM label_codes")
 _add("encoded_history", f"SELECT customer_id, category, category_code, {_DAY} FROM dev_history_all")
 _add("encoded_target", f"SELECT customer_id, category, category_code, {_DAY} FROM later_target_coded")
@@ -510,28 +510,82 @@ _add("dataset_checks", " UNION ALL ".join([
            AND code NOT IN (SELECT category_code FROM dev_positives)""")]))
 
 
-def _uniform(salt: str) -> str:
-    text = f"md5(concat_ws('|', '42', '{salt}', row_id))"
+def _uniform(salt: str, seed: int = 42) -> str:
+    text = f"md5(concat_ws('|', '{seed}', '{salt}', row_id))"
     return f"((CAST('0x' || substr({text}, 1, 12) AS BIGINT) + 0.5) / CAST(281474976710656 AS DOUBLE))"
 
 
-_add("synthesize", f"""
-    SELECT customer_id, category, code AS category_code, strftime(contract_date, '%Y-%m-%d') AS contract_date FROM (
+def _normal(column: str, seed: int) -> str:
+    return f"(sqrt(-2.0 * ln({_uniform(column + '/r', seed)})) * cos(2.0 * pi() * {_uniform(column + '/a', seed)}))"
+
+
+def _drawn(source: str, column: str, seed: int, per_customer: int) -> str:
+    """(row_id, customer_id, column) drawn by the column's shares in `source`."""
+    return f"""
+        SELECT row_id, customer_id, {column}
+        FROM (SELECT row_id, row_id % (SELECT count(*) FROM dev_ids) + 1 AS customer_id,
+                     CAST(floor({_uniform(column, seed)} * (SELECT sum(units) FROM {source}_{column}_units)) AS BIGINT) AS unit
+              FROM (SELECT unnest(range({per_customer} * (SELECT count(*) FROM dev_ids))) AS row_id))
+        JOIN (SELECT {column}, CAST(sum(units) OVER (ORDER BY {column}) - units AS BIGINT) AS low,
+                     CAST(sum(units) OVER (ORDER BY {column}) AS BIGINT) AS high
+              FROM {source}_{column}_units) ON unit >= low AND unit < high"""
+
+
+def _units(source: str, column: str) -> str:
+    return f"""
+        SELECT {column}, CAST(round(count(*) / (SELECT count({column}) FROM {source}) * 1e15) AS BIGINT) AS units
+        FROM {source} WHERE {column} IS NOT NULL GROUP BY {column}"""
+
+
+def _dated(source: str, seed: int, per_customer: int) -> str:
+    return f"""
+        SELECT d.*, DATE '1970-01-01' + CAST(floor((m.mean + m.std * {_normal('contract_date', seed)}) / 86400) AS INTEGER) AS day
+        FROM ({_drawn(source, 'category', seed, per_customer)}) d
+        CROSS JOIN (SELECT avg(epoch(contract_date)) AS mean, stddev_samp(epoch(contract_date)) AS std FROM {source}) m"""
+
+
+_SAMPLE = {
+    **{f"{source}_{column}_units": _units(source, column) for source, column in (
+        ("dev_target", "category"), ("dev_history", "category"), ("dev_raw", "ref_month"), ("dev_raw", "segment"), ("dev_raw", "nation"))},
+    "target_draws": _dated("dev_target", 42, 5),
+    "history_draws": _dated("dev_history", 43, 10),
+    "sample_target": f"""
         SELECT customer_id, category, arg_min(contract_date, row_id) AS contract_date FROM (
             SELECT customer_id, row_id, category,
-                   CASE WHEN day < DATE '1999-12-01'
-                        THEN DATE '1999-12-01' + CAST(floor({_uniform('redraw')} * 184.0) AS INTEGER)
-                        ELSE day END AS contract_date
-            FROM (SELECT d.customer_id, d.row_id, i.category,
-                         DATE '1970-01-01' + CAST(floor((m.mean + m.std * (sqrt(-2.0 * ln({_uniform('contract_date/r')}))
-                             * cos(2.0 * pi() * {_uniform('contract_date/a')}))) / 86400) AS INTEGER) AS day
-                  FROM (SELECT row_id, row_id % (SELECT count(*) FROM dev_ids) + 1 AS customer_id,
-                               CAST(floor({_uniform('category')} * (SELECT max(high) FROM draw_intervals)) AS BIGINT) AS unit
-                        FROM (SELECT unnest(range(5 * (SELECT count(*) FROM dev_ids))) AS row_id)) d
-                  JOIN draw_intervals i ON d.unit >= i.low AND d.unit < i.high
-                  CROSS JOIN (SELECT avg(epoch(contract_date)) AS mean, stddev_samp(epoch(contract_date)) AS std
-                              FROM dev_target) m))
-        GROUP BY customer_id, category) JOIN label_codes USING (category)""")
+                   CASE WHEN day < DATE '1999-12-01' THEN DATE '1999-12-01' + CAST(floor({_uniform('redraw')} * 184.0) AS INTEGER)
+                        ELSE day END AS contract_date FROM target_draws)
+        GROUP BY customer_id, category""",
+    "sample_history": f"""
+        SELECT customer_id, category,
+               CASE WHEN day > DATE '1999-12-01' THEN DATE '1999-12-01' - CAST(floor({_uniform('redraw', 43)} * least(
+                        (SELECT greatest(count(*) FILTER (WHERE day > DATE '1999-12-01'), 1) FROM history_draws), 36525)) AS INTEGER)
+                    ELSE day END AS contract_date FROM history_draws""",
+    "sample_customers": f"""
+        SELECT customer_id, ref_month, segment, nation, m.mean + m.std * {_normal('balance', 44)} AS balance
+        FROM ({_drawn('dev_raw', 'ref_month', 44, 1)}) JOIN ({_drawn('dev_raw', 'segment', 44, 1)}) USING (row_id, customer_id)
+        JOIN ({_drawn('dev_raw', 'nation', 44, 1)}) USING (row_id, customer_id)
+        CROSS JOIN (SELECT avg(balance) AS mean, stddev_samp(balance) AS std FROM dev_raw) m""",
+}
+
+
+def _add_sample(name: str, sql: str) -> None:
+    _add(name, "")
+    ORACLE[name] = ORACLE[name].rstrip() + "".join(f",\n{table} AS ({body})" for table, body in _SAMPLE.items()) + "\n" + sql
+
+
+_add_sample("synthesize", f"""
+    SELECT customer_id, category, code AS category_code, {_DAY} FROM sample_target JOIN label_codes USING (category)""")
+_add_sample("synthesize_history", f"""
+    SELECT customer_id, category, code AS category_code, {_DAY} FROM sample_history JOIN label_codes USING (category)""")
+_add_sample("synthesize_customers", "SELECT * REPLACE (round(balance, 2) AS balance) FROM sample_customers")
+_add_sample("synthesize_checks", " UNION ALL ".join([
+    _check("customers unique", "SELECT count(*) FROM (SELECT customer_id FROM sample_customers GROUP BY ALL HAVING count(*) > 1)"),
+    *[_check(f"{name} has all customers", f"""SELECT count(*) FROM (SELECT DISTINCT customer_id FROM sample_{name}) t
+        FULL JOIN sample_customers c USING (customer_id) WHERE t.customer_id IS NULL OR c.customer_id IS NULL""") for name in ("target", "history")],
+    _check("history up to target", """SELECT CASE WHEN (SELECT max(contract_date) FROM sample_history)
+           <= (SELECT min(contract_date) FROM sample_target) THEN 0 ELSE 1 END"""),
+    _check("every label occurs", """SELECT count(*) FROM label_codes WHERE in_target = 1
+           AND category NOT IN (SELECT category FROM sample_target)""")]))
 
 
 def _shares(column: str, source: str) -> str:

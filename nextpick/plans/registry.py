@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nextpick.functions.dates import month_list, month_of
+from nextpick.functions.dates import month_list, month_of, whole_periods
 from nextpick.operators import candidates as cand
 from nextpick.operators import (checks, encode, evaluate, extract, features, labels, models, profile, split,
                                 targets, trend)
 from nextpick.operators.joins import lookup_join
 from nextpick.plans import artefact, dataset, evaluation
 from nextpick.sources import tables
-from nextpick.sources.stage import stage, stage_path
+from nextpick.sources.stage import stage, stage_bucketed, stage_path
 from nextpick.sources.tables import ALL_EXCLUDED, CATEGORICAL, DEVELOPMENT, EXCLUDED_CLASSES, LATER, NUMERIC
 
 LAST = {DEVELOPMENT: "200006", LATER: "200106"}
@@ -47,19 +49,24 @@ def _day(column: str):
 
 @dataclass(frozen=True)
 class Base:
-    """Staged contracts and the label dictionary of the development month."""
+    """Staged items and the label dictionary of the development month."""
 
-    contracts: DataFrame
+    items: DataFrame
     labels: DataFrame
 
     def snapshot(self, spark: SparkSession, sf_dir: str, ref_month: str = DEVELOPMENT) -> dataset.Snapshot:
-        return dataset.build_snapshot(tables.customers(spark, sf_dir, ref_month), self.contracts, ref_month,
-                                      self.labels, EXCLUDED_CLASSES, ALL_EXCLUDED)
+        return dataset.item_snapshot(tables.customers(spark, sf_dir, ref_month), self.items, ref_month, self.labels)
 
 
 def _base(spark: SparkSession, sf_dir: str, until: str = DEVELOPMENT) -> Base:
+    items = dataset.stage_items(tables.contracts(spark, sf_dir, LAST[until]), EXCLUDED_CLASSES, ALL_EXCLUDED)
+    return Base(items, dataset.learn_item_labels(items, DEVELOPMENT))
+
+
+def _contracts(spark: SparkSession, sf_dir: str, until: str = DEVELOPMENT) -> tuple[DataFrame, DataFrame]:
+    """Staged contracts and the labels learned from them."""
     contracts = dataset.stage_contracts(tables.contracts(spark, sf_dir, LAST[until]))
-    return Base(contracts, dataset.learn_labels(contracts, DEVELOPMENT, EXCLUDED_CLASSES, ALL_EXCLUDED))
+    return contracts, dataset.learn_labels(contracts, DEVELOPMENT, EXCLUDED_CLASSES, ALL_EXCLUDED)
 
 
 def _history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -83,6 +90,7 @@ class HeldOut:
 
     labels: DataFrame
     codes: list[int]
+    items: DataFrame
     history: DataFrame
     positives: DataFrame
 
@@ -116,7 +124,8 @@ def _held_out(spark: SparkSession, sf_dir: str) -> HeldOut:
     snapshot = base.snapshot(spark, sf_dir)
     pairs = targets.target_pairs(targets.positive_pairs(snapshot.target)).drop("target")
     positives = stage(pairs.join(split.group_split(snapshot.ids), "customer_id"), "positives")
-    return HeldOut(base.labels, labels.code_list(base.labels, target_only=True), snapshot.history, positives)
+    return HeldOut(base.labels, labels.code_list(base.labels, target_only=True), base.items,
+                   snapshot.history, positives)
 
 
 # Dataset building
@@ -128,6 +137,11 @@ def temporal_split_counts(spark, sf_dir):
     return audit.select("split", "step", "row_count", _day("first_date"), _day("last_date"))
 
 
+@query
+def population_audit(spark, sf_dir):
+    return split.population_audit(tables.customers(spark, sf_dir, DEVELOPMENT), _base(spark, sf_dir).items, DEVELOPMENT)
+
+
 @query
 def category_codes(spark, sf_dir):
     return _base(spark, sf_dir).labels.select("category", "code", F.col("in_target").cast("int").alias("in_target"))
@@ -135,15 +149,15 @@ def category_codes(spark, sf_dir):
 
 @query
 def encoded_history(spark, sf_dir):
-    base = _base(spark, sf_dir)
-    history, _ = dataset.encoded_parts(base.contracts, DEVELOPMENT, base.labels, EXCLUDED_CLASSES, ALL_EXCLUDED)
+    contracts, label_table = _contracts(spark, sf_dir)
+    history, _ = dataset.encoded_parts(contracts, DEVELOPMENT, label_table, EXCLUDED_CLASSES, ALL_EXCLUDED)
     return history.select("customer_id", "category", "category_code", _day("contract_date"))
 
 
 @query
 def encoded_target(spark, sf_dir):
-    base = _base(spark, sf_dir, LATER)
-    _, target = dataset.encoded_parts(base.contracts, LATER, base.labels, EXCLUDED_CLASSES, ALL_EXCLUDED)
+    contracts, label_table = _contracts(spark, sf_dir, LATER)
+    _, target = dataset.encoded_parts(contracts, LATER, label_table, EXCLUDED_CLASSES, ALL_EXCLUDED)
     return target.select("customer_id", "category", "category_code", _day("contract_date"))
 
 
@@ -270,8 +284,9 @@ def ranked_candidates(spark, sf_dir):
 @query
 def recommend_one(spark, sf_dir):
     held_out = _held_out(spark, sf_dir)
-    return evaluation.recommend(cand.one_customer(held_out.customers), held_out.history, held_out.train,
-                                held_out.codes, held_out.labels)
+    customer_id = cand.one_customer(held_out.customers).first()["customer_id"]
+    return evaluation.recommend_one(customer_id, held_out.items, DEVELOPMENT, held_out.train, held_out.codes,
+                                    held_out.labels)
 
 
 @query
@@ -607,35 +622,50 @@ def duplicate_audit(spark, sf_dir):
 @query
 def dataset_checks(spark, sf_dir):
     base, model_input = _inputs(spark, sf_dir)
-    table, encoded = stage(model_input.table, "table"), stage(model_input.features, "encoded")
-    snapshot = model_input.snapshot
-    history, target = stage(snapshot.history, "history"), stage(snapshot.target, "target")
-    sides = stage(split.group_split(snapshot.ids), "sides")
+    snapshot, encoded = model_input.snapshot, stage_bucketed(model_input.features, "encoded", "customer_id")
     codes = labels.code_list(base.labels, target_only=True)
-    test = sides.filter("split = 'test'").select("customer_id")
-    positives = table.filter("target = 1")
-    second = evaluate.multi_class_input(positives, FIRST_STAGE_CODES)
-    missing = base.labels.filter("in_target").join(
-        positives.select(F.col("target_category").alias("code")), "code", "left_anti")
-    nulls = F.greatest(*[F.col(c).isNull().cast("int") for c in [*CATEGORICAL, *dataset.SUMMARY_COLUMNS]]) == 1
-    return checks.combine([
-        checks.expect_history_before_target(history, target, "history before target"),
-        checks.expect_periods(target, 6, "target spans six periods"),
-        checks.expect_single_value(snapshot.customers, "ref_month", "one reference month"),
-        checks.expect_unique(snapshot.customers, ["customer_id"], "customers unique"),
-        checks.expect_row_count(encoded, checks.row_count(snapshot.customers), "features keep rows"),
-        checks.expect_no_match(encoded, nulls, "no nulls in encoded features"),
-        checks.expect_no_match(encoded, F.col("balance").isNull(), "no null balance"),
-        checks.expect_no_match(encoded, F.col("product_1") == 0, "a newest product for everyone"),
-        checks.expect_no_duplicates(table.select("customer_id", "target_category"), "pairs unique"),
-        checks.expect_disjoint(sides.filter("split = 'train'"), test, "customer_id", "train and test disjoint"),
-        checks.expect_row_count(cand.candidates(test, codes), checks.row_count(test) * len(codes),
-                                "candidates complete"),
-        checks.expect_row_count(sides, checks.row_count(snapshot.customers), "split covers all"),
-        checks.expect_contiguous(second, "label", "classes contiguous"),
-        checks.expect_same_ids(snapshot.customers, target, "customer_id", "target has all customers"),
-        checks.expect_same_ids(snapshot.customers, history, "customer_id", "history has all customers"),
-        checks.expect_no_rows(missing, "every label occurs")])
+    pairs = targets.modelling_table(encoded, model_input.pairs).groupBy("customer_id", "target_category").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("target").alias("target"))
+    # Candidates of the test customers: the first of a row also stands for the row.
+    sides = split.group_split(snapshot.ids).select("customer_id", "split", F.posexplode(
+        F.when(F.col("split") == "test", F.array(*[F.lit(c) for c in codes])).otherwise(F.array(F.lit(0)))))
+    row, is_test = F.col("pos") == 0, F.col("split") == "test"
+    count = lambda condition: F.when(condition, 1).otherwise(0)
+    measure, nulls = checks.Measure, [F.col(c).isNull() for c in [*CATEGORICAL, *dataset.SUMMARY_COLUMNS]]
+    ledger = checks.ledger("customer_id", [
+        (snapshot.customers, [checks.rows_of("customers"), measure("months", "set", F.col("ref_month"))]),
+        (snapshot.history, [checks.rows_of("history"), measure("last", "max", F.col("contract_date"))]),
+        (snapshot.target, [checks.rows_of("target"), measure("first", "min", F.col("contract_date")),
+                           measure("latest", "max", F.col("contract_date"))]),
+        (encoded, [checks.rows_of("features"), measure("nulls", "sum", count(reduce(operator.or_, nulls))),
+                   measure("no_balance", "sum", count(F.col("balance").isNull())),
+                   measure("no_product", "sum", count(F.col("product_1") == 0))]),
+        (pairs, [measure("repeated", "sum", count(F.col("_n") > 1)),
+                 measure("codes", "set", F.when(F.col("target") == 1, F.col("target_category")))]),
+        (sides, [measure("train", "sum", count(row & ~is_test)), measure("test", "sum", count(row & is_test)),
+                 measure("candidates", "sum", count(is_test))])])
+    here = lambda name: F.coalesce(F.col(name), F.lit(0)) > 0
+    total = lambda name: F.sum(name)
+    bought = checks.values_of("codes")
+    second = F.filter(bought, lambda code: code > FIRST_STAGE_CODES)
+    return checks.verdicts(ledger, {
+        "history before target": checks.unless(F.max("last") < F.min("first")),
+        "target spans six periods": checks.unless(whole_periods(F.min("first"), F.max("latest")) == 6),
+        "one reference month": F.abs(F.size(checks.values_of("months")) - 1),
+        "customers unique": F.count_if(F.col("customers") > 1),
+        "features keep rows": F.abs(total("features") - total("customers")),
+        "no nulls in encoded features": total("nulls"),
+        "no null balance": total("no_balance"),
+        "a newest product for everyone": total("no_product"),
+        "pairs unique": total("repeated"),
+        "train and test disjoint": F.count_if(here("train") & here("test")),
+        "candidates complete": F.abs(total("candidates") - total("test") * len(codes)),
+        "split covers all": F.abs(total("train") + total("test") - total("customers")),
+        "classes contiguous": checks.unless((F.array_min(second) == FIRST_STAGE_CODES + 1) & (
+            F.array_max(second) == F.size(second) + FIRST_STAGE_CODES)),
+        "target has all customers": F.count_if(here("customers") != here("target")),
+        "history has all customers": F.count_if(here("customers") != here("history")),
+        "every label occurs": F.size(F.array_except(F.array(*[F.lit(c) for c in codes]), bought))})
 
 
 @query
@@ -648,18 +678,59 @@ def column_profile(spark, sf_dir):
                          F.round("mean", 3).alias("mean"), F.round("std", 3).alias("std"))
 
 
-@query
-def synthesize(spark, sf_dir):
+CONTRACT_SAMPLE = {"category": "string", "contract_date": "date"}
+CUSTOMER_SAMPLE = {"ref_month": "string", "segment": "string", "nation": "string", "balance": "double"}
+
+
+def _sample(spark: SparkSession, sf_dir: str) -> tuple[Base, profile.Sample]:
     base = _base(spark, sf_dir)
     snapshot = base.snapshot(spark, sf_dir)
-    shares = stage(profile.column_profile(snapshot.target.select("category", "contract_date")), "profile")
-    drawn = profile.synthesize(spark, shares, {"category": "string", "contract_date": "date"},
-                               snapshot.customers.count(), per_customer=5)
-    dated = profile.clamp_dates(drawn, DEVELOPMENT, history=False)
-    coded = labels.encode_category(profile.one_row_per_pair(dated), base.labels, target_only=True)
+    found = {"customers": snapshot.customers.select(*CUSTOMER_SAMPLE), "history": snapshot.history.select(*CONTRACT_SAMPLE),
+             "target": snapshot.target.select(*CONTRACT_SAMPLE)}
+    profiles = {name: stage(profile.column_profile(frame), "profile") for name, frame in found.items()}
+    columns = {"customers": CUSTOMER_SAMPLE, "history": CONTRACT_SAMPLE, "target": CONTRACT_SAMPLE}
+    return base, profile.sample_month(spark, profiles, columns, snapshot.customers.count(), DEVELOPMENT)
+
+
+@query
+def synthesize(spark, sf_dir):
+    base, sample = _sample(spark, sf_dir)
+    coded = labels.encode_category(sample.target, base.labels, target_only=True)
     return coded.select("customer_id", "category", "category_code", _day("contract_date"))
 
 
+@query
+def synthesize_history(spark, sf_dir):
+    base, sample = _sample(spark, sf_dir)
+    coded = labels.encode_category(sample.history, base.labels)
+    return coded.select("customer_id", "category", "category_code", _day("contract_date"))
+
+
+@query
+def synthesize_customers(spark, sf_dir):
+    return _sample(spark, sf_dir)[1].customers.withColumn("balance", F.round("balance", 2))
+
+
+@query
+def synthesize_checks(spark, sf_dir):
+    base, sample = _sample(spark, sf_dir)
+    codes = labels.code_list(base.labels, target_only=True)
+    coded = labels.encode_category(sample.target, base.labels, target_only=True)
+    here = lambda name: F.coalesce(F.col(name), F.lit(0)) > 0
+    ledger = checks.ledger("customer_id", [
+        (sample.customers, [checks.rows_of("customers")]),
+        (sample.history, [checks.rows_of("history"), checks.Measure("last", "max", F.col("contract_date"))]),
+        (coded, [checks.rows_of("target"), checks.Measure("first", "min", F.col("contract_date")),
+                 checks.Measure("codes", "set", F.col("category_code"))])])
+    bought = checks.values_of("codes")
+    return checks.verdicts(ledger, {
+        "customers unique": F.count_if(F.col("customers") > 1),
+        "target has all customers": F.count_if(here("customers") != here("target")),
+        "history has all customers": F.count_if(here("customers") != here("history")),
+        "history up to target": checks.unless(F.max("last") <= F.min("first")),
+        "every label occurs": F.size(F.array_except(F.array(*[F.lit(c) for c in codes]), bought))})
+
+
 # Models
 
 SPARSE = [*CATEGORICAL, *features.product_columns(), "target_category"]
@@ -729,7 +800,7 @@ def _reloaded(spark: SparkSession, sf_dir: str, forest: bool = False) -> Reloade
 def saved_model_scores(spark, sf_dir):
     """Scores of the later month by the fitted and by the reloaded model: one row a candidate, equal or not."""
     models_ = _reloaded(spark, sf_dir)
-    customers, contracts = tables.customers(spark, sf_dir, LATER), models_.base.contracts
+    customers, contracts = tables.customers(spark, sf_dir, LATER), models_.base.items
     one = models_.fitted.candidates(customers, contracts, LATER).select("customer_id", "target_category", "score")
     two = models_.loaded.candidates(customers, contracts, LATER).select(
         "customer_id", "target_category", F.col("score").alias("again"))
@@ -741,14 +812,14 @@ def saved_model_scores(spark, sf_dir):
 def saved_model_features(spark, sf_dir):
     """Features of all customers of the later month by the reloaded encoders and label table."""
     models_ = _reloaded(spark, sf_dir)
-    return models_.loaded.encode(tables.customers(spark, sf_dir, LATER), models_.base.contracts, LATER)
+    return models_.loaded.encode(tables.customers(spark, sf_dir, LATER), models_.base.items, LATER)
 
 
 @query
 def saved_model_recommend(spark, sf_dir):
     """Ranked categories of all customers of the later month by the reloaded model."""
     models_ = _reloaded(spark, sf_dir)
-    return models_.loaded.recommend(tables.customers(spark, sf_dir, LATER), models_.base.contracts, LATER)
+    return models_.loaded.recommend(tables.customers(spark, sf_dir, LATER), models_.base.items, LATER)
 
 
 @query

@@ -3,7 +3,7 @@
 A staged table cuts lineage, so it is read by several consumers without running its
 plan again, and it survives the loss of executors because it lives in the folder all nodes
 share. That folder is the session's ``spark.checkpoint.dir``; each application has one folder
-in it, which can be deleted when the application has ended.
+in it. `release` deletes it; it can also be deleted when the application has ended.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 LOCAL_ROWS = 5_000
+PAGE_ROWS = 1_000
 
 
 def stage_root(spark: SparkSession) -> str:
@@ -47,3 +48,28 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     path = stage_path(spark, name)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def stage_bucketed(frame: DataFrame, name: str, key: str) -> DataFrame:
+    """Stage `frame` in buckets of `key`, sorted by it, and return a scan that knows this layout.
+
+    Aggregations and windows by `key`, and joins of such tables on it, need no shuffle. A filter on a
+    value of `key` reads only the pages that can hold the value. A key's rows share a
+    bucket, so make them few (distinct, say) before. There are as many buckets as shuffle partitions.
+    """
+    spark = frame.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"nextpick_{uuid4().hex}"
+    (frame.repartition(buckets, key).write.format("parquet").bucketBy(buckets, key).sortBy(key)
+     .option("path", stage_path(spark, name)).option("parquet.page.row.count.limit", str(PAGE_ROWS)).saveAsTable(table))
+    return spark.table(table)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything that this application has staged; frames that read it can't be used any more."""
+    for table in spark.catalog.listTables():
+        if table.name.startswith("nextpick_") and not table.isTemporary:
+            spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{stage_root(spark)}/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
