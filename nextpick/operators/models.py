@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import FMClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
@@ -68,16 +70,22 @@ def predict_class(frame: DataFrame, model: PipelineModel, inputs: Sequence[str])
 
 
 def fit_chain(train: DataFrame, inputs: Sequence[str], codes: Sequence[int], iterations: int = 5,
-              depth: int = 3, seed: int = SEED) -> list[PipelineModel]:
-    """Second stage as a chain: the model of each label also sees the labels before it."""
-    train = _with_zero(train, [*inputs, *[f"label_{code}" for code in codes]])
-    chain = []
-    for place, code in enumerate(codes):
-        earlier = [f"label_{before}" for before in codes[:place]]
-        steps = [VectorAssembler(inputCols=[*inputs, *earlier], outputCol="features"),
-                 GBTClassifier(labelCol=f"label_{code}", maxIter=iterations, maxDepth=depth, seed=seed)]
-        chain.append(Pipeline(stages=steps).fit(train))
-    return chain
+              depth: int = 3, seed: int = SEED, parallel: int = 8) -> list[PipelineModel]:
+    """Second stage as a chain: the model of each label also sees the labels before it.
+
+    In training these are the true labels, so no link waits for another: `parallel` fits at a
+    time share the cluster, all on one staged table of the columns they need.
+    """
+    names = [f"label_{code}" for code in codes]
+    train = stage(_with_zero(train, [*inputs, *names]).select(*inputs, *names), "chain-input")
+
+    def fit(place: int) -> PipelineModel:
+        steps = [VectorAssembler(inputCols=[*inputs, *names[:place]], outputCol="features"),
+                 GBTClassifier(labelCol=names[place], maxIter=iterations, maxDepth=depth, seed=seed)]
+        return Pipeline(stages=steps).fit(train)
+
+    with ThreadPoolExecutor(max(1, min(parallel, len(codes)))) as pool:
+        return list(pool.map(inheritable_thread_target(train.sparkSession)(fit), range(len(codes))))
 
 
 def predict_chain(frame: DataFrame, chain: Sequence[PipelineModel], inputs: Sequence[str], codes: Sequence[int],

@@ -44,3 +44,12 @@ def test_chain(train):
     scores = models.predict_chain(wide, chain, ["segment", "balance"], codes, links_per_stage=2)
     picked = evaluate.highest_label(scores, codes).join(wide, "customer_id")
     assert picked.filter(F.col("pred_code") == F.col("segment") + 1).count() == 240
+
+
+def test_chain_is_the_same_however_many_links_are_fitted_at_a_time(train):
+    codes = [1, 2, 3]
+    wide = evaluate.multi_label_input(cand.entity_rows(train), train, codes).repartition(1).sortWithinPartitions("customer_id")
+    chains = [models.fit_chain(wide, ["segment", "balance"], codes, iterations=2, parallel=n) for n in (1, 3)]
+    trees = [[link.stages[-1].toDebugString.split("\n", 1)[1] for link in chain] for chain in chains]
+    assert trees[0] == trees[1]
+    assert [link.stages[0].getInputCols()[2:] for link in chains[1]] == [[], ["label_1"], ["label_1", "label_2"]]

@@ -7,7 +7,6 @@ import __spark_entry__ as contract
 
 SF_DIR = "/root/testdata/sf0.001"
 ORACLE = contract.oracle_sql()
-SLOW = {"second_stage_chain"}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +19,7 @@ def test_query_matches_sql(spark, connection, name):
     assert compare.spark_rows(contract.queries()[name](spark, SF_DIR)) == compare.duckdb_rows(connection, ORACLE[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(contract.queries()) - set(ORACLE)))
 def test_query_without_sql_has_rows(spark, name):
     assert contract.queries()[name](spark, SF_DIR).count() > 0
 
