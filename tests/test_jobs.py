@@ -64,6 +64,24 @@ def test_make_input(spark, extracts):
     assert spark.read.parquet(output + "/audit/202305").filter("step = 'loaded'").agg(F.sum("row_count")).first()[0] == 480
 
 
+def test_sample_input_from_saved_profiles(spark, extracts):
+    """A data set of synthetic customers, built without the extract files, that the models can be trained on."""
+    source, output = str(extracts / "out"), str(extracts / "sample")
+    jobs.make_input(spark, str(extracts), source, periods=4)
+    audit = {(r.split, r.step): r.row_count for r in spark.read.parquet(source + "/audit/202305").collect()}
+    assert audit["customers", "population_before"] == audit["customers", "population_after"] == 60
+    jobs.make_sample_input(spark, source, output, 150, numeric=["계약자연령", "추정소득"])
+    development = files.read_dataset(spark, output + "/dataset", "202305")
+    assert development.select("customer_id").distinct().count() == 150
+    assert {row.target for row in development.select("target").distinct().collect()} == {0, 1}
+    assert set(jobs.target_codes(spark, output)) == {1, 2, 3}
+    assert files.read_dataset(spark, output + "/dataset", "202308").select("customer_id").distinct().count() == 150
+    summary = spark.read.parquet(output + "/summary/202305").first()
+    assert summary.num_of_target_ids == 150
+    assert jobs.train(spark, output, categorical=["계약자성별"], numeric=["계약자연령"], iterations=3) == 1
+    assert jobs.evaluate(spark, output)["accuracy"].first().customers == 30
+
+
 def test_violated_check_stops_the_run(spark, extracts):
     with pytest.raises(ValueError, match="expected periods"):
         jobs.make_input(spark, str(extracts), str(extracts / "out"), periods=9)
