@@ -16,9 +16,14 @@ def month_start(ref_month: str, shift: int = 0) -> date:
     return date(index // 12, index % 12 + 1, 1)
 
 
+def shifted(ref_month: str, months: int) -> str:
+    """The ``yyyyMM`` month that is `months` months later."""
+    return month_start(ref_month, months).strftime("%Y%m")
+
+
 def month_list(first: str, count: int) -> list[str]:
     """`count` consecutive ``yyyyMM`` months from `first` on."""
-    return [month_start(first, shift).strftime("%Y%m") for shift in range(count)]
+    return [shifted(first, months) for months in range(count)]
 
 
 def month_of(day: Column) -> Column:

@@ -19,32 +19,41 @@ from nextpick.operators.numbering import running_total
 MAX_DISTINCT = 20
 PROFILE_SCHEMA = "column_name string, kind string, value string, share double, mean double, std double"
 GUIDED_VALUES = 1_000
+NULL_VALUE = "\0"  # stands for a null among the counted values of a numeric column
 _BUCKETS = 1024
 _UNITS = 10 ** 15
 
 
+def _as_numbers(frame: DataFrame) -> DataFrame:
+    """Dates as epoch seconds."""
+    for f in frame.schema.fields:
+        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            frame = frame.withColumn(f.name, epoch_seconds(F.col(f.name).cast("date")))
+    return frame
+
+
+def _few_valued(frame: DataFrame, numeric: Sequence[str]) -> list[str]:
+    """Numeric columns with fewer than MAX_DISTINCT distinct values; a null counts as one more."""
+    if not numeric:
+        return []
+    sizes = frame.agg(*[F.approx_count_distinct(c).alias(c) for c in numeric]).first()
+    near = [c for c in numeric if sizes[c] <= 5 * MAX_DISTINCT]
+    if not near:
+        return []
+    exact = frame.agg(*[(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c) for c in near]).first()
+    return [c for c in near if (exact[c] or 0) < MAX_DISTINCT]
+
+
 def column_profile(frame: DataFrame, drop: Sequence[str] = ("customer_id",)) -> DataFrame:
     """Share per value for text and for columns with few distinct values, else mean and std.
 
     Dates are profiled as epoch seconds (times of day do not count). One pass finds which numeric columns can have fewer
     than 20 distinct values (a sketch rules out the others), one counts values, one averages.
     """
-    frame = frame.drop(*drop)
-    for f in frame.schema.fields:
-        if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            frame = frame.withColumn(f.name, epoch_seconds(F.col(f.name).cast("date")))
+    frame = _as_numbers(frame.drop(*drop))
     text = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.StringType)]
     numeric = [c for c in frame.columns if c not in text]
-
-    few = []
-    if numeric:
-        sizes = frame.agg(*[F.approx_count_distinct(c).alias(c) for c in numeric]).first()
-        near = [c for c in numeric if sizes[c] <= 5 * MAX_DISTINCT]
-        if near:
-            # A null counts as one more distinct value.
-            exact = frame.agg(*[(F.count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(c)
-                                for c in near]).first()
-            few = [c for c in near if (exact[c] or 0) < MAX_DISTINCT]
+    few = _few_valued(frame, numeric)
     listed = [c for c in frame.columns if c in text or c in few]
     averaged = [c for c in numeric if c not in few]
 
@@ -74,6 +83,72 @@ def column_profile(frame: DataFrame, drop: Sequence[str] = ("customer_id",)) ->
     return result
 
 
+# A profile that grows month by month: states are small tables that are merged without the months' rows.
+
+STATE_SCHEMA = "column_name string, value string, rows bigint, mean double, m2 double, many boolean"
+
+
+def profile_state(frame: DataFrame, drop: Sequence[str] = ("customer_id",)) -> DataFrame:
+    """State of a month: rows per value, and number, mean and squared deviations of each numeric column.
+
+    Values of a numeric column are listed while there are fewer than MAX_DISTINCT (a null is one more); with ``many`` set
+    they are not. ``value`` is null in the row of the column itself, which counts its non-null values.
+    """
+    frame = _as_numbers(frame.drop(*drop))
+    text = [f.name for f in frame.schema.fields if isinstance(f.dataType, T.StringType)]
+    numeric = [c for c in frame.columns if c not in text]
+    few = _few_valued(frame, numeric)
+    listed = [c for c in frame.columns if c in text or c in few]
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in listed]) if listed else None
+    whole = [F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("string").alias("value"), F.count(c).alias("rows"),
+                      *[(F.lit(None) if c in text else found).cast("double").alias(name) for name, found in
+                        (("mean", F.avg(c)), ("m2", F.var_pop(c) * F.count(c)))],
+                      F.lit(c in numeric and c not in few).alias("many")) for c in frame.columns]
+    state = frame.agg(F.array(*whole).alias("_rows")).select(F.inline("_rows"))
+    if few:  # a null counts as a value
+        nulls = frame.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.count_if(F.col(c).isNull()).alias("rows")) for c in few]).alias("_rows"))
+        state = state.unionByName(nulls.select(F.inline("_rows")).filter("rows > 0").withColumn("value", F.lit(NULL_VALUE)), allowMissingColumns=True)
+    if listed:
+        counts = frame.select(F.inline(cells)).filter("value IS NOT NULL").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("rows"))
+        state = state.unionByName(counts, allowMissingColumns=True)
+    return state.withColumn("many", F.coalesce("many", F.lit(False)))
+
+
+def merge_states(*states: DataFrame) -> DataFrame:
+    """State of all months together; merging does not depend on their order."""
+    rows = states[0]
+    for state in states[1:]:
+        rows = rows.unionByName(state)
+    parts = F.collect_list(F.when(F.col("mean").isNotNull(), F.struct("rows", "mean", "m2")))
+    merged = rows.groupBy("column_name", "value").agg(F.sum("rows").alias("rows"), F.max("many").alias("many"), parts.alias("_parts"))
+    total = lambda value: F.aggregate("_parts", F.lit(0.0), lambda sum_, part: sum_ + value(part))
+    merged = merged.withColumn("mean", F.try_divide(total(lambda p: p["rows"] * p["mean"]), F.col("rows")))
+    merged = merged.withColumn("m2", total(lambda p: p["m2"] + p["rows"] * F.pow(p["mean"] - F.col("mean"), 2)))
+    there = F.size("_parts") > 0
+    # One row per column decides whether its values are still listed: no month has many, and together they are few.
+    columns = merged.groupBy("column_name").agg(
+        F.max("many").alias("_any"), F.count("value").alias("_values"), F.max(F.col("value").isNull() & there).alias("_numeric"))
+    many = F.col("_any") | (F.col("_numeric") & (F.col("_values") >= MAX_DISTINCT))
+    judged = merged.join(F.broadcast(columns), "column_name").withColumn("many", many)
+    return judged.filter(F.col("value").isNull() | ~F.col("many")).select(
+        "column_name", "value", "rows", *[F.when(there, F.col(c)).alias(c) for c in ("mean", "m2")],
+        (F.col("many") & F.col("value").isNull()).alias("many"))
+
+
+def profile_of_state(state: DataFrame) -> DataFrame:
+    """What `column_profile` finds over all rows of the months in a state."""
+    whole = state.filter("value IS NULL").select("column_name", F.col("rows").alias("_total"), "mean", "m2", "many")
+    none = F.lit(None)
+    shares = (state.filter(F.col("value").isNotNull() & (F.col("value") != NULL_VALUE)).select("column_name", "value", "rows")
+              .join(F.broadcast(whole), "column_name").filter("NOT many")
+              .select("column_name", F.lit("share").alias("kind"), "value", (F.col("rows") / F.col("_total")).alias("share"),
+                      none.cast("double").alias("mean"), none.cast("double").alias("std")))
+    moments = whole.filter("many").select(
+        "column_name", F.lit("normal").alias("kind"), none.cast("string").alias("value"), none.cast("double").alias("share"),
+        "mean", F.sqrt(F.try_divide(F.col("m2"), F.when(F.col("_total") > 1, F.col("_total") - 1))).alias("std"))
+    return shares.unionByName(moments)
+
+
 def _draw_value(rows: DataFrame, shares: DataFrame, column: str, key: str, seed: int) -> DataFrame:
     """Add `column`, drawn by share.
 

@@ -299,6 +299,8 @@ _add("population_audit", " UNION ALL ".join(
 _add("category_codes", "SELECT category, code, in_target FROM label_codes")
 _add("encoded_history", f"SELECT customer_id, category, category_code, {_DAY} FROM dev_history_all")
 _add("encoded_target", f"SELECT customer_id, category, category_code, {_DAY} FROM later_target_coded")
+_add("target_window_contracts", f"""SELECT {_ROW.replace('contract_date', '')} {_DAY} FROM contracts
+    WHERE contract_date >= DATE '2001-01-01' AND contract_date < DATE '2001-07-01'""")
 _add("common_population", "SELECT customer_id FROM dev_ids")
 _add("last_n_products", "SELECT * FROM dev_last")
 _add("history_summary", "SELECT * FROM dev_summary")
@@ -606,6 +608,9 @@ _add("column_profile", " UNION ALL ".join([
     _shares("o_orderpriority", "orders"), _moments("o_totalprice", "o_totalprice", "orders"),
     _moments("contract_date", "epoch(o_orderdate)", "orders")]))
 
+_add("merged_profile", " UNION ALL ".join([
+    _shares("o_orderstatus", "orders"), _shares("o_orderpriority", "orders"), _moments("o_totalprice", "o_totalprice", "orders"),
+    _moments("contract_date", "epoch(o_orderdate)", "orders")]))
 _add("saved_model_scores", """
     SELECT customer_id, code AS target_category, true AS equal
     FROM later_customers CROSS JOIN label_codes WHERE in_target = 1""")

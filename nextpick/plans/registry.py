@@ -10,13 +10,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nextpick.functions.dates import month_list, month_of, whole_periods
+from nextpick.functions.dates import month_list, month_of, shifted, whole_periods
 from nextpick.operators import candidates as cand
 from nextpick.operators import (checks, encode, evaluate, extract, features, labels, models, profile, split,
                                 targets, trend)
 from nextpick.operators.joins import lookup_join
 from nextpick.plans import artefact, dataset, evaluation
-from nextpick.sources import tables
+from nextpick.sources import files, tables
 from nextpick.sources.stage import stage, stage_bucketed, stage_path
 from nextpick.sources.tables import ALL_EXCLUDED, CATEGORICAL, DEVELOPMENT, EXCLUDED_CLASSES, LATER, NUMERIC
 
@@ -161,6 +161,15 @@ def encoded_target(spark, sf_dir):
     return target.select("customer_id", "category", "category_code", _day("contract_date"))
 
 
+@query
+def target_window_contracts(spark, sf_dir):
+    """Contracts of the later month's target window, read from a store with one folder per month."""
+    store = stage_path(spark, "contract-months")
+    files.write_contract_months(split.complete_contracts(tables.contracts(spark, sf_dir)), store)
+    found = files.read_contract_months(spark, store, shifted(LATER, 1), LAST[LATER])
+    return found.select("customer_id", "product_code", "product_class", "category", _day("contract_date"))
+
+
 def _population_ids(spark: SparkSession, sf_dir: str, contracts: DataFrame) -> DataFrame:
     return split.common_population(tables.customers(spark, sf_dir, DEVELOPMENT), contracts, DEVELOPMENT,
                                    EXCLUDED_CLASSES, ALL_EXCLUDED)
@@ -678,6 +687,18 @@ def column_profile(spark, sf_dir):
                          F.round("mean", 3).alias("mean"), F.round("std", 3).alias("std"))
 
 
+@query
+def merged_profile(spark, sf_dir):
+    """Profile of all orders, merged from the states of four parts of them as if they had come one by one."""
+    orders = tables.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", F.col("o_orderdate").cast("date").alias("contract_date"))
+    part = F.pmod("o_orderkey", F.lit(4))
+    states = [stage(profile.profile_state(orders.filter(part == i), ("o_orderkey",)), "state") for i in range(4)]
+    result = profile.profile_of_state(profile.merge_states(profile.merge_states(*states[:3]), states[3]))
+    return result.select("column_name", "kind", "value", F.round("share", 9).alias("share"),
+                         F.round("mean", 3).alias("mean"), F.round("std", 3).alias("std"))
+
+
 CONTRACT_SAMPLE = {"category": "string", "contract_date": "date"}
 CUSTOMER_SAMPLE = {"ref_month": "string", "segment": "string", "nation": "string", "balance": "double"}
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nextpick.functions.dates import parse_day
+from nextpick.functions.dates import month_of, parse_day
 from nextpick.operators.checks import require_columns
 
 CHARSET = "EUC-KR"
@@ -83,6 +83,34 @@ def read_dataset(spark: SparkSession, path: str, ref_month: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("ref_month") == ref_month)
 
 
+def write_contract_months(contracts: DataFrame, path: str) -> None:
+    """Contracts in one folder per month of their date; a month that is written again replaces the old one.
+
+    A month goes to as many files as its size asks for, so that a busy one is not one task's work.
+    """
+    dated = contracts.withColumn("month", month_of(F.col("contract_date"))).hint("rebalance", "month")
+    dated.write.option("partitionOverwriteMode", "dynamic").partitionBy("month").mode("overwrite").parquet(path)
+
+
+def read_contract_months(spark: SparkSession, path: str, since: str | None = None, until: str | None = None,
+                         months: DataFrame | None = None) -> DataFrame:
+    """Contracts of the months `since` to `until`, or of the ``month`` values in a table of `months`.
+
+    Only the folders of these months are read: bounds prune them when the query is planned, a table when it runs.
+    """
+    # The folders' names are text: as numbers they could not be compared with bounds without a cast.
+    schema = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "month" else f for f in schema])
+    frame = spark.read.schema(schema).parquet(path)
+    if since is not None:
+        frame = frame.filter(F.col("month") >= since)
+    if until is not None:
+        frame = frame.filter(F.col("month") <= until)
+    if months is not None:
+        frame = frame.join(F.broadcast(months.select(F.col("month").cast("string")).distinct()), "month", "left_semi")
+    return frame.drop("month")
+
+
 def write_splits(frame: DataFrame, path: str) -> None:
     """Train, test and later-month rows, one folder per value of ``split``."""
     (frame.write.option("partitionOverwriteMode", "dynamic").partitionBy("split").mode("overwrite").parquet(path))

@@ -90,3 +90,57 @@ def test_sample_month(spark):
     assert sample.target.count() == sample.target.select("customer_id", "category").distinct().count()
     mean, std = sample.customers.agg(F.avg("age"), F.stddev("age")).first()
     assert abs(mean - 40) < 3 and abs(std - 10) < 2
+
+
+def _profile_rows(frame):
+    rounded = [F.round(c, 6).alias(c) for c in ("share", "mean", "std")]
+    return sorted(map(tuple, frame.select("column_name", "kind", "value", *rounded).collect()), key=str)
+
+
+def _months(spark):
+    schema = "customer_id long, name string, few int, many double, grows int, day date"
+    make = lambda low, high: [(i, None if i % 5 == 0 else f"n{i % 4}", None if i % 9 == 0 else i % 6, i * 1.5, i % 15 + low % 7,
+                               date(2023, 1 + i % 12, 1 + i % 28)) for i in range(low, high)]
+    return [spark.createDataFrame(make(low, high), schema) for low, high in ((0, 40), (40, 41), (41, 141), (141, 160))]
+
+
+def test_merged_states_equal_the_profile_of_all_rows(spark):
+    months = _months(spark)
+    whole = months[0]
+    for month in months[1:]:
+        whole = whole.unionByName(month)
+    states = [profile.profile_state(month) for month in months]
+    merged = profile.merge_states(profile.merge_states(states[3], states[1]), profile.merge_states(states[0], states[2]))
+    expected = _profile_rows(profile.column_profile(whole))
+    assert _profile_rows(profile.profile_of_state(merged)) == expected
+    assert {r[0] for r in expected if r[1] == "normal"} == {"many", "grows", "day"}  # `grows` is few in each month alone
+
+
+def test_a_state_gives_the_profile_of_its_month(spark):
+    for month in _months(spark)[::2]:
+        assert _profile_rows(profile.profile_of_state(profile.merge_states(profile.profile_state(month)))) == _profile_rows(profile.column_profile(month))
+    assert profile.profile_of_state(profile.merge_states(profile.profile_state(_months(spark)[0].limit(0)))).filter("share IS NOT NULL").count() == 0
+
+
+def test_contract_months(spark, tmp_path):
+    """Only the folders of the wanted months are read, by bounds or by a table of months; a month can be replaced."""
+    from nextpick.sources import files
+    days = [date(2023, m, d) for m in range(1, 13) for d in (1, 15, 28)]
+    frame = spark.createDataFrame([(i, "p", "c", "a", day) for i, day in enumerate(days)],
+                                  "customer_id long, product_code string, product_class string, category string, contract_date date")
+    path = str(tmp_path / "store")
+    files.write_contract_months(frame, path)
+
+    def read(**bounds):
+        found = files.read_contract_months(spark, path, **bounds)
+        return sorted(r.contract_date for r in found.collect()), found
+
+    dates, found = read(since="202306", until="202307")
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert dates == [d for d in days if d.month in (6, 7)] and scan.metrics().apply("numFiles").value() == 2 and "month" not in found.columns
+    assert len(read()[0]) == 36
+    months = spark.createDataFrame([("202302",), ("202302",), ("209901",)], "month string").filter("month > '2'")
+    dates, found = read(months=months)
+    assert dates == [d for d in days if d.month == 2] and "dynamicpruning" in found._jdf.queryExecution().optimizedPlan().toString()
+    files.write_contract_months(frame.filter("customer_id = 0"), path)
+    assert read(until="202302")[0] == [days[0], *[d for d in days if d.month == 2]]
