@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from llm import helpers
+from pyspark.sql import functions as F
 
 from nextpick.llm import bytecnn, language, quality
 
@@ -142,3 +143,13 @@ def test_windows_of_a_snippet_are_a_parameter(spark, monkeypatch, module):
     rows = [("many words of one text " * 100, "a", 0), ("viele Worte eines Textes " * 100, "b", 1)]
     module.fit(spark.createDataFrame(rows, "text string, lang string, quality int"))
     assert seen == [12]
+
+
+def test_copies_do_not_starve_a_language(spark):
+    """A language whose rows are copies of a few texts gives as many snippets as it has texts, or as are wanted."""
+    many = spark.range(80_000).select(F.concat(F.lit("text number "), (F.col("id") % 2_000).cast("string")).alias("text"), F.lit("xx").alias("lang"))
+    few = spark.range(2_000).select(F.concat(F.lit("other words "), F.col("id").cast("string")).alias("text"), F.lit("yy").alias("lang"))
+    found = language.sample(many.unionByName(few), "lang", 600, 10_000, 64)
+    counts = {name: sum(label == name for label, _ in found) for name in ("xx", "yy")}
+    assert counts == {"xx": 600, "yy": 600}
+    assert len(set(found)) == len(found)
