@@ -9,14 +9,20 @@ alone, up to the last @ before the host. Where a base span takes part of such a
 (``&3xyz`` of ``password=Tr0ub4dor&3xyz``) is a span of its own, unless it is punctuation that ends a phrase. Assigned values get the
 same score, which never removes a base span.
 
-The dictionary is WORDS, then words.COMMON, a fixed list of English; a word outside it costs its letters.
-So that prose in any language isn't taken for a secret, what follows a key word after a mere space is a
-candidate only if it isn't made of words alone (PROSE; ``secret garden``), except after ``Bearer``; and after
-``is`` or ``Bearer``, one or two listed words (``is case-sensitive``) are none.
-
-Only offsets and candidate values reach Python, one Arrow batch at a time; the segmentation is
-linear in the value's length. Null text is empty text. Repeated rows and null ids give one result
-row each.
+Pieces of a value, besides single characters: words of the dictionary (letters, or figures and signs in their
+place), three or more equal characters, a block of up to BLOCK characters two to COPIES times, three or more
+neighbouring keys, dates with or without separators. The cost is the least over all cuts into such pieces.
+
+The dictionary is WORDS, the words of public vocabularies, and those that the documents themselves hold
+outside of such contexts (words.counted, a bounded list). So that prose in any language isn't taken for a secret,
+what follows a key word after a mere space is a candidate only if it isn't made of words alone (PROSE;
+``secret garden``), except after ``Bearer``; and one word, or two with - or / between, that read like words
+(words.Speech; ``pin: Hauptbahnhof``) are none after any key word. A passphrase of such words alone is therefore
+found only by the base patterns.
+
+Only offsets and candidate values reach Python, one Arrow batch at a time. Null text is empty text. Repeated
+rows and null ids give one result row each, an empty table none; columns beyond text and `keep` are not looked at,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ import math
 import re
 from bisect import bisect_left
 from collections.abc import Iterable, Iterator, Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import or_
 
 import pyarrow as pa
@@ -34,9 +40,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nextpick.llm import words
 from nextpick.llm.common import table
 from nextpick.llm.spans import find, joined, touches
-from nextpick.llm.words import COMMON
 
 KINDS = ["assign", "access", "hex"]
 PATTERNS = {
@@ -50,8 +56,6 @@ _WORD = r"(?:(?:\p{Lu}[\p{Ll}\p{M}]++){1,3}+|[\p{Ll}\p{M}]++(?:\p{Lu}[\p{Ll}\p{M
 PROSE = rf"""["']?+(?=[^\s"'<>,;]*\p{{L}})[(“‘\[*_]*+{_WORD}(?:[-–—/’.:&+_…|·()、，。]++{_WORD})*+[\p{{P}}*|&&[^"',;]]*+(?=[\s"'<>,;]|$)"""
 CONTEXT = r"""(?i:(?<![A-Za-z0-9])(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?)(?:(?i: *[:=] *| is )| (?!""" + PROSE + r""")|(?<=(?i:bearer)) )["']?[^\s"'<>,;]{6,}+"""
 PREFIX = r"""^(?i:(?:pwd|pass|passphrase|passcode|password|passwd|secret|token|credentials?|api[ _-]?key|private[ _-]?key|access[ _-]?key|bearer|pin)\b["']?(?: *[:=] *| is | )["']?)"""
-#: Contexts in which prose may follow.
-TOLD = r"""^(?i:[a-z _-]+["']? is |bearer["']? )"""
 #: The user and password of a URL; a number at the value's start that ends the authority is a port.
 URL = r"""://[^\s:/@\["<>]*+:(?![0-9]{1,5}[/?#'])(?:[^\s/@"<>]|/(?!/)|@(?=[^\s/@"<>]*+@))++(?=@)"""
 MIN_GUESSES = 8.0  # log10
@@ -67,7 +71,7 @@ strong weak hint policy field manager""".split()
 #: Fixed value: keyboard rows and digit order.
 ROWS = ["qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrstuvwxyz", "qwertzuiop", "azertyuiop"]
 LEET = str.maketrans("4@310$5!7", "aaeiossit")
-LONGEST_WORD = max(map(len, [*WORDS, *COMMON]))
+BLOCK, COPIES = 16, 4
 
 RESULT = "assign array<struct<s:bigint,e:bigint>>, access array<struct<s:bigint,e:bigint>>, " \
          "hex array<struct<s:bigint,e:bigint>>, added array<struct<s:bigint,e:bigint>>, max_guesses double"
@@ -79,7 +83,25 @@ def _neighbours() -> set[str]:
 
 
 _NEXT = _neighbours()
-_RANK = {w: i + 1 for i, w in enumerate([*WORDS, *COMMON])}
+_DAY, _MONTH, _YEAR = "(?:0?[1-9]|[12][0-9]|3[01])", "(?:0?[1-9]|1[0-2])", "(?:19[0-9]{2}|20[0-4][0-9])"
+_DATES = [(re.compile(pattern), math.log10(guesses)) for pattern, guesses in (
+    (_YEAR, 150),
+    (f"{_DAY}{_MONTH}{_YEAR}|{_MONTH}{_DAY}{_YEAR}|{_YEAR}{_MONTH}{_DAY}", 365 * 150),
+    (f"{_DAY}{_MONTH}[0-9][0-9]|{_MONTH}{_DAY}[0-9][0-9]|[0-9][0-9]{_MONTH}{_DAY}", 365 * 100),
+    (rf"{_DAY}([-/.]){_MONTH}\1{_YEAR}|{_MONTH}([-/.]){_DAY}\2{_YEAR}|{_YEAR}([-/.]){_MONTH}\3{_DAY}", 365 * 150 * 4),
+    (rf"{_DAY}([-/.]){_MONTH}\1[0-9][0-9]|{_MONTH}([-/.]){_DAY}\2[0-9][0-9]", 365 * 100 * 4))]
+
+
+@lru_cache(maxsize=1)
+def default_ranks() -> dict[str, int]:
+    """Places of WORDS and the public vocabularies' words in a list of guesses."""
+    return words.ranks([*WORDS, *words.listed()])
+
+
+@lru_cache(maxsize=2)
+def _dictionary(counted: tuple[str, ...]) -> tuple[dict[str, int], words.Speech]:
+    """With the words of a corpus; a worker keeps it for its later tasks."""
+    return words.ranks([*WORDS, *words.listed()], counted), words.Speech(counted)
 
 
 def _symbols(value: str) -> int:
@@ -88,66 +110,93 @@ def _symbols(value: str) -> int:
                + 26 * any(c.isupper() for c in value) + 33 * any(not c.isalnum() for c in value))
 
 
-def _runs(value: str, joins) -> list[int]:
-    """For each end, the start of the maximal run whose neighbouring characters all join."""
-    starts = []
-    for i in range(len(value)):
-        starts.append(starts[-1] if i and joins(value[i - 1], value[i]) else i)
-    return starts
-
-
-def _dates(value: str, end: int) -> Iterator[tuple[int, float]]:
-    """Starts of dates that end at `end`, with their cost."""
-    for size in (4, 6, 8, 10):
-        part = value[end - size:end] if end >= size else ""
-        if size == 4 and part.isdigit() and 1900 <= int(part) <= 2049:
-            yield end - 4, math.log10(150)
-        if size in (6, 8) and part.isdigit() and 1 <= int(part[-2:]) <= 99 and (
-                1 <= int(part[:2]) <= 31 or (size == 8 and part[:2] in ("19", "20"))):
-            yield end - size, math.log10(365 * (100 if size == 6 else 150))
-        if size == 10 and not part[:1].isalpha() and part.replace("-", "/").replace(".", "/").count("/") == 2 and (
-                sum(c.isdigit() for c in part) == 8):
-            yield end - 10, math.log10(365 * 150 * 4)
-
-
-def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation of `value` needs."""
-    if not value:
-        return 0.0
-    low = value.lower()
+@lru_cache(maxsize=4096)
+def _date(part: str) -> float:
+    """Cost of `part` as a date; infinite if it is none."""
+    return min((cost for pattern, cost in _DATES if pattern.fullmatch(part)), default=math.inf)
+
+
+def _word(part: str, low: str, plain: str, ranks: dict[str, int]) -> float:
+    """Cost of `part` as a word of the dictionary; `low` is in lower case, `plain` without figures for letters."""
+    rank = min(ranks.get(low, math.inf), 2 * ranks.get(plain, math.inf) if plain != low else math.inf)
+    if rank == math.inf:
+        return rank
+    upper = sum(c.isupper() for c in part)
+    cased = 1 if not upper else 2 if upper in (1, len(part)) else 2 ** min(upper, len(part) - upper)
+    return math.log10(rank * cased) + 0.3
+
+
+class _Run:
+    """Least of best[start] + log10(end - start) over the starts of a run, for ends in ascending order.
+
+    Once an earlier start is no dearer than a later one it stays so, since the logarithms come closer.
+    """
+
+    def __init__(self) -> None:
+        self.starts: list[tuple[int, float]] = []
+
+    def least(self, start: int, cost: float, end: int) -> float:
+        """With `start` as one more, whose best is `cost`."""
+        kept, least = [], math.inf
+        for s, c in [*self.starts, (start, cost)]:
+            total = c + math.log10(end - s)
+            if total < least:  # a start that an earlier one beats is beaten for good
+                kept.append((s, c))
+                least = total
+        while len(kept) > 1 and kept[-2][1] >= kept[-1][1]:  # dearer even without its longer way
+            del kept[-2]
+        self.starts = kept
+        return least
+
+
+def guess_cost(value: str, ranks: dict[str, int] | None = None) -> float:
+    """log10 of the guesses that the cheapest segmentation of `value` needs; the dictionary gives words their places."""
+    return _cheapest(value, default_ranks() if ranks is None else ranks, math.log10(_symbols(value)), {}) if value else 0.0
+
+
+def _cheapest(value: str, ranks: dict[str, int], per_symbol: float, known: dict[str, float]) -> float:
+    """Cost of `value`, a block of it included, with `per_symbol` for a character; `known` keeps the blocks' costs."""
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in value)
     plain = low.translate(LEET)
-    per_symbol = math.log10(_symbols(value))
-    repeats = _runs(low, lambda a, b: a == b)
-    walks = _runs(low, lambda a, b: a + b in _NEXT)
-    letters = _runs(plain, lambda a, b: "a" <= a <= "z" and "a" <= b <= "z")
-    best = [0.0] + [math.inf] * len(value)
+    best = [0.0]
+    same, walk, letters = _Run(), _Run(), 0
+    same_from = walk_from = 0
     for end in range(1, len(value) + 1):
         cost = best[end - 1] + per_symbol
-        first = repeats[end - 1]
-        if end - first >= 3:
-            cost = min(cost, best[first] + per_symbol + math.log10(end - first))
-        first = walks[end - 1]
-        if end - first >= 3:
-            cost = min(cost, best[first] + math.log10(94) + math.log10(2 * (end - first)))
-        for start, extra in _dates(value, end):
-            cost = min(cost, best[start] + extra)
-        for size in range(2, min(LONGEST_WORD, end - letters[end - 1]) + 1):
+        if end > 1 and low[end - 2] != low[end - 1]:
+            same, same_from = _Run(), end - 1
+        if end > 1 and low[end - 2:end] not in _NEXT:
+            walk, walk_from = _Run(), end - 1
+        if end - same_from >= 3:
+            cost = min(cost, same.least(end - 3, best[end - 3], end) + per_symbol)
+        if end - walk_from >= 3:
+            cost = min(cost, walk.least(end - 3, best[end - 3], end) + math.log10(94 * 2))
+        if value[end - 1].isdigit():
+            for size in range(4, min(10, end) + 1):
+                cost = min(cost, best[end - size] + _date(value[end - size:end]))
+        letters = letters + 1 if plain[end - 1].isalpha() else 0
+        for size in range(2, min(words.LONGEST, letters) + 1):
             start = end - size
-            rank = _RANK.get(plain[start:end])
-            if rank:
-                factor = 1 if low[start:end] == plain[start:end] else 2
-                upper = sum(c.isupper() for c in value[start:end])
-                cased = 1 if not upper else 2 if upper in (1, size) else 2 ** min(upper, size - upper)
-                cost = min(cost, best[start] + math.log10(rank * factor * cased) + 0.3)
-        best[end] = cost
+            if plain[start:end] in ranks or low[start:end] in ranks:
+                cost = min(cost, best[start] + _word(value[start:end], low[start:end], plain[start:end], ranks))
+        for size in range(2, min(BLOCK, end // 2) + 1):
+            if value[end - 1] != value[end - 1 - size]:
+                continue
+            block, copies = value[end - size:end], 2
+            while copies <= COPIES and copies * size <= end and value[end - copies * size:end - (copies - 1) * size] == block:
+                if block not in known:
+                    known[block] = _cheapest(block, ranks, per_symbol, known)
+                cost = min(cost, best[end - copies * size] + known[block] + math.log10(copies))
+                copies += 1
+        best.append(cost)
     return best[-1]
 
 
-def _listed(value: str) -> bool:
-    """Whether `value` is a word of the dictionary, or two with - or / between; any word of up to three letters will do."""
-    words = re.split("[-/]", value.strip(".:!?*_…”’"))
-    return len(words) <= 2 and all(w.isalpha() and (w.islower() or w.istitle() or w.isupper()) and (
-        len(w) <= 3 or w.lower() in _RANK) for w in words)
+def _listed(value: str, ranks: dict[str, int], speech: words.Speech) -> bool:
+    """Whether `value` is a word, or two with - or / between, in a usual case; any word of up to three letters will do."""
+    parts = re.split("[-/]", value.strip(".:!?*_…”’"))
+    return len(parts) <= 2 and all(w.isalpha() and (w.islower() or w.istitle() or w.isupper()) and (
+        w.lower() in ranks or speech.reads_well(w)) for w in parts)
 
 
 def _merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -170,18 +219,19 @@ def _left(x: dict, base: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
         at = max(at, e)
 
 
-def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _score(batches: Iterator[pa.RecordBatch], counted: list[str]) -> Iterator[pa.RecordBatch]:
+    ranks, speech = _dictionary(tuple(counted))
     pair = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
     for batch in batches:
         added, most = [], []
         for i, (open_ones, assigned) in enumerate(zip(batch.column("open").to_pylist(), batch.column("values").to_pylist(), strict=True)):
-            costs = [guess_cost(v) for v in assigned or ()]
+            costs = [guess_cost(v, ranks) for v in assigned or ()]
             taken, base = [], None
             for x in sorted(open_ones or (), key=lambda x: x["s"]):
                 if x["hit"] and base is None:
                     base = _merged((y["s"], y["e"]) for k in KINDS for y in batch.column(k)[i].as_py() or ())
                 parts = list(_left(x, base)) if x["hit"] else [(x["s"], x["e"])]
-                cost = 0.0 if not parts or (x["told"] and _listed(x["v"])) else guess_cost(x["v"])
+                cost = 0.0 if not parts or (x["told"] and _listed(x["v"], ranks, speech)) else guess_cost(x["v"], ranks)
                 if cost >= MIN_GUESSES:
                     costs.append(cost)
                     for s, e in parts:
@@ -213,7 +263,7 @@ def _pairs(spans: Column) -> Column:
 def _candidates(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
     """`keep` columns, the base spans, and what Python scores: open candidates and assigned values."""
     rows = docs.select(*keep, F.coalesce("text", F.lit("")).alias("_text"))
-    found = find(rows, "_text", PATTERNS | {"context": CONTEXT, "url": URL}).drop("_text")
+    found = find(rows, "_text", PATTERNS | {"context": CONTEXT, "url": URL}, rare=True).drop("_text")
     found = found.withColumns({
         "assign": F.filter("assign", lambda m: F.length(_value(m["v"])) >= 6),
         "access": F.filter("access", lambda m: F.length(m["v"]) >= 20)})
@@ -225,7 +275,7 @@ def _candidates(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
 
     def in_context(m: Column) -> Column:
         value = F.regexp_replace(m["v"], PREFIX, "")
-        return candidate(m["s"], m["e"], value, F.rtrim(value, F.lit(".)]}")), m["v"].rlike(TOLD))
+        return candidate(m["s"], m["e"], value, F.rtrim(value, F.lit(".)]}")), F.lit(True))
 
     def in_url(m: Column) -> Column:
         value = _after_user(m["v"])
@@ -237,23 +287,29 @@ def _candidates(docs: DataFrame, keep: Sequence[str]) -> DataFrame:
                         F.transform("assign", lambda m: _value(m["v"])).alias("values"))
 
 
-def find_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """`keep` columns, assign, access, hex, added (arrays of s, e) and the highest guess cost, per row of `docs`."""
+def find_secrets(docs: DataFrame, keep: Sequence[str] = ("doc_id",), counted: list[str] | None = None) -> DataFrame:
+    """`keep` columns, assign, access, hex, added (arrays of s, e) and the highest guess cost, per row of `docs`.
+
+    `counted` are the words of the corpus, most frequent first; if none are given they are counted in `docs`.
+    """
+    counted = words.counted(docs) if counted is None else counted
     schema = T.StructType([*docs.select(*keep).schema.fields, *T.StructType.fromDDL(RESULT).fields])
-    return _candidates(docs, keep).mapInArrow(_score, schema)
+    return _candidates(docs, keep).mapInArrow(lambda batches: _score(batches, counted), schema)
 
 
 def _structs(name: str, kind: int) -> Column:
     return F.transform(name, lambda m: F.struct(m["s"].alias("s"), F.lit(kind).alias("k"), m["e"].alias("e")))
 
 
-def redact(docs: DataFrame, keep: Sequence[str], mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, keep: Sequence[str], mark: str = "[SECRET]", counted: list[str] | None = None) -> DataFrame:
     """`keep` columns (with text) and n_secrets, per row of `docs`: every secret in text is replaced by `mark`.
 
-    The text is cut in the batch that scores it, so that a task needs one Python worker only.
+    The text is cut in the batch that scores it, so that a task needs one Python worker only. `counted` as in `find_secrets`.
     """
+    counted = words.counted(docs) if counted is None else counted
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _score(batches):
+        for batch in _score(batches, counted):
             spans = [sorted((x["s"], x["e"]) for own in row for x in own)
                      for row in zip(*(batch.column(k).to_pylist() for k in (*KINDS, "added")), strict=True)]
             texts, hit = batch.column("text"), pa.array([bool(own) for own in spans], pa.bool_())

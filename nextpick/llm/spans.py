@@ -15,15 +15,23 @@ from pyspark.sql import functions as F
 STEP = 64  # lengths are summed in runs of so many, so that many matches in a text stay cheap
 
 
-def find(frame: DataFrame, text: str, patterns: dict[str, str], context: int = 0) -> DataFrame:
+def find(frame: DataFrame, text: str, patterns: dict[str, str], context: int = 0, rare: bool = False) -> DataFrame:
     """Add a column per pattern: an array of matches (s, e, v, left, right).
 
     s and e are code points, e exclusive; left and right hold up to `context` characters
-    between this match and the neighbouring ones. Text must not be null.
+    between this match and the neighbouring ones. Text must not be null. If most texts hold no
+    match, `rare` matches them once instead of twice.
     """
     hits, gaps, lengths, runs = ({name: f"_{part}_{name}" for name in patterns} for part in ("hits", "gaps", "lengths", "runs"))
-    frame = frame.withColumns({gaps[name]: F.split(text, pattern, -1) for name, pattern in patterns.items()} | {
-        hits[name]: F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)) for name, pattern in patterns.items()})
+    there = {name: f"_there_{name}" for name in patterns if rare}
+    frame = frame.withColumns({there[name]: F.col(text).rlike(patterns[name]) for name in there})
+
+    def found(name: str, some: Column, none: Column) -> Column:
+        return F.when(F.col(there[name]), some).otherwise(none) if rare else some
+
+    frame = frame.withColumns({gaps[name]: found(name, F.split(text, pattern, -1), F.array(text)) for name, pattern in patterns.items()} | {
+        hits[name]: found(name, F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0)), F.array().cast("array<string>"))
+        for name, pattern in patterns.items()}).drop(*there.values())
     frame = frame.withColumns({lengths[name]: F.zip_with(hits[name], gaps[name], lambda v, g: (
         F.coalesce(F.char_length(v), F.lit(0)) + F.char_length(g)).cast("bigint")) for name in patterns})
     frame = frame.withColumns({runs[name]: _run_starts(F.col(lengths[name])) for name in patterns})

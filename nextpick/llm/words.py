@@ -1,1259 +1,106 @@
-"""Fixed value: 17969 words of 4 to 16 letters that occur in two or more files of English software documentation
-(comments and docstrings of the Python library, package notes, manuals), by number of files, most first."""
+"""Words that passwords and prose are made of: those of public vocabularies and those that a corpus counts.
 
-COMMON = """should used more https without list copy code under same either using object http type return version function must case does
-copyright software information error following specific check class need license values given files module details found here
-where documentation since each before both instead names such been support distributed except different above result text method
-source line input call output provided implied option empty otherwise single additional part order contains path specified
-functions always modify returns argument including available writing current language types called tests objects uses sure already
-create being later import ignore package original possible useful format between exception passed implementation included defined
-multiple obtain index arguments instance change read include raise avoid still while based works cannot free through versions
-written cases strings added match express last library valid optional returned whether applicable form created directory those
-binary expected permissions allow array were methods message needed rights full system long compliance self start write point
-systems terms else means below supported another removed directly limitations options size complete associated standard containing
-errors handle itself done integer notice special generated process licenses many invalid conditions length program agreed command
-right issue tuple variable copies subject changes mode parameter running behavior governing ensure attribute results next
-regarding find made existing calls might permission ownership along within merge contain fail common necessary once remove during
-correct explicitly makes distribution least testing correctly allowed against currently reference contributor bytes build float
-unless reserved setting agreements apply missing second appear keep memory state table provide level local lines automatically
-script never various distribute present characters interface built actually corresponding left changed allows context raised needs
-configuration python received calling dict longer base header require granted release until prior includes internal document
-sequence bool equivalent attributes link warning provides public zero compatibility users purpose related open similar character
-deal section cause environment fails parameters dtype extra future keys something buffer requires simple ignored rather every
-hereby around keyword debian exist previous fixed note elements redistribute times classes column large shall contents actual
-exists team very handling raises lists modules noqa variables modified separate takes update limitation published deprecated
-element entry block warranty encoding anything equal convert operation better less range place specify known body custom usage
-help main checking matching passing inside matches failed particular instances nothing named boolean content dictionary whose
-display resulting show style initial restriction normal numbers appropriate control hope operations paths exceptions flag columns
-generate override args others updates working side prefix skip converted person three supports portions target again checks
-outside parse things define loop sell small though underlying adding contained explicit permitted fields real defaults entire
-location updated considered logic cache numpy able representation derived tree close limit obtaining items publish permit
-modification performance certain node creating print replace addition event implemented much substantial charge title issues item
-sets entries expression extension whole property enough global installed messages relative request info attempt page stored whom
-gets gives parsing wrong depending properly forms repository making unique general maximum persons mapping parent report exactly
-contributors project retain constructor failure promote sublicense prevent furnished returning shared space address func assert
-reading references cover protocol starting compatible break position pygments byte effect having implement pattern scalar features
-regular handled applied produce arrays conversion listed subclass really multi taken core count exit follow doing stream date
-enabled model replaced reproduce double platform reason syntax checked domain treated meta feature individual ones comment accept
-points branch runtime structure closed filename install negative definition further comparison several assume store intended
-problem search status recent stack integers nested behaviour description send enable immediately previously const param tuples
-collection application execution numeric perform thread described determine namespace together compiled fixes packages stop kind
-preserved config series clear short split trailing group marked pandas best usually applications parts clean disclaimer filter
-offset platforms probably sort representing applies final head indicate happen properties broken happens likely according
-arbitrary compiler inputs load connection disabled warnings across consistent down fast leading processing bound compare html
-metadata older signature callback earlier runs expect beginning creates cast fully alias helper possibly examples however simply
-larger active random hash implementations parsed authors parser statement attr rest label mechanism third author limited lower
-rules directories disable exact follows important libraries requested commit upon functionality products shape catch assignment
-copied pair verify complex handles please pragma char everything internally remaining algorithm difference external supporting
-static followed starts dtypes greater wrapper security thing advertising executable frame handler basic changing direct encoded
-going minor notes versionadded flags generic represents relevant development occurs bugs callable client comments preserve accepts
-headers manually operator problems trying safe extensions minimum scripts compile materials unknown seconds causes datetime
-subclasses consider console creation condition proper purposes depends recommended unicode commands indices occur tools refer
-specification supplied switch diff iterator subsequent void ways auto child endorse step accepted mean reported absolute incorrect
-getting loaded represent track duplicate released requests tested therefore turn engine continue iterable manual sources total
-adds detect pointer specifies trigger window bits documented generally programs scope span generator higher identical move port
-started threads embedded formats private appears blocks incompatible rows compute indicating sorted throw execute force ndarray
-sent debugging faster indicates kwargs produced struct temporary wrap construct designed fall member product remote delete
-imported meaning ends lookup whitespace building desired invoked links response specifying thus hold releases summary caller
-executed hook licensed mixed reduce choose constant receive socket affect mark registered regression width processes native
-typically upstream identifier precision save account sign descriptor omitted words backward builtin early incorrectly moved
-overflow tracking assumed caused codes easier events sense expressions kept often operating optionally pairs strict fill
-modifications validation view machine spaces comes crash origin reports specifically stdout tool alternative assigned rule
-settings tell unsigned wrapped become requirements combination introduced treat configured forward interpreted leave patch resolve
-shows backwards experimental hidden keywords plain share twice exclude gmail host iteration looks extended high positive
-resolution respect choice encodings loading debug seen taking validate archive components floating imports obtained sometimes
-suite wait depend matter normally covered legacy represented session timeout amount literal easy formatting hard labels places
-record semantics signal stderr undefined initialized responsible slice color preferred sale performed determined mask potentially
-remain terminate away guaranteed levels suitable anyway cached copying deleted fallback font reasons stable action dependencies
-drop looking partial reads configure downloaded query resolved word especially patches ever regardless skipped authorization
-ensures implements spec subset thrown axis hooks maintained overridden positional becomes notices quite removing shown slow
-themselves allowing fine providing readable rely setup tags visible cross emit inherit kernel little meant shell unit printed
-decimal held retained reuse timestamp defines history margin escape sequences smaller export independent push resources select
-conflict constants initialization placed produces accessed computed converting floats optimization optimized passes plus register
-initialize latter necessarily processed refers restrictions care extract fetch neither network padding append goes installation
-latest tries dynamic formatted ints newline resource respectively template deprecation replacement assign generation languages
-nodes regex selected signed terminal completely docs insert paragraph writes aliases completion failing groups interpreter init
-ordered stuff applying chain cleanup convenience front approach async compared indicated ordering restore reverse round speed
-union holds lost seems unnecessary warn yield bounds builds chunk detail requirement success compilation garbage minimal operators
-scheme symbols behave comparing freely graph recursive repeated binaries legal reasonable representations major maybe remains
-silently blank dependency failures filesystem newer patterns successfully triggered term unchanged world affected fact implicit
-mostly scalars unused closing database four outputs programming records separator attached bindings component distributions maps
-past storage callbacks entirely lead linked merges priority statements timezone documents extend lambda accessing causing describe
-prepare schema utility accessible clone doctest home period royalty sizes slightly suffix symbolic whenever among assumes chosen
-docstring parallel practice proxy reporting successful differ emitted enables indexing infer members offsets sending separately
-begin commits inner located raising removes steps buffers comparisons detected submodule attempts generates mapped overrides post
-quotes usual vector differences primary strategy compression disk excluding indexes progress selection service alter dependent
-finished generating leak potential prepared propagate unexpected duplicated hence instructions locale mypy opened saved site
-windows anyone appended background clearly combined easily giving implementing params publicity almost comma connect extent
-infinite keeps pull significant unsupported variant combine constructed definitions family interval repr wish wrapping wrote
-construction corrected cycle filled improved normalized recursively supposed addresses combinations derivative discussion equality
-matched rename separated stdlib casting claim decode digits installing middle projects reached allocated backend breaks
-consistency dropped guarantee human implicitly maintain newly streams strictly symbol throws verbatim categories checkout
-developed expects grant improve stdio terminated coverage dynamically efficient finally inline reject rejected subdirectory trace
-aware decoder developers mentioned pages pertaining queue abort button days decide identify originally overhead party portion
-pytest stdin truncated upper worker completed material meth optimize ready duplicates encode inspect pyarrow unlike although
-converts decoding edge elsewhere importing inferred pipe pretty showing structures transfer workaround basis boundary distinct
-inference mailing sorting strip wants anymore avoids children excluded incomplete interactive internals join power receiving refs
-assuming collected counts descriptors detailed differently outer routines tokens altered architecture attempting careful category
-chunks commercial identified interfaces transform tried utilities argv beyond dates defer handlers inherited macro modern notation
-opening overwrite pointers prints quoted situation usable waiting abstract dealings merged occurred preference stopped alone
-calculate decorator depth effective intermediate recursion tracker turns clause coding corner dimension direction duration
-evaluated invoke virtual writable calculated evaluation exposed pool printing stability collect exported hand idea layout lengths
-pack authentication connections dataframe finish keeping misc binding confused ignoring sufficient agreement bare displayed grants
-impossible packaging pending precedence presence suppress theme white adjust alignment alternate arising behaves branches
-detection expressed half locations risk runner safely storing traceback align encountered identity interpret normalize prompt
-satisfy transport versionchanged zeros asked caching computer corresponds expensive filenames identifiers json quote trivial
-breaking connected crypto damages deep executing expose guess involved issued letter manner says segfault stores decoded download
-enum loader management performs referenced renamed retrieve typing await batch cost describes licensing limits mistake operate
-removal specifier stated task transformation worked allocation compat declared ending exercise liable nice omit onto replacing
-translate triggers understand center conflicts controls edit governed hack holder hostname inserted libxslt loss models pieces
-prefer reflect subprocess alive attention chars describing device finding magic particularly states translation warranties ability
-caught course declaration evaluate explain freq image logical pickle rebase recognized replaces shutdown solution someone soon
-tables ambiguous computation editor escaped globals maintainers moving overriding thereof cleaned compiling controlled correctness
-dealing dedicated effort environments exclusive literals matrix noted pick shift updating categorical defining destination
-expanded frames locally logging performing race receives redhat requiring succeed tbody unlimited accuracy browser certificate
-collections debianized delay dimensions implies improvements lazy lock marker modifying portable pure turned unmodified zlib
-assertion broadcast consists distinguish expand instruction iterate promise protection said sections verbose aligned annotations
-differs lack medium pyspark recently registry repeat revision timedelta vary asynchronous design determines enforce eventually
-extracted framework linux marks meaningful production responsibility addons axes cleared computing dataset honor kinds machinery
-milliseconds positions question solely targets actions begins bind compilers effects exports herein learned primarily statistics
-tasks worth years accurate affects arithmetic circular container factory ignores mismatch remainder retrieved seem serialized
-startup typed util allocate automatic channel constructs consume convention diagnostic endif figure helpers increase invocation
-largest organization perhaps protect spark submodules told underline acceptable algorithms coerce compressed destroyed dicts flush
-increasing linking serialization structured trademark convenient copyrighted correspond exits helps lexer linear machines managed
-math modes official preserves prevents printf producing shallow builtins calculation capture constructors deemed determining eval
-highlight libstdc macros resolving sockets sync templates timestamps appropriately benefit canonical grep leaving manage obsolete
-partially plainly reader respective signals termination translated contexts entity guarantees hide leaks misrepresented numerical
-units whereas yields advantage chance colors contact explanation fixture flow inherits light minutes plugin redundant reused
-servers wraps dark effectively equals fewer flat frequency hardware intact maintenance naming newlines offer processor relies
-sparse threshold unnecessarily achieve annotation behind colon combining directive discard enforced filling heap inplace payload
-pointing scale slash smallest symlink tells temporarily variants appreciated fork huge overlap pathname possibility skipping
-styles acknowledgment attempted complicated corrupt declare filters identifying inconsistent indirect loops mainly repositories
-shorter visited adjusted aggregate argc attach backslash confusing distributing helpful mail owner rewrite sanity signatures
-square stylesheet transformed unconditionally username additions conditional consumed hierarchy listener perl simpler simplify
-situations stops symlinks unavailable writer accordingly counter cycles factor generators highest incorporated percent similarly
-truncate verification area ascii asking blob constructing discarded dual embedder fashion filtering fixing glibc immutable imply
-indentation interesting naive prefers recorded sensitive separators splitting typical alpha claims covers dictionaries gzip
-inclusive indent knows leaves opposed overwritten parties procedure rare reversed somewhat somewhere streaming succeeds appending
-blocking boundaries holding linker malformed nature near piece prefixed reach recommend reduction rewritten sends stat analysis
-answer arrow authorized bottom contributed contributions echo executables existence formatter friends gave guide happened impact
-indicator integration layer lets letters namespaces pointed preceding pseudo publicly reasonably reliable render routine slower
-transition unspecified average carry concept consecutive continues indexed lowercase mock offered ranges seed slices stripped
-ubuntu weights worldwide business coerced ensuring holders instantiated lose prefixes restrict standards unlikely circumstances
-constraints copyrights counting dummy dump emits fatal folder former groupby initially inverse packed phase prohibited prototype
-restricted unsafe weight zone belong choices compliant contiguous contrast dead errno experience interaction nearest spawn
-synchronous views wanted wide buffered communication constraint conversions deleting division hashable incoming instantiation
-invoking month parentheses parsers patent reduced retry technically underscore visibility weird aria assembler digit falls
-historical independently loose moment occurrence openssl plan problematic quick searching suitability theory upgrade vectors
-acknowledge broke candidate cherry clients codepath commonly couple entirety goal interest markers media mentioning obvious offers
-protocols responses robust throughout unset aborted adapted architectures book browsers declarations exceed foreign guard
-insensitive intent introduce lazily leads ordinary pickling promises registers rounding sharing simplified acknowledgement
-alternatives came compact crashes decision destroy escapes flexible hints individually initializer iterating marking permissive
-schemes secure snapshot substitute subtype tracing translations wheel bogus concrete configurable entities forces height insertion
-involving optimizations partition precise provisions quickly rejects singleton upload validated website belongs brackets complain
-confusion cursor ended exited finds indented intentionally listen merely merging online persistent pipeline propagated quoting
-redirected segment tensor understood vars acts closes concatenated concerning contract delta detached enabling epoch essentially
-formed hashes immediate lxml maintaining maintains profile respects scan unix unrelated week comply configurations filtered
-fragment mappings mutate paragraphs questions referred saving scheduled suggested training trees uninitialized validity wrappers
-accidentally analogous annotated anywhere assumption bash buffering consistently directives dispatch exec illegal looked masked
-modifies overflows recognize relying slicing absence advanced agree bundled community consequences decorated discovered exceeds
-exiting forgot interested lowest mechanisms mutable primitive rank readline serialize serve significantly specifiers tabs unable
-unittest bases behalf conform customize fairly fetching gone great localhost normalization nullable propagation relatively selects
-services splits stay temp timer traditional undocumented certificates concurrent consult continuation debugger engines functional
-indexer listing meet regexp reliably repeatedly specifications stale threading timing workers accepting caches capability disables
-disallow divide emitting enhanced expansion exposes foregoing frozen gencodec gtoc locals missed observed occurrences procedures
-pylint sentinel supply swap underscores unpack anonymous backport cancel casts closest compress despite dont highlighting
-initializing installs liability lots misleading parses pathspec preserving queries redirect resolves sentence shapes sides
-surrogate taught treats aggregation anchor assertions brief closely cluster communicate concatenation consisting conventions
-datetimes disallowed drive fake feed fits flaky grammar grouped hover incorporate interchange listening live ought parents sans
-specially strongly talk variety widget ahead attrs believe bother displays dotted extends favor jump lookups measure microseconds
-notify operates physical populated ports provider proxies redistributed redistribution relationship review shares trust
-unreachable uppercase worry advance approximate atomic callers captured cert commas compares consist delimiter draft eliminate
-fetched finite forget freed gracefully issuecomment leaked malloc mandatory mess minus nesting partitions puts screen shortcut
-touch yourself accesses auth avoided bring collecting coming corruption encouraged forced goto hang ideal laws libffi maintainer
-merchantability mutated nans provision quiet scenario showed stating subcommand subdirectories unstable afterwards basically
-bitmap bypass cols continuous detecting doko draw encoder eslint established falling five handful inform inheritance inject learn
-maint purely satisfied suggestions tracked trick tricky truncation unpacking vice wildcard abstraction accordance attacks blocked
-chained claimed coercion completes constitutes difficult disabling entered escaping exponent fitness flattened forbid fraction
-grouping interfere loads mind multiline ndarrays operand overall overview owned periods portability predicate roughly
-simultaneously stats straight technical towards useless variance achieved agrees booleans bootstrap descriptions deterministic
-enter expecting fold globally instantiate iterations iterators kwarg nbsp pathnames peer qualified recipients registration
-remember samples smart sorts stage submit trade adjacent ascending bunch bundle carefully descending digest estimate extremely
-glob gnome hour inclusion increment indirectly matters perpetual recurse revert segments terminates tick transforms triggering
-uncaught verifying adapt archives arise assignments asynchronously clang collector dots evaluates fresh github hours hppa
-inserting integrated interact kill libc opaque placeholder prepackaged pushed resolver saying searched seek selecting suggest
-survive tracks trusted ufunc verified accessor additionally assigning beta blockquote chaining confirm continuing essential
-explained forever hypothesis irrelevant logged overwriting parametrized presented probability pushing refuse serves stash suse
-timed unhandled apparently buggy conjunction deadlock driver drops editing extending externally ifdef instantiating integrity
-joined knowledge late lifetime managing martin mirror multiplication nanoseconds opposite populate reflog rejection reshape slot
-spawned spelling substring thought timers trademarks bold clearing computes consumption contribute deferred deletion docstrings
-doubt exchange exporting forbidden fractional importlib infringement intellectual interpolation listeners mismatched natural opens
-operands ourselves predefined preload recover reserves restored roundtrip scoped subclassing validator went availability backed
-bias charset classmethod coordinates entitled expressly focus folding hexadecimal hopefully integral mention moves nowrap owns
-policies prominent proto pyright referring refused seeing sequential simulate sized super surprising symmetric tagged tarball
-throwing traces whitespaces activated ancestor approved border calculating chunked closure comp complexity concat concatenate
-conflicting contributing convey counted criteria dash dataclass delimited deprecate developer drawing elif encourage evaluating
-excludes gain heuristic identifies inspection intervals invokes libuv markup menu minimize mutually nonzero pager personal
-proprietary recipient recommendation regard sampling sessions snippet strange tempfile transferred unaffected uncompressed
-untracked violation warns acceptance agent bump cancelled candidates clarified clock codepaths complement consuming dpkg
-exercising gained increases interrupted iterables jurisdiction metaclass minute mkdir obviously omitting onnx positives profiling
-rarely reachable reduces scientific sensible shorthand signs simplest spurious transpose typedef unusual visit vulnerability
-vulnerable worktree absent authorship calculations changelog codec conforms connecting cores dropping duplication efficiency
-encryption falsy hardcoded infinity ings introduces invocations metrics modifiers nodejs outstanding overloaded plugins randomly
-regressions resulted safer shipped slashes spawning standalone subtle terminating textual transformations upcast urls vertical
-widely accompanying addressed appearance batches cancellation containers delegate discussed efficiently everywhere exceeded
-executes fills forcing hosts incurred integrate introspection invalidate iterated locate manipulation pickled play prepended
-proceed reflected registering restrictive revisions scenarios setuptools sufficiently synchronously torch wire bracket
-broadcasting bytecode cell cleaning datatype decreasing deviation endian exhausted existed frequently highlighted hits inspecting
-jobs labeled lacks libexslt life logger logs neighboring nulls oblique okay perf prepend preventing region relating reorder resume
-revised safety segfaulted sole strategies successors tail timezones trim unclear validating accumulated assigns asyncio avoiding
-backslashes builder concerns consequential converter courtesan customized desirable detects developing domains emulation
-expectation filesystems identically idle interpretation intersection invariant irrevocable lexical notable overlapping preparation
-prerequisite punctuation pydantic referencing renaming repl repo rich selector serif setter shrink statically treatment trouble
-turning typeof typo ufuncs universal worse acting aliased channels clarify cloned conforming databases defects deletes demand
-discouraged downstream emulate expanding greatest hardening heading images improvement incidental indeed measures obligation
-overload packfile porting quality rate reaches rebuild rendered reproduced scaling scopes singular specialized straightforward
-stricter subsequently thanks timeouts traversal varies verifies versus acknowledges allocator ambiguity apart astype benchmark
-breakage brought capturing cells cipher cloning compiles derivatives descriptive devices distance drawn fault flaws happening
-happy imaginary individuals infrastructure java killed managers monotonic nonexistent nonsense outdated parallelism precisely
-pretend rendering resets respected revoked schedule scheduling structs substitution successor suppressed trailer transparent
-treating triple understands unenforceable versa waived wiki ancient attacker baseline basename braces cleanly considering
-consumers continued cpan ctypes daemon designated diagnostics dist endings equally finishes fixtures foreach impose intrinsics
-namely octal omission patents posix precompiled principle refactor rounded scanning seeking segfaults semi snapshots stripping
-subcommands subsystem tied watch xref yielding accommodate acquiring alongside analyze approximately arbitrarily bail blame
-catching commented configuring consideration constitute critical decided distinction dumb electronic encodes encrypted extraction
-extras formatters freedesktop getter gnat handshake ifndef indication inspector instanceof lineno localized mimic misbehaved mixin
-modifier months mutating narrow notified patched permits publication putting rationale readonly reconstruct silent sites skips
-succeeded talking tensors unpacked unwanted violate vulnerabilities wherever accessors advice allocating appends assumptions black
-choosing classified collision confuse consumes credential credits datetimelike delimiters diagnosed disclaims discuss downloading
-edges everyone facility fees floor hashing heavily identification manipulate modulo ndim packfiles pathlib promotion queued
-relation relied representable requesting respond rolling semantic silence subtraction superclass surrounding texts unbounded
-unwrap wording yahoo behaviors bigger bins board composed controlling coroutine credit cryptographic deals dest distutils
-endianness establish extensive fancy finalization flatten freeing friendly functools guidelines handy hierarchical highly imap
-initializers interoperability involves jurisdictions launched literally majority manpage measured median migrate miss mistakenly
-multiply nobody owners pipes practical preceded primitives qualifier refactoring refresh reproducible retries saves searches sees
-sleep somehow spacing stand subtract suit ticket typofixes unified validators variations violates autoconf belonging bools
-callables coefficients compound conflicted consumer dangling defaulting dense dialog displaying distributes elapsed eliminating
-encounter examine explaining extraneous fair flushed forwarded harder hunk imposed incompatibility increased interacting involve
-joining lies logo malicious masks mismatches nullptr opts orphan packaged packet performant permanently pushes quantized ratio
-redirects reordering room sake sane score spent stacktrace stringify superset titles todo tolerance treaty unneeded upcoming
-weakref whatsoever wider workflow xsltproc activate addon affecting alphabetical backends benefits bitwise capabilities catches
-chains closer cope countries cygnus damage dataclasses decimals declaring deliberately deps derive destructor disclaimers
-distinguishing efforts eric excess exhaustion feedback footer fragments illustrates informational inspired leftover lexers locked
-membership needing quantile querying recreate reducing reimplemented satisfies scott serial simplicity slots smoke speedup stands
-targeted technique technology tends took tweak tzinfo ugly unbound absolutely advised appeared clears codebase combines
-comprehensive counterpart dashes deeply definitely dgram discover discovery embedding encounters endpoint enhancements equivalents
-exclusively expr forth growing heard heavy htest indexers inefficient informative inheriting inspected intend introducing itemsize
-latency locks longest manages matplotlib mouse mtime numbered optimizer outcome overwrites penalty persist plot predictable
-principal programmer prompts qualify readability redirection refactored resetting scipy setitem sliced solve spelled statutory
-stopping stray subroutine swapped switches synonym transferring transforming unary unusable waits whichever affiliates aspect
-assist attack backing capable carries casing clarity company converters corrupted crashing cython denote dirname enforceable
-excessive exclusion extracting government green grid horizontal ideally incremental internet intrinsic kernels keyed lemburg
-loaders losing microsecond mirrors mishandled obligations outlined pobox powers prime protecting queues reformed resize retrying
-rewriting role rtype simon subgraph superproject teardown threaded tium transposed truncating unfortunately unlink unreliable
-validates waives walk writeable accidental acquire alleging allocations alphabetically amended arrangement asks bandwidth
-bytearray caution classification collaborators curl deprecations embed emulated endorsement fifthhorseman fourth fusion getitem
-gitweb grow guides incremented interrupt launch libgnat libgomp matrices micro mixing multilib notably optimal pairwise
-parenthesis parquet prevented prohibits proposed repeats replacements responsibilities scratch sheet smashing solid suffixes
-targeting topic translates uniform unordered unpickling utils varying volume whoever activity advertise announcement artifacts
-aspects awful becoming blobs breach calendar catalog certs concurrently constrained contribution convertible counterclaim ctxt
-decisions decorators dialect dimensional doctests edited entering expands expectations forked frequencies implications
-inadvertently leap limiting lint namedtuple news orders outcomes placing poorly ported prediction prune regions responded restart
-restores secondary ship shrinking speaking suboptimal subscribe subscript suites tracebacks trimmed truth unconditional vendor
-walking wheels aborting artistic attribution backported became besides caveats ciphers classic collaborator comparable considers
-construed contrary cookie costs cyclic daniel datasets dateutil decompress decompression delivered diffs dirty disconnected dropna
-enclosed endpoints exposing factors fonts freeze fulfilled fundamental getters govern histogram importable improves injection
-introduction isolate licensee lightweight mutation nanosecond ordinal padded paper planned polynomial predictions programmatically
-reliability reload replay reproducing reusable reverted revise separating serializer shebang skipna summarized switched switching
-telling transmission trip undef unequal upgrading verbosity volatile actively alternatively andreas arch associate benchmarks
-bigint blanks blue bulk checkers clauses coefficient conditionally consequence contrib correlation court david decomposition
-degrees discrete enclosing enumerable exponential fixup fused gaps honored incorporates initializes interpreters isolated
-likelihood lives masking midnight national natively nicolas occurring oldest outgoing partitioning pools prepares promoted
-querystring reasoning recommendations retains roots spaced spam spread stub stuck thru tooling toolkit totally transformers
-tutorial umask unaltered undo unrecognized urllib violated weighted yielded abbreviated abbreviation accumulate adjustment
-allowable apps believed beneficial bounded casted certainly codecs codename collapse committed conf considerations consolidate
-cumulative customization dangerous denotes driven eager executor folders goals impl intercept leaking litigation locales lone
-losses magnitude mitigate multipart overly partitioned pause percentile permissible phrase picked practices preprocessing
-prereleases providers reductions refcount reindex renderable reputation scaled serializing shifted shim shut soft sound stays
-strides suggestion transmit uniformly visual zones abandoned aggregates alumni amounts anchors annotate approximation asserting
-bidirectional canceled carried central charts checker christian cleanups coded collisions completeness conformance consolidated
-coordinate curve deeper degree delayed demonstrate descendant deserialized disclaimed disconnect drivers facilities feel
-flexibility gnupg hereunder ideas infringed insecure inserts inst italic iterates land lang letting memoryview minimizes mistakes
-notification observation observations octets parity percentage plotting popular profiler prohibit proposal quantization refuses
-serializable shuffle subclassed summaries synchronization syscall thin thousands topics transaction transferable transitions typos
-unborn uncommon unhashable unify unintended upgrades valgrind vectorized wildcards zipfile alert apache article associating badly
-bootstrapping bytestring clarification correction decides decodes decrypt deliver deserialization dispatched distributors
-facilitate filepath fired formerly forwards gettext grab idempotent inconsistency indemnity institute isolation lifted localize
-manifest mapper markdown multidimensional multiples naturally negligence noticed numerous packs possibilities printable prog reply
-retrieval retrieving rightmost sanitizer sorry spell stateful styling supertype terminology trailers traverse tuning variation
-wins adopted analyzing areas backticks bisect clearer clicking coerces coercing composite composition conn copyleft corrections
-creator decrease deflate dereference dies differing digital directions dissemination drepper ease editable elementwise ellipses
-equivalence expressing fastpath feeding fifty filehandle finder fingerprint flip folded foreground funny guidance hostnames hunks
-intention intervening invert isinstance kwds libs logically loses mips multiindex multiprocessing nicer noise onnxruntime
-partnership pickles plug posting proceeding punycode rebuilt regards remark repeating sebastian serious shifting speeding sqrt
-stronger subprocesses supplying symptom systemd terminals timedeltas unescaped uniquely unquoted untrusted usability validations
-weekday abbreviations accord accounts acquired adequate advertised annotating association authority barrier blow borrowed boxes
-caret complying concern concerned connects conservative controller copyrightable dataframes death decl demonstrates demonstrating
-designate develop devhelp diagonal differentiate duplex elsif exercised fillna fire fitting footprint frontends fulfills gather
-getattr hereof hypothetical infringes inlining keyboard legally libxml logos lowercased mike negotiation noop passphrase perky
-permanent pertain powerful privileges processors producer pypi realloc recording reflects repack resultant reusing roll ruff
-safest schemas scripted secrets semicolon sender separation signing solved squeeze subtypes thead today truthy tune tweaks tzdata
-understanding unexpectedly unions venv viewed virtualenv wishes zeroes accelerate accelerator adhere affinity angle annoying
-authenticate behaved boxed bucket busy chmod chose compensation completing completions comprehension cookies ctor cygwin deciding
-denoting deny depended died discarding distro ditto divided divisor ecosystem emitter enhance enumerate exceeding extern fastest
-google grained heuristics hiding indefinitely inferring insist installer international issuing lawsuit leaf linter malfunction
-mathematical mimics miscellaneous monitor mutual numerically opportunity opset organizations paused plumbing poor population
-premature presumably prone publishing receiver regenerate satisfying segmentation shorten shortest skeleton spans spend squared
-stacked submitted suggests throughput tiny tmpdir tokenizer tort traffic transformer transports trap tweaked uniqueness voluntary
-widths workarounds aleksey altogether assembled assembly asserts began blindly breakages cares carriage checksum circle collects
-committer cond consent continuations costly crashed creative cruft dated decay declares decompressed defaulted deletions dims
-disambiguate disclaim discoverable distinguished documenting duck easiest eliminates ellipsis equation estimated evenly face fcntl
-filed finalized finalizer finalizers flushing forming frac frequent frozenset goodwill greatly greg guessed hereafter holes
-hotmail href ineffective infringe inode installations interpolated javascript joins josh judged klass latin likewise listlike
-losslessly monotonically moral nearly negated netsplit normalizes opcode originating overlaps ping pinned piped plugged precedes
-predicates preferences prematurely preparing privacy proc prop propagates protobuf prototypes proven quantity quit reaching
-readers recognizes recovery releasing renames restoring risks rounds runtimes sentences shells ships sold stoppage strftime strips
-tarballs tips toplevel traits unnamed unreadable unrestricted upgraded vals warned worst aborts addressing administrator
-aggregated aligns appearing automated awaiting backup bears bypasses captures carrying chdir clash clones colored compose
-concatenating consensus conspicuously credentials customizing datatypes defect demo diagnose dial discourage downloads dumps eight
-entropy erroneously errored executions extreme familiar finalize finishing fitted flakiness flushes forking formula friend grows
-hanging hans hitting hosted hyphens ident iloc improving informed initiate insufficient interpolate junk largely layers learns
-leftmost mailto makefile meaningless mime mocking monospace mount narrowing netbsd numba obsoleted offering officially ongoing
-onwards outermost overloads packets paired perfect picklable pixels placement pointless presumption publisher pytz refspec
-reindexing renders reordered reportbug research resides restricts rewind reworded sibling speeds standardize staticmethod stick
-substitutions subtree sudo surrogates therein ties translators tuned unambiguous unmerged unwrapped vger voluntarily aims
-approaches asan backtick biebl buttons categoricals charged chunksize collective colons configs country courts culture daylight
-dereferenced digests dirs disallows discriminated discussions doubles draws eagerly eligible enums examining extracts fear finer
-flavor forwarding functioning gitk guards hesitate historically honors illustration inactive inevitably initiated insn
-interactively latent lawyer libasan lifecycle manipulating meanings mitigation moshier nest nonexclusive normalizing obfuscation
-occasionally offending outfile packing paint passwords preferable preprocessed prerequisites qsort reentrant regrtest regularly
-rejections retried revocation royalties rvalue scanned semantically semicolons sizeof solutions stacklevel stride surrounded
-synchronize taint thinks triples underneath unfortunate wake wasted watcher xmlsec aggressively analyzer ancestors appendix
-attachment balance bcollins believes breakpoint bypassing capitalization caption checkpoint cline competition computations
-constexpr conveniently counterparts curves ddof deallocated decrypted decryption defunct disappear discards disrupt dividing
-docfix encapsulates encrypt entrypoints exhaustive explanations facing faults forums freebsd freshly fuse gfortran harmless heads
-hmac hood hyphen iconv infinities inhibit injected injury intending interactions joint jumps justify kzak libgcc lieu lookahead
-marco meets mentions mertdirik michael millisecond mmap nonempty notifies numbering office onboarding opcodes outline overlong
-perfectly periodically perspective phrases placeholders preprocessor preprocessors price propagating prove quantiles quantize
-queried quot ravel refname regexes repetition resized reso resort rough sampled scales scheduler serializes setters speak spirit
-subpath subsystems summed suppose syntactically synthetic texinfo threadpool ticks tkinter toggle traced truly uint unfinished
-unpredictable unregister unwinding uploaded valuable vcbuild versioned viewing wall waste widgets xslt adapter adjustments affirms
-aliasing alloc alphabet alphanumeric amacleod anchored arrangements arrives authorize auxiliary backporting benchmarking blog
-brace bugfix canary cancelling capitalized cased caveat cerr chown chris click clip codepoints complains concepts concise
-contributes coroutines correspondence counters covering curly daily dave delivery denied denoted desc determination detriment
-directed downcast drives enjoyment enters enumeration expense faith federal fetches fora fractions frees gccgo generics gnutls
-gobjc graphs heirs highlights homogeneous illustrated increments infers innermost institutions intentional intro iostream joey
-killing lacked lambdas linecache linting loewis memcpy messier microtask mocked monitoring multiplied needlessly nicely offloading
-oliva opinions ours parametrization patching peak peter picking plots poll pollution popped preview projection prominently pulled
-receipt remotly repetitions replicate reporter resolutions richard route rsquo scores sequentially severe shar signifies silly
-specializations squares squelch stages standardized stefan strbuf subinterpreters substituting subtracting successive suffixed
-tabular tightened timely transparently traversing typographical tytso unconstrained underflow unfair unref unwrapping unzip usages
-usefulness utilize verb volunteers weighting wild willing aclocal adaptation agency agents alum animal answers arraylike
-artificial bitmask boards broadcasted byteorder capital cheap chooses chunking cjihrig coloring commons compromise conditioned
-contracts covariance dance denial designation detach dimensionality dispatching drain dunder dups duty equitable erroneous
-estimator expat expenses explains flavors fooled fprintf gateway glossary graphics guido hangs hardcode harness helmut homepage
-idiom idlelib imagine inconsistencies incrementally indicators inflate inherently invariants irrevocably iterative judgment
-keepalive lars layouts legitimate lenient linearly lite madler manipulated maor maximal mdash memmove memset mistaken mixture
-mocks multibyte music mutex myself newest ninja notion overrun parametrize persistence piping plural preferably press promoting
-pruned quadratic realpath recognised redefine redistributing removals residual resp rotation semver separates shrinks slight
-splice squash sticky streamed stylesheets subdivi subsets substituted substrings superfluous surprise swallow testcase thank threw
-thunk tilde tjaalton toward transient turtle unaligned unmatched unpacks unpickle upcasting vendored waiver accomplished
-accurately addressof advisory aggregations alloca apparatus archs argparse attacked authoritative automate avoidance awaited
-backlog backtrace bars beforehand blah bodies bookkeeping brotli bugfixes buildbot buildbots card cease chop classmethods
-clobbered commercially committing complies compressing consteval constinit contacted cpplint cpython decorate decremented deepcopy
-deltas deserialize doctype ebourg encountering enforcing environ estimates excel exceptional exercises expire exploit exploration
-faulty flagged forks gamma gotos gotten graphical helped hides httplib identities impacted improper improperly inexact inria inter
-interpreting interprets invented inverted keepdims klee knob launching libatomic liblzma licence looping matcher measurement
-million mipsel misuse napi nasty negate negatives newlib nonnegative nrows obscure offload operated organized pathspecs plans
-presentation pressed prev probe promotional pythonware readme reality recast relicensing remotes retaining retrieves scanner
-searchsorted selectively selectors sensitivity sequencer served servername shortened shutting signaling simplification
-sophisticated specs speculative sprintf stacking stacks staging statistical stringified strm stubs subsumption summarize
-summarizes surface targos terminator thinking till toctree tokenize toolchain translating twerner ultimately unevaluated uninstall
-uploading uploads usecols venture versioning vertically vrfy waive whitelist workgroup workgroups abruptly accompany
-acknowledgements addr adilger adjusting advancing advantages aggregating allocates alterations altering amdgcn ancestry android
-anybody arrive assure atanq attaching audio authored autogenerated behaving biarch boot breakpoints broadcasts bufsize buildd
-burnus bypassed capitalize cartesian certdata competent conceptually confer corporation cortex coshq crude cultural currentness
-darwin decrement deduction defaultmap denominator depobj divisible divmod elects elifdef elifndef enforceability engin engineering
-epsilon erfq esac expq families figures fitzsim fixincludes folks follwing fsck fxcoudert gaius gang ghaering glam glandium
-gnatfind gnatxref gratis grouper hashtable illuminate inappropriate infodrom integrating intercepted interprocedural intl intp
-invalidated invisible isinfq issuer iter jens jjohnstn kettenis keypress landing ldexpq learning legend lgammaq libbacktrace
-libdecnumber libgccjit libgfortran libgo libiberty libitm liblsan libobjc libphobos libsanitizer libssp libtool libtsan libubsan
-libvtv likeness llroundq locking logq lroundq lsof meantime mere midx mirors miscounted mops mptx mutexinoutset namedtuples neater
-needless nerim nonstatic norm omits openacc originates origins overflowing paid parashift paren pedwarns pere permutations phantom
-phys polynomials postmortem powq practicable precomputed predicted prepending priorities profits props prospectively pruning
-pursuant ranks rebased recompiling reconstructed recreated refrain reinterpreting relinquish reloading reserve reshaped restarting
-retroactively revealed roundq rvalues scanf scroll seven severity sincosq skew softwaresupport soversions spanstream specifics
-specifyer speculation spin sprawl stcarrez stdatomic stefanor stupid submitting substantially subtests suffer summation superh
-swapping symlinked sysconfig territories tgammaq thereafter thresholds todoo toll transmitted truncates truncq turbolinux ultra
-unparsed upfront uuid uvwasi varargs vectorizer walters warrantee wavefront wavefronts weeks wise yaml abandons academic accident
-acronym adequately adoption alex algo ansi anthologies apparent appreciate argsort attaches awkward binascii binds capacity
-changelogs characteristics circuit circumstance closures collaborative commandline commence consents consulting contemplated
-contextual contravention conveyed courtesy crafted criterion ctype cumsum customizable dealt decent degradation delegates
-demonstration depicted deployment deque destruction dictates distributor durations editors elem embodied emeriti enhancement equiv
-erase estimation executors expires explode factorization flight flows forcefully fsmonitor generous gentoo graceful icon
-identifiable illustrate inaccurate indemnify ineffectiveness invalidity jgarzik josefsson lengthy licensable licensees linkage
-llhttp localization longdouble loopback ltmain mailbox mailmap manpages maxsize metric migration mismatching motivations mounted
-networking nonce numexpr observe orig outputting overtly performances pivot plaintext pops predict proof proportional pyshell
-quotation races randomness reachability rebuilds recommends recompile rect recurses redo remotely representative reproduction
-reprs rescission reshaping restricting resumed resumes salt samba sandbox scoping scripting signify similarity simultaneous sketch
-snippets sounds spawns spellings sponsoring star stateless steward stopwords subarray sublicensable subtest sugar suppresses
-surrendered surrenders synopsis teams tend testsuite textconv theoretically thereto threat tight unbiased undesirable unsorted
-userland walks wasi watching accomplish accounting activating activation aggressive ametzler appeal arguably armin aside atexit
-atom authenticated backtracking barry bear boilerplate brings cats ceiling centered chrome classname codepoint collabora
-compressor compulsory computers conftest consented constantly contradict corepack dancers deallocation deduplicate defers
-delegated derivation descendants dispatches dispose duplicating edition elect employer enel ephemeral feeds fname fragile fredrik
-fulfill fullest fullname futures gdbm geometry googlemail greedy grey harden helping horizontally hurt inconvenient incrementing
-indents indirection inequality intel interior interruption intuitive journal keygen kills labeling lexicographic literary loadable
-logits lysator macos manuals memo micahel microsoft modulus mozilla musical ncurses nmav notebook notifications obey octet opener
-owning parameterized parens paste pathological pickleable pipping plane polling posted precede presents preset prioritize promised
-promotes pronouns pseudonym publishes quant quotient recompilation redefinition regarded relax reopen repair resample restarts
-reword savings scatter serving setuid shutil smuggling society sourcecode squelched subplots suffice superclasses symmetry ternary
-threadsafe topmost torn trained tricks tunnel tzaware unbuffered understandings undici unimplemented unlock unpickled
-unrecoverable unregistered untouched warrants wasm weakrefs wherein wink withdraw workflows xfail zoneinfo abuse accompanies
-actors adapters albeit alike analogue approval approximated arrange arranged asymmetric autocompletion autogen backpressure barf
-bells builders calculates cancels carnil categorized ceil chart cleaner clustering cmdline collapsed complained constituting
-continuously contributory coverity cuda cure customarily danger datagram deem defaultdict degenerate delegation deliberate density
-depcomp derives destroying destructuring discretion discussing disks distinguishes djpig dlopen drained dramatic drazzib earliest
-edits elliptic emails employed emulates encoders engineer ensurepip entertainment establishes exhibit experiment faithfully fell
-firewall flattening forgotten funcs gains gathered guessing hacky hare harm hasattr headings heterogeneous historic importance
-importer infile influence instruct jameswestby jasnell jeanphilippe jloup kartik kscanne kurt laid lamont lbnd lesser leverage
-libglvnd linalg lockfile lossless ludovic lzma mantissa matthias maximize meson morgan musl nargs narrower negation nevertheless
-nick nightly nordhaug noting occupied opted optimizing oracle oriented originated para parallelize parameterize partly peek
-penalties pertinent pixel planning pooling preciese preservation pressing prevailing printer programmers promisified promisify
-promisor prompting psdf pseudocode pyproject quarter realize realm rebasing rebinding recovered refine refusing reimplementation
-relate renegotiation repacking reraise rerere responds restarted reverts rework schedules seekable settled sharpone shortcuts
-shortly simplifies sing singletons sjoerd sponsored statistic stress strictness structural stusta subnormal sums suppressing
-suspended synonymous syntactic technological tenstral thep thereby tighter timeframe timo tolerate touches traditionally transmits
-trash tricked troubleshooting unaware unencrypted unescape unistd utilizing viewer writers xmlns accompanied acorn activities
-algebra animation anyways articles assent automation axelb backfill backoff backports balancing batched bjornst branching brand
-bunk cautious cctest chances clarifications clever clicked clipboard clocks clytie communities companion conducts confirmation
-contemplating contextmanager creations cryptography curses debhelper decoders desktop diffstat diffusion dispatcher distort
-distros dollar drafted embedders embodiments emeritus emoji encapsulate encapsulated enforcement everybody evolving examined
-excuse exhaust exotic expiration fallbacks ffill fileobj flowing freqs fsspec funded generalized geography getopt gitignore glisse
-governance growth happily hardlinks hundred importantly inaccessible inbox indenting induce inexpensive initialisation inlined
-interfering intermediary interp investigate irregular iteratively james kick klaus knowing landed latex licensor listens mangle
-mangled materialize mini mkdtemp modeled modernize multiplying mutilate namespaced nanos nettle nftables nickname nits nocover
-noisy obtains openbsd optimizes overlapped packagers painting payloads permissively permutation physically picker picks popup
-positionally powertech preamble predecessor preliminary preproc privately profiles pummel rapidly rational reassign recarray
-recognition recompute redefined redirecting reducer refreshed remedy repeatable rerun resampling resizing resuming retention
-reverting revs riverland robert rollback rsakey rtol rvagg science sdist securely selections selective selling shadowed shaped
-sidebar skolelinux sliding smooth sought sponsor sponsorship strided stringification strlen study styled subarrays sublicenseable
-sublicensed substance subversion supplies swaps synchronized templating thorough timeseries titled touched transfers traversed
-triangular unambiguously uname unbind unicodedata unstructured unsure variadic vocabulary waited wasting werner widest worktrees
-xnox xterm yellow abstractions accumulates adaptations administers alphabetize archived assets assimilated augmented authorizes
-autocomplete automake awaits balint basics batching bfill boost buckets calibration canonicalize centrum cflags cheaper
-choreographic chromium cinematographic cinematography circumvent circus cjwatson clobber clusters coalescing commutative completer
-comprehensions concurrency conditionals confidence connectivity considerably coordination craft customary danielnylander
-datetimetz dbus deadlocks debuglog declaim decompressor decreases dedent deferring delays demarcate deref deriving derogatory
-destinations destroys detailing devised disclosed discrepancy distortion doubled dramatico dumped ebiederm editions eggert eggs
-election emphasis emulating encyclopedias endless engraving enumerating evil evolve exploited fileno fingerprints firing fixation
-fixations floordiv folklore forcibly foundation fqdn frameworks frodo frozensets funcname gender geometric george gradient
-graduate granting guesses guided gzipped hole idiomatic ignorable implementers importers incorporating incur infos initializations
-initiates insane installers instant interacts introspect inversion isin isna isnan itertools jaraco jbelmonte jberets jdassen
-johnsonm jordi kerolasa lacking lands lecture legendecas libcurl libgcrypt libssl lithography lossy luck manipulates memoize
-messaging mimetypes mobile musicians mutilation nbytes networks nished nonlocal nonsensical nullish onward opensource pablo
-pamphlet paying payment percentiles performer phases phonogram phonograms photographic photography pointwise prefixing prejudicial
-prerelease presently probabilities probes prod propose provisionally pthread pydoc pypy qualname quirk rand randomized raster
-readily rebroadcast recitations recognizably recordings recursing redistributors reindexed reliance respecting reversing reviewed
-revoke robustness rooted rotate rotated roundoff routed rsalz samp scrypt sculpture seealso semaphore seriously sermon shortlog
-shuts singers sink sloppy slowest snake sock solver somebody someday spot stamp stmt streamline strength strs subdir subscribed
-suppression surrender suspect svalente sysctl tagoh teach tfheen thefourtheye thoroughly tidy topography topological translator
-tweaking twinsun uncompress underlined undone uniq uniques unittests unprivileged unquote unversioned userdiff utilization vanilla
-watchdog weekly wireless writev wrongly xdiff xmission accumulation accumulator addaleax adrian advisable agnostic aligning
-amending andy anibal ankur announce appname appro ares arises artifact atol atomically banner behaviours beobide bigon bird bluca
-bnoordhuis books boxplot brad bubbles canvas cascade challenge chapter chomp cite cites compensate competing complaints confirmed
-confirming contest contextify conventional coredump covariant crucial cumbersome danishka darehanl decoration deduced
-deduplication defective deficient deployed deprecating descent descr designates differentiating disambiguation disappears
-discriminator distributable doctool dottedmag doubling draining dsig dubious dying emacs encapsulation enclose encourages english
-enjoy entrypoint enveloped equivalently establishing evanlucas eventual excellent exploits explore exponentially exponents
-exporter exposure extensively fakeroot fancier faulthandler favour fedoraproject fenio fips flattens flex flipped foobar fortran
-fragmentation freelist frontend fsij fulfilling fuzz genuine globalns globs gniibe grok gunzip handed harmful hashed hashlib hatch
-henrich hierarchies holidays inet infinitely informatik initialised initiating initiatives instructs iojs iptables kibi kurem
-labelled laposte lexsorted licenced licensors linenumber linguistic listened localtime logarithm magically marc margins
-materializing mathematics matmul mbroz meeting mergetool messy metaclasses midpoint misbehaving misspelled modulename movement
-multicast multiplier mutates mutations nano navigation ndash negatively negotiate nonstandard nontrivial numerator obligated
-observer octopus offline orient pasted pasting pays periodic persisted picture pkst ppid preloaded presumed primordials
-principally priv privilege proceeds prompted provisional questionable ranking readdir realistic rebuilding recipe recipes
-recoverable reflection registries regulations reinstated rejecting relates relationships resemble residuals resilient resolvers
-retired reviewing rhash rollup rubini runnable school scrollbar seeds sensing shareable sheets shims shorthands shrunk shuffled
-siblings sigma signedinteger silenced simplifying simulated sits skill slack smurf solves solving sparc specialization spoofing
-sqlite squeezed stabilize statuses stock strategic stringent stringifying strptime subgraphs subinterpreter subpackages subparts
-subscripts supersede surprises swallowed swallowing syscalls syslog tempdir textwrap thousand tickets triplet unauthorized
-uncomment unintentional unintuitive unofficial unprocessed unshift unstack untested validly varied vast violations visually waiter
-walker warm webcrypto webstreams wget whatwg whistles zeroth abbr accumulating aietkolkhi aimed alexander alphabetic alternately
-alternating alters altlinux amacapital analyzed anti anticipate approve approx approximates argmax arief asof asserted asset
-astrand astur augment authenticity awaitable axboe badge balanced bashu bastian baurthefirst bench berserker biased bluehost
-borders borrow borrows bridge brown browsing bubble budget buga bullet bumped buvoshetes bzip century changeset checksums clamp
-clipping clisp cmaloney cobaco coercible coexist collax collectively commonjs communicating compilations complements concluding
-configparser configures containment contrived conv convergence corentincj cutoff cvelbar dbaryshkov deadline decompressing
-dedications deelerious deflake defs delegating delim dfranganillo dialects dialogs differentiated differentiation directing
-disjoint ditrans diverged dominz drafter dramatically dtrace duvall eddy eigenvalues elaborate elevated elian embeddings emptied
-enqueue ensured enumerated enumerates evaluator evidence exploring externalized fastparquet fnmatch fokkens folds formal frankie
-frederic frolic fundamentally fuzzer galas gathering gladky glue gordoni gpgconf grammatical gray grayscale greeting groupers
-groupings gtest guarded gurame gwijayas gypfiles handing hardlink hashmap hayden hosting htaira iksaif imag impacting implication
-inactivity infringements initiative intends interleave interrupting introductory ipvvis isinf jamil janos jborden joss jtarrio
-judicial justified kaplan karl karolina kaunas kebil keybindings keylen keyring khmeros khoemsokhem kitterman kludge knew knobs
-knuty korsvoll lexsort lfpor lgpl liberal lifespan linbit llvm localns logistic loosened lujz luto magical malditoastur
-manufacturer marginally markos mass matt metacharacters meter mgorny milo mimicking minghua misconfiguration misses mluscon
-modname modsoftsys muck multithreaded nabin neolocation netfilter netloc nett niels nocrew notifying nowcomputing nowhere numeral
-observable occasional okhayat onerror ooprala oortwijn openlabs optimisation ordinals orthogonal overflowed overloading paging
-pain parseable participants participation passwd persists philipp pinning plotted pooled popping populating positioned possessive
-postject pravi preexisting preimage preprocess proves pseudorandom pthell pulling pulls pythonx pyvenv qcai quic quirks racy
-randomization rcond reclaimed rectangular recv refcounting reflecting refnames refspecs regulation relations relaxed reloaded
-replayed replies reporters reraised rerunning resellers resenje responding resurrect resurrected resver rethrow rolf rolled ruby
-rudolfs ruleset ryan sampadanakhare sandeen saner sburke scrolling seemingly setattr setgid setups setyo shaleh sharex shot
-shrinker signalling silverwind simdutf simplistic slowdown slurp smarter smoothing snprintf sometime soname sortable spring
-squeezing stapelberg statute stefano stem stretch structurally studied subjects submission subpackage subpattern subplot
-subtracted superseded supplementary surgut sveinki syntaxes tampering tester tetralet themes theoreticalchaos thirty thykier
-tighten tolerated tooltip train tranter triagers ttype tunneling typevars typography unavoidable uncommitted unhelpful unicus
-unintentionally unmapped unparsable unpipe unreferenced unresolved upcasts usernames utterly vague valued veeven vincentvikram
-volumes wanting wasteful watermark weakly webserver whereby wholly xsltutils yamato yoppy zeeshanak zeha zipimport abstracts
-accounted adconrad adheres administrators adopt advertisement alan alarm alternation ampersand angband announced apis ardo arrows
-asarray assess asterisk audit auditing autosummary band barfed beware binmode binutils blocksize bootstrapped boring boxing braud
-brian bringing brute cacert canceling canonicalized carlosg ccache challenges checkpoints choke clashes cleans cloneable coalesce
-collation collide colormap colour commitment complaining compromised confident consumable contradiction conveying cork cummax
-danielleadams davem deactivate deallocate decomposed decrementing deduplicated delaying demonstrated deserializing designer diag
-diagram dickey difflib disagreement disappeared disclosure disconnecting dnlup doubly downgrade doxygen drains dumping
-effectiveness egenix elevate eliminated embeds empties encrypting enforces enqueued envelope euro exemplary exitcode expert
-exposition extensionless factorial factories faked falcon favoring favorite fflush finders fiorinaf firm flips flood focused forum
-framing freedoms fstat fubar gbarr getaddrinfo gitattributes glitch glyphs gnulib googletest grandegger gregory guillem gustaebel
-hacks highlighter hist histories homedir honour horribly impacts imurdock inability incapable inclusions infs initiation insight
-instrumentation integrations interop interspersed ipython irrespective irreversible john jseward julien justification keying
-keylog kicked kilobyte kukuk launches leniency lexically linefeed locating lookbehind looped lupus maintainability makefiles
-mangling marshal materialized mathematically maxpower mbox measurements measuring mechanical menus minimizing misaligned
-modernized modular monkeypatch monkeypatching mpitt msecs multiplicity mutexes narod narrowed netrc neutral night nodeid nogil
-noncommercially novell objections occasions oddly ondrej onovy orderings orientation otaylor outbound outbuf outlive outputted
-overruns pads palette panel parametrizing perldoc permitting phil pickler pkgutil possesses postfix pprint precisions prepends
-presenting privileged protects prototypically provoke prudent pserver purge purposefully pycon pysqlite quantities quartic
-quartiles ranked raph react reciprocal rectangle recycled redundancy reformat regenerated regressed regularization releasers
-relicense renderables replaying replicated restructuring resumption returncode retval reuses revisit rewrites richardlau rotating
-roundtrips routing rustcorp rusty ruyadorno scala secs semaphores sensibly settable severed shifts shipping signalled simplejson
-simplifications skiprows slackware slip slowly smueller social solar solaris sorter sourced sparsely spline squashed staff
-staticmethods stdarg stepping stevenj stimulate subkeys subroutines successively susceptible tcsh tedious telnet tempting
-tentative terribly testable textbook thenable theoretical threatened thumb timings tire tobias toggled tolerant tolist tone trac
-transposing traps triangle trimming typecode typeset tznaive uchar ulimit unacceptable unbalanced uncached unchecked undeclared
-undeprecated uninstalled unlinked unloaded unmark unorderable unraisable unsuccessful upwards urlparse veillard virtually
-visualize voting weaker weekdays wesm wind windowing wishing workloads workspace worthwhile xcode xsltexports xsltlocale zeroed
-zooko abide accent accessibility activations adam adhering advise agaida aggfunc allegation allocators alternates amax ambiguities
-amongst amundson analyse andrew announces ansgar answered apostrophe appendices apple arcor argtypes artificially assistance
-atheros atoms autodetect autoselection babel backgrounds beam beer benjamin bisection bitmaps bless blink bolliet bookworm botched
-bright bruno bues buster caps capsule cascading cendio certification cessation chainable chronological cial citation cited
-classify cleartext clickable clicks cmake coef colin columnar combo commer companies compelled complaint comprise computational
-computationally concatenates conclude conclusions conduct conjugate consecutively consoleerrordata constructions consulted
-contextlib continually convoluted copyedit correcting corrects correlations cosine cozybit crazy cron crosses cryptic ctime ctrl
-cube cummin cumprod currency customizations daemons damon dashed dataview dayfirst ddstreet decrements defeats defensive
-definitive deliverable descend descended deskey devsnek diagnosing diagonals didrocks difficulty disagree disallowing
-disambiguating divides docbook documentations docutils dotless downside drawings dshaw dtor duckdb east ecdh echoing editorial
-elegant elems emulators endorsed etag evvers exclamation exclusions exempt exodist experiments expiry faced facilitates factorize
-fallthrough falsey farbing fastmail figsize filehandles filippo flake flamingice formalize formally frantisek freezes freezing
-fsateler fsync functionalities functionally gale gengjiawen geographical glance globbing grabbing granularity groff grothoff
-gunnarhj halfway hands harinath health holiday hoping hourly hughsie humans hundreds hurts iain igor imain imitate inaccuracies
-incidentally inconsistently increasingly inequalities inferior informs inout insensitively insertions insists instability
-installable instantiates intelligently intensive interference interleaved intermittent interrupts invalidating ioanna ipaddress
-ivar iwakd jabberwocky jitted jklm jmacd johannes joshtriplett jouni jpaint juanarbol junction jwollrath kaber keyserver kilobytes
-kroah kurtosis kurtz launcher lawyers leader leakage leonerd libassuan libdes libm lifetimes likes lion localname longs loophole
-loosely lrodriguez lucas luisca manish manuel massive matumoto meaningfully medians memoryviews messing migrating mika mine mingw
-minified mirroring misconfigured mishandle misplaced misused mmarchini moments motion msvcrt multiclass multicolumn nabijaczleweli
-netmask nine nnorwitz nominal nondeterministic nongnu nopython normalised noticeable novel nullability ofrobots omissions oneof
-openpyxl openwall opinion orangesquash originate ossman overwhelm overwrote parallelized participate passage passphrases peephole
-petm piterpunk pitfall plausible played plays plenty plover ployees pluggy pnpm political populates positionals prebuilt
-preferring prerm pressure pretends proactively profitbricks pronoun proportion protective proxied psutil quantifier queasysnail
-quitting quota quotechar raven rearrange reassigned recommending recomputed reconnect reconstructing recursed redirections
-referrer refleak refleaks reflogs reimplement reintroduced relational releaser relevance relink removable renegotiate reopened
-reparse reproduces reputations restructured retrievable revamped rewrote rigorous risky rmdir rmtree routes runpy scans scream
-seeks sequencing sergiodj setlocale severinsson sgolovan siduction significance significand sigxcpu sipsolutions slyon smartos
-snap snapshotted sopwith sourmilk spanning specialised specificity spectrum sped spencer spit srivasta staged stalled stanford
-structuring stylistic sublists suffers suits sumsal suppliers surrogateescape survives sylvestre sympatico symref synch tadavis
-tagger tagging tagname tarfile tear techniques temporaries temptation tenth themaw thenables thierry throttle tightening timj
-toiwoton tokenization tolerances totals touching transitive triaging triplets trivially trusts tuffmail typings tzawareness
-unblock unclosed uncombined unflag unhappy unprefixed unreleased unrolled unsatisfied unsquared unstacked unsubscribe untyped
-unwise uptime urlopen userid vastly voice wakeup watched welcomed whence withdrawn woken wrongs yanked young zbyszek zhangyoufu
-zlatkovic zombie abcde abstracted achieves acknowledged adaptive adduser adjusts administration ages akin algos allocs alpn altsvc
-analogously anoncvs arange archival arriving arry associates assorted autodetected autodetection automagically avail awareness
-axel barthelemy bbox begun beneath biggest billion birthtime blackhole blessed blessing blocklist blockwise bmasia boom bottomrule
-bracketed bradh brevity broadcastable browse bruce bubulle bundles calc cand centraliens centralize centricular certifi charges
-checkbox checkpointed choked chronox ciphertext citi clarifies clipped cloud clutter codebytere coincide colorize colorized
-comfortable communicated complication comprised conceivably consequently consolidation construe contention contextified contiguity
-contracted contradicts conversation corners cosmetic countdown courteous currentmodule cuts damaged dask debounce declaratory
-decodable decreased decrypting deduce defacto defend defendant degraded dereferencing designs desire destructors determinism
-detrimental deviations diagnosis diegog difftool dirmngr disambiguated disclaiming disconnection disputes distances distant
-distclean django docker doctrines dogs dport dragging dwheeler eats effected einsum emitters emphasize encodable endorsements
-entangle environmental escapechar estimators ethical evaluations eventtarget examination executabiity exhausts existent
-experienced expressible extant extname facto factual fdrake fernandn fifi filetype filler finalizes fish fmax formulation frantzen
-freenet freetype freeware frogmouth gabrielschulhof gaining games gibfahn gigabytes gilfi gitfile gitlab gobble googlegroups gpgsm
-gsapountzis guideline harakash hardened hardly hardwired harmonize hasher hashseed haxx heapdump heated hell highlandsun hinting
-hops house hung hyper imitating immune implementer imprecision inbuf independence indeterminate indexable indiscriminately
-inevitable infix influences infradead inheritable inodes inspectable intercepts interned interning interpolating intersect
-invalidation ipsum iryoku isexec isup jakub jnweiger jorge jquery julian jumped jussi keen kendall kernellabs kinda kohta laforge
-lcamtuf legibly legit legitimately lekensteyn lend lennart libpng libpython libxmlsec linkedlist living localizing locs lool lsquo
-lttng ludo macosx mainloop mammal maraeo marekm maxima memmap memoized merchantable mesa messes mhdawson midrule minimally
-misbehave misinterpreted mlschroe mngr moderation monic mounts msysgit navigator nearby neglected negligible neighbours nhaehnle
-nomadium nomination noncommercial noun ntpath numerics objective objs observability obstruct olvaffe openpgp optparse orphaned
-papers parameterization parametrizations parenthesized parrot parrotting participates passages passive patchlevel pauses pearson
-percents perches petr philip philosophical phrasing picky pictures piotr platformdirs pluggable poettering polar popups pose
-postpone posts precomputing preloading prerouting pretended pretending prevail primordial principles printout probable progresses
-progressive promptly proved provos publishers purchase putmask pytorch quantify quasi rabbit ratios readiness reboot recall
-recognizing recompiled reconcile reconfigure reconnecting redact redesign refloat regen registrations relocated remap reminder
-reorganized rephrase replicating reqs resampled rescan reside resistance retailers retitle reversion revising rimraf ring robclark
-roeckx roman ronkorving roundtripping router rsacert saper scattered scoring screw scrolled seeding segfaulting selectable
-sendemail sensors servicing shadowing sharey sideband simulates simulating siro sitting sizing skewed skewness sleeping slows
-sooner sortedness sparsify spearman speedups spending sphinx spinner spkac stalling stdbool steal stemmer stoth strcmp
-streamnovation stringbytes stschake styler subexpressions sublist subnet subok subscription subtrees subunit suck summing sunsite
-supersedes supplemented suspend synthesize talks technologies terrible testsetup tgraf thkukuk thwart tier timerify toprule
-tracemalloc tradeoff transpiler trapped traverses travis triage triager trial trickery trickier tstellar turtledemo turtles
-twoaday typename unassigned undecodable unencoded univariate unizar unload unmask unmasked unnormalized unobserved unqualified
-unrefed unscaled unsound unterminated upsampling userinfo vadimgirlin vander vcizek vendors verbum viable video viewport
-visualization voluminous vorlon vstack wakkerma warmup watchers water whitelisting workbook workload yohhoy yumkam zaynar zefram
-zhasha zombies zoom abbreviate abcd abrupt accelerated accelerators accumulations actionable addressable adopting advances aiming
-airlied alarming albrecht alerts alessandro alignments allclose alleviate allowlist alon amet amin amplification analogues animals
-annual answering antsmartian anytime appropriateness approvals argmin argname arity asciidoc assessment assurances assured assures
-asterisks attributed authorities autoattribute autoload autouse avahi avdyk averaged babelouest backs backspace battery bcoe
-benefiting benfinney bengl bert bigints binomial bisecting bitstream blksize blows bomb bonus bottleneck bounding bracketing
-brainstorming breese broadly buff bugtracker bulleted bullseye bundling burden callsite camel cancelable capath cardinality cards
-careless casual categorize cent centers centre characteristic chardet charsets cheat chet chopped chrisdickinson circumvented
-citgm classifies clue coarse codehelp codeowners codepage codesign coercions colgroup collapsing collectors colours combinators
-comparator compileall compliment compressors comprises concatting confusingly conserve consolelogdata contraction controllable
-controversy convolution correlated crasher creativecommons customise cutting danbev dare datasource datelike datum debconf debiang
-debpython debugged debuggers decipher decompresses decorating dedup deems defeat definite deflated deflating delegator dell demos
-demoted denormals deployments depths dequeued destructive detaches detector developments deviate devtools differential diffusers
-digging directors directs dirtbike disposal disproportionate ditch diverges divisions docopen doesn dolor donated drastically
-drift eagle eating ecparam educational eigenvalue elit elseif emission empirical empirically encapsulating enormous ensemble
-enshrining entanglements enumerability epoll equations errata escalation estimating evict excerpts exchanges excinfo
-exponentiation expresses exprs exslt factoring factorized facts faking feasible feels fifo fifth figured figuring filemode fires
-fixups flakey flameeyes flaw flawed flist fmin fontsize food foot forbids forfeit forkserver formulating framed fromlist fuzzing
-fuzzy generalization generalize genie ghostwriter gitdir gitster glib gmplib gnumonks gold grapheme grepped grew grown gscrivano
-guybedford gypi hairy halt halves handshakes hartmans hashref hawk heart hertzog hexbin hexdigits hkdf honoured honours hoops
-hotfix hrtime httpd httpgetoptions hunting hybrids ical icloud idxmin imaging immediates immortal imperative importation
-inadequate inappropriately inbound incorporation incurring induced inherent initialise injecting inspects instantly instructed
-insufficiently intelligent interceptor intermediates internalized interpretations intimate intra intrinsically introspected
-invalidates inverting investigation invites isaacs isdst isfinite isort jargon joernchen joeyh johnpol jointly jslint junit
-jvelezpo keybinding keychain keyid keypad kicks kids kwilliams lasse lateral lazr lchown ldquo legalese leveraging lexicon lexing
-libblkid libev libltdl libname libnode libunistring lightly linesep linkify linkname listings localisation locality locates
-locator longtable loosen looser lowered ltdl luke lvalues lying mainline manageable mandates market marti massage mattia mawk
-meanwhile mechanics megabyte mergy metacharacter mgilbert microtasks minification misformatted misidentified misspellings mixes
-mktemp mmagallo monkeypatches mono motivation mtimes multinomial multiplexer multirow multithreading munged munging mutator myfile
-naively naked nanops nardis navigate ndef nditer newcomers nightmare nlevels noloader notations nouns npdev nsswitch nulled numify
-nunique observers ocsp onabort onread opacity oparg openldap opensslconf opinionated opname opportunities optarg optimum optind
-orderable ordinarily outlook overcome overline overridable overrode pacific pairing pape parametric parsable participating
-passthrough pausing peers perlio perm perpetuity perror persisting phillipj piman pings poczta polkit popen porters posixpath
-postimage precludes precompilation prefetch preformatted presses pretrained previews procps prof profit progression progressively
-projected prose protonmail protoype pser psser purple pushdown pybuild pythonw pyver pyxdg quad qualifiers quantification queuing
-quicker racing radians radius rapid rating rdev rdivmod rdquo reallocation reals recalculating recombine recombining recompress
-reconsider reconstruction recovering recreating reentrancy refcounts refcycle refinements refreshes refreshing reintroduce
-relinking relinquishes remembers remind repetitive reprlib republish resident responseenddata restoration resumable reveals
-reviews rewheeling rinfo rlwrap rrtype rsapub rtinstall rtremove rtupdate ruled ryzokuken sanitize santiago scenes schwab schwern
-scorer screens screwed scriptlet searchbox searchtools seeded separable serdes serializers serverlisten settle shallowly shard
-shields sick signaled signum simulation simulator slab slated smarden smtp socketserver socks sourceful specialize speedy spite
-splitter spreadsheet stashed stata stemming story strengthen subcontext subdirs subfolders subjectively subquery subs subscriber
-subscripted subsection subsidiary subst subtly suffices surname suspected suspicious symmetrically symtable synched systematic
-systematically systemctl templ tens tense tensordot terminators termios theanarkh tiers timeline tiscali tokenized tokenstring
-tokentype tomasz toml tradename transpiled traversals trials troubles trunc tukaani tzinfos tzname umath unblocked unbox unboxed
-uncertain uncompressing unconnected unconsumed uncovered undergo undesired undetermined unforeseen uninformative uninstallability
-uninteresting unist universally unmaintained unmanageable unpickleable unpleasant unportable unprintable unquoting unreasonable
-unsetting unsubscribed unwraps uppercased upstreams urgent userspace utcoffset varint varname verbal vertex videos viewable
-vimdiff visitor vsemozhetbyt wallbraker watches weaknesses weakrefable websocket whilst whoops widen widened willingness winner
-wonder writelines xdeg xdist xfailed xinclude xlim xlrd xlsxwriter xmltoman xsubpp ydeg yearfirst zdeg zipfiles abandon abfnrtv
-absorb abspath abusing acknowledgments acquires activates addendum additive adipiscing admcd administrative admission adopts
-advises aforementioned afoul agencies aggarwal aggregator akamai alban alfredo amend anchoring ancillary andrewsh andreys angry
-ansasaki anticipated anticipation anty applicability aptitude aqrln arbur ariadne arraybuffer arthur arturo asanyarray asfreq ashi
-asosedkin assembling associative atime atlas atob attachments attackers attilamolnar audited audreyt authoring automating
-autoreconf averages awesome awox backgrounded backslashreplace backups bailey bake bapt barewords basealt basenames beauzee behdad
-bell benh benign berrange beside bgardner bgzip binfmt binned binning bique bite bjacke bjoern blew blinding bloat blown blurred
-bogorodskiy boldface bootstrapper born borrowing bortzmeyer botocore braced bradmark breadth briefly broad broader broadest
-bubbled bubbling bugzilla bumps bwiedemann bytecodes bzlib cachedir cadata calvinmetcalf cancelation canonicalizes capped castable
-catalogs catchall cclauss cdata cdef cernekee cgallek champion chat chatty checkpointing chiark chopping chronologically cidr
-cistron claiming clarifying clashing cloudpickle clusterfs codeweavers coffee collab collaboration collateral colno colorizer
-communications commutativity compactness complementing compresses compresslevel comstyle concisely conclusion conda condensed cone
-coneharvesters confidential conformant conftests confuses conjecture connectionless cons consequent consolidating constrains
-constructable consts cont contrarily controversial converse cool coordinating copyto coreteam corp corpus corr correlate
-corrupting corrwith counterintuitive coypu cppgc crap cropped crypt cubic culprit curious cyber danielschaefer darktemplar
-dataflow datetimeindex ddir deadlocked deadlocking deallocating deallocator declarative decline dedication defense deflation
-degrade delimit denom denominated denying dependents depot dequeue designations destruct detectable deviates dhparam diagnoses
-diamond dice differentiates difficulties digitally diminish dimitris dirent dirson disadvantages disassociates disaster disastrous
-discernible disconnects dispensa dists dividend djwong dlenski dmitrycvet dominate donation door doublequote downcasting downsides
-dozen drastic drijf dropdown dugsong dupes duties dynamicaly earthwave eased easing echoes eeppeliteloop egal eike elapses
-elimination emojis employees emptying encrypts endlessly enlarge enrich entails eslintrc essence estangler eviction evolved
-exactness excepting exherbo expiring explicity exploitable explored extensible externals extremes eyet fabian fabiankeil factored
-falsely favourite fdlibm feather fftshift fgets fiat fictional fiddly fieldname fileinput filezilla findings fingers fiona
-firedfox firstlineno fixer flakyness flash fliers flipping flooding fnal fontaine fopen forgiving formulas fread fsfe fspath
-ftruncate fullmatch funwithsoftware furthest fusions futile garygsc gate gaussian generality generically getline gettz ghedini
-ghedo giant gids gireeshpunathil gjasny gleaned glyph goaway gory gotchas governs gozem grace gradually graft grand grandchild
-gratitude greedily gregor grossly grpc gufunc gunidecomp gustavo habit hacking hazardous headless heights hellip hhmmss hijacking
-himself hkario hocevar hoehrmann hongzhi hookwrapper hotkeys hugo hungry hush hyperlink iarna icky iclub icons icutrim igalia
-ihsinme ijackson imagined imprecise impression inadvertent incentivedesign inches income incredibly indicative indice indivisible
-inds inetd informing insisted insulate integrates intercepting interfered intermixed interoperate interpretor intersections
-intervention intraline introspectable intuition investigated ioctl irritating isolates italics itumaykin jaak jaeckel jaredlwong
-jedi jimrich jjelen jklimes jmorris joerg johab joshgav joyeecheung jpalus jrnieder juaristi juffo junctions kadlec kfarnung
-kinoho konqueror kostik krbdev krenair krenzelok kroosec kwset kzhao labelling larissayvette latze layernorm lczerner leimaohui
-leobras lexicographical libgnutls libgroupby libidn liezhi lift linebreak linewise linkers linspace linters listbox listdir
-listlikes loadtxt loggers logout longstanding loud loudly lowering lowers lstat lucky ludwig luisgf mabrand maciej magenta
-maierman mancill manifests manipulations marga marineau marsonya masi matchers matthewloring mature maxdepth maxlinelen mbakke
-mcatanzaro mcdonald mcollina measurably mechanically mechglue megabytes meissner melt memxor messagebox methodname micah
-middleware migrated mildly milestone milestones miller mimetype minidom minimized minority miquels mirix misalignment misdetected
-misleadingly misparsed misspelling misspelt misterdjules misunderstood mksnapshot mlang mlichvar modeline moderately modifiable
-modulefinder mojibake monitors morgner motivated mukrop mult multiarray mutability mylesborins nationals nazar nazard ncoghlan
-ndiff ndmin ndtype negotiated netscape netstat nisse nodedata nodeset nonblocking noon noreturn normalise normalizations nose
-notarization noticing npocs nsivov ntyni nudge nullprogrammer numarray numerals objectname observing occupies occurences
-offboarding offog omoris onmessage oops opal opendir opendnssec openjdk opera operational opsets optgroup optimised optimistically
-opting organize orients orthogonality otto outliers outright overdetermined overkill overt overwhelmed overzealous panix paradigm
-parenthesised participated pdknsk peel permabit permille perms pertains phenoelit phonefactor phunkyfish picklability pids
-piecewise pins pipelined pipelines pironti pixar platlib player plist plotly pluck pmgdeb pmhahn pmonrealgonzalez pngtest polish
-polished polite polluting polymorphic porkrind portiions positioning postinst pragmas prec predicting preferentially preopens prep
-preposition prescribed presume prevention primes princejwesley printoptions proactor prob probing productive profiled programmatic
-prologue proportions protections provably provenance pseudoheaders psmarshall pubkey punctuations purchased pydebug pyexpat
-pygmentize pypug pyrepl pytables pytimedelta quadrature quantifiers quantizes quantizing quartile radio ragged rahul rajramanca
-rankings rcorreia reactor readlines realizing reap reaped rebind reception reclaim recomputing recursions redeclarations
-redundantly reexport refactors reformatted reftable regexps reimplementing reinstall relay remapping remembered reorganize
-repacked replays reprocessing requireid rescale reschedule resend residence residents resistant restructure reveal ricaljasan
-rickard rickyes riseup risking rmax robertonewmon roff roland rootkea rowan rowanthorpe rpcsrc rpearson rsplit runners runtest
-rust sadie sahana salts samsung sandboxing sanvila saturation saurav scalable scary schwarz scikit scrollable scrollbars
-seamlessly searchable searchengine sebdeckers secrecy securitycode semblance sendfile sendmail seppo serializations setdefault
-settlement sgybas sharp shaw shelf shield shigeki shlex shortening shove shuffles sideways signifying signtool simd simo
-simonsouth sirrix skeletal slave sleeps slowed sneves softmax solicit sortorder sout sparsified sparsity specialist spectralink
-spelt spends splines sporadic spotted spuriously squashing sreepurnajasti sskaje standing starred startrow startswith statics
-stbuehler stefanb stefw steve stewards sticking stlman streeter strikethrough student subclassable subexpression sublicenses
-subpatterns subscribers subsequence subsequences subshell substantive substr subtitle subtlety succeeding successes succinctly
-suggesting suitably suman summer superscript surfaces symas symmetrical synonyms szidek tabwidth tailored tampered taobao
-tatsuhiro tausq teardowns telugu temperatures temporal tendency testers textview thoger thoughts tightly timeit timesteps timeval
-timsort tmancill tmraz tniessen tobytes toddy tofile toggles tomvrancken tony tooltips tortious toss tquemerais transactions
-transcode transmitting transpilation travel truecolor trustworthy tunnelling tweet typechecking typechecks typefaces typeshed
-udpate ueno ulong ultimate unacknowledged uncomparable unconfigured unconsume uncork undecoded undoing undue unecessary unescaping
-unfolded uninstallation unioned unlocked unmanaged unnoticed unpatched unsatisfiable unsent unwind updater usepackage usercode
-utilizes utopios uunet valencia vanzandt variability vcatechnology vcpkg vdeturckheim vendoring verifier vertices verto
-veryflatcat visiting vital wabtec waiters waitpid waldi wallclock webkit webstream weekmask wenqing werror wherewithal whine
-whiskers whitlock wikipedia windriver winsock wisdom wisely wishlist witchery wizy xargs xine xmlrpclib xticks yarn yarrow ycbcr
-ylabel yorkie zacarias zackw zfridric zhaoxin zipimporter zipped abbreviating abnormally abortcontroller abortsignal abouthiroppy
-absorbed accommodates achieving activestate acute adapting adaptor addinfourl addtogroup adhered adjectives admits adverse
-adversely afraid afterward ahem aids ajhager alarms alfie algebraic alice alignable aliqua allison allowance alnum alphabets
-alphanumerical alsa alteration american amiss amused analogy andrasq angles anim animated animations anomalies anonrig antialiased
-apapirovski apenwarr appease applet applets approaching approving approxidate arena arenas arglist argspec arose arranges
-arraysize arrived assemble assigner asymmetrical asyncore atomicity attrib attributing atts autocrlf autodetects autoflush
-autofocus autoloaded automates azez backreference backreferences backtrack bailout bails balintreczey ball bang banned barfs barh
-bart bcrypt bdfoy bdschuym begintitle beings benchmarker benjamingr benji bgcolor bibliography bidi binder binop bitebene bitness
-bizarre bjorn blacklist blind bloated blowing bluetail blur blurb bmuenzenmeyer bnocera bohdan bonzini boosting bottommost brittle
-brother btimothy btoa buffersize bufsubarraystart buglet buji bumping bytestrings byteswap cachecontrol cage calendars
-callbackified callbackify callsfunc callstatement campbellfamily canonicalization capitals cargo casefold catastrophic causal
-cavok ceases centroid certainty certified cespedes cffi chan chapters characterized charmap cheating checkable checkimports chokes
-christos chromatic chroot churn circles circuits circumflex citizen city claire clamped classical classifications classifier
-classpath claudiahdz cldr clearify clee clines clobbering closefd cmap coalesced cobra coccinelle coderaiser coderef codify
-coherent cold colliding colorama colorbar colorful colorscheme combinator commentary compability compensated complevel complib
-complications comps compton compuserve comx concatenations conceal concision condense conffile configurability conformed
-conjugates connector considerable consonant constituent contacting contextifying contig contingency convince convolve cookiejar
-cooperation coopercc coord coords copyable copyreg corge corion coro countermand cpus crate creators cred criss crlf crop cropping
-crypo cshl csmall ctags cumulatively cured customer cyan cyrus cythonized daft dangers danjou dankogai dantti darkbg dayofweek
-dconf dcpos dcposch deactivates dealloc debounced debuggability debuggee decls dedicate defensively deference deleter delineated
-demanded demands denominators denormal deopt deoptimizing dependence deploy deploying deprive dequantize deregister derivations
-deserializer designating designee desrt destructure destructured detaching devel devoted dictated diffed digitalinfinity
-disadvantage disassembly disclosures discovering discovers discriminate dismiss dispersion disposed dispute disregard distinfo
-distinguishable disturb divergence dktrkranz dlmalloc dmabupt doable doctools dodge dolore dominated doogie downwards drchip drew
-driving droplevel eadrogue earth eases ecdsa ecmascript eddsa editables editorconfig editwin edsadr eiusmod elaborations elbrus
-elected elided elie elsize employers emscripten encompasses energy enhancing ensue entanglement enumerations equivalency erased
-ericsson esatclear escaper estliberitas etree eurodev evade evicted excessively exhausting exhaustively expansions expendable
-expressive extents extrapolate eyrie facade faces farther fchown fdopen fdst fearing feeling female fenced fergal fhinkel fiddled
-fidelity fieldset figcaption filetuple fillchar fillvalue filterwarnings finalizing finfo fingerprinting firefox fixturedef
-flatiter flatmap fledged fleshed flexibly fmod focusin focusout foka foldl foldr fontawesome fools forbidding forest forgets
-fortunately foundational fputs freegates frexp frii fruit frustrating fsaccesspath fsexistspath fsopenpath fsreaddirpath fsreadfd
-fsstatpath fssymlinktarget fswritefd fswritefilefile fuddl fulltext fullwidth funcargs funding fundings funky futureproof fwrite
-fysh gafton gallery game gandalf gbacon gcovr gdams geek generations genexpr genrsa genuinely geographic getfield gisle gitlink
-giuseppelng glatzor glitches golden gonna goods gprof grabs graciously grafted grafts granular graphically grave gregoa ground
-gsar gufuncs guid hackery hadrons halflife hallyn hardcopy hardest harmony hashability hashupdatedata hast haystack hear
-helgefjell helmutg heredoc hermitian herrmann hexten highwatermark hijack histograms hoard hoiho honoring horrible horse hotspot
-hovering howto hsplit hstack htop huggingface hurd hwaci hygiene hyperbolic hyperlinks hypertext iamchenxin ibmi idempotency
-idlharness idna idoc idxmax ifftshift iframe ignorecase imitation immunities immutability implementor impractical inaccuracy
-incididunt incl incomprehensible indentations indications induction industrial inertia inflected influenced influencing informal
-ingress initasyncid injects insanely insensitivity instants instr instrument intensity interchangeably intercode interfacing
-intern interoperable interpolations interpretive intervalindex inttypes invention inversely inverts inwap ioremap irfft
-irregularities isis iskore isotonic italiano italoacasas iteratee iwamatsu jacob jason javac javah jbailey jbergstroem jbicha
-jdalton jdhore jengelh jeroenooms jgit jhamhader jigsaw jitter jkrems jname jonno jopt josue jpeacock jscott jsdoc judge judgement
-julianduque jwilk kane kees keithp keycode keydown keyfile keyfunc keynames keyset keystroke keysym kitware koala koron kqueue
-kstarsinic kszucs kunalspathak kvakil kwonly labore lapack latitude lawfully lcov leeight levelname lexicons lflags libcap libcst
-libedit libjoin libjpeg libmount liebdich ligatures lightbg limbs lineterminator linkgoron linus llama localizes locators
-logarithmic logarithms logfile longformer longitude lookalike lora lpia lstein lukka lvalue lxnay mace madduck maginatics magna
-magnetic mailboxes mainstream maketext male mandated mandy mantra manufacture manuscript marasystems marginal marketing markings
-markus marshalled marshalling masquerading matthieu maurice maximized maxlen maxmem maxnofargs mbcs mbsi mdast mdtsoft medozas
-megabajt mergesort meshgrid metaconfig metainfo metamail metavar mforney mgrid micros mille minimatch misnamed misreporting
-mistook mkcodecache mktime modax modeling modernization modf modp monad monet monkeypatched monotonicity moon moria morphs mounir
-mousemove mouseup movie msec msgfmt msgpack msgs msvc multicasting multiplexing munge musllinux mutt mypyc myscript mysql nalin
-namespacing nasm nbsorts ncalls needle negates negligent negotiable neighbor netdev newborn nickzman nils ninety nisa noescape
-nofoptargs nomask nominated nominations nonamefile normpath norms notebooks nothingmuch notna nout novice nroff numf oasis objc
-obsoletes occasion octals oddball oddity okir oldrev onestep openers opsera optical optimizers optname orangemocha organizing
-ostif outlived outlives overhauled overlay overlined overriden overrule ovidiu oyyd packager packstream painful painted paints
-paktronix palfrey pali panda pandora pane panic parallelization paranoid pareto partials pasky pathways pcre peculiar
-peculiarities peeked penalize penguin percentages perex perfctr perldiag perlebcdic perlfaq perlguts perlman perlpod perlpodspec
-perlport perlsub perltraining perly permuted permuting perpendicular personality personally petri petriuc pgrp phony pickier pidst
-pinpointing pipx pkgconf plaintexts plausibly playing pmqs pngpriv pngrio pngwio poking polars pollute poly polyfill polyfills
-polyfit polygon pong popies popitem populations possess posteo postponed postrouting postscript powerpc practically precompute
-preconditions predates prefinish preflight presets prettify primality printers prioritise pristine proactive probabilistic
-processkillpid procurement producers profilers projecting protos proving provoking prunes psidx pstats pulse pump putc putrequest
-puzpuzpuz puzzle pyconfig pytester quadruple quantified quantitative quarantine quarters quicksort quietly quits quopri quux radix
-raisinten randomize rang rationals ratpoison raysatiro rdentato readahead readinto realignment reallocates realtime reappears
-reapply rearranged rearranging reattachable reattached rebound recode recognise recompression recomputation recurring redeclared
-redefines redis redistributions reduceat reducers referencable regcomp regexec regress regulated reinstatement reinstates
-reinterpret rejoin relativedelta relinquishment remained remediation remedies renderer reorders repaired repartition repeatability
-replaceable replicates replication repost representatives reproducer reproducibility requisite rescaled rescinded resembles
-resilience resolvent restype retryable reverses reviewers revisited rewording rexagod rfft rfrancoise rgba rhysd richer rint rkey
-rkrishnan rmin robustly rollover rootdir rotary rotty routable rsync rudimentary rugvip rwlocks sabayon saddr safeguard salvage
-samueloph sanely satisfactory saturate saturday scaffolding scaler scavenge schedulers schlittermann scissors scol scopeid
-scrambled screwy sdbm seals seamless seeked seemed sells serge sesse setenv setjmp setops setstate sfrost shaas shadows shame
-shards shellcheck shibboleth shifter shikadi shisama shortname showcases shuffling sidebars sidestep sidewinder simdjson sine
-skipfooter skiplayernorm slang slim slotted slowing slowloris smalloc smarts smuggle sneak sneaky snek sniff snowman sockaddr
-solitary song sortedcontainers soup sourceforge spanish spells spewing spoof spoofed sport spreading sreeves ssize stall stanza
-starkwang stars startcol starttime stdcall stdint stealing stefanmb stelian stemmed stepped sterchelen steven stolen storable
-strace straightened strangely strcpy streamlined strerror stretched strike styledefs styleguide subdivide subfield subjectaltname
-subnets subnormals subpart subpaths subprograms subproject subscriptable substantively subtracts subtyping suckless suffered
-suicide suited superior supplements supposedly surprisingly surround survived suzuki svens swallows swapaxes symbolically
-symlinking symmetrize sympy synced sysconf sysfs systemtap sysvinit szakmeister tabsize tack talked tall tangent taxes tcltk
-telecom terminalreporter terminfo terse testcases testfunc testname tevp textarea textbf textually thealphanerd theorem theta
-thijs thomas throttled thyrsus ticklabels tiger timespec timlau tion titlecase tnode tokenizers tokenizing tommy topologically
-torin toshiya totality tracer tradeoffs trades tradiaz traduzione trail trainer trampoline trans transactional transcoded
-transcoding transcribed transparency transported transposes trashcan traversable treaties tripledes trips truediv trunk trusting
-tseries ttinfo tunniclm turbojpeg tutorials twelve twist twisted twoshortplanks tycoint tzlocal udtf ufomechanic uids uints uiuc
-ulps unacceptably unanswered unavailability unblocks unboxing unbreak uncollectable uncompleted underflows underlies underlining
-undetected unencodable unencumbered uneven unexported unformatted unguarded unidirectional unitary unloading unopened unpaired
-unpickler unpinned unpivot unpublished unrefd unrepresentable unroll unskip unsuitable untie untransferable untranslated untypical
-unworthy unwritable upsample upward urlencode ustack utilformatformat utimes vagaries vandine vapier vectorization venue verbs
-vfile viewers vincent viper virtualenvs virtualized virtue vkurchatkin volkmar vowel vpanghal vsplit vstu vulgar vuln waclawek
-waivable waking weaken weekofyear west whitlockjc wholesale widening widens widespread wildmatch windir winfield wipe witch
-withheld wlug wmname wnagel wondering woobling writability writableendchunk wsutils xalloc xarray xaxis xlabel xmlto xpath yank
-yearly yerr yosuke yours zalloc zebra zeroing zfree zips zoulas abilities abis abnormal abortable absurdly abused acceleration
-accents accentuates accessions accidents accomodate accum accumulators acid acknowledging acos acquisition acquisitions acted
-adaption adapts addrinfo admit admittedly admitting admonitions adown advantageous adymo aeiou aeiouwxy aeiouy aeiouylsz
-affiliated affine agenda agreeable aheared airmail ajax akfedux alejandro alexcfyung alexl algs alioth alism alist aliti alize
-alleged allegedly alli alligator allowlists alnyan amazing ambassadors amplify amrios analytic analyzes anarey ance anci anew
-animate animating annotates annotationlib announcements anoff anon anonymously apibuild apilinks appauthor appendable apples
-approximations arbitary arctwo argnames argon argpartition arith arithmetics arnau arrival asciidoctor asfortranarray asian asin
-assistant astraw astropy astyping asymptotically atan ation ational ative ator atrioom attentive attenuated attlist attn attname
-attroperties atype audience auffer augmenting autoclass autocommit autofixer autoheader autoplay autostrip autotest auxfuncs
-averaging awoken awpguy babygoat backlogs backporter backslashed backtracks bahner baking balancers ballombe barfing bartosz
-baruch baseclass battle bavail bdeflate bearer bearing beaten beats beep beforeunload beginners benoit berkman bfree biases
-bigfoot bignum biliti bincount binlog binops biowski birds bison bitandbang bitflags bitrot bitsize bjdelro bjson blanket blas
-blech blinking blkid blocker blockingly blowfish bluebird blugavere bmeck bmeurer bogusly boils boldquot bookstore booktabs
-bootstrappers bothering bounty boxstarter bpnumber branden branderhorst branding brinkmd browsable bsize buffe builtinlist bull
-bunches bundler burn busted bxml byang byob bytearrays bytelen cable cacheable cacher cafile calibrate callbackserver callee
-callees callings calltips camelizing camellia canned canonically carbon carets carmen carsten categorization cater causality
-cautionary cbinfo cbreak cctests cdecl cderror cdjpeg cdnadmin cdot cdouble cdrom ceasing centralise centralized cereal certfile
-ceval cfile chacha chainlint chair chameleon changeable changelist chaos charclass charging charref charter chartered chcp cheaply
-chebyshev checkboxes checkbutton checklist checkouts cheetahify chen cherrypick chgrpdir chgrpskel chrisccoulson chunker chyl
-cinamod ciphertexts circ civil cjpeg clientcertengine clienthello club cmac cmdqueue cmyk coarser coccicheck codeblock codecov
-codegen codemod codemods codeowner coderules coeff coeffs coercive coffeescript cogrouped coherence coin coincidence coincides
-coinciding colorchooser colorization colorizing colormode coloured comb combos commenting committers committish commutatively
-compactly comparions compield compilable complementary composes composing compressibility concats conceptual concetation concluded
-condensing conducted confirms confounding confoundingly conjugation connexer consectetur conserved consisted constrain contacts
-contextifies continental contingent continual continuity contractions contradictory contravariant conventionally converge
-converged converges convinced cooked cookielib cooperate coordinated coprocessor copyfile cord coreutils coreybeaumont cornerstone
-corpora correspondig corrupts counsel counterclockwise coupled cousin cpbs cpuinfo crept croptest crosslink cryptopro cryptsoft
-cuffer curated curr customers customevent cutoffs cvenum cvsimport cwryu cyrillic daemonic daemonized daeyeon dancer darcs darker
-datastore datestamp dayofyear dblclick ddffdd deactivated dealy debiasing debt debugtrace debundled decapitalize decaying
-decharter deciles deciphered declatory declines decodings decorative decouple deducted deepequal deepest defenses deferreds
-definitively defun degrades deischen deity deletechars delimiting delimits delims delivers delvedor denials denylist department
-dependabot dependant depicting deprecates dequantized descends descore desdata deselected deserve designers designing despair
-destructed detachable devch devtoolset dfabulich dhowells diagflat dialogue dialogues dicearr differed diffie diffing dilinger
-dima diminished dirhtml dirruns disabledness disagreements disagrees disappearance disassemble disassembled disassociate
-disassociated disattached disc discontiguous discrepancies discriminating discriminators dismissed displayhook disposable
-disregarding disruptive dissimilar dissolution distinctions distinctive distlib distraction diverge diverse divider djgpp djpeg
-dlcompat dlls dmitry dnalborczyk docclass docname docserve documenta documentaton documentclass dodgy donarmstrong donor dotfiles
-doubleunderline doubts downgraded downsampling dozens drag dragged drawback drill dsplit dstack dstoff dstream dtyped dukhovni
-dull dummies duplexify durable dylib eacute earnings eastern eavesdroppers eccdata eclared ecma educated eecs efae eglug embargoed
-ement emerged emotion empathy employ emptiness emssage ename ence enci encipher enciphered endowed endswith endtitle engagement
-enriched ensonic entitlements entli envs envvars epilog epilogue eqeqeq equalities equi erasing erickwendel errmsg erroring
-errorlevel erwinwahyura escalate escapable escapee eschew eugeneo evaluators evan eventloop exam exchanged exclusivity
-excruciating exctract execv exension exhibits existance exoego expandable expando expandtabs expend experiencing expertise
-exploded exploding exploratory exsl exsltexports extensioned extractable extractall extundo eyeballs eyesopened fabbe factorizing
-faithful falk famous fatally favored fclose fcssescape federico feign feminine fence fenton ferror ffree fhdr fiddling fieldsets
-filedescriptor filelist fileobject filesize filestring filt findable findall findutils finnag fipsinstall fipsmodule firewalls
-firstch firstly firstresult fixable fixme fixtres flatbuffers flavours flerb floodyberry fmizzell focusinfocus focusoutblur
-foldable followup foolproof forceful forgive forgiveness formalized formorer fptr fragmenting fred freeglut freevars friedhoff
-frivolously frombuffer fromfile fromfunction fromiter frompyfunc fromstring frotz fsappendfilepath fsclosefd fscpsrc fslchmodpath
-fslchmodsyncpath fslchownpath fslchownsyncpath fsreadsyncfd fsunlinkpath ftbfs fuctions fulfillment fulfils fulness funct
-functionish funescape furstenheim garbled gated gathers gced geared generalizes genericpath gently gerrit getargvalues getgid
-getgroups getinfo getnameinfo getpwuid getset getsource geturl ghaiklor ghash gitexecdir gitter glade gmazyland gname goodbye
-goodies goodness goofy gopher gostdsa gowpen grabbed grade graduating grammars grantor graphemes gravatar greet grids groupname
-guardian guarding guranteed gutter gward gymnastics gzlog habits hacked hackish halfwidth halting handcrafted handlewrap
-handshaking hardmask harmonic hasnans hassle hazard hazards headaches healthy heapq heapsnapshot hearing heel helpfully heredocs
-heuristically hfft histogramdd hlist hmammedzadeh homebrew homogenize honestly hooking horizon horror hostile hostmaster
-housekeeping httpsgetoptions hugepages hughes hump huynh hyperms hyperparser hypot iadd iansu ible ibuclaw icase icate iciti icmp
-iculslocs identd iexp ifconfig iframes ignorance iinfo ikasumi impedance imperfect imposes imputed imyller inapplicable includible
-incompat incurs indefinite indention indentwidth inefficiency inefficiently inelegantly inferencing infinitum inflated inflation
-infty initgroups initiator injective inlinable inname inputting inrialpes inspiration instantaneous instructive insurance
-intelligence intercalary interception interchanged interests intergers interim interlaced interpid interpretable interrogate
-interrogating interruptions intersected intializer intraday intranet intrigeri intrusive intuitively inventory invertible
-invisibly iodef iomenu iovs irfftn ironpython irrational isalpha isatty isomorphic issubclass isub isupper italicized itemsets
-iteratees iterparse itorg ivan iveness iviti ization izer jackyen jakecastelli january jaricom jasongin javuori jcapimin jcapistd
-jcarith jccoefct jccolext jccolor jcdctmgr jchuff jcicc jcinit jcmainct jcmarker jcmaster jcomapi jconfig jconfigint jcparam
-jcphuff jcprepct jcsample jcstest jctrans jdapimin jdapistd jdarith jdatadst jdatasrc jdcoefct jdcolext jdcolor jdct jddctmgr
-jdhuff jdicc jdinput jdmainct jdmarker jdmaster jdmerge jdmrgext jdphuff jdpostct jdsample jdtrans jean jelmer jenkins jerror
-jessicaquynh jevgeni jfdctflt jfdctfst jfdctint jiangq jidctflt jidctfst jidctint jidctred jimmac jinclude jmemmgr jmemnobs
-jmemsys jmorecfg joesepi joiner jonask jonathan jopann journey jpegclub jpegcomp jpegint jpeglib jpegtran jreback jshint jsimd
-jsimddct jsolomon jsonp jstdhuff judis jumping jupyter jutils jversion kabalak kalrover kambanaria karan kdevelop kebab kennykb
-keyboards keybox keybuk keymap keyrings keysets keystrokes keyup keywrap khaledhosny khash kicking kickstarts killagu killers
-killtimer kitten kkaplan kludgy kmaraas knowingly kraai kuriyosh kwonlyargs kysnm lama lance landmark langname largs lasti lathiat
-laurent laying lazier lball lchmod ldots lean learnt legendre legs lenny leveraged leverages levitte lhash libdaemon libero
-liberty libgit libgpg libindex libpthread libreadline libregrtest librsvg librt libsecret libstd libstemmer ligature lighter
-lightness lineage linewidth linkification listcomps litcoffee literature liuxingbaoyu liyanage lkey llnode llrrl localeconv
-localstorage locker lockfiles locutusofborg logi lognormal longlong lookarounds loopholes lord lossage lowercasing lpinca lrlna
-lstrip lucamaraschi luckily lukekarrys lunar lzip lzmadec macdef machinary macintosh macrology madcoder mafintosh mains majors
-makenova malconfigured malen manchmal mandriva manylinux marchini marius markobject markupsafe marshaled mary marzelin masashi
-masculine materialising materialization materializes mathieu matlab matsuda mattloring maturity maven mawaregetsuka maxsplit
-mbornath mdorman measurable mebibytes mechanic mediates meetings megapolis meixg meld memleak memuse ment mercy mergetag metafunc
-metavariables mewtwo meyering mgmt mgol michiel micnic microbatch microbenchmarks miladfarca mildsunrise millionth mimetools
-mindful minimises minors minttl minuscule mirrored miscellany miscomputed miscount misinterprets mismerge mismerges misnomer
-misreport misreported mistaking mistype mistyped mistypes misunderstanding mitigated mitigating mkamakura mklink mkssldef mkstemp
-mmaped modal modelines modelled modem moderate moderated mods modularization moduleauthor mojave monitored monkick monotone moritz
-morrme mortal mountable mountpoint mouseenter mouseleave mouseout mouseover moveaxis movements mpmath msallowcapture msbuild
-mscdex msgids msie mstormo multicall multicolumns multihop multilevel multilingual multipath multiplicative multiplies multisets
-multivariate myaddon mydata mydescriptor mydf mydict myobject myon nameless nanmax nanmin nanstd nanvar narirou narrows navigating
-navigational nbad ncols nconsectetur ndigits ndims ndindex nearing nefarious negating negations neginf ness neta netmasks
-networkno neurodiverse neuter newcache newmask newname newrev newsgroups nfoo ngettext ngood ngroups nicholas nightlies nirs nist
-nitpick nlink nodeeventtarget nodelist noderivs noinspection nomenclature nonetheless nonexistence nonidentical nonlocals
-nonspacing normalising normalizer normcase notionally nowadays nread nsname ntempor nuisance nulps nume numpydoc nums nwritten
-objection occupation occupying octave oder ofirbarak ogrid oldfile oldfire oldmask olszta ommited onlight onnxrt ontype openings
-openpty optall opterr optimally optimising optionalhook optionals orandea oranges orderedness oreader originals origword ostream
-ostrich ourself ousli ousness outdate outperforms outputfile overallocation overdue overhaul overlooked overrunning overshoot oxan
-oxanvanleeuwen packagemanager packdata pagers pairings paned panes pango panikkal panva paranoia parasitically parenthetical
-partners partway patchable patchset patented pathlength paulo percolate perforce perlre permute persistance persistant phone
-phrased pigz pimlie pinentry pipelining piscisaureus pivoted pivoting pixmap pjson pkovacs planner players pleasant plessy
-plurality pngdebug pngerror pngget pnginfo pngmem pngpread pngread pngrtran pngrutil pngset pngstruct pngtrans pngwrite pngwtran
-pngwutil pnum pointerenter pointerleave poison poisoning polled polydiv polymul ponies popularity porcelain posixmodule
-postcommand postprocessing potty pout preallocate preallocated prebuild prebuildify precompile precondition precursors predate
-predecessors predeclare predictor preempt prefacing prefilter prefilters premise preopen preparer prereq preserver prettier
-prevalent prevompiled prices principled printables prioritized probs processenv processexecpath processexitcode procfs
-productivity programmable prominence promotable promoter proposals proposes proprietor prot prototoype prototypal pseudos psmisc
-publically pulldom punct punt punteek punting purelib purporting purposeful purposely pybench pybuilddir pyclbr pyenv pyfunc
-pyopenssl pyperclip pytests pythonic pythonrun qname qrst quale quarterly querable quetzal quickening quiescent quotas raddr
-radiobutton radiobuttons rarer ratings raws rbrace rbracket rchecked rclickable rcombinators rcomma rcssescape rdbmp rdcolmap
-rdescend rdgif rdisplayswap rdjpgcom rdppm rdswitch rdtarga reacting reaction reactivate readfile readies reallocate realname
-reappearance reapplies reassemble reassembly reassigning reassigns reattach rebinds recalculate recalculated recalculation
-recfunctions rechunking reconfiguration reconstituted recordable recovers recreation recycling redacted redeclaration redefining
-reenabled reestablish reevaluation refack refactorings refcnt refcounted referenceable referent referer refined refinement refiner
-reflink reflow refrains refusal regeneration regit rehash reindent reinitialize reinitialized reinserted reinvent reinvoked
-relabelling reland relatives relaying relbar relinquished relinquishing relpath remade remembering renderings rene renegotiations
-renew reorderable reorganization repackaged repertoire repopulate reporthook repos reposition repro reprocessed reproductions reqd
-requestsocket reschedules resembling reserializing resolv resolvable resolvelib resorting respawn respectful responsesocket
-responsive resurrection rethink rethinking rethrowing rethrown retire retokenization reusability revalidation revamp reversions
-reviewer rewinds reworked rewound rfind rfocusable rfxtypes rheader rheaders rhtml richnologies ridentifier ridiculously rinputs
-riscv rjsonp rlcompleter rname rnative rnothtmlwhite rnumnonpx roadmap roaming roberto robertson robin robot roderick roles
-romankl ronag rootpath ross rotates rougly rouines roumenpetrov roundabout routerman rparentsprev rpartition rprotocol rpseudo
-rquery rreturn rrun rshift rsibling rsubmittable rtrim rtypenamespace ruler runaway runescape runscript ruud rval rwhitespace
-ryanmahan ryans sacrifice sadly sadness saghul sampler samuel sandboxed sanitization santigimeno sapics sarahmeyer sarge
-saschaefer sash saslfinger saxon scalkpdev scanners scatological scdaemon schizo schuldei scrape screams screenshots screwiness
-scriptname scrolls sctype sdists seaches seal sean season sebastien secondarily sekido seldom selinux senses sensor sentinels
-seprated serialised serpent serue setgroups setimmediate settles severing sfere sfun sgml sgrubb shades sharedlib shed shenanigans
-shiya shortcoming shortens shortletter shortlex showrefcount showwarning siemens sigh sigil signer sigwinch simov sindresorhus
-singh singledispatch sint siretart siunitx sivaprasanna sixth sizehint sizer skelfile skipinitialspace sklearn slate slen
-sliceable slicer slide slips slowdowns slurped smartcard smatsu smoothness smtplib sniffed sniffer snorp socketaddress socketpair
-socketwritedata sometext sorarize sourcemap sourceware spaghetti spare spatch spatial speaker speakers specialness spider spinning
-splices splicing splitlines spoken spool sqlalchemy sraf srcdir srcs sshd stab stably stalls stamps standardization startd
-starvation station statistically statwatcher stayed staying stddev stdios stems stepwise stern steved sthibault sticks stipulate
-stipulated stomping stopline stratified strawman strchr strdup stresses strictest stringdtype strl strlcpy strtest strtod
-structseq stty stylize stype subcmd subdivided subdtype subelements subfields subfolder subforms subframe subgroup subgroups
-subitem subiterator submessage submessages submits submodel subordinate subordinates subsumed subtasks subtrahend succession
-succinct sucess sucessful sucks suffering suidperl summit supersets supervised suport supplement surely surfaced surprised
-surrogateescaped survey survival surya suspects suspending suspension suspicion suug swapcase sweetapp sweeter swing swol syncing
-syncs synopsys synthesized synthesizing sypnosis sysrq szabolcsit tabindex tabnanny tacked taggart tagnames tailor tainting tale
-tallied tango tanh tape targetlist targetted tars tautology tauware tbreak tcsetattr teaches tech teeing temlate temperature
-templtaes templtes tempted tended tentativeness terminations territory testability testdata testdir tetragram textasciicircum
-textasciitilde textbackslash textdecoder textension tfoot thai thekemkid themselve thenability theppitak thou thresh thusly
-tianleiwu ticker tile timeservers timestep timshel tional tipo titlecased tjbench tjbenchtest tjexample tjexampletest tjunittest
-tjutil tmpfs tmpl tmux tobi toggler tolerates tons toolbar toolchains toolkits toolset torsten tortuous towncrier toying tput
-traceable tracers tradition trait transferrable transitively translatable transliteration transpile transpiling transplant
-transromation transupp trapping trasfer tribute trio tripped tripping trivikr troublesome trumps trustlist truthful tryfirst
-tsconfig tsfn tslibs ttzztztz tunneled turtlegraphics tween tweener tweeners tweens twin twinx twitter twofish typechecker
-typedarray typeddict typeerror typemap typesafe typevar tzfile tzstr uannecessary udbff unadorned unallocated uncertainty
-uncollected unconflicted unconsolidated uncontrolled uncover undefine undelegate underruns underscored underway unevenly unexpand
-unexpose unfilled unflake unfold unhide unification uninitialised united universe unlocks unnatural unnecesary unoptimized
-unpacker unpicklable unpiped unpiping unprofessional unreference unreferencing unreliability unrepresented unreserved unresolvable
-unrewarding unsanitized unseekable unseen unserializable unsetenv unshifting unsized unstacker unsubscripted untagged untrack
-unvalidated updatable updatestartuptty upset upshot upstreamed urandom urldecode urlresolvefrom urlretrieve usecase usefixtures
-usefull usefully uselessly uuencoded uuidgen vanished vanishingly vararg variances varibale varibales varnames vazina vcxproj
-vecdot vectorize versatile verse viability victims vintages violators virdi virtualization visualized vladimir vmax vmin vocab
-voltrexmaster volunteering vperezma vtable vyzo wabt wadllib wagon walked warrant warranted wastage wastes watson wday weakmap
-webassembly webbrowser weekend weewey weirder weirdly wfile wgdd whale whichdb whitebox whitelisted wiggle wildly willhayslett
-winapi windowed winds winnow wired wizard wkhtmltopdf workerterminate workspaces worried worrying wpaul wraparound wrbmp wrgif
-wrjpgcom wrppm wrtarga wsgi wxneeded xcerion xerr xlabelsize xmllib xmlsoft xorg xortiz xport xrot xxdiff xyzzy xzdec yacc yamlish
-yaxis yday yeah yesterday youngest yticks yucom yuko yuza zeta zhangzifa zhengyuanjie zippel zkat zoned zope zpipe zran zstandard
-zstd zyga aaccttrr aahz ababab abbrind abcdefg abdc abiflags ablacktshirt abmusse aboard aborterror abridgment abstractmethods
-accelerations acct accusative acinclude acknowlegement acknowlegements acme actorder adamk adaptability addington addrlen adelmann
-adherence admonition adrianorg advancements adverb advertisements advertises advisedly aelmahmoudy aenter aesthetically aetheryx
-aevum aexit affiliation affirmed aforesaid afresh afternoon agarwal agged aggs aggspec agruen aifc ajido akira akitsu akiyama akpm
-alas alef aleixpol alen alexahdp alexandre alexbostock alexbs alexm alexzherdev algorithmical alibaba alien alljson allotted
-alohaglenn alphabetized alphanumerals alphas alpine alternated althome alyssaq ambassador ambigous amends amplifications amplitude
-anachronistic analyser analysing analyzers andersk andi andiemontoyeah ando andreysoktoev andsch aniketshukla anna annonymous
-annoys anomaly anonymization anonymize ansicolor ansuz anthology antivirus apachelogger apeltop apestaart apicontent apiname
-apologies apologize apoorvanand apostrophes apparel apparmor appdirs appearances appmetrics appnote appout appveyor april aquire
-aranges arborist arcane arccos archivepath archiver archiving arcname arcnmx arcsin arctan arctanh argcomplete argcount argrepr
-argslist argtuple argue argued argvalues arkadiusz armies armored arnaud aron arptables arrayprint arrayref arrayterator arthropod
-artist artists artsci artwork aryung asctime asdfghjkl asdict ashish ashleysimpson aspiring asserion assertokvalue assertthrowsfn
-assessed assing assists assoc astro asyc asymmetrically asymptotic asynchat asyncwrap atanh athena atler atmark atomics atsec
-attdecl attosecond attoseconds attractive attractor attributions atudel audiences auditd authentic authenticates authenticating
-authkey authorizing autoable autocorrection autocorrelation autofix autoindent autoindented autojunk autorebase autospec autostart
-autostash autotools autovivify avalues avro awaitables awakened awry axiom axvm backbone backfilling bait baked balloon balls
-bangs barbarous barbier bareword bargaining bark barriers barthwal basedir bashisms basket bastardised bauch bdale bead bean
-beanalby beck beetle begidx begs belatedly belief benches benchmarked benchmarkers benchs berkeley bestrelpath bfseries
-bgallmeister bigmemtest bijection bill binner binwidth birth birthday bisects bitbegin bitfields bitmasks bitplanet bitrate bitset
-bitstring bitterly bitty bitworking bkoz blackmesatech blakehall blamed blankboundary blazing blead blib blkno blockmanager
-blockquotes blocs bloodgate bloom bluesky bluss boilerplates bolder bolet bolts bones boneskull bootstraps borderwidth borrower
-boss bounced boxplots bplist bracecc bracked brackety brain brainhub branched branchname brandchecks brands breadcrumb breaker
-breakpionts breath breathing brendanashworth brettkiefer brew brightness brinkhoff broadcastchannel bryan bsnet bucketed budgets
-bufcomparetarget bufferkmaxlength buffillvalue bufindexofvalue bufio bufslicestart bugtrack buildable builddate builddir
-buildsystem buildtime bulletin burmesedict busday busdaycal busdaycalendar bust busybox buzzword buzzwords bwalton byref bytesize
-bytestream byteswapped bzero cacholong cactus cadence caeen cairo caja calamandrei calcurco calebboyd calibrated callability
-calloc callorder calltip calories cambridge cancellations canonicalised canst cantor canvheight canvwidth capfd capitalizations
-capitalizing capitlaztion capsules capsys capturemanager caribou carterbancroft carve caselist catalyst categorizing catering
-catgets cavity cbname ccedil ccid cctx cctxt cdefs celestin cellcolor censure centering centrally cern certify cevans cext cfrg
-cfws chainmap chakra challenging chandan changesets chanop chaotic charactes chararray chararrays charhndl chari charles charname
-charnames charrefs cheapest chebfit checkin checksumming cheers cheetah chema chenged chexiongsheng chiaki chief childprocess
-chinese chksum chlorine choise chomping chooser chrisforrette christophe christopher chunky cimag cipherupdatedata circuiting
-circulate circumference circumvention citizens civilized cjdict clakech clamps clap classdef classdict classifiers classifying
-classnames classobject classprefix classvar claudiorodriguez clearfix clength cleverly clinic clint clips cllang clockwise
-clongdouble closebracket closers cloth clues clumps clumsy clunky cmath cmds cmnt cmph cmpkey cmsmcq cname cobbled codecontext
-codeloc codepages codings cogroup cohaesio coincidental coker colab colaborators collapses collate collations collectable
-collinearity colloquialism colnames colormaps colornames colorsys colspan colspec columnwise combinatorial combinatorially
-combobox comfort comm commandprefix commandstring commencement commentchar commissioned commodo communicates compabile compacted
-compacting compartment compatability compensates compete completekey complexes complexfloating complexities complicates complied
-compositing comprehensively compressible comprising compromising compsoc comrade concated conceivable conceived concentration
-concludes concretize condensation conditionalized conducting conectado confcutdir conference configdialog configfiles configuation
-configurator confir conflated confloat conformer confronted confusable confval congestion conjugated connectable conservation
-conservatively consolas consolidates consortium consternation constistency constituencies constructive containerised contaminate
-contaminating contentful contentype contibuting contracting contractual contrasts contravene controlnet contructor
-conventionalized conveyance conveys convinces convincing convolutions cooking coordinator copiable coprime copyswap copytree
-corelist cornelius corporate corrcoef correspondingly corret cosh cotangent countermanded courier courses cousins covenant
-coverdir cppmacros crack crammed crawl crazily crcc creal createcount creationdate creationflags creds creisle crippling criticism
-crossed crossedout crosshair crow cruelty crunch crux cryptogetcurves cryptogethashes cryptokey csingle csname cssfile ctext
-ctxtdoc ctxtflags ctxtnode cultures cumcount cups curlies curlm curpad currentframe cursed cursors cvar cxreg cybernetic cyclical
-cyeoh cyphar czyborra daddr daemonising daemonize dagolden daimi dajobe dale damercer damned dampening dandy dans danshu daomingq
-darin dario darkstar darren datanerds datanode datapoints datas datasize datastructures dataurl datefmt dateoffset davidge davidr
-davis davisjam davkor daynum dbachko dcharbonnier dcommit dctx deakin debchange debianised debianutils debootstrap decadent
-deceiving decipheriv declension decompose decorations decoupled decreasingly decree decrefed dedented dedupe deepcopyable deepen
-defaultdicts defaultfmt defeating deferral deficiencies deficiency defn degradations deinit deinterleave deletable deliminator
-delimitting delimtter delint delurk deluser demanding demote demultiplexer denies denizens denoising densifying deokjinkim
-deoptimizations deopts depart departure departures depict deques deraadt dereferences deriv descendents describename
-descriptiveness deser designators desolation desperation destined destpath destructing desugared detailled detailyang detectors
-determinable determinant detract devmajor devminor devn devnexen devpts devs dexterleng dflt dgrams dguo diameter dictate
-dictitems diet differenced differencing diffutils digestmod digikod digip digitize digs diligence dilly dimspec dingbats dinwoodie
-dircmp dire directional dired direntparentpath dirfd dirhandle dirichlet dirnames dirpath dirstat dirsymlink dirtiness
-disassembling discern discont discontinued discontinuous discord discount discoverability discretionary discriminatory disjunctive
-dismissive disp disparity displacement displayable disposing disposition dispositions disrupting distorted distressed disused dive
-divergent diversity divisional divlo dladdr dlloads dnat dnsreverseip dobey docfd dock docreturn docsign docsignature docsignopt
-docstr docstrsigns doctag doctor doesnt dollars domained dominates dominikeinkemmer donating dooteo dotfile doubtful doug
-downcasted downloader downright downsample dpaulino drabczyk dramatization drawable drawables dropout drwxr drwxrwxr dselect
-dstoffset dston dtext dtoa dtsen dublication duempel dulls dulmandakh dumbdbm dunno dupe duracef dwelling dwitte dyld eaddrinuse
-eaglescrag earthian ebickle ebpf ebtables economy eden edgarzapeka edgecase edifact edimitro editline editting education edward
-effectless efficios egginfo eigenvectors eigh eigvals eigvalsh ejecting ekiuusi elaborates eladkeyshawn eldecl elementary
-elementwisely elephant elfutils elicit elide elise elision elle elname elsir elts emailing emanuelbuholzer embargo embarrassing
-embarrassingly embedtest emergency emirgoren emphasized emplace employs emulator enchandler encloses enclosure encyclopedia
-endcases endcsname enddate endfirsthead endfoot endhead endidx endl endlastfoot endsubroutine engage engelschall enhances
-enhancingperf enormity enquire ensimag entersub entrance eols epeden ephemeralkeyinfo epic episode epita eprice eprogress epsilons
-epsneg equipment equipped erbose eriberto eriol errant errantly errcode errctx errnos errorbar errout errstate escapses
-eslintignore esmodules esoteric esperi estoppel estrada eternity ethan etype eudaimos eungkyu euskalgnu evalbytes evaling evalled
-evantorrie evdns evens evgsyr evident evolution evolves evport examines exceedingly excep excepthook exceptiongroup excerpt
-exchangeable exchanging excise excised excited exciting excludelist execption execve exempted exhibiting exising existings
-expandafter expanduser expatreader expended experimentally experts expirationdate explaination explainer explanatory explcit
-explicitely explodes explorer explores explosion exportselection expressively extensibility extkeyusage extraargs extracount
-extractor extradata extraglobs exts eyeballing eyes fabi facades facundo fade failfast failover faint faintest fakeing
-falguniraina falsandtru fancontrol fancyvrb fangorn fans fansworld fare farin farthest fastcall fastpaths fatahn fatalerror father
-faux favors favoured favours fboxrule fboxsep fchmod fcrozat featured february fedora feedparser feng feof fetchmail feugy fext
-ffitype ffmpeg fftfreq fftn fget fgrep fichiers fictionalization fide fieldnames fifteen filelike filemodes filenaming filesizes
-filespec filetest filetypes filing fillcolor finals finditer finf fingernails fingerpint fingerpointing fini finitely firewalling
-firstfloor fisker fitblk fixe fixpoint fixturedefs fjau flakes flarna flasy flatnonzero flatter flesh flickering flickz flier
-flies fliplr flipud floatpart floored floppy florian flour flowlabel flux flyweight foaf focusing folk fone fontconfig fontname
-fool fooref footguns footnotes forall foresee forgetting formality formating formline formulate formulated fortranname
-fortranobject fortuitous fortunate foxxyz fprintks fprints franc francois freakmail freemail freenode frekui frep freqstr
-freshness fribidi friction friday friedman friendlier frightening frmo frodol fromisoformat frompyobj fromutc frontpage frowns
-frozendict fschmodpath fschownpath fscopyfilesrc fsfstatfd fsftruncatefd fsfutimesfd fslstatpath fslutimespath fsmkdirpath
-fsmkdtempprefix fsopendirpath fspromises fspromisesrmpath fsreadfilepath fsreadvfd fsrealpathpath fsrmdirpath fsrmpath
-fsrmsyncpath fsstatfspath fsum fsutimespath fswatch fswatchfilename fswritevfd ftpd ftplib fudge funcdef funclist funman funs
-furthermore fuzzyman fweimer gabriele galina ganil garantee garrett garrik gateways gaudy gauss gaussians gawk gdccwxx geirha gelu
-gemm gencode generalised generalizations genericalias genexps genfromtxt genitive gens genus geopandas geospatial german getconf
-getconnections getegid geteuid getfullargspec gethostent getitems getlines getlocale getmaskarray getmembers getnodeversion
-getpass getpgrp getpwnam getrandbits getrefcount getsockname getstate getstringwidth getuai getuid gforth gibberish giffunip
-gimmick gimp giorgio gitattribute gitcvs gitlinks globalest gmane gmap gmtime goat goodlines gorcunov gotparents gotta gourd
-governor gpgv gpus graalpy grabbag grammatically grammer grandfathered graphviz gravitational greediness greffrath grenoble greyed
-gridded gridspec grimrose gross groupnames growable gsettings gstreamer guillaume gurgunday guus guys guzhizhou gwer gypfile
-gyptest gzappend gzjoin gzlist gznorm gzread hackbunny hackers hackiness hafiz haible hairiest hallon halts halving hameleon
-hamming handleless handlescope handlings handsets handshakedone hangup happier hardcoding hardlinking hardwiring harms hashables
-hashbang hashchar hashmarks hashrefs hashtables hashtag hasnote hassaanp hate hdev hdfs headache headed headerless headersonly
-headline headp headrev heapify heappops heappush heaps hefangshi hegbloom heiko heir hellug hemanth henceforth hereinafter hereto
-hermes hermite hevanet hexagon hiearchy hiertype highlab highlighters hilbert himadriganguly hinted hippo hirabhullar hiroki
-histogrammed hkps hline hmacupdatedata hnaulet hndl hogweed hoist hoisted hoisting holdable holdovers homogeneity homosaur
-hookimpl hookspec hookwrappers hoped hopes horihiro horrific hostmask household houses hovers hsys htmldir httpclient httponly
-httpresponse huawei huffman humanwebpl humbly hunger hurting husbandry hveldstra hwaisiu hwnd hybrid hylke hyperair
-hyperparameters hyphenated hypofuzz iana iandrc iano ices idempotently idiosyncrasies idrlogin ifft ifftn ignoremask ignorenulls
-ignoretz ihaohu ihfft iliad illegalproto illiad illustrating imaplib imaps imatvieiev imbalance imbricated immaterial imminent
-immortalize immortalized immprove immunity impasse impending implem implicating implicits impls implying imporove importances
-imposing impossibility impracticable impurity inadvisable inanimate incantation incept inch incident inclined inclusively
-incomparable incompletely incpaths indemnification indeterminacy inducement indutny indx inelegant inert inexistent inferences
-inferno inflating inflect inflecting inflection inflectional inflections informally informations inftrees ingredient inhibited
-inialization inifile initailized initargs initiatves initpromise inkey inkstain inlineable inlines innovation inokawa inoperative
-inputbox inputenc inputted inquiries insecable insertofftime insertwidth insidious insightful insignificant insofar instantiable
-instantiations instantized institutes institution instruc instrumented insures intc integrators interactivity interal interceptors
-interchangeable interconverted interdependent interferes interlace interlacing internalize interns interpolator interruptible
-intimidating inum invalidcmd invalidcommand invalidcontinue invalidly invariance invasive inversed inverses investing invite
-invited invocant iobinding iodev iomanip iomark iowait ipaddr iphlpapi ircs ireq iris ironically irremediably isalnum isarray
-isbuiltin ischroot isclose iscomplex isdecimal isdigit iset isfile isfunction ishell islands islower isnans isneginf isnogud
-isnumeric isocalendar isomorphically isposinf isprint isprintable isrequired isspace istinson istitle italo itch itemized
-iterability iterindex iteritems iternext iters itershape ithreads itname itokens itshape ittapi itty iuculano ivars iwyu jaggy
-jail jain jake jamey janak janky janl janriemer jansson jarring jars jarvinen jaspal javadoc javawrapper jawnsy jaxyz jazelly
-jazzfree jcapik jcristau jdong jedireza jeremie jeremy jeyanthinath jfleck jgrulich jiahao jiangplus jianmei jiffies jinja jinlabs
-jkeenan jklepatch jlvivero jmmv jmpbuf jnareb joanne joaocgreis jobala johnp joinable jonas jones joost jose josep josephleon jour
-jpaulptr jpersson jpype jsdoccomment jseagull jstest juang judicious juergh juggle juggling julianjany jungkumseok jure juri jury
-justifiable justifications justshiv jython kailash kallal kana kappa karger karlheg karlsruhe kasal kbps kbuchcik kchowksey keble
-keescook keeysnc kelemeng kemsa kennethreitz kenzo keycodes keyfiles keyids keypair keyservers keystore keyval khali killer kimown
-kindly kippesp kislyuk kiyomizumia kjahds kjetilho klaralvdalens kloczek klogd klomp kmuto knock knot knowledgeable knownfiles
-kobelb koki kolac kolumbus konrad kotlin kresimirfranin krypto ksba kubota kumar kumarrishav kuroljov kwonlydefaults labelanchor
-labelwidget laddr lagged lags laguerre laino lakatostamas lanes laodict largefile largepage largepages lastly lasttext lasttsize
-lasttuse latents latexdocstrsigns laughs lawsuits layered lays lazlojuly lcfirst ldconfig ldexp leakcheck leaky leapdays lede
-leeway leftwards legacypath legends legible lemire lena lender lengthened lesson levenshtein levon levsoroka levsthings lexed
-lexeme lexemes lexername lexicals lgtm libarrow libary libaudit libcbor libcrypto libdbus libdw libdwfl libebl libelf liberally
-libexpat libfakeroot libified libifying libintl liblog libmagic libnet libnettle libnsl libout libpam libpipeline libplatform
-libsemanage libsensors libsodium libthai libuuid libvirt libxcrypt libz licences licensure licquia lifelogs lifo lifting lightlink
-liking limbo limiter lina linaro linearize lined linenos linenum linenumbers linger linguistics linkgit linkhood lintian linuxbe
-lira listcomp listitems liusi ljust lldb lnotab loadfile loadurl loan localtimes lockstep locomotion logariphm logcat logica
-loglog logx logy longhand longlink longlist longname longobject longrightarrow lookaround lookuperror loser lovely lrange lrowe
-lseek lshift lspan lstripped lsuffix ltgt luca lucasg luminance lundibundi lutimes lvals lyrics machep macke macula madflow magnet
-magnitudes mailfrom mailinfo mailinglist mailrc mails mainland maintype makeatletter makeatother makemaker makeover maker malcolm
-malformation malfunctioning maliciously mandir manifested maniread manowar manywrites mappable mappingproxy marcos markdowns
-marketplace marshaling marshaller marsupial maskedarrays masochistic massaging matchin materially mathbf mathcal mathematic
-mathforum mathias matijagaspar matlib matrics matrixmultiply matteo matthew matthijs matzavinos maurya maxbuffer maxdata maxexp
-maxheaderlen maxim maximally maximizes maxlevels maxlines maxpath mayank mbnet mckinstry mclasen mcseshu mdaum mday meat mechanims
-mechanix mediatype melting memb memoization memoizing memorandum memorized menubar menubutton menudefs mercenaries mergeable
-merger merlin mesg meskes messageerror messageheaders messagesocket messagetrailers messed metachars metainformation metal
-metaphoric metaprogramming metastore metavars meters metonym mfrance mget mhoffman middot midpoints midyear migrations mikeal mild
-mileage millennium millisec mimalloc minchan mindrot minexp minheap miniature minifying minigzip minilop minima minimise minimist
-minimization minimumwidth mining minio minsize mintypecode minutely miod misalign miscalculation miscompilation misdesigned
-misestimation misguided misinterpreting mislabeled misparse mispasting misprint misterpoe mistyping misusage mitchell mitigations
-mixins mixtures mixup mkdcodecache mkdirp mkdorff mknyszek mktree mkuhn mmapped mmisiarek mname mnemonic mnemonics
-mockmethodobject modems modernise modernizing modifcation modpending moduledef mojibacked mold momentum monday money moniker
-monochrome monospaced monsanto morally mornfall morning morphology mortalized mortem motivating motives mouseclick movementarian
-mpfr mprotect mprovement mput mrab mrecarray mrgorbo mroth mrsam msgctxt msgid msgrcv msgsnd mskala msmichellegar msvcc msys
-mulitple multiarch multicol multiindexes multilabel multindex multiplications multiplicities multiprocess multiset multitude
-multivalued munla muscle mvoid myalloc myfree myfunc myhost myinternet myllynen mypack myproto myprove myriad mytable myth myvar
-mzucker nagayasus nagaysau nakashima namelist namespce nanj nanmean nanmedian nanpercentile nanquantile nanxiongchao naortedgi
-naptr narrowly nathias nation nats natsort navigability nbar nbaz nchecks ndarary ndbm ndframe ndpointer neat neatly necessitates
-necessitating negep neglect negotiations neighbors neighbour neighbouring neps nessie nestable netbase netconnect netconnectpath
-netconnectport netexpress netheaven netsoc nettofarah neuf newfile newish newparent newparents newshape newsub newvalue newver
-newvers nextitem nextstep nextval nfixedargs nhoel niche nike nikoladev ninth nion nisi nisses nlargest nline nllobera nlocals
-nobse noclobber nocorepack nodedownload nodelay noelamac nofargs nofwayy nomeata nominate nominative nonbreaking nonchar
-noncompliance nonconforming nondeterminism nonexistant nonpm nonpositive nonreference nonrepeated nonterminals nontrappable
-nonzeros noops noperfctr nopreproc nops normalisation normalperson north nospam nostalgic nosuchcommand notarytool notions notnull
-nototalargs nowait npass nprint npts nsmallest nstepien ntotalargs nttdata ntuple nuances nuclear nuke nuked nulla nullary nullify
-nulp numchildren numdata numerate numerators numification numified numpad nver nwin nwrapped nyorain oala obituary objdump
-objected objecttype objfiles obligate observance obstacles obtuse occupy occuring odds odict odin offenses offerings officers
-officialized officials offvalue ofir ohlc oidset oldhunk oldline oldsub olysonek omega onboard oncreate ondata oneletter oneliner
-onend oneshot onexc onvalue opargs openai openbracket openhook openssh openvz opnumber oppose opposition optdict optimisations
-optimise optimiser optimistic optionality optionnal optionnally optionsstdio optrees orcus organizationally origination originator
-osadl osame oscrypto osdl osher osname ossi otte ottype outcnt outdent outlist outliving outmost outname outward outweighs outwin
-overestimate overflown overloadable overread oversight oversized overspecified ovflowd owed ownerless ownself oyvindln packbits
-packer pacman pagefile painfully painless pallxk palm palmires panicking paralleled parallelizable paramater parameterise
-parameterised parameterset parametrised parametrizes paraphrase pare parlance parms parseaddr parsearg parseargs partialmethod
-particulars partitioner partner pascal pasre passably passwort pastak pastebin patchcheck patchfile pathdirnamepath pathinfo
-pathing pathologically pathsep patience paul paves peaks pedagogy pedantic peeking peername pegen pele penalized pencolor pengjie
-penultimate percdamp perchannel percolator perfidy periapt periodical perlbrew perlbug perldata perlform perlfunc perlhacktips
-perlhist perllocale perlmod perlmodstyle perlmroapi perlnewmod perlobj perlop perlreapi perlrecharclass perlref perlrun perls
-perlsec perlsyn perlunicode perlvar perlvms perlxs perlxstut perusal perverse pessimistic petere peterw peterwmwong peterz
-petkaantonov peze pezhmanparsaee phased phcoder phenomenon phijohns philb philipc phillipoux phisixersai phonorecord phonorecords
-phrasebook phrasebooks pickers pickletools picon picoseconds pidx piepmatz piers pimterry pingpong pink pioneered pipesize
-pitfalls pkcs pkgname pkgpath pkgs plainer planes planet plat plate plates platlibdir pleasing plexus plink plistlib plists
-plugdev plugging pluginmanager pluralization plurals plusses plutil pmarchini pmount pnpx pobj podchecker podpage poet pointee
-poisson polls polly polyadd polyder polygons polyint polysub polyutils polyval pooja poolmanager poonlap poorvitusam pornin
-portmap posexplode posinf posixrules possessing possession possessives possibilty possibles postderef postfixes postgres
-postgresql postremoval postrm potatoes potham pouf pound pounds poutch powered powershell ppcle practises prcoess prebuilds
-precalculated precedent precepts preclude precomp precomposed predefine predetermined preempted preemptive pref prefering
-prefixlen premodified preparatory prepped preremoval prereqs presumes pretokenization prettiest prevails preveen pricacy prihateam
-primed principals printks prio prioritised priors prism prize prng probed probings processable proclaims procuring prods profanity
-professional professionally profilee progbits programme programmed prohibiting prohibition prohibitively promotions proptest
-prospective protcol prototyping provokes proximity proxying pschiffe psmidx psuedo psychic ptar pthreads pubid publicsuffix
-pulsing punch punitive puppy purdue purse purvis pusher puskin putative putter putters pvalue pwpattern pybind pycacert pycs
-pydate pydocsign pydocsignout pyfiles pygettext pylab pylexer pylib pylist pymalloc pymodeline pymysql pyobjfrom pyodide pyston
-pytestmark pythons pyxlsb qcut qianyue qinjia qlinear qmail qmax qmin qnames qquad qtconsole quacks quadrants qualification
-qualifies qualifying qualitymanifest qualnames quantifying quantizer quantizers quantum quarrel quelltextlich queryables quickfix
-quinlan quirkster quis qunatize quorum quotations qwertyuiop qwertzuiop rachelnicole racily radd radically radviz rafael ragnar
-rainabba rajatk ramp randint randn randombytes randomfill randomizing randomuuid randrange ranging raozuzu rargs rased rates
-ravelled rawdata rawend rawhide rawstart raymond razvanbh rbalint rcpt rcpttos rctype rdds rdeterministic reacquire reactos reacts
-readablemapfn readablereadsize readback readble readin readings reak realigned realise realistically realization realized
-reallocations realpos realwakka reapplying rearm reattaching reauth rebalancing rebooting rebrand recalled receivers recency
-recheck recieve reciprocals reclaimable recognisable recognizable recomputes reconfiguring reconstructor reconvert recreates
-rectangles rectify rection recursionlimit recursivity recycle redaction redeclare redesigned redferni redir redirrect redisplay
-redownload redraw redunant redundancies redux reenable reentrantly reentry reevaluate reevaluated reexamination reexposed
-refaliasing refcnts refector refed referential refguide refill reflexive refold refraining regain regenerating reget regexs reggi
-regluar regularizer rehashed rehype reified reify reimplements reimport reineke reinject reinjection reinsert reinterpretation
-reinterpreted reissue reiterate rekey rekindling relabeling relaunch releveant relic relief relieved relocate reluctantly
-remainders remapped remarks rembo remediated remnants remoteport renamer renderers renormalization renumbering repacker reparsing
-repertoires repetitiveness replacelist replcae reportedly reposted reprcrash reproducibly repurposing requestenddata requestor
-reread reroute resampler resamples rescanning rescheduled rescue resent reservation resids resigning resizemode resizes resorted
-respectable respectfully restartop rests resurrecting resurrects retesting rethrows retr returncptr revalidate revcount reversible
-revive revmax revoking rewrap rewrapped rewriter rfer rfftn rfile rformat rgoldwyn rgoodwin rguyom rhalldearn rhetorical rhodri
-rhubarb richardc richcompare rick ride riftio rigel rightwards rikapo ritchie rjust rlidwka rlimit rlogin rluvaton rmail road
-robbe robertkowalski robie robots rogertyang rogue rollovers rolls ronald rooms roozbeh roperator rosaxny rosslagerwall roth
-roundtripped routinely routnote rowcolors rowspan rowvar roystgnr rpath rpipe rpolli rpow rrichard rrod rstrip rsuffix rubikscraft
-rubric rubys rude runeval runtests rush rushing russell rvals rwlock saavik sacrifices safekeep saferepr sagirk sail salsa salted
-salvaged salvatore sames samshull samyuktaprabhu sanctioned sanitised sanitizes sanitizing sartrey sashes satisfaction savestack
-savez saxutils saybye scabhi scalarref scalartypes scarcely scene scorecard scrap screenful screws scrub scrubbed scrutiny sctypes
-seagetassetkey seantcoyote searchlist searchpath searchphrase searcy seas seberg secondly sectioned sectors securable sedation
-segv seishun selectmode selenic selfdot selfsigned selftests semicircle semiconductor semis sendall sendmsg sentiment seperated
-seperately sequene sercan serf sergi servants serverless serverlistenpath serverlistenport servertimeout serviced sess
-sessionfinish setdims setegid seteuid setfield setflags setlength setpgrp setproctitle setregid setreuid setxattr seventeen sever
-sexual sfeltman sfllaw sftp sgid sgreylyn shade shaky shaman shapely shark sharkfisher shasum shasums shawn shay shear shelved
-shiftjis shoe shoes shoulder shouldn shoveling showemail showerror showroot showwarnings shred shrinkwrap shtool sidwebworks sieve
-sigalgs sighandlers sight sigmas sigmoid signatured signbit signedness signupdatedata sigwyg silences silver similarities
-simplefilter simplfied simutf singly sinh sinkhaha sitecustomize skdltmxn skelother skenqbx skil skitt slant slashed slaves slept
-slider slipping slogdet slomo slope slurpy smartmatch smash smiles smiley smitley smoketest smooths smtpd snapgear snappy
-snapshotable snapshotting sniffing snowball sntech socat sociomantic socketbindport socketbuffersize socketenddata socketunref
-socktype softint softirq solebox solie somaxconn someobj somestring songofacandy sono sore sortfunc sosnowski sotimeout soul
-sourceless sourcepole south southern spacer spaillard sparcs sparingly sparkplug sparsifying spearce specializes specials species
-specifiable specificities specifiying spectacular speech spew spewed spinbox spiral spirals splain splat splitext spotlight spots
-sprinkled sprinkles sprintfk spruce squaring squashes squeezable squid sramacher srand srid sshfs ssleay sslkey sslobj sslproto
-stabalize stabilized stabilizing stablility stacktraces stackviewer standardise standardizing standin startfrom startpos
-startupinfo starving stashes statbuf statespec statfs statuscode statusmessage stddef stdev stdoff steady steam steel stef
-stefanha steffen stereo stilted stitching stmts stokingerl stomp stopwatch stor straddles strand stratification strcat streak
-streamable streamlike strengthened stricten strictqual striding strikes stringwise striped strives strls stroeder stroke strset
-strstr struktur strvec stubbed stuffing stupidity stylers stylistically stylized subarr subdividing subdomain subdomains subdtypes
-subelement subf subfunctions subgenerator subgraphes subheading subhelper subitems subjected subjective subkey sublexers
-sublicence sublinearly sublistout submitters subn subobjects subparser subparsers subppattern subpragma subprojects subrahmanya
-subsampling subscripting subsecond subsections subsetted subsetting subsidiaries subspace substantiated substates subthread
-subtleties subtractions subversions subvert succumb suid suidscript suitename summarise summarization summarizer summations sunday
-sunder sune sunos supelec superficial supermodule superordinate superordinates superscripted superuser supplant supplier
-suppressible suppressions supress supriyo suraiyah surbhirjain surenb surviving susantruong sutangu swapcolors swaplevel swarm
-sweep switchover sylkat syms synchronisation synchronizer synchronizes synchronizing sysadmins sysid syskonnect syslogd sysroot
-systemerror szabgab szmarczak tabbed tabulate tabulatedreams tabulation tadhgcreedon taggername tails tainted takato takeable
-takefocus tama tamper tangible taniquetil tapx targetname targetpath targuments tartley taskmgr taylor tblexer tbroyer tclsh
-tcondition tdirection tdyas techinical teco tege teich tejbirsingh telenord tellnes telnetd tembel tempering templated
-temporariliy temps tensorflow tensorinv tensorsolve tentatively teppeis teragram ternaries testbed testfile testharness testmod
-testpy testzip textbox textcolor textvariable thangamabob thecodrr thee thelady themed themez theraven thickness thijsschreijer
-thine thlorenz thomasvoss thrashing threadlocal thumbing tianjia ticketing tickprocessor tidier tidily tiebreak tierlist tiff
-tigert tiktoken tiled timathon timcosta timecnt timescale timestr timestring timothy timruffles tiniest tinkering tinyint tired
-titlebar tjhsst tkorbar tmps toascii tobewhatwewant toboid tobyfarley toggling tokendef tokenise tokenizes tokensource toknum toks
-tokval tomb tomfa tongue topicalizer topo topology topping tops torchaudio torchscript torchvision torque torture tottokotkd tour
-tourist tourists tpanthera tpurcell tracingchannel trackercallsfn trackers trader trampling trange transcribe transcript transit
-transitional transitioned transitory transliterates transporting trapezoid trapezoidal trappable trashed travels trebor treeish
-treemagic treeview trend trends treturn trevnorris triangles trig tril trimcoef triodef trionan triop triostr tristate triu trolle
-trott trouv truncator trustcor truststore trylast tsabolov tshemsedinov tslib tspan tsplot tstamp tstate tstr ttips ttis ttys
-tuffbizz tunnelled tuplet tuplize turkish turtleshape tutopia twalljava twchn tycho tyhicks typecast typechar typecodes typeface
-typefix typeglob typeglobs typehints typeid typeinfo typemaps typenames typestring tyranny tzoffset tzpath uaade uaadf uabcd uabeb
-ubcda ubound uclibc uconn ugultopu umatoma unaccepted unaccompanied unadded unadvisable unannotated unavoidably unbackslashed
-unbinds unblessed unbreaks unbuffer uncancelled uncatchable uncheck uncloneable unclutter uncomfortably uncompr unconsciousness
-unconventional unconverted unconvertible uncorrupted uncounted uncurried undefining undeprecate underbar underlines underling
-underspecified undertaken undiagnosed undoes uneditable unexec unexecutable unexpanded unexport unfamiliar unfit unfixable
-unfledged unfolding unicon unidata unidiff uniformity uniformness unifying uninstalling uninterpreted unintialized unionobject
-uniset unisoft unitializing unity unixbeard unixfrom unknowns unlabeled unlexed unlinking unlockable unlucky unmarshalled
-unmarshaller unmasks unnest unowned unpackbits unpackings unpadded unparameterized unparse unparseable unpickles unpin unpopulated
-unproportioned unquantized unread unreal unrebased unrecorded unredacted unregistering unreifiable unresponsive unsets unsightly
-unsignedinteger unsolicited unsort unsortable unsplit unsqueeze unstyled unsurprisingly untestable untoward untrapped
-untrustworthy unusually unverifiable unverified unweaken unweakened unweighted unwelcome unwrappable unzipped uops upcasted
-updateable uphold uploadpack upto upweight uranusjr urged urlchar urlsearchparams urlsplit usec usecol usecomp usemask useragent
-usetabs ustar utempter utilise utimbuf utmp utoff uttampawar uuencoders vaguely valente validatecommand validateport valueless
-vanish vanishes varchar vardebuginfo variably variale variates varkw varrformat varshowvalue vcbuildbat vcbuilt vcinstalldir vctxt
-vdot vectorizing vegetable velocity venvs verbous verge verifications verifyupdatedata versioncheck versioneer vespa vested
-vestigial veto vetted vfat vfork vforks vgoyal victim videolan vigenere vilner vintage violating violently virtuozzo viscii
-visitors visits visualisation visualising vitpavlenko vmap vmoroz vmsperl vobj voicenet voids voidspace volunteer volunteered vous
-vpodzime vscode vstring vtune vulns vuntz vuorela vuthi vybiral wacky wakes wakeups walkers walls walter wangzengdi wanna
-wantobjects warmly warsaw warts wary watchman watilde wayland wbond wbrack weakened weakness weaning weapon webcast webmaster
-webpage wedge weibull weigh weighing weirdness welcomes welcoming wellnhofer wenjun wenningplus whatsnew whereabouts whines whip
-wich wierd wiggy wijiji wikis wildcarded wildebeest william windspeed winerror winget wings winning winreg witteveen wlen woefully
-wonky woody wordchars worded wordings wordy workdir workerthreadid workstations worldbroken worm wrangling wraplength writablecork
-writableuncork writeability writebackifcopy writefile wstr wurde wuweiweiwu wxcvbn xclip xcodebuild xcrun xdelta xefimx xemul
-xfailing xgettext xiaoyu ximian xlsb xlsx xmalloc xmax xmin xmlapp xmldecl xmldsigverify xmllint xmlreader xorgproto xpass xperf
-xsbchen xscrollcommand xsel xsubs xterms xtick xunit xusers xxth xypron xyzabc yadd yamllint yandex yarnpkg yarr yathamravali
-yersen yggdrasil yhbt ylabelsize ylim yogeshwar yoshfuji yoshimoto yotamselementor younger yourfilter yourformatter yourlexer
-yourmodule yourselves yourstyle yozian yrot yscrollcommand yticklabels yuriettys yylex zapping zcbenz zconf zdump zeroeth zeropad
-zeropoint zhmushan zigo zilch zinfo zinosat zipapp zipinfo zipnote zipping zipsplit ziyun zlibbyteswritten zlibflushkind zoslib
-zoubin zougloub zugschlus zveno zxcvbnm""".split()
+The public vocabularies are files of tokenizers, ordered by frequency; `paths` names others. Words of a
+corpus are counted in Spark, by documents, where no key word or user name announces a secret.
+"""
+
+from __future__ import annotations
+
+import base64
+import math
+import unicodedata
+from collections import Counter
+from collections.abc import Iterable
+from functools import lru_cache
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SHORTEST, LONGEST = 4, 24
+#: A corpus gives its most frequent words, of those in at least LEAST documents.
+MOST, LEAST = 20_000, 5
+#: What reads like a word: at most PARTS entries of three letters or more, or letters that follow each other
+#: with a mean log10 probability of LIKELY or more. Of random lower-case values, 8 in 100 of 6 letters
+#: do, 4 of 8 letters, 1.5 of 12; LIKELY was chosen on some 64 words of four languages, tests' words among them.
+PARTS, LIKELY = 3, -1.6
+#: What may hold a secret, in lower case: a key word and the word after it, a URL's authority.
+SAID = r"""(?:passwd|passwor[dt]|pwd|pass|passphrase|passcode|secret|token|credentials?|key|bearer|pin)["']?[ :=]++(?:is )?+\S++|://\S++"""
+
+
+def default_paths() -> tuple[str, ...]:
+    import public_tokenizers
+
+    return tuple(public_tokenizers.path(f"byte_bpe_{name}.tiktoken") for name in ("50k", "multi_50k"))
+
+
+@lru_cache(maxsize=4)
+def pieces(paths: tuple[str, ...] = ()) -> dict[str, int]:
+    """Entries of letters only, in lower case, with their best place in a file; those that start a word keep a space."""
+    out: dict[str, int] = {}
+    for path in paths or default_paths():
+        with open(path, "rb") as lines:
+            for place, line in enumerate(lines):
+                text = base64.b64decode(line.split()[0]).decode("utf-8", "ignore").lower()
+                if text.removeprefix(" ").isalpha():
+                    out[text] = min(place, out.get(text, place))
+    return out
+
+
+def listed(paths: tuple[str, ...] = ()) -> list[str]:
+    """Entries that start a word, most frequent first, ties by name."""
+    found = pieces(paths)
+    return sorted((w[1:] for w in found if w[0] == " " and SHORTEST < len(w) <= LONGEST + 1), key=lambda w: (found[" " + w], w))
+
+
+def counted(docs: DataFrame, most: int = MOST, least: int = LEAST) -> list[str]:
+    """Lower-case words in at least `least` documents of `docs`, by number of documents, ties by name; at most `most`.
+
+    A document counts once for each word; what may be a secret (SAID) isn't counted, however many copies there are.
+    """
+    told = F.regexp_replace(F.lower("text"), SAID, " ")
+    word = F.explode(F.array_distinct(F.split(told, r"[^\p{L}\p{M}]++"))).alias("word")
+    often = docs.select(word).filter(F.length("word").between(SHORTEST, LONGEST)).groupBy("word").count().filter(F.col("count") >= least)
+    return [r.word for r in often.orderBy(F.desc("count"), "word").limit(most).collect()]
+
+
+def ranks(*lists: Iterable[str]) -> dict[str, int]:
+    """Best place of every word in any of the lists, from 1."""
+    out: dict[str, int] = {}
+    for words in lists:
+        for place, word in enumerate(words, 1):
+            out[word] = min(place, out.get(word, place))
+    return out
+
+
+def _folded(word: str) -> str:
+    """Lower case, without accents."""
+    return "".join(c for c in unicodedata.normalize("NFKD", word.lower()) if not unicodedata.combining(c))
+
+
+class Speech:
+    """What words look like: entries of the vocabularies and `more` words, and which letter follows which two."""
+
+    def __init__(self, more: Iterable[str] = (), paths: tuple[str, ...] = ()):
+        self.entries = {*(p.strip() for p in pieces(paths)), *more}
+        self.threes, self.twos = Counter(), Counter()
+        for word in self.entries:
+            for three in self._chain(word):
+                self.threes[three] += 1
+                self.twos[three[:2]] += 1
+
+    @staticmethod
+    def _chain(word: str) -> list[str]:
+        edged = "^" + _folded(word)
+        return [edged[i:i + 3] for i in range(len(edged) - 2)]
+
+    def _parts(self, word: str, most: int) -> bool:
+        return word in self.entries or (most > 1 and any(
+            word[:i] in self.entries and self._parts(word[i:], most - 1) for i in range(3, len(word) - 2)))
+
+    def reads_well(self, word: str) -> bool:
+        """Whether `word`, of letters, looks like a word of the languages of the vocabularies."""
+        chain = self._chain(word)
+        if len(word) <= 3 or len(word) > LONGEST:
+            return len(word) <= 3
+        odds = sum(math.log10((self.threes[t] + 0.05) / (self.twos[t[:2]] + 1.5)) for t in chain)
+        return odds >= LIKELY * len(chain) or self._parts(word.lower(), PARTS)

@@ -1,5 +1,7 @@
 """Base secrets against Python's matcher; guess costs; redaction; edges."""
 
+import math
+import random
 import re
 from collections import Counter
 
@@ -7,7 +9,7 @@ import pytest
 from llm import helpers
 from pyspark.sql import functions as F
 
-from nextpick.llm import secret_scan
+from nextpick.llm import secret_scan, words
 from nextpick.llm.spans import touches
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -140,7 +142,9 @@ def test_values_that_are_no_prose_are_still_secrets(spark):
 
 def test_listed_words_are_cheap_and_ranks_do_not_repeat():
     assert all(secret_scan.guess_cost(w) < secret_scan.MIN_GUESSES for w in ("policies", "incorrect", "managers", "Optional"))
-    assert len(secret_scan._RANK) == len(secret_scan.COMMON) + len(set(secret_scan.WORDS))
+    ranks = secret_scan.default_ranks()
+    assert set(ranks) == {*secret_scan.WORDS, *words.listed()} and min(ranks.values()) == 1
+    assert words.ranks(["b", "a"], ["a"]) == {"a": 1, "b": 1}
 
 
 def test_rest_of_a_value_after_a_base_span(spark):
@@ -151,3 +155,96 @@ def test_rest_of_a_value_after_a_base_span(spark):
     assert got[2] == (["$9kQ@z"], "DB_[SECRET][SECRET]")
     assert got[3] == (["x$yQ!", "&zz9"], "secret: [SECRET][SECRET][SECRET] and")
     assert got[4][1] == "[SECRET]"
+
+
+def _piece(part, ranks, per_symbol):
+    """Cost of `part` as a single piece, each kind by its description; infinite if it is of no kind."""
+    log, low, size = math.log10, part.lower(), len(part)
+    costs = [per_symbol if size == 1 else math.inf]
+    if size >= 3 and len(set(low)) == 1:
+        costs.append(per_symbol + log(size))
+    if size >= 3 and all(any(low[i:i + 2] in row or low[i:i + 2] in row[::-1] for row in secret_scan.ROWS) for i in range(size - 1)):
+        costs.append(log(94) + log(2 * size))
+    for copies in range(2, secret_scan.COPIES + 1):
+        block = part[:size // copies]
+        if len(block) >= 2 and block * copies == part:
+            costs.append(_exhaustive(block, ranks, per_symbol) + log(copies))
+    for word, factor in ((low, 1), (low.translate(secret_scan.LEET), 2)):
+        if word in ranks and size > 1 and low.translate(secret_scan.LEET).isalpha() and (factor == 1 or word != low):
+            upper = sum(c.isupper() for c in part)
+            cased = 1 if not upper else 2 if upper in (1, size) else 2 ** min(upper, size - upper)
+            costs.append(log(ranks[word] * factor * cased) + 0.3)
+    for sep in ("", "-", "/", "."):
+        fields = [part.split(sep)] if sep else [[part[:i], part[i:j], part[j:]] for i in range(1, size) for j in range(i + 1, size)]
+        for order in ("dmy", "mdy", "ymd"):
+            for three in fields:
+                if len(three) != 3 or not all(f.isascii() and f.isdigit() for f in three):
+                    continue
+                of = dict(zip(order, three, strict=True))
+                if not (len(of["d"]) <= 2 and len(of["m"]) <= 2 and 1 <= int(of["d"]) <= 31 and 1 <= int(of["m"]) <= 12):
+                    continue
+                if len(of["y"]) == 4 and 1900 <= int(of["y"]) <= 2049:
+                    costs.append(log(365 * 150 * (4 if sep else 1)))
+                if len(of["y"]) == 2 and (not sep or order != "ymd"):
+                    costs.append(log(365 * 100 * (4 if sep else 1)))
+    if size == 4 and part.isascii() and part.isdigit() and 1900 <= int(part) <= 2049:
+        costs.append(log(150))
+    return min(costs)
+
+
+def _exhaustive(value, ranks, per_symbol):
+    """Least sum over every way to cut `value`."""
+    n = len(value)
+    piece = {(i, j): _piece(value[i:j], ranks, per_symbol) for i in range(n) for j in range(i + 1, n + 1)}
+    least = math.inf
+    for cuts in range(1 << (n - 1)):
+        at, total = 0, 0.0
+        for i in range(1, n + 1):
+            if i == n or cuts >> (i - 1) & 1:
+                total += piece[at, i]
+                at = i
+                if total >= least:
+                    break
+        least = min(least, total)
+    return least
+
+
+def test_cost_is_the_least_of_all_cuts():
+    draw = random.Random(5)
+    parts = ["welcome", "wertyu", "1990", "hunter2", "P@ss", "drag0n", "aaa", "AAAa", "1.2.99", "31-1-2024", "131990", "poiuy", "ab", "Xk", "9$", "é", "zzzz",
+             "121212", "3/4/", "qq", "secret", "tokentoken", "٣"]
+    ranks = secret_scan.default_ranks()
+    for _ in range(2000):
+        value = "".join(draw.choice(parts) for _ in range(draw.randint(1, 4)))
+        at = draw.randint(0, max(0, len(value) - 12))
+        value = value[at:at + draw.randint(1, 12)]
+        want = _exhaustive(value, ranks, math.log10(secret_scan._symbols(value)))
+        assert secret_scan.guess_cost(value) == pytest.approx(want, abs=1e-9), value
+
+
+def test_runs_that_begin_inside_others_and_repeated_blocks():
+    assert secret_scan.guess_cost("welcomewertyu1990") < secret_scan.MIN_GUESSES
+    assert secret_scan.guess_cost("hunter2hunter2") < secret_scan.guess_cost("hunter2") + 0.5
+    assert secret_scan.guess_cost("7" * 5 + "aqwertyuiopoiuytrewq" * 500) > 0
+
+
+def test_prose_of_four_languages_after_key_words(spark):
+    prose = ["pin: Hauptbahnhof", "pass: Brennerpass 1371 m", "credentials: Zugangsdaten", "the password is verschlüsselt", "pass: Reisepass oder Ausweis",
+             "Das Passwort wurde geändert. Pass: Personalausweis, PIN: Geheimzahl. Der Bearer: Überbringer; das Token ist abgelaufen, secret: vertraulich",
+             "Le mot de passe est chiffré. Token: expiré; credentials: identifiants; pass: laissez-passer; secret: confidentiel, pin: obligatoire",
+             "La contraseña es segura. Token: caducado; credentials: credenciales; pass: pasaporte; secret: confidencial, pin: obligatorio",
+             "The password is mandatory. Token: expired; credentials: withdrawn; pass: boarding, secret: confidential, pin: obligatory"]
+    base = [helpers.base_spans(t, helpers.SECRETS) for t in prose]
+    for text, spans, (added, clean) in zip(prose, base, _scanned(spark, prose), strict=True):
+        assert not added, text
+        assert clean == secret_scan.without(text, [(s, e) for s, _, e in spans], "[SECRET]")
+
+
+def test_words_are_counted_outside_of_secrets(spark):
+    texts = ["Zxqvkrw thing, zxqvkrw"] * 6 + ["pwd: pxzqwvkj and scheme://a:qqzzvvkk@host"] * 50 + ["rare zzqqxx", None, ""]
+    frame = spark.createDataFrame([(t, "extra") for t in texts], "text string, word string")
+    assert words.counted(frame) == ["scheme", "thing", "zxqvkrw"]
+    assert words.counted(frame, most=1) == ["scheme"] and words.counted(frame.limit(0)) == []
+    docs = spark.createDataFrame([(0, "pin: Zxqvkrw"), (1, "pwd: pxzqwvkj")], "doc_id long, text string")
+    found = {r.doc_id: len(r.added) for r in secret_scan.find_secrets(docs, counted=words.counted(frame)).collect()}
+    assert found == {0: 0, 1: 1}
