@@ -13,11 +13,13 @@ from collections import Counter
 from collections.abc import Iterable
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nextpick.sources.stage import stage
+
 SHORTEST, LONGEST = 4, 24
-#: A corpus gives its most frequent words, of those in at least LEAST documents.
+#: A corpus gives up to MOST words, the most frequent of those in at least LEAST documents.
 MOST, LEAST = 20_000, 5
 #: What reads like a word: at most PARTS entries of three letters or more, or letters that follow each other
 #: with a mean log10 probability of LIKELY or more. Of random lower-case values, 8 in 100 of 6 letters
@@ -52,15 +54,32 @@ def listed(paths: tuple[str, ...] = ()) -> list[str]:
     return sorted((w[1:] for w in found if w[0] == " " and SHORTEST < len(w) <= LONGEST + 1), key=lambda w: (found[" " + w], w))
 
 
+def _class(count: Column) -> Column:
+    """Leading three figures of a count, the others zero: at most some 15,000 classes, in the order of counts."""
+    step = F.pow(F.lit(10), F.greatest(F.length(count.cast("string")) - 3, F.lit(0)))
+    return (F.floor(count / step) * step).cast("bigint")
+
+
 def counted(docs: DataFrame, most: int = MOST, least: int = LEAST) -> list[str]:
-    """Lower-case words in at least `least` documents of `docs`, by number of documents, ties by name; at most `most`.
+    """Lower-case words in at least `least` documents of `docs`, by number of documents, ties by name.
 
     A document counts once for each word; what may be a secret (SAID) isn't counted, however many copies there are.
+    Of the classes of counts (_class), from the highest on, as many are taken whole as hold at most `most` words
+    together: so no more than these words and a row for each class reach the driver, whatever the number of tasks.
     """
     told = F.regexp_replace(F.lower("text"), SAID, " ")
     word = F.explode(F.array_distinct(F.split(told, r"[^\p{L}\p{M}]++"))).alias("word")
-    often = docs.select(word).filter(F.length("word").between(SHORTEST, LONGEST)).groupBy("word").count().filter(F.col("count") >= least)
-    return [r.word for r in often.orderBy(F.desc("count"), "word").limit(most).collect()]
+    often = docs.select(word).filter(F.length("word").between(SHORTEST, LONGEST)).groupBy("word").agg(F.count("*").alias("docs"))
+    often = stage(often.filter(F.col("docs") >= least).withColumn("class", _class(F.col("docs"))), "counted-words")
+    lowest, total = None, 0
+    for row in sorted(often.groupBy("class").count().collect(), reverse=True):
+        total += row["count"]
+        if total > most:
+            break
+        lowest = row["class"]
+    if lowest is None:
+        return []
+    return [r.word for r in sorted(often.filter(F.col("class") >= lowest).collect(), key=lambda r: (-r.docs, r.word))]
 
 
 def ranks(*lists: Iterable[str]) -> dict[str, int]:

@@ -245,6 +245,9 @@ def test_words_are_counted_outside_of_secrets(spark):
     frame = spark.createDataFrame([(t, "extra") for t in texts], "text string, word string")
     assert words.counted(frame) == ["scheme", "thing", "zxqvkrw"]
     assert words.counted(frame, most=1) == ["scheme"] and words.counted(frame.limit(0)) == []
+    assert words.counted(frame, most=2) == ["scheme"] and words.counted(frame, most=0) == []  # the next class has two words
+    counts = spark.createDataFrame([(n,) for n in (5, 999, 1000, 1009, 1010, 12_345_678)], "n long")
+    assert [r[0] for r in counts.select(words._class(F.col("n"))).collect()] == [5, 999, 1000, 1000, 1010, 12_300_000]
     docs = spark.createDataFrame([(0, "pin: Zxqvkrw"), (1, "pwd: pxzqwvkj")], "doc_id long, text string")
     found = {r.doc_id: len(r.added) for r in secret_scan.find_secrets(docs, counted=words.counted(frame)).collect()}
     assert found == {0: 0, 1: 1}
