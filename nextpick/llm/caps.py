@@ -18,7 +18,8 @@ separate tasks, so that no pair is lost and no task holds a whole group. A task
 class (links and a spanning forest), never pairs.
 
 Edges: vectors that are null, empty, zero or hold null or non-finite components, and null labels,
-link with nothing. Vectors of different lengths never link. Rows that repeat an id are vectors of
+link with nothing. Vectors of different lengths never link. An empty table gives none; columns beyond vec_id,
+embedding and label are not looked at, whatever their names. Rows that repeat an id are vectors of
 their own with one component; a null id is never a component's id.
 """
 
@@ -28,7 +29,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -116,7 +116,7 @@ def decode(units: np.ndarray, cap: float, words: int) -> tuple[np.ndarray, np.nd
 
 
 def _decoder(settings: dict[int, tuple[float, int]]):
-    """Arrow function: each class once per filter it belongs to, with all its filters."""
+    """Arrow function: each class once per filter it belongs to, with those of its filters that come before."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             vectors = [np.array(v, np.float64) for v in batch.column("embedding").to_pylist()]
@@ -124,67 +124,112 @@ def _decoder(settings: dict[int, tuple[float, int]]):
             for dim in np.unique(dims):
                 own = np.flatnonzero(dims == dim)
                 cap, words = settings[int(dim)]
-                units = np.array([vectors[i] for i in own])
-                units /= np.abs(units).max(axis=1, keepdims=True)
-                units /= np.linalg.norm(units, axis=1, keepdims=True)
-                row, filters = decode(units, cap, words)
-                starts = np.searchsorted(row, np.arange(len(own) + 1))
-                lists = [filters[starts[i]:starts[i + 1]].astype(np.int32) for i in range(len(own))]
+                row, filters = decode(_units(np.array([vectors[i] for i in own])), cap, words)
+                filters = filters.astype(np.int32)
+                starts = np.searchsorted(row, row)
                 for k in range(0, len(row), 4096):
-                    part = row[k:k + 4096]
-                    place = pa.array(own[part])
+                    part = np.arange(k, min(k + 4096, len(row)))
+                    place = pa.array(own[row[part]])
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(n).take(place) for n in ("key", "label", "dim", "copies", "embedding")]
-                        + [pa.array(filters[k:k + 4096].astype(np.int32)), pa.array([lists[i] for i in part], pa.list_(pa.int32()))],
-                        names=["key", "label", "dim", "copies", "embedding", "filter", "filters"])
+                        + [pa.array(filters[part]), pa.array([filters[starts[i]:i] for i in part], pa.list_(pa.int32()))],
+                        names=["key", "label", "dim", "copies", "embedding", "filter", "earlier"])
     return run
 
 
-def _first_common(lists: list, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """First filter that the classes a and b have in common, for each pair."""
-    width = max(map(len, lists))
-    table_ = np.full((len(lists), width), -1, np.int64)
-    for i, own in enumerate(lists):
-        table_[i, :len(own)] = own
-    out = np.empty(len(a), np.int64)
+def _units(vectors: np.ndarray) -> np.ndarray:
+    """Vectors at length 1; the largest component goes first, so that no norm overflows."""
+    units = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    return units / np.linalg.norm(units, axis=1, keepdims=True)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column and the offsets of its rows in them."""
+    return column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy(zero_copy_only=False)
+
+
+def _met_before(earlier: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether the classes a and b share a filter before this one, for each pair; `earlier` is padded by -1."""
+    out = np.zeros(len(a), bool)
     for k in range(0, len(a), _PAIRS):
-        left, right = table_[a[k:k + _PAIRS]], table_[b[k:k + _PAIRS]].copy()
-        right[right < 0] = -2
-        shared = (left[:, :, None] == right[:, None, :]).any(axis=2)
-        out[k:k + _PAIRS] = left[np.arange(len(left)), shared.argmax(axis=1)]
+        left, right = earlier[a[k:k + _PAIRS]], earlier[b[k:k + _PAIRS]]
+        out[k:k + _PAIRS] = ((left[:, :, None] == right[:, None, :]) & (left >= 0)[:, :, None]).any(axis=(1, 2))
     return out
 
 
+def _group_links(units: np.ndarray, copies: np.ndarray, side: np.ndarray, across: bool, earlier: np.ndarray,
+                 threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Linked copies and root of each class of one filter, or of a pair of its blocks (`across`)."""
+    linked, pairs = np.zeros(len(units), np.int64), []
+    step = 1024
+    for i in range(0, len(units), step):
+        for j in range(i, len(units), step):
+            a, b = np.nonzero(units[i:i + step] @ units[j:j + step].T >= threshold)
+            a, b = a + i, b + j
+            keep = a < b
+            if across:
+                keep &= side[a] != side[b]
+            a, b = a[keep], b[keep]
+            if not len(a):
+                continue
+            first = ~_met_before(earlier, a, b)
+            a, b = a[first], b[first]
+            np.add.at(linked, a, copies[b])
+            np.add.at(linked, b, copies[a])
+            pairs.append((a, b))
+    return linked, forest(len(units), iter(pairs)) if pairs else np.arange(len(units))
+
+
 def _compare(threshold: float):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("key", kind="stable").reset_index(drop=True)
-        units = np.array(group["embedding"].tolist(), np.float64)
-        units /= np.abs(units).max(axis=1, keepdims=True)  # no overflow in the norm
-        units /= np.linalg.norm(units, axis=1, keepdims=True)
-        keys, copies, side = group["key"].to_numpy(), group["copies"].to_numpy(np.int64), group["side"].to_numpy()
-        own = int(group["filter"].iloc[0])
-        across = group["low"].iloc[0] != group["high"].iloc[0]
-        lists = group["filters"].tolist()
-        linked, pairs = np.zeros(len(group), np.int64), []
-        step = 1024
-        for i in range(0, len(units), step):
-            for j in range(i, len(units), step):
-                a, b = np.nonzero(units[i:i + step] @ units[j:j + step].T >= threshold)
-                a, b = a + i, b + j
-                keep = a < b
-                if across:
-                    keep &= side[a] != side[b]
-                a, b = a[keep], b[keep]
-                if not len(a):
-                    continue
-                first = _first_common(lists, a, b) == own
-                a, b = a[first], b[first]
-                np.add.at(linked, a, copies[b])
-                np.add.at(linked, b, copies[a])
-                pairs.append((a, b))
-        root = forest(len(group), iter(pairs))
-        at = np.flatnonzero(linked > 0)
-        return pd.DataFrame({"key": keys[at], "linked": linked[at], "root": keys[root[at]]})
+    """Arrow function over rows sorted by group: links of every group, many groups a batch.
+
+    A group goes on in the next batch at most; it has no more rows than two blocks.
+    """
+    group = ["label", "dim", "filter", "low", "high"]
+
+    def starts_of(rows: pa.RecordBatch) -> np.ndarray:
+        changed = np.zeros(len(rows), bool)
+        changed[:1] = True
+        for name in group:
+            column = rows.column(name).to_numpy(zero_copy_only=False)
+            changed[1:] |= column[1:] != column[:-1]
+        return np.flatnonzero(changed)
+
+    def compare(rows: pa.RecordBatch, bounds: np.ndarray) -> pa.RecordBatch:
+        values, at = _lists(rows.column("embedding"))
+        before, before_at = _lists(rows.column("earlier"))
+        copies, side, low, high = (rows.column(n).to_numpy(zero_copy_only=False) for n in ("copies", "side", "low", "high"))
+        found, roots, links_ = [], [], []
+        for s, e in zip(bounds[:-1], bounds[1:], strict=True):
+            if e - s < 2:
+                continue
+            units = _units(values[at[s]:at[e]].reshape(e - s, -1).astype(np.float64))
+            size = np.diff(before_at[s:e + 1])
+            earlier = np.full((e - s, max(1, size.max())), -1, np.int32)
+            earlier[np.arange(earlier.shape[1]) < size[:, None]] = before[before_at[s]:before_at[e]]
+            linked, root = _group_links(units, copies[s:e], side[s:e], low[s] != high[s], earlier, threshold)
+            own = np.flatnonzero(linked)
+            found.append(own + s)
+            roots.append(root[own] + s)
+            links_.append(linked[own])
+        own, root, linked = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (found, roots, links_))
+        keys = rows.column("key")
+        return pa.RecordBatch.from_arrays([keys.take(pa.array(own)), pa.array(linked), keys.take(pa.array(root))],
+                                          names=["key", "linked", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            starts = starts_of(rows)
+            if len(starts) > 1:
+                yield compare(rows, starts)
+            held = rows.slice(starts[-1])
+        if held is not None:
+            yield compare(held, np.array([0, len(held)]))
+
     return run
 
 
@@ -194,7 +239,7 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     counts = classes.groupBy("dim", "label").count().groupBy("dim").agg(F.max("count").alias("n")).collect()
     settings = {r["dim"]: parameters(r["n"], max(r["dim"], LEAST_DIM), threshold) for r in counts}
     schema = classes.select("key", "label", "dim", "copies", "embedding").schema
-    schema = T.StructType([*schema.fields, T.StructField("filter", T.IntegerType()), T.StructField("filters", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([*schema.fields, T.StructField("filter", T.IntegerType()), T.StructField("earlier", T.ArrayType(T.IntegerType()))])
     members = classes.select("key", "label", "dim", "copies", "embedding").mapInArrow(_decoder(settings), schema)
     at = ["label", "dim", "filter"]
     crowded = members.groupBy(*at).agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).alias("blocks")).filter("blocks > 1")
@@ -203,7 +248,10 @@ def links(classes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     placed = placed.withColumn("side", F.pmod(F.xxhash64("key"), F.col("blocks")))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
     dealt = dealt.withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")}).drop("other", "blocks")
-    return dealt.groupBy(*at, "low", "high").applyInPandas(_compare(threshold), "key string, linked bigint, root string")
+    # One pass over sorted rows: a filter holds some BUCKET rows, too few to pay for a call of its own.
+    group = [*at, "low", "high"]
+    return dealt.repartition(*group).sortWithinPartitions(*group, "key").mapInArrow(
+        _compare(threshold), "key string, linked bigint, root string")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
