@@ -34,9 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nextpick.llm.common import once, table
+from nextpick.llm.common import hot_classes, once, table
 from nextpick.llm.components import components
 from nextpick.llm.simhash import forest
+from nextpick.operators.joins import hot_keys, salted_join
 from nextpick.sources.stage import stage
 
 THRESHOLD = 0.93
@@ -271,9 +272,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     named = classes.select("key", "copies", "first").join(totals, "key", "left").join(
         roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    results = named.join(smallest, "root").select(
+    results = salted_join(named, smallest, "root", hot_keys(roots, "root")).select(
         "key", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), "component_id")
-    joined = keyed.select("vec_id", "key").join(results, "key", "left")
+    joined = salted_join(keyed.select("vec_id", "key"), results, "key", hot_classes(classes, "key", "copies"), "left")
     return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
                          F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id")
                          ).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nextpick.operators.joins import HOT_SHARE
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^ \t-\r]+"
 
@@ -27,6 +29,12 @@ def crc_of_id(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def hot_classes(classes: DataFrame, key: str, copies: str) -> list:
+    """Keys of the classes (one row each) that hold more than HOT_SHARE of all rows, by their number of copies; at most 1 / HOT_SHARE."""
+    total = classes.agg(F.sum(copies)).first()[0] or 0
+    return sorted(r[0] for r in classes.filter(F.col(copies) > total * HOT_SHARE).select(key).collect())
+
+
 def once(key: str, make: Callable):
     """Object that a Python worker makes once and keeps for its later tasks."""
     kept = sys.__dict__.setdefault("_nextpick_kept", {})

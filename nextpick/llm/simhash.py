@@ -33,8 +33,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nextpick.llm.common import table, utf8
+from nextpick.llm.common import hot_classes, table, utf8
 from nextpick.llm.components import components
+from nextpick.operators.joins import hot_keys, salted_join
 from nextpick.sources.stage import stage
 
 BITS = 2
@@ -211,18 +212,21 @@ def links(points: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame, first: Column) -> DataFrame:
-    """(fp, class): for every fingerprint of `prints`, the smallest `first` among the rows of its component."""
-    points = stage(prints.groupBy("fp").agg(F.min(first).alias("first")), "simhash-points")
+    """(fp, class, copies): for every fingerprint of `prints`, the smallest `first` among the rows of its component, and its rows."""
+    points = stage(prints.groupBy("fp").agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("copies")), "simhash-points")
     roots = components(links(points.select("fp")))
-    labelled = points.join(roots, points["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    labelled = points.join(roots, points["fp"] == roots["node"], "left").select(
+        "fp", "first", "copies", F.coalesce("root", "fp").alias("root"))
     smallest = labelled.groupBy("root").agg(F.min("first").alias("class"))
-    return labelled.join(smallest, "root").select("fp", "class")
+    return salted_join(labelled, smallest, "root", hot_keys(roots, "root")).select("fp", "class", "copies")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp and component_id for every row of `docs`."""
+    """doc_id, fp and component_id for every row of `docs`; a fingerprint that many rows share is dealt to several tasks."""
     prints = stage(fingerprints(docs), "simhash")
-    return prints.join(classes(prints, F.col("doc_id")), "fp").select("doc_id", "fp", F.col("class").alias("component_id"))
+    found = stage(classes(prints, F.col("doc_id")), "simhash-classes")
+    return salted_join(prints, found.drop("copies"), "fp", hot_classes(found, "fp", "copies")).select(
+        "doc_id", "fp", F.col("class").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
