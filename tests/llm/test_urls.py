@@ -61,3 +61,39 @@ def test_empty(spark):
 @pytest.mark.parametrize(("url", "hits"), [("http://xcasino.org", (0, 0)), ("http://casino.org/casino", (1, 0)), ("http://free.org/free-ads", (0, 2))])
 def test_term_hits(url, hits):
     assert urls.term_hits(urls._automaton(urls.STRICT, urls.SOFT), url) == hits
+
+
+def _verdict(spark, url):
+    return urls.judge(spark.createDataFrame([(1, url)], "page_id long, url string")).first().verdict
+
+
+@pytest.mark.parametrize(("words", "verdict"), [
+    (["stripper", "rabatt", "coupon"], "block"),        # one heavy, two light: 2.5
+    (["stripper", "rabatt"], "block"), (["stripper"], "allow"), (["rabatt", "coupon", "geld"], "allow"),
+    (["rabatt", "coupon", "geld", "offre"], "block"),   # four light
+    (["lotto", "rabatt"], "allow"), (["lotto", "rabatt", "coupon"], "block"), (["lotto", "premio"], "block"),
+    (["coupon", "coupons", "coupon", "coupons"], "allow"),  # one term
+    (["glücksspiel"], "block"), (["gluecksspiel"], "block"), (["gl%C3%BCcksspiel"], "block"), (["Glücksspielen"], "block"),
+    (["c4sino"], "block"), (["p0rno"], "block"), (["p0rn0"], "block"), (["free%20spins"], "block"), (["Free_Spins"], "block"), (["machine-a-sous"], "block"),
+    (["weight", "rabatt", "loss"], "allow"), (["weight-loss", "rabatt"], "block"), (["freespinster"], "allow")])
+def test_weights_and_forms(spark, words, verdict):
+    assert _verdict(spark, f"http://a.org/{'/'.join(words)}") == verdict
+
+
+def test_vocabulary():
+    assert len(urls.STRICT) > 150 and len(urls.SOFT) > 300 and not set(urls.STRICT) & set(urls.SOFT)
+    assert max(urls.SOFT.values()) < urls.SOFT_LIMIT  # a soft term alone never blocks
+    owner = {}
+    for term, own in [*urls.STRICT_FORMS.items(), *urls.SOFT_FORMS.items()]:
+        for form in own:
+            assert owner.setdefault(form, term) == term, form
+    parts = {w for term in urls.SOFT_FORMS if "_" in term for w in term.rstrip("*").split("_")}
+    assert not parts & set(urls.SOFT)  # or such a term would count twice
+
+
+def test_forms_against_sql(spark):
+    rows = [(i, f"http://h{i}.org/{form}/x") for i, form in enumerate([*urls.STRICT, *urls.SOFT])]
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    connection = compare.duckdb.connect()
+    connection.register("pages", frame.toPandas())
+    assert compare.spark_rows(urls.judge(frame)) == compare.duckdb_rows(connection, urls.ORACLE)
