@@ -12,13 +12,20 @@ BROADCAST_ROWS = 250_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.001
 SALTS = 64
+_FLAT = (T.StringType, T.BinaryType)
+_NESTED = (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType)
+
+
+def _bytes(lookup: DataFrame) -> Column:
+    """Bytes of a row's columns without a fixed width; arrays, maps and structs count as their JSON."""
+    sizes = [F.octet_length(f.name) if isinstance(f.dataType, _FLAT) else F.octet_length(F.to_json(F.struct(f.name)))
+             for f in lookup.schema.fields if isinstance(f.dataType, (*_FLAT, *_NESTED))]
+    return sum((F.coalesce(size, F.lit(0)) for size in sizes), F.lit(0).cast("bigint"))
 
 
 def fits_broadcast(lookup: DataFrame) -> bool:
-    """Measure a lookup in one pass: at most BROADCAST_ROWS rows and BROADCAST_BYTES of text."""
-    text = [F.octet_length(f.name) for f in lookup.schema.fields if f.dataType in (T.StringType(), T.BinaryType())]
-    width = sum((F.coalesce(length, F.lit(0)) for length in text), F.lit(0))
-    found = lookup.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    """Measure a lookup in one pass: at most BROADCAST_ROWS rows and BROADCAST_BYTES of text and nested values."""
+    found = lookup.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_bytes(lookup)), F.lit(0)).alias("size")).first()
     return found["rows"] <= BROADCAST_ROWS and found["size"] <= BROADCAST_BYTES
 
 

@@ -409,27 +409,24 @@ def multi_class_report(spark, sf_dir):
     return evaluate.multi_class_report(true.join(predicted, "customer_id"), offset=first + 1)
 
 
-@query
-def hybrid_recommend(spark, sf_dir):
-    held_out = _held_out(spark, sf_dir)
-    later_codes = held_out.scored.filter(
-        (F.col("target_category") > FIRST_STAGE_CODES) & (F.col("score") >= SECOND_STAGE_MINIMUM))
+def _hybrid_picks(held_out: HeldOut) -> DataFrame:
+    """Best pick of every held-out customer, from the later codes where the first ones don't do; scores are staged once."""
+    scored = stage(held_out.scored, "scored")
+    later_codes = scored.filter((F.col("target_category") > FIRST_STAGE_CODES) & (F.col("score") >= SECOND_STAGE_MINIMUM))
     second = labels.decode_category(cand.best_candidate(later_codes), held_out.labels, "target_category",
                                     "second_item").select("customer_id", "second_item")
     kept = [row.category for row in held_out.labels.filter(F.col("code") <= FIRST_STAGE_CODES).collect()]
-    picks = evaluate.hybrid_recommend(held_out.evaluated, second, kept)
-    return picks.select("customer_id", "pred_item", "source", "hit")
+    return evaluate.hybrid_recommend(evaluation.evaluate_picks(scored, held_out.bought, held_out.labels), second, kept)
+
+
+@query
+def hybrid_recommend(spark, sf_dir):
+    return _hybrid_picks(_held_out(spark, sf_dir)).select("customer_id", "pred_item", "source", "hit")
 
 
 @query
 def hybrid_accuracy_by_category(spark, sf_dir):
-    held_out = _held_out(spark, sf_dir)
-    later_codes = held_out.scored.filter(
-        (F.col("target_category") > FIRST_STAGE_CODES) & (F.col("score") >= SECOND_STAGE_MINIMUM))
-    second = labels.decode_category(cand.best_candidate(later_codes), held_out.labels, "target_category",
-                                    "second_item").select("customer_id", "second_item")
-    kept = [row.category for row in held_out.labels.filter(F.col("code") <= FIRST_STAGE_CODES).collect()]
-    return evaluate.accuracy_by_category(evaluate.hybrid_recommend(held_out.evaluated, second, kept))
+    return evaluate.accuracy_by_category(_hybrid_picks(_held_out(spark, sf_dir)))
 
 
 def _scored_test_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,17 @@ def test_lookup_is_measured(lookup, monkeypatch):
     assert not joins.fits_broadcast(lookup.select("key"))
 
 
+@pytest.mark.parametrize("value", ["array_repeat(key, 50)", "map(key, repeat('x', 200))", "named_struct('a', named_struct('b', repeat('x', 200)))",
+                                   "array(named_struct('a', repeat('x', 200)))", "array(encode(repeat('x', 200), 'utf-8'))"])
+def test_nested_lookup_is_measured(spark, lookup, monkeypatch, value):
+    nested = lookup.selectExpr("key", f"{value} AS value")
+    assert joins.fits_broadcast(nested)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 10_000)
+    assert not joins.fits_broadcast(nested)
+    assert joins.fits_broadcast(nested.select("key"))
+    assert joins.fits_broadcast(nested.selectExpr("key", "if(key < 0, value, null) AS value"))
+
+
 def test_salts_spread_a_hot_key_and_its_copies(spark, skewed, lookup):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     spark.conf.set("spark.sql.adaptive.enabled", False)
