@@ -11,10 +11,12 @@ Scale: the histogram (fewer rows than the window is long) is all that reaches th
 plan is a few thousand rows. A tail finds its place from its rank among tails of its length;
 ranks are made in hash buckets of about BUCKET_ROWS and offsets by bucket, so a length that a
 third of all documents share is not one task's. Text is read and tokenized once; tails are
-staged as ids in the shared folder, since a cut needs them again.
+staged as ids in the shared folder, since a cut needs them again. They move once at most, with the
+row that is ranked, and not at all where patterns take a whole bucket.
 
-Edges: null and empty texts are the one id 0. Repeated rows are packed each for itself. The empty
-table gives no pieces.
+Edges: null and empty texts are the one id 0. Repeated rows, and rows of one id with different
+texts, are packed each for itself; rows equal in id and text share a bucket. The empty table gives
+no pieces.
 """
 
 from __future__ import annotations
@@ -166,17 +168,29 @@ def plan(histogram: dict[int, int], window: int = WINDOW) -> tuple[list[tuple[in
     return ranges, used, sequences
 
 
-def _ranked(rows: DataFrame, key: str, counts: DataFrame, name: str) -> DataFrame:
-    """Rows with their rank from 0 among rows of the same `key`; `counts` has (key, n)."""
-    spread = F.xxhash64("doc_id", "doc_tokens", "tail_crc")
-    placed = rows.join(counts, key).withColumn("_bucket", F.floor(
-        F.pmod(spread, F.lit(BUCKETS)) * F.ceil(F.col("n") / BUCKET_ROWS) / BUCKETS)).drop("n")
+def _spread() -> Column:
+    return F.xxhash64("doc_id", "doc_tokens", "tail_crc")
+
+
+def _bucketed(rows: DataFrame, key: str, counts: DataFrame) -> DataFrame:
+    """Rows with their hash bucket `_bucket` among rows of the same `key`, the rows `_held` in it and `_before` it;
+    `counts` has (key, n).
+
+    The table of buckets is staged: its size is known before the join, so whether rows have to move doesn't hang
+    on which side of the join is ready first.
+    """
+    placed = rows.join(F.broadcast(counts), key).withColumn("_bucket", F.floor(
+        F.pmod(_spread(), F.lit(BUCKETS)) * F.ceil(F.col("n") / BUCKET_ROWS) / BUCKETS)).drop("n")
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_held")).withColumn(
-        "_before", F.coalesce(F.sum("_held").over(before), F.lit(0))).drop("_held")
-    inside = Window.partitionBy(key, "_bucket").orderBy(spread, "doc_id", "doc_tokens", "tail_crc")
-    return placed.withColumn("_nth", F.row_number().over(inside) - 1).join(offsets, [key, "_bucket"]).withColumn(
-        name, F.col("_before") + F.col("_nth")).drop("_bucket", "_nth", "_before")
+    buckets = placed.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_held")).withColumn(
+        "_before", F.coalesce(F.sum("_held").over(before), F.lit(0)))
+    return placed.join(stage(buckets, "buckets"), [key, "_bucket"])
+
+
+def _ranked(bucketed: DataFrame, key: str) -> DataFrame:
+    """Rows of `_bucketed` with their rank `_rank` from 0 among rows of the same `key`."""
+    inside = Window.partitionBy(key, "_bucket").orderBy(_spread(), "doc_id", "doc_tokens", "tail_crc")
+    return bucketed.withColumn("_rank", F.col("_before") + F.row_number().over(inside) - 1).drop("_bucket", "_held", "_before")
 
 
 def _piece(start: Column, length: Column, crc: Column, sequence: Column, offset: Column) -> list[Column]:
@@ -197,7 +211,8 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     earlier = Window.orderBy("whole").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_whole.withColumn("_base", F.coalesce(F.sum(F.col("n") * F.col("whole")).over(earlier), F.lit(0))).drop("n")
     first_tail = by_whole.agg(F.sum(F.col("n") * F.col("whole"))).first()[0] or 0
-    ranked = _ranked(wholes.select("doc_id", "doc_tokens", "tail_crc", "full", "whole"), "whole", by_whole, "_rank").join(bases, "whole")
+    bucketed = _bucketed(wholes.select("doc_id", "doc_tokens", "tail_crc", "full", "whole"), "whole", by_whole)
+    ranked = _ranked(bucketed, "whole").join(bases, "whole")
     each = ranked.select("*", F.posexplode("full").alias("_i", "_crc"))
     full = each.select(*_piece(F.col("_i") * WINDOW, F.lit(WINDOW), F.col("_crc"),
                                F.col("_base") + F.col("_rank") * F.col("whole") + F.col("_i"), F.lit(0)))
@@ -213,30 +228,27 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
         position += (histogram[length] - used[length]) * length
     left_from = first_tail + sequences
     patterned = spark.createDataFrame([(a, b, b + n, first_tail + s - b, o) for a, b, n, s, o in ranges],
-                                      "rest bigint, _from bigint, _to bigint, _shift bigint, _at bigint")
+                                      "_of bigint, _from bigint, _to bigint, _shift bigint, _at bigint")
     greedy = spark.createDataFrame([(length, used[length], at[length]) for length in histogram], "rest bigint, _used bigint, _start bigint")
-    skinny = stage(_ranked(tails.select("doc_id", "doc_tokens", "tail_crc", "rest"), "rest", by_rest, "_rank").join(F.broadcast(greedy), "rest"), "tail-ranks")
-    start = F.col("doc_tokens") - F.col("rest")
-    in_pattern = skinny.filter(F.col("_rank") < F.col("_used")).join(F.broadcast(patterned), "rest").filter(
-        (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-    exact = in_pattern.select(*_piece(start, F.col("rest"), F.col("tail_crc"), F.col("_shift") + F.col("_rank"), F.col("_at")))
-    # What is left, window after window; a tail that crosses a border is cut there.
-    stream = skinny.filter(F.col("_rank") >= F.col("_used")).withColumn("_place", F.col("_start") + (F.col("_rank") - F.col("_used")) * F.col("rest"))
-    room = WINDOW - F.col("_place") % WINDOW
-    sequence = F.lit(left_from) + F.floor(F.col("_place") / WINDOW)
-    uncut = stream.filter(F.col("rest") <= room).select(
-        *_piece(start, F.col("rest"), F.col("tail_crc"), sequence, F.col("_place") % WINDOW))
-    crossing = stream.filter(F.col("rest") > room).select("doc_id", "doc_tokens", "tail_crc", "rest", "_place")
-    ids = tails.select("doc_id", "doc_tokens", "tail_crc", "tail").dropDuplicates(["doc_id", "doc_tokens", "tail_crc"])
-    joined = crossing.alias("c").join(ids.alias("i"), (F.col("c.doc_id").eqNullSafe(F.col("i.doc_id"))) & (F.col("c.doc_tokens") == F.col("i.doc_tokens")) & (
-        F.col("c.tail_crc") == F.col("i.tail_crc"))).select("c.*", "i.tail").withColumn("_room", room)
-    parts = joined.withColumn("_p", F.explode(F.array(
-        F.struct(F.lit(0).alias("skip"), F.col("_room").cast("int").alias("size")),
-        F.struct(F.col("_room").cast("int").alias("skip"), (F.col("rest") - F.col("_room")).cast("int").alias("size")))))
-    crc = F.crc32(F.substring("tail", F.col("_p.skip") * 4 + 1, F.col("_p.size") * 4))
-    cut = parts.select(*_piece(start + F.col("_p.skip"), F.col("_p.size"), crc, sequence + (F.col("_p.skip") > 0).cast("bigint"),
-                               F.when(F.col("_p.skip") > 0, 0).otherwise(F.col("_place") % WINDOW)))
-    return full.unionByName(exact).unionByName(uncut).unionByName(cut)
+    # Only a tail that no pattern takes can be cut: the ids of the others stay where they are.
+    bucketed = _bucketed(tails.select("doc_id", "doc_tokens", "tail_crc", "rest", "tail"), "rest", by_rest).join(F.broadcast(greedy), "rest")
+    needed = bucketed.withColumn("tail", F.when(F.col("_before") + F.col("_held") > F.col("_used"), F.col("tail")))
+    ranked = _ranked(needed, "rest").join(F.broadcast(patterned), (F.col("rest") == F.col("_of")) & (
+        F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")), "left")
+    # What patterns leave, window after window; a tail that crosses a border is cut there.
+    place = F.col("_start") + (F.col("_rank") - F.col("_used")) * F.col("rest")
+    placed = ranked.withColumns({
+        "_sequence": F.coalesce(F.col("_shift") + F.col("_rank"), F.lit(left_from) + F.floor(place / WINDOW)),
+        "_offset": F.coalesce(F.col("_at"), place % WINDOW)}).withColumn("_room", WINDOW - F.col("_offset"))
+    part = lambda skip, size: F.struct(skip.cast("int").alias("skip"), size.cast("int").alias("size"))
+    room, rest = F.col("_room"), F.col("rest")
+    parts = placed.withColumn("_p", F.explode(F.when(rest > room, F.array(part(F.lit(0), room), part(room, rest - room))).otherwise(
+        F.array(part(F.lit(0), rest)))))
+    skip, size = F.col("_p.skip"), F.col("_p.size")
+    crc = F.when(size == rest, F.col("tail_crc")).otherwise(F.crc32(F.substring("tail", skip * 4 + 1, size * 4)))
+    cut = parts.select(*_piece(F.col("doc_tokens") - rest + skip, size, crc, F.col("_sequence") + (skip > 0).cast("bigint"),
+                               F.when(skip > 0, 0).otherwise(F.col("_offset"))))
+    return full.unionByName(cut)
 
 
 def op10_packing(spark, sf_dir: str) -> DataFrame:

@@ -108,6 +108,42 @@ def test_one_length_over_many_buckets(spark, monkeypatch):
     assert padding < 0.01
 
 
+def test_cut_texts_of_one_id_and_checksum(spark):
+    """Two rows of one id whose ids have the same number and checksum are cut each for itself."""
+    def text(*odd):
+        words = ["word"] * 999
+        words[10], words[500], words[990] = odd
+        return " ".join(words)
+
+    both = [text("thing", "research", "level"), text("company", "face", "friend")]
+    crc = lambda t, low, high: zlib.crc32(np.array(ids(t)[low:high], "<u4").tobytes())
+    assert crc(both[0], 0, 1000) == crc(both[1], 0, 1000) and len(ids(both[0])) == 1000
+    frame = spark.createDataFrame([(1, t) for t in both] + [(i, text("a", "b", "c")) for i in range(2, 9)], "doc_id long, text string")
+    pieces = sorted((r.start, r.length, r.ids_crc32) for r in packing.pack(frame).collect() if r.doc_id == 1)
+    assert len(pieces) == 4 and len({size for start, size, _ in pieces if start == 0}) == 2
+    places = [(start, start + length) for start, length, _ in pieces]
+    low, high = sorted({b for a, b in places if a == 0})
+    assert pieces in [sorted((a, b - a, crc(t, a, b)) for t, cut in zip(texts, (low, high), strict=True) for a, b in ((0, cut), (cut, 1000)))
+                      for texts in (both, both[::-1])]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10MB"])
+def test_ids_of_tails_move_once(spark, threshold):
+    """No size of a join's sides makes the tails' ids, the only binary column, move a second time."""
+    def moved(node):
+        here = node.nodeName() == "Exchange" and any(f.dataType().simpleString() == "binary" for f in node.schema().fields())
+        return here + sum(moved(node.children().apply(i)) for i in range(node.children().size()))
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": threshold, "spark.sql.adaptive.enabled": "false"}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        assert moved(packing.pack(spark.read.parquet(f"{SF_DIR}/documents.parquet"))._jdf.queryExecution().executedPlan()) == 1
+    finally:
+        for name in conf:
+            spark.conf.unset(name)
+
+
 def test_empty(spark):
     assert packing.pack(helpers.documents(spark, [])).count() == 0
 
